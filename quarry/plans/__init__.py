@@ -1,2 +1,2 @@
 """Registered queries (name -> Spark plan, DuckDB oracle SQL)."""
-from quarry.plans import stats_queries, trip_queries  # noqa: F401
+from quarry.plans import stats_queries, text_queries, trip_queries  # noqa: F401

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.driver.host": "127.0.0.1",
     "spark.driver.bindAddress": "127.0.0.1",
     "spark.sql.session.timeZone": "UTC",
