@@ -55,11 +55,11 @@ def ks(a: DataFrame, b: DataFrame, cols: Sequence[str], digits: int = 9,
     lb = unpivot_numeric(b, cols).withColumn("_a", F.lit(0)).withColumn("_b", F.lit(1))
     freq = la.unionByName(lb).groupBy("column_name", "value").agg(
         F.sum("_a").cast("bigint").alias("na"), F.sum("_b").cast("bigint").alias("nb"))
-    tot = freq.groupBy("column_name").agg(F.sum("na").alias("Na"), F.sum("nb").alias("Nb"))
+    tot = freq.groupBy("column_name").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
     cum = running_totals(freq, "value", {"ca": F.col("na"), "cb": F.col("nb")}, ["column_name"],
                          n_buckets=n_buckets)
     j = cum.join(sized_broadcast(tot), "column_name")
-    diff = F.abs(F.col("ca") / F.col("Na") - F.col("cb") / F.col("Nb"))
+    diff = F.abs(F.col("ca") / F.col("tot_a") - F.col("cb") / F.col("tot_b"))
     return j.groupBy("column_name").agg(F.round(F.max(diff), digits).alias("ks"))
 
 

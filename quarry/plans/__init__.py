@@ -1,2 +1,3 @@
 """Registered queries (name -> Spark plan, DuckDB oracle SQL)."""
 from quarry.plans import stats_queries, text_queries, trip_queries  # noqa: F401
+from quarry.plans import synth_queries  # noqa: F401,E402
