@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import WORD
 from quarry.operators.joins import sized_broadcast
 
-__all__ = ["stop_words", "tokens", "with_terms", "term_counts", "vocabulary", "tfidf", "top_words",
+__all__ = ["stop_words", "raw_tokens", "with_tokens", "with_terms", "term_counts", "vocabulary", "tfidf", "top_words",
            "class_weights", "confusion", "classification_report", "compare_models",
            "improvement_over_baseline", "score_batches", "word_weights", "word_list_predictor"]
 
@@ -36,14 +36,19 @@ def stop_words(language: str = "english") -> tuple[str, ...]:
     return tuple(words)
 
 
-def tokens(text, drop_stop_words: bool = True):
-    """Lower-cased word tokens of two or more word characters (stop words removed)."""
-    t = F.regexp_extract_all(F.lower(text if not isinstance(text, str) else F.col(text)),
-                             F.lit("(" + TOKEN_RE + ")"), 1)
-    if drop_stop_words:
-        sw = F.array(*[F.lit(w) for w in stop_words()])
-        t = F.filter(t, lambda x: ~F.array_contains(sw, x))
-    return t
+def raw_tokens(text) -> "F.Column":
+    """Lower-cased word tokens of two or more word characters."""
+    return F.regexp_extract_all(F.lower(text if not isinstance(text, str) else F.col(text)),
+                                F.lit("(" + TOKEN_RE + ")"), 1)
+
+
+def with_tokens(df: DataFrame, text_col: str, out: str = "tokens") -> DataFrame:
+    """Tokens with stop words removed by Spark ML's ``StopWordsRemover``
+    (hash-set lookup per token, JVM-side)."""
+    from pyspark.ml.feature import StopWordsRemover
+    d = df.withColumn("_raw_tok", raw_tokens(F.col(text_col)))
+    r = StopWordsRemover(inputCol="_raw_tok", outputCol=out, stopWords=list(stop_words()), caseSensitive=True)
+    return r.transform(d).drop("_raw_tok")
 
 
 def with_terms(docs: DataFrame, text_col: str, ngram_max: int = 2, out: str = "terms") -> DataFrame:
@@ -52,7 +57,7 @@ def with_terms(docs: DataFrame, text_col: str, ngram_max: int = 2, out: str = "t
     Tokens are their own column; the k-th shifted copy ``slice(tok, k+1, n)``
     is zipped with it, so each n-gram is built from struct fields (no
     positional lookups, no re-tokenising)."""
-    d = docs.withColumn("_t0", tokens(F.col(text_col)))
+    d = with_tokens(docs, text_col, "_t0")
     cols = ["_t0"]
     t = F.col("_t0")
     for n in range(2, ngram_max + 1):
@@ -95,7 +100,7 @@ def tfidf(tf: DataFrame, vocab: DataFrame, id_col: str, n_docs, digits: int = 6)
 
 def top_words(df: DataFrame, text_col: str, k: int = 200, digits: int = 6) -> DataFrame:
     """Word counts behind a word cloud: top ``k`` (ties -> word), relative to the max."""
-    w = df.select(F.explode(tokens(F.col(text_col))).alias("word")).groupBy("word") \
+    w = with_tokens(df.select(text_col), text_col, "_tk").select(F.explode("_tk").alias("word")).groupBy("word") \
         .agg(F.count(F.lit(1)).alias("n"))
     top = w.orderBy(F.desc("n"), "word").limit(k)
     mx = w.select(F.max("n")).scalar()
@@ -196,7 +201,8 @@ def score_batches(df: DataFrame, text_col: str, make_predictor: Callable[[], Cal
 def word_weights(train: DataFrame, id_col: str, text_col: str, label: str, vocab: DataFrame) -> DataFrame:
     """Word-list model: ``ln((docs with term & label 1 + 1) / (docs with term & label 0 + 1))``
     over the (bounded) vocabulary unigrams."""
-    dt = train.select(id_col, label, F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("term"))
+    dt = with_tokens(train.select(id_col, label, text_col), text_col, "_tk") \
+        .select(id_col, label, F.explode(F.array_distinct("_tk")).alias("term"))
     v = vocab.select("term").where(~F.col("term").contains(" "))
     c = dt.join(F.broadcast(v), "term").groupBy("term").agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
