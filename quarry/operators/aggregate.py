@@ -42,7 +42,8 @@ def reduce_pairs(pairs: DataFrame, key: str = "key", value: str = "value") -> Da
 def group_share(df: DataFrame, keys: Sequence[str], value: str, digits: int = 2) -> DataFrame:
     """Trips, average value and share of all rows per group."""
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("trip_count"), F.avg(value).alias("avg_value"))
-    total = df.select(F.count(F.lit(1))).scalar()
+    # total from the aggregated result: the subquery reuses g's shuffle (one scan)
+    total = g.select(F.sum("trip_count")).scalar()
     return g.withColumn("pct_of_total", pct("trip_count", total, digits))
 
 
@@ -118,11 +119,18 @@ def cap_impact(df: DataFrame, value: str, caps: Sequence[float], digits: int = 4
 
 def cap_strategies(df: DataFrame, value: str, caps: Sequence[float] = (80.0, 70.0),
                    digits: int = 4) -> DataFrame:
-    """Cap options: new average, kept, removed and their % of the group."""
-    ci = cap_impact(df, value, caps, digits)
-    total = df.select(F.count(F.lit(1))).scalar()
-    return ci.select("cap", "avg_value", "kept", (total - F.col("kept")).alias("removed"),
-                     "pct_kept", pct(total - F.col("kept"), total, digits).alias("pct_removed"))
+    """Cap options: new average, kept, removed and their % of the group (one scan)."""
+    v = F.col(value)
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i, c in enumerate(caps):
+        aggs += [F.count_if(v <= c).alias(f"k{i}"), F.avg(F.when(v <= c, v)).alias(f"a{i}")]
+    wide = df.agg(*aggs)
+    parts = ", ".join(f"CAST({c} AS DOUBLE), a{i}, k{i}" for i, c in enumerate(caps))
+    long = wide.selectExpr("_n", f"stack({len(caps)}, {parts}) as (cap, avg_value, kept)")
+    return long.select("cap", F.round("avg_value", digits).alias("avg_value"), F.col("kept").cast("bigint"),
+                       (F.col("_n") - F.col("kept")).cast("bigint").alias("removed"),
+                       pct("kept", "_n", digits).alias("pct_kept"),
+                       pct(F.col("_n") - F.col("kept"), "_n", digits).alias("pct_removed"))
 
 
 def clean_by_group_caps(df: DataFrame, key: str, value: str, caps: Mapping[str, float],
@@ -176,25 +184,24 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int = 6) -> Dat
 def describe_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, unique, top (most frequent, ties -> smallest value), freq per column.
 
-    One frequency table per column (a grouped aggregate), then one small
-    aggregate over it; ``min_by`` on (-freq, value) picks the top value."""
-    out = None
-    for c in cols:
-        freq = (df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v"))
-                .agg(F.count(F.lit(1)).alias("f")))
-        r = freq.agg(F.sum("f").cast("bigint").alias("count"), F.count(F.lit(1)).cast("bigint").alias("unique"),
-                     F.min_by(F.struct(F.col("v").alias("top"), F.col("f").alias("freq")),
-                              F.struct((-F.col("f")).alias("nf"), F.col("v").alias("v"))).alias("_t"))
-        r = r.select(F.lit(c).alias("column_name"), "count", "unique", F.col("_t.top").alias("top"),
-                     F.col("_t.freq").cast("bigint").alias("freq"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    All columns in ONE scan: unpivot to ``(column, value)``, one grouped
+    frequency table, then a small aggregate per column; ``min_by`` on
+    ``(-freq, value)`` picks the top value."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]) \
+        .unpivot([], list(cols), "column_name", "v").where(F.col("v").isNotNull())
+    freq = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("f"))
+    r = freq.groupBy("column_name").agg(
+        F.sum("f").cast("bigint").alias("count"), F.count(F.lit(1)).cast("bigint").alias("unique"),
+        F.min_by(F.struct(F.col("v").alias("top"), F.col("f").alias("freq")),
+                 F.struct((-F.col("f")).alias("nf"), F.col("v").alias("v"))).alias("_t"))
+    return r.select("column_name", "count", "unique", F.col("_t.top").alias("top"),
+                    F.col("_t.freq").cast("bigint").alias("freq"))
 
 
 def value_counts(df: DataFrame, col: str, digits: int = 2) -> DataFrame:
     """``(value, n, pct)``; ``pct`` rounded to ``digits``."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = df.select(F.count(F.lit(1))).scalar()
+    total = g.select(F.sum("n")).scalar()  # reuses g's shuffle: one scan
     return g.withColumn("pct", pct("n", total, digits))
 
 

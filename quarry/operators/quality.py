@@ -111,9 +111,11 @@ def retention(audit: DataFrame) -> DataFrame:
 
 def removal_breakdown(audit: DataFrame) -> DataFrame:
     """Q5: rule, removed, % of original (2 digits); the ``kept`` row excluded."""
-    total = audit.select(F.sum("removed")).scalar()
-    return (audit.where(F.col("rule") != "kept")
-            .select("rule_order", "rule", "removed", pct("removed", total, 2).alias("pct_of_original")))
+    from pyspark.sql import Window
+    total = F.sum("removed").over(Window.partitionBy())  # one row per rule: bounded
+    return (audit.select("rule_order", "rule", "removed", total.alias("_t"))
+            .where(F.col("rule") != "kept")
+            .select("rule_order", "rule", "removed", pct("removed", "_t", 2).alias("pct_of_original")))
 
 
 def validate(df: DataFrame, checks: Sequence[tuple[str, Column]]) -> DataFrame:
@@ -125,7 +127,9 @@ def validate(df: DataFrame, checks: Sequence[tuple[str, Column]]) -> DataFrame:
                     for i, (_, v) in enumerate(checks)])
     stack = ", ".join(f"{i + 1}, '{n}', c{i}" for i, (n, _) in enumerate(checks))
     long = wide.selectExpr(f"stack({len(checks)}, {stack}) as (check_order, check_name, violations)")
-    allok = long.select(F.max("violations")).scalar() == 0
+    # the stacked result has one row per check: a window over it is bounded
+    from pyspark.sql import Window
+    allok = F.max("violations").over(Window.partitionBy()) == 0
     return long.select(F.col("check_order").cast("int"), "check_name",
                        F.col("violations").cast("bigint"),
                        F.when(F.col("violations") == 0, "PASS").otherwise("FAIL").alias("status"),
@@ -145,10 +149,11 @@ def missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def class_balance(df: DataFrame, label: str, threshold: float = 2.0) -> DataFrame:
     """Q8: count and % per class, majority/minority ratio and imbalance flag."""
+    from pyspark.sql import Window
     g = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = g.select(F.sum("n")).scalar()
-    ratio = g.select(F.try_divide(F.max("n").cast("double"), F.min("n").cast("double"))).scalar()
-    return g.select(label, "n", pct("n", total, 2).alias("pct"),
+    w = Window.partitionBy()  # one row per class: bounded
+    ratio = F.try_divide(F.max("n").over(w).cast("double"), F.min("n").over(w).cast("double"))
+    return g.select(label, "n", pct("n", F.sum("n").over(w), 2).alias("pct"),
                     F.round(ratio, 2).alias("imbalance_ratio"),
                     (ratio > F.lit(threshold)).alias("imbalanced"))
 

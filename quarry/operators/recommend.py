@@ -25,12 +25,12 @@ MAX_QUERIES = 1024
 
 def implicit_positives(ratings: DataFrame, rating: str = "rating", min_rating: int = 4,
                        user: str = "user", item: str = "item") -> DataFrame:
-    """Keep ratings >= ``min_rating``; report kept rows, % kept, users and items left."""
-    total = ratings.select(F.count(F.lit(1))).scalar()
-    kept = ratings.where(F.col(rating) >= min_rating)
-    return kept.agg(F.count(F.lit(1)).alias("n_kept"), F.count_distinct(user).alias("n_users"),
-                    F.count_distinct(item).alias("n_items")) \
-        .withColumn("pct_kept", F.round(F.col("n_kept") * 100.0 / total, 4))
+    """Keep ratings >= ``min_rating``; report kept rows, % kept, users and items left (one scan)."""
+    ok = F.col(rating) >= min_rating
+    a = ratings.agg(F.count(F.lit(1)).alias("_n"), F.count_if(ok).alias("n_kept"),
+                    F.count_distinct(F.when(ok, F.col(user))).alias("n_users"),
+                    F.count_distinct(F.when(ok, F.col(item))).alias("n_items"))
+    return a.select("n_kept", "n_users", "n_items", F.round(F.col("n_kept") * 100.0 / F.col("_n"), 4).alias("pct_kept"))
 
 
 def interactions(ratings: DataFrame, user: str = "user", item: str = "item",

@@ -110,7 +110,7 @@ def top_words(df: DataFrame, text_col: str, k: int = 200, digits: int = 6) -> Da
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Balanced weights ``n / (k * n_class)`` attached to every row."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    n = df.select(F.count(F.lit(1))).scalar()
+    n = c.select(F.sum("_nc")).scalar()   # from the class table (reuses its shuffle)
     k = c.select(F.count(F.lit(1))).scalar()
     w = c.select(label, (n / (k * F.col("_nc"))).alias(out))
     return df.join(sized_broadcast(w), label)
