@@ -57,7 +57,8 @@ def similar(factors: DataFrame, query_ids: DataFrame, n: int = 10, id_col: str =
     rows = q.collect()
     qlit = F.array(*[F.struct(F.lit(r[id_col]).alias("qid"),
                               F.array(*[F.lit(float(x)) for x in r[vec_col]]).alias("qv")) for r in rows])
-    scored = factors.select(F.col(id_col).alias("neighbour"), F.explode(F.transform(
+    # explode_outer: no inferred size() > 0 filter re-running the scoring (array is never empty)
+    scored = factors.select(F.col(id_col).alias("neighbour"), F.explode_outer(F.transform(
         qlit, lambda s: F.struct(s["qid"].alias("query"), cosine(F.col(vec_col), s["qv"]).alias("score")))).alias("s"))
     scored = scored.select(F.col("s.query").alias("query"), "neighbour", F.col("s.score").alias("score"))
     top = top_n_per_group(scored, ["query"], [F.desc("score"), F.col("neighbour")], n)

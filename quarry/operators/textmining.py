@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import WORD
 from quarry.operators.joins import sized_broadcast
 
-__all__ = ["stop_words", "raw_tokens", "with_tokens", "with_terms", "term_counts", "vocabulary", "tfidf", "top_words",
+__all__ = ["stop_words", "spread", "raw_tokens", "with_tokens", "with_terms", "term_counts", "vocabulary", "tfidf", "top_words",
            "class_weights", "confusion", "classification_report", "compare_models",
            "improvement_over_baseline", "score_batches", "word_weights", "word_list_predictor"]
 
@@ -36,6 +36,16 @@ def stop_words(language: str = "english") -> tuple[str, ...]:
     return tuple(words)
 
 
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-repartition by ``key`` only when the input has fewer partitions than
+    the cluster has cores (e.g. a single-row-group file).  Per-document
+    tokenising is CPU-heavy; on many-file inputs this is a no-op."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    return df.repartition(par, key) if key else df.repartition(par)
+
+
 def raw_tokens(text) -> "F.Column":
     """Lower-cased word tokens of two or more word characters."""
     return F.regexp_extract_all(F.lower(text if not isinstance(text, str) else F.col(text)),
@@ -75,8 +85,10 @@ def with_terms(docs: DataFrame, text_col: str, ngram_max: int = 2, out: str = "t
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str, ngram_max: int = 2) -> DataFrame:
     """Long-form raw term frequencies ``(doc, term, tf)``."""
-    e = with_terms(docs.select(id_col, text_col), text_col, ngram_max) \
-        .select(id_col, F.explode("terms").alias("term"))
+    e = with_terms(spread(docs.select(id_col, text_col), id_col), text_col, ngram_max) \
+        .select(id_col, F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())
+    # explode_outer: a plain explode makes the optimizer infer size(terms) > 0
+    # and push that (whole tokenizer, inlined) below the repartition into the scan
     return e.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -100,7 +112,8 @@ def tfidf(tf: DataFrame, vocab: DataFrame, id_col: str, n_docs, digits: int = 6)
 
 def top_words(df: DataFrame, text_col: str, k: int = 200, digits: int = 6) -> DataFrame:
     """Word counts behind a word cloud: top ``k`` (ties -> word), relative to the max."""
-    w = with_tokens(df.select(text_col), text_col, "_tk").select(F.explode("_tk").alias("word")).groupBy("word") \
+    w = with_tokens(spread(df.select(text_col)), text_col, "_tk").select(F.explode_outer("_tk").alias("word")) \
+        .where(F.col("word").isNotNull()).groupBy("word") \
         .agg(F.count(F.lit(1)).alias("n"))
     top = w.orderBy(F.desc("n"), "word").limit(k)
     mx = w.select(F.max("n")).scalar()
@@ -201,8 +214,8 @@ def score_batches(df: DataFrame, text_col: str, make_predictor: Callable[[], Cal
 def word_weights(train: DataFrame, id_col: str, text_col: str, label: str, vocab: DataFrame) -> DataFrame:
     """Word-list model: ``ln((docs with term & label 1 + 1) / (docs with term & label 0 + 1))``
     over the (bounded) vocabulary unigrams."""
-    dt = with_tokens(train.select(id_col, label, text_col), text_col, "_tk") \
-        .select(id_col, label, F.explode(F.array_distinct("_tk")).alias("term"))
+    dt = with_tokens(spread(train.select(id_col, label, text_col), id_col), text_col, "_tk") \
+        .select(id_col, label, F.explode_outer(F.array_distinct("_tk")).alias("term")).where(F.col("term").isNotNull())
     v = vocab.select("term").where(~F.col("term").contains(" "))
     c = dt.join(F.broadcast(v), "term").groupBy("term").agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
