@@ -503,3 +503,24 @@ def y5(spark, d):
     r = real(spark, d)
     n = r.count()
     return Y.bootstrap_columns(spark, r, BOOT_COLS, n, seed=42)
+
+
+@register("N2_G26_length_by_class", with_(LABELLED_SQL, """ll AS (SELECT label, length(text) AS n_chars,
+  len(list_filter(regexp_split_to_array(trim(text), '\\s+'), lambda x: x <> '')) AS n_words FROM lab)""") + """
+SELECT label, count(*) AS n, round(avg(n_chars), 4) AS mean_chars, round(avg(n_words), 4) AS mean_words,
+       round(median(n_words)::DOUBLE, 4) AS median_words, min(n_words) AS min_words, max(n_words) AS max_words
+FROM ll GROUP BY label""")
+def n2(spark, d):
+    lab = labelled(spark, d).select("label", X.char_length("text").alias("n_chars"), X.word_count("text").alias("n_words"))
+    return lab.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("n_chars"), 4).alias("mean_chars"),
+        F.round(F.avg("n_words"), 4).alias("mean_words"),
+        F.round(F.median("n_words").cast("double"), 4).alias("median_words"),
+        F.min("n_words").alias("min_words"), F.max("n_words").alias("max_words"))
+
+
+@register("F12_epoch_seconds_to_timestamp", with_(S.RATINGS_SQL) + """
+SELECT DISTINCT ts, to_timestamp(ts)::TIMESTAMP AS rated_at FROM ratings""")
+def f12(spark, d):
+    r = S.ratings(spark, d).select("ts").distinct()
+    return r.select("ts", F.timestamp_seconds("ts").cast("timestamp_ntz").alias("rated_at"))

@@ -174,3 +174,36 @@ def test_validate_and_missing(spark):
     assert v == {"neg": (1, "FAIL", False), "null_s": (1, "FAIL", False)}
     m = {r.column_name: r.n_missing for r in Q.missing(df).collect()}
     assert m == {"x": 1, "s": 1}
+
+
+def test_copula_sample_keeps_marginal_support(spark):
+    from quarry.operators import copula as Y6
+    rnd = random.Random(5)
+    rows = [(float(round(rnd.gauss(100, 15), 1)), rnd.choice(["a", "b", "c"])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "x double, c string")
+    model = Y6.fit_copula(df, ["x", "c"], n_buckets=5)
+    s = Y6.sample_copula(spark, model, 300, seed=1)
+    got = s.collect()
+    assert len(got) == 300 and len({r.row_id for r in got}) == 300
+    assert {r.x for r in got} <= {r[0] for r in rows} and {r.c for r in got} <= {"a", "b", "c"}
+    assert T.ks(df.select("x"), s.select("x"), ["x"]).first().ks < 0.2
+
+
+def test_normal_cdf_and_probit(spark):
+    from quarry.operators import copula as Y6
+    df = spark.createDataFrame([(p,) for p in (0.001, 0.02, 0.3, 0.5, 0.9, 0.999)], "p double")
+    r = df.select("p", Y6.probit(F.col("p")).alias("z")).select("p", "z", Y6.normal_cdf(F.col("z")).alias("back")).collect()
+    for x in r:
+        assert abs(x.back - x.p) < 1e-6
+    assert abs([x.z for x in r if x.p == 0.5][0]) < 1e-12
+
+
+def test_streaming_reduce_matches_batch(spark, tmp_path):
+    from quarry.streaming import stream_reduce_pairs
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "a.txt").write_text("Queens,10\nQueens,5\nBronx,abc\n,7\nEWR,-1\n")
+    q = stream_reduce_pairs(spark, str(src), str(tmp_path / "out"), str(tmp_path / "ck"))
+    q.awaitTermination()
+    got = {r.key: (r.total_revenue, r.trip_count) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"Queens": (15.0, 2), "Unknown": (7.0, 1)}
