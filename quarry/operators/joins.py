@@ -23,16 +23,44 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of ``df`` (bytes)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
-def sized_broadcast(dim: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only for a side whose estimated size is under ``max_bytes``."""
+    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(v) if isinstance(v, int) else int(v.toString())
+
+
+def _row_width(df: DataFrame) -> int:
+    from pyspark.sql import types as T
+    w = 16
+    for f in df.schema.fields:
+        t = f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            w += 64
+        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
+            w += 256
+        else:
+            w += 8
+    return w
+
+
+def sized_broadcast(dim: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                    rows_bound: int | None = None) -> DataFrame:
+    """Broadcast hint only for a side proven to be under ``max_bytes``.
+
+    First the optimizer's estimate; when it is inconclusive (without CBO a
+    joined dimension is estimated as the product of its inputs) the bound is
+    proven by counting at most ``max_rows + 1`` rows (bounded work).  Beyond
+    the bound the join stays a shuffle join.  ``rows_bound`` is a row count
+    known by construction (e.g. one row per bucket of a fixed number of
+    groups); when given and small enough no job is needed."""
+    if rows_bound is not None and rows_bound * _row_width(dim) <= max_bytes:
+        return F.broadcast(dim)
     try:
-        size = estimated_bytes(dim)
-    except Exception:  # estimate unavailable -> let Spark decide
-        return dim
-    return F.broadcast(dim) if size <= max_bytes else dim
+        if estimated_bytes(dim) <= max_bytes:
+            return F.broadcast(dim)
+    except Exception:  # noqa: BLE001  estimate unavailable
+        pass
+    max_rows = max(1, max_bytes // _row_width(dim))
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
 
 
 def enrich(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,

@@ -58,11 +58,15 @@ def split_stratified(df: DataFrame, id_col: str, label: str, train_frac: float =
 
     The in-class rank is a distributed prefix count (a class may hold a
     third of all rows, so it is never sorted in one task)."""
-    k = df.withColumn("_hk", hash_int(id_col, seed, hex_digits=15))
-    r = running_totals(k, "_hk", {"_rank": F.lit(1).cast("bigint")}, [label], [id_col], n_buckets)
-    cnt = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     from quarry.operators.joins import sized_broadcast
-    r = r.join(sized_broadcast(cnt), label)
+    cnt = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+    max_classes = 100_000
+    n_classes = cnt.limit(max_classes + 1).count()   # one small job; proves the bound for all joins below
+    bound = n_classes if n_classes <= max_classes else None
+    k = df.withColumn("_hk", hash_int(id_col, seed, hex_digits=15))
+    r = running_totals(k, "_hk", {"_rank": F.lit(1).cast("bigint")}, [label], [id_col], n_buckets,
+                       n_groups=bound)
+    r = r.join(sized_broadcast(cnt, rows_bound=bound), label)
     quota = F.floor(F.col("_nc") * F.lit(train_frac) + F.lit(0.5))
     return r.withColumn(out, F.when(F.col("_rank") <= quota, "train").otherwise("test")) \
         .drop("_hk", "_rank", "_nc")

@@ -57,8 +57,8 @@ def ks(a: DataFrame, b: DataFrame, cols: Sequence[str], digits: int = 9,
         F.sum("_a").cast("bigint").alias("na"), F.sum("_b").cast("bigint").alias("nb"))
     tot = freq.groupBy("column_name").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
     cum = running_totals(freq, "value", {"ca": F.col("na"), "cb": F.col("nb")}, ["column_name"],
-                         n_buckets=n_buckets)
-    j = cum.join(sized_broadcast(tot), "column_name")
+                         n_buckets=n_buckets, n_groups=len(cols))
+    j = cum.join(sized_broadcast(tot, rows_bound=len(cols)), "column_name")
     diff = F.abs(F.col("ca") / F.col("tot_a") - F.col("cb") / F.col("tot_b"))
     return j.groupBy("column_name").agg(F.round(F.max(diff), digits).alias("ks"))
 
@@ -69,7 +69,7 @@ def tvd(a: DataFrame, b: DataFrame, cols: Sequence[str], digits: int = 9) -> Dat
     def probs(df, name):
         f = unpivot_categorical(df, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
         t = f.groupBy("column_name").agg(F.sum("_n").alias("_t"))
-        return f.join(sized_broadcast(t), "column_name").select(
+        return f.join(sized_broadcast(t, rows_bound=len(cols)), "column_name").select(
             "column_name", "value", (F.col("_n") / F.col("_t")).alias(name))
     j = probs(a, "p").join(probs(b, "q"), ["column_name", "value"], "full_outer")
     d = F.abs(F.coalesce("p", F.lit(0.0)) - F.coalesce("q", F.lit(0.0)))

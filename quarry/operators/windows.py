@@ -30,7 +30,8 @@ _G = "_grp_const"
 
 def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
                    partition_cols: Sequence[str] = (), tie_cols: Sequence[str] = (),
-                   n_buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+                   n_buckets: int = 64, accuracy: int = 10000,
+                   n_groups: int | None = None) -> DataFrame:
     """Append inclusive running sums of ``sums`` ordered by ``order_col`` (then ``tie_cols``)
     within ``partition_cols``.  ``order_col`` may be of any orderable type."""
     parts = list(partition_cols)
@@ -38,12 +39,16 @@ def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
     if not parts:
         base = df.withColumn(_G, F.lit(0))
         parts = [_G]
+        n_groups = 1
+    # bounds: one row per group; offsets: one row per (group, bucket)
+    b_rows = n_groups
+    o_rows = None if n_groups is None else n_groups * n_buckets
     if _is_numeric(df, order_col):
         probs = [i / n_buckets for i in range(1, n_buckets)]
         bounds = (base.groupBy(*parts)
                   .agg(F.percentile_approx(F.col(order_col), probs, accuracy).alias("_bounds")))
         v = F.col(order_col)
-        tagged = (base.join(sized_broadcast(bounds), parts)
+        tagged = (base.join(sized_broadcast(bounds, rows_bound=b_rows), parts)
                   .withColumn("_bucket", F.aggregate("_bounds", F.lit(0),
                                                      lambda acc, b: acc + F.when(v > b, 1).otherwise(0)))
                   .drop("_bounds"))
@@ -64,7 +69,7 @@ def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
                               for n in sums])
     wi = (Window.partitionBy(*parts, "_bucket").orderBy(order_col, *tie_cols)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = tagged.join(sized_broadcast(offsets), [*parts, "_bucket"])
+    out = tagged.join(sized_broadcast(offsets, rows_bound=o_rows), [*parts, "_bucket"])
     for n in sums:
         out = out.withColumn(n, F.col(f"_o_{n}") + F.sum(f"_v_{n}").over(wi))
     drop = ["_bucket"] + [f"_v_{n}" for n in sums] + [f"_o_{n}" for n in sums]
@@ -113,12 +118,16 @@ def ecdf(df: DataFrame, col: str, partition_cols: Sequence[str] = (),
     parts = list(partition_cols)
     freq = (df.where(F.col(col).isNotNull())
             .groupBy(*parts, F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n")))
-    r = running_totals(freq, "value", {"cum_n": F.col("n")}, parts, n_buckets=n_buckets)
-    tot = freq.groupBy(*parts).agg(F.sum("n").alias("_tot")) if parts else None
-    if tot is None:
+    if not parts:
+        r = running_totals(freq, "value", {"cum_n": F.col("n")}, n_buckets=n_buckets)
         total = freq.select(F.sum("n")).scalar()
-        return r.select(*parts, "value", "n", "cum_n", (F.col("cum_n") / total).alias("cdf"))
-    return r.join(sized_broadcast(tot), parts).select(
+        return r.select("value", "n", "cum_n", (F.col("cum_n") / total).alias("cdf"))
+    tot = freq.groupBy(*parts).agg(F.sum("n").alias("_tot"))
+    max_groups = 100_000
+    g = tot.limit(max_groups + 1).count()   # proves the size of every per-group table below
+    bound = g if g <= max_groups else None
+    r = running_totals(freq, "value", {"cum_n": F.col("n")}, parts, n_buckets=n_buckets, n_groups=bound)
+    return r.join(sized_broadcast(tot, rows_bound=bound), parts).select(
         *parts, "value", "n", "cum_n", (F.col("cum_n") / F.col("_tot")).alias("cdf"))
 
 
