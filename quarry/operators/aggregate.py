@@ -18,7 +18,7 @@ from quarry.functions.predicates import col_, pct
 __all__ = [
     "reduce_pairs", "group_share", "group_profile", "bucket_share", "tail_share",
     "top_groups", "cap_impact", "cap_strategies", "clean_by_group_caps", "describe_long",
-    "describe_numeric", "describe_categorical", "value_counts", "sparsity",
+    "describe_numeric", "exact_quantiles", "describe_categorical", "value_counts", "sparsity",
     "dataset_summary", "activity_stats", "rating_distribution", "histogram",
     "grouped_histogram", "category_counts_by_source", "proportion_table", "corr_matrix",
     "density", "collapse_pairs", "length_stats", "positive_rate", "union_tagged",
@@ -164,21 +164,43 @@ def describe_long(df: DataFrame, cols: Sequence[str], accuracy: int = 10000) ->
     return wide.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (column_name, statistic, value)")
 
 
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """Exact linearly interpolated quantiles ``(p, value)`` without buffering a
+    column in one aggregate: positions ``p * (n - 1)`` are resolved by the
+    distributed order-statistic lookup (prefix sums over distinct values)."""
+    from quarry.operators.sampling import order_stat_lookup
+    x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    n = x.select(F.count(F.lit(1))).scalar()
+    spark = df.sparkSession
+    ps = spark.createDataFrame([(float(p),) for p in probs], "p double")
+    pos = ps.select("p", (F.col("p") * (n - 1)).alias("_h"))
+    ends = pos.select("p", "_h", F.explode(F.array(F.floor("_h"), F.ceil("_h"))).alias("pos")) \
+        .withColumn("pos", F.col("pos").cast("bigint")).dropDuplicates(["p", "pos"])
+    got = order_stat_lookup(x, "_x", ends)
+    g = got.groupBy("p", "_h").agg(F.min_by("_x", "pos").alias("lo"), F.max_by("_x", "pos").alias("hi"))
+    return g.select("p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("_h") - F.floor("_h"))).alias("value"))
+
+
 def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """Pandas-style describe with exact interpolated quantiles, long form."""
+    """Pandas-style describe with exact interpolated quantiles, long form.
+
+    Moments come from one aggregate; quartiles from :func:`exact_quantiles`
+    (distributed, no per-group value buffer)."""
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).cast("double").alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
-                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}"),
-                 F.max(x).alias(f"hi{i}")]
+                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)
-    stats = [("count", "n{i}"), ("mean", "m{i}"), ("std", "s{i}"), ("min", "lo{i}"),
-             ("25%", "q{i}[0]"), ("50%", "q{i}[1]"), ("75%", "q{i}[2]"), ("max", "hi{i}")]
+    stats = [("count", "n{i}"), ("mean", "m{i}"), ("std", "s{i}"), ("min", "lo{i}"), ("max", "hi{i}")]
     rows = [f"'{c}', '{s}', {e.format(i=i)}" for i, c in enumerate(cols) for s, e in stats]
-    return wide.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (column_name, statistic, value)") \
-        .select("column_name", "statistic", F.round("value", digits).alias("value"))
+    out = wide.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (column_name, statistic, value)")
+    names = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
+    for c in cols:
+        q = exact_quantiles(df, c, list(names))
+        lab = F.create_map(*[x for p, nm in names.items() for x in (F.lit(p), F.lit(nm))])
+        out = out.unionByName(q.select(F.lit(c).alias("column_name"), lab[F.col("p")].alias("statistic"), "value"))
+    return out.select("column_name", "statistic", F.round("value", digits).alias("value"))
 
 
 def describe_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -207,3 +207,12 @@ def test_streaming_reduce_matches_batch(spark, tmp_path):
     q.awaitTermination()
     got = {r.key: (r.total_revenue, r.trip_count) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {"Queens": (15.0, 2), "Unknown": (7.0, 1)}
+
+
+def test_exact_quantiles_match_numpy(spark):
+    rnd = random.Random(11)
+    xs = [rnd.choice([1.0, 2.0, 2.0, 3.5]) if i % 3 == 0 else round(rnd.uniform(-5, 5), 3) for i in range(333)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = {r.p: r.value for r in G.exact_quantiles(df, "x", [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]).collect()}
+    for p, v in got.items():
+        assert abs(v - float(np.percentile(xs, p * 100))) < 1e-9
