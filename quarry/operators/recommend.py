@@ -74,11 +74,23 @@ def fit_als(ratings: DataFrame, rank: int = 50, reg: float = 0.01, iters: int =
     return als.fit(ratings)
 
 
-def recommend(model: ALSModel, seen: DataFrame, n: int = 10, user: str = "user", item: str = "item") -> DataFrame:
-    """Best ``n`` unseen items per user.  ALS's blockified top-k asks for
-    ``n + max_seen`` so that ``n`` survive the anti-join with seen items."""
-    max_seen = seen.groupBy(user).agg(F.count_distinct(item).alias("_k")).agg(F.max("_k")).first()[0] or 0
-    recs = model.recommendForAllUsers(n + int(max_seen))
+def recommend(model: ALSModel, seen: DataFrame, n: int = 10, user: str = "user", item: str = "item",
+              light_seen: int = 200) -> DataFrame:
+    """Best ``n`` unseen items per user, exact.
+
+    ALS's blockified top-k must ask for ``n + seen_u`` items so that ``n``
+    survive the anti-join.  Users are split by how many items they have
+    seen: light users (<= ``light_seen``) ask for ``n + light_seen``; the few
+    heavy users ask for ``n + their max``, so one heavy user never inflates
+    every user's top-k heap."""
+    per = seen.groupBy(user).agg(F.count_distinct(item).alias("_k"))
+    light = per.where(F.col("_k") <= light_seen).select(user)
+    heavy = per.where(F.col("_k") > light_seen)
+    parts = [model.recommendForUserSubset(light, n + light_seen)]
+    max_heavy = heavy.agg(F.max("_k")).first()[0]
+    if max_heavy is not None:
+        parts.append(model.recommendForUserSubset(heavy.select(user), n + int(max_heavy)))
+    recs = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     e = recs.select(F.col(user), F.explode("recommendations").alias("r")) \
         .select(user, F.col(f"r.{item}").alias(item), F.col("r.rating").alias("score"))
     e = exclude_seen(e, seen, [user, item])

@@ -216,3 +216,17 @@ def test_exact_quantiles_match_numpy(spark):
     got = {r.p: r.value for r in G.exact_quantiles(df, "x", [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]).collect()}
     for p, v in got.items():
         assert abs(v - float(np.percentile(xs, p * 100))) < 1e-9
+
+
+def test_recommend_excludes_seen_and_returns_n(spark):
+    rows = [(u, i, 1.0) for u in range(30) for i in range(40) if (u * 7 + i) % 3 == 0]
+    rows += [(99, i, 1.0) for i in range(35)]  # a heavy user
+    r = spark.createDataFrame(rows, "user int, item int, rating float")
+    m = R.fit_als(r, rank=4, iters=3)
+    rec = R.recommend(m, r, 3, light_seen=20).collect()
+    seen = {(u, i) for u, i, _ in rows}
+    assert all((x.user, x.item) not in seen for x in rec)
+    per = {}
+    for x in rec:
+        per.setdefault(x.user, []).append(x.item)
+    assert all(len(v) == 3 for v in per.values()) and 99 in per
