@@ -12,7 +12,7 @@ __all__ = [
     "DEFAULT_SENTINELS", "TIME_OF_DAY_LABELS", "BASKET_HOURS", "SEGMENT_HOURS",
     "col_", "is_present", "any_sentinel", "bucketize", "time_bucket", "recode",
     "binarise", "numeric_cols", "categorical_cols", "align", "pct", "fingerprint",
-    "drop_matching", "persona",
+    "drop_matching", "persona", "ntz_epoch_seconds", "epoch_to_ntz",
 ]
 
 # Fixed values (must equal the reference for identical results):
@@ -125,3 +125,17 @@ def persona(dist, amount) -> Column:
     return (F.when((d < 5) & (a < 15), F.lit("short-trip commuters"))
              .when((d > 15) & (a > 50), F.lit("airport travelers"))
              .otherwise(F.lit("late-night riders")))
+
+
+def ntz_epoch_seconds(c) -> Column:
+    """Whole epoch seconds of a ``timestamp_ntz`` (wall clock read as UTC),
+    independent of the session time zone."""
+    c = col_(c)
+    days = F.datediff(F.to_date(c), F.to_date(F.lit("1970-01-01")))
+    return (days.cast("bigint") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+            + F.floor(F.second(c))).cast("bigint")
+
+
+def epoch_to_ntz(c) -> Column:
+    """epoch seconds -> ``timestamp_ntz`` (UTC wall clock), session-zone free."""
+    return F.timestamp_add("SECOND", col_(c), F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.predicates import DEFAULT_SENTINELS
+from quarry.functions.predicates import DEFAULT_SENTINELS, ntz_epoch_seconds
 
 # Fixture: one region plays the role of an unknown borough.
 FIXTURE_SENTINELS = tuple(DEFAULT_SENTINELS) + ("MIDDLE EAST",)
@@ -118,7 +118,7 @@ def ratings(spark: SparkSession, d: str) -> DataFrame:
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"),
                     (F.lit(1) + F.floor((F.col("l_quantity") - 1) / 10)).cast("int").alias("rating"),
-                    F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("ts"))
+                    ntz_epoch_seconds("o_orderdate").alias("ts"))
 
 
 RATINGS_SQL = """ratings AS (

@@ -523,4 +523,5 @@ def n2(spark, d):
 SELECT DISTINCT ts, to_timestamp(ts)::TIMESTAMP AS rated_at FROM ratings""")
 def f12(spark, d):
     r = S.ratings(spark, d).select("ts").distinct()
-    return r.select("ts", F.timestamp_seconds("ts").cast("timestamp_ntz").alias("rated_at"))
+    from quarry.functions.predicates import epoch_to_ntz
+    return r.select("ts", epoch_to_ntz("ts").alias("rated_at"))

@@ -91,7 +91,7 @@ def s3(spark, d):
     p = _scratch(spark, "ratings_tsv")
     r.write.mode("overwrite").csv(p, sep="\t", header=False)
     t = io.read_delimited(spark, p, "\t", io.RATINGS_TSV_SCHEMA)
-    return t.withColumn("rated_at", F.timestamp_seconds("timestamp").cast("timestamp_ntz"))
+    return t.withColumn("rated_at", P.epoch_to_ntz("timestamp"))
 
 
 PARSE_SQL = """pairs AS (
@@ -648,3 +648,19 @@ GROUP BY PU_Borough""")
 def g14(spark, d):
     c = G.clean_by_group_caps(cleaned(spark, d), "PU_Borough", "total_amount", GROUP_CAPS, default=200.0)
     return c.groupBy("PU_Borough").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("total_amount"), 4).alias("avg_amount"))
+
+
+@register("Q1_S5_clean_export_with_observed_audit", with_(*BASE, AUDIT6_SQL) + "SELECT rule_order, rule, removed FROM audit")
+def q1_observed(spark, d):
+    """E1 in one job: the cleaned (borough, amount) CSV export and the per-rule
+    audit come from the same scan (observed metrics of the writing job)."""
+    from pyspark.sql import Observation
+    rules = rules6()
+    obs = Observation("clean_audit")
+    clean_rows = Q.clean(S.trips_zoned(spark, d), rules, observation=obs)
+    io.write_csv(clean_rows.select("PU_Borough", "total_amount"), _scratch(spark, "mr_input_observed"))
+    m = obs.get
+    removed = [(i + 1, r.name, int(m[r.name])) for i, r in enumerate(rules)]
+    kept = int(m["original"]) - sum(x[2] for x in removed)
+    return spark.createDataFrame(removed + [(len(rules) + 1, "kept", kept)],
+                                 "rule_order int, rule string, removed bigint")
