@@ -73,21 +73,26 @@ def split_stratified(df: DataFrame, id_col: str, label: str, train_frac: float =
 
 
 def order_stat_lookup(df: DataFrame, col: str, draws: DataFrame, pos_col: str = "pos",
-                      chunk: int = 16, n_buckets: int = 64) -> DataFrame:
+                      n_buckets: int = 64) -> DataFrame:
     """For each draw row, the ``pos``-th smallest (0-based) non-null value of ``col``.
 
-    Distinct values get their cumulative interval ``[lo, hi)`` (distributed
-    prefix sum); intervals are cut into fixed ``chunk``-wide position
-    blocks and the draws equi-join on the block, so each draw compares with
-    at most ``chunk + 1`` candidates whatever the skew of the column."""
+    Distinct values get the start ``lo`` of their cumulative interval
+    (distributed prefix sum).  Interval starts and draws are unioned on one
+    position axis and every draw takes the value of the last interval
+    starting at or before it (distributed forward fill).  A value holding a
+    third of all rows is still one row here: no fan-out, no hot key."""
+    from quarry.operators.windows import running_last
     freq = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     iv = running_totals(freq, "_v", {"_hi": F.col("_c")}, n_buckets=n_buckets)
-    iv = iv.withColumn("_lo", F.col("_hi") - F.col("_c"))
-    blocks = iv.select("_v", "_lo", "_hi", F.explode(F.sequence(
-        F.floor(F.col("_lo") / chunk), F.floor((F.col("_hi") - 1) / chunk))).alias("_blk"))
-    d = draws.withColumn("_blk", F.floor(F.col(pos_col) / chunk))
-    j = d.join(blocks, "_blk").where((F.col(pos_col) >= F.col("_lo")) & (F.col(pos_col) < F.col("_hi")))
-    return j.drop("_blk", "_lo", "_hi").withColumnRenamed("_v", col)
+    dstruct = F.struct(*[F.col(c) for c in draws.columns])
+    starts = iv.select((F.col("_hi") - F.col("_c")).cast("bigint").alias("_p"), F.lit(0).alias("_kind"),
+                       F.col("_v"), F.lit(None).cast(draws.select(dstruct.alias("d")).schema["d"].dataType).alias("_d"))
+    pts = draws.select(F.col(pos_col).cast("bigint").alias("_p"), F.lit(1).alias("_kind"),
+                       F.lit(None).cast(freq.schema["_v"].dataType).alias("_v"), dstruct.alias("_d"))
+    u = starts.unionByName(pts)
+    filled = running_last(u, "_p", ["_kind"], F.col("_kind") == 0, ["_v"], "_last", n_buckets)
+    got = filled.where(F.col("_kind") == 1).select("_d.*", F.col("_last._v").alias(col))
+    return got
 
 
 def bootstrap_columns(spark: SparkSession, df: DataFrame, cols: Sequence[str], n: int,

@@ -28,12 +28,9 @@ __all__ = ["running_totals", "index_ids", "rank_within", "top_n_per_group", "ecd
 _G = "_grp_const"
 
 
-def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
-                   partition_cols: Sequence[str] = (), tie_cols: Sequence[str] = (),
-                   n_buckets: int = 64, accuracy: int = 10000,
-                   n_groups: int | None = None) -> DataFrame:
-    """Append inclusive running sums of ``sums`` ordered by ``order_col`` (then ``tie_cols``)
-    within ``partition_cols``.  ``order_col`` may be of any orderable type."""
+def _tag_buckets(df: DataFrame, order_col: str, partition_cols: Sequence[str], n_buckets: int,
+                 accuracy: int, n_groups: int | None):
+    """Add an order-preserving ``_bucket`` per row (within groups)."""
     parts = list(partition_cols)
     base = df
     if not parts:
@@ -59,6 +56,16 @@ def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
         from quarry.session import cut_lineage
         tagged = cut_lineage(base.repartitionByRange(n_buckets, *parts, order_col)
                              .withColumn("_bucket", F.spark_partition_id()))
+    return tagged, parts, o_rows
+
+
+def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
+                   partition_cols: Sequence[str] = (), tie_cols: Sequence[str] = (),
+                   n_buckets: int = 64, accuracy: int = 10000,
+                   n_groups: int | None = None) -> DataFrame:
+    """Append inclusive running sums of ``sums`` ordered by ``order_col`` (then ``tie_cols``)
+    within ``partition_cols``.  ``order_col`` may be of any orderable type."""
+    tagged, parts, o_rows = _tag_buckets(df, order_col, partition_cols, n_buckets, accuracy, n_groups)
     for name, c in sums.items():
         tagged = tagged.withColumn(f"_v_{name}", c)
     totals = tagged.groupBy(*parts, "_bucket").agg(
@@ -78,6 +85,34 @@ def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
     return out.drop(*drop)
 
 
+def running_last(df: DataFrame, order_col: str, tie_cols: Sequence[str], flag: Column,
+                 values: Sequence[str], out: str = "_last", n_buckets: int = 64,
+                 accuracy: int = 10000) -> DataFrame:
+    """Forward fill: for every row, ``struct(values)`` of the last row at or
+    before it (order ``order_col``, then ``tie_cols``) where ``flag`` holds.
+
+    Same two-level shape as :func:`running_totals`: in-bucket ``last(...,
+    ignorenulls)`` plus the last flagged struct carried in from earlier
+    buckets (a table with one row per bucket).  No row fans out and no
+    group is gathered in one task."""
+    tagged, parts, o_rows = _tag_buckets(df, order_col, (), n_buckets, accuracy, 1)
+    st = F.when(flag, F.struct(*[F.col(v) for v in values]))
+    tagged = tagged.withColumn("_st", st)
+    wi = (Window.partitionBy(*parts, "_bucket").orderBy(order_col, *tie_cols)
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ordkey = F.struct(F.col(order_col), *[F.col(t) for t in tie_cols])
+    # every bucket gets a row (a bucket holding only unflagged rows must still
+    # receive the carry); max of (order key, struct) ignores unflagged rows
+    per_bucket = tagged.groupBy(*parts, "_bucket").agg(
+        F.max(F.when(F.col("_st").isNotNull(), F.struct(ordkey.alias("k"), F.col("_st").alias("s")))).alias("_m")) \
+        .select(*parts, "_bucket", F.col("_m.s").alias("_bl"))
+    wc = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(*parts, "_bucket", F.last("_bl", ignorenulls=True).over(wc).alias("_carry"))
+    out_df = tagged.withColumn("_in", F.last("_st", ignorenulls=True).over(wi)) \
+        .join(sized_broadcast(carry, rows_bound=o_rows), [*parts, "_bucket"], "left")
+    return out_df.withColumn(out, F.coalesce("_in", "_carry")).drop("_st", "_in", "_carry", "_bucket", *parts)
+
+
 def _is_numeric(df: DataFrame, c: str) -> bool:
     from pyspark.sql import types as T
     return isinstance(df.schema[c].dataType, (

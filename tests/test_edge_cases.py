@@ -115,7 +115,7 @@ def test_order_stat_lookup_and_bootstrap(spark):
     vals = [5.0] * 40 + [1.0, 2.0, 3.0] + [9.0] * 7
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     draws = spark.createDataFrame([(i, i) for i in range(len(vals))], "i long, pos long")
-    got = sorted((r.i, r.x) for r in Y.order_stat_lookup(df, "x", draws, chunk=4).collect())
+    got = sorted((r.i, r.x) for r in Y.order_stat_lookup(df, "x", draws, n_buckets=3).collect())
     assert [x for _, x in got] == sorted(vals)
     boot = Y.bootstrap_columns(spark, df, ["x"], 200, seed=1)
     assert boot.count() == 200 and set(r.x for r in boot.collect()) <= set(vals)
