@@ -124,7 +124,7 @@ def n9(spark, d):
                                  F.lit(round(max(cv.avgMetrics), 6)).alias("best_f1"))
 
 
-@register("N15_save_load_pipeline")
+@register("N15_save_load_fitted_model")
 def n15(spark, d):
     train, test = _split(spark, d)
     model = C.fit_forest(train, n_trees=20)
