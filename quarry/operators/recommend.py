@@ -66,11 +66,17 @@ def similar(factors: DataFrame, query_ids: DataFrame, n: int = 10, id_col: str =
 
 
 def fit_als(ratings: DataFrame, rank: int = 50, reg: float = 0.01, iters: int = 15, alpha: float = 1.0,
-            seed: int = 42, user: str = "user", item: str = "item", rating: str = "rating") -> ALSModel:
-    """R2: implicit-feedback ALS (Spark scales lambda by counts and uses 1 + alpha*r)."""
+            seed: int = 42, user: str = "user", item: str = "item", rating: str = "rating",
+            n_blocks: int | None = None) -> ALSModel:
+    """R2: implicit-feedback ALS (Spark scales lambda by counts and uses 1 + alpha*r).
+
+    ``n_blocks`` defaults to the cluster parallelism (capped at 200): user and
+    item factor blocks are the unit of the per-iteration shuffle."""
+    if n_blocks is None:
+        n_blocks = max(2, min(200, ratings.sparkSession.sparkContext.defaultParallelism))
     als = ALS(implicitPrefs=True, rank=rank, regParam=reg, maxIter=iters, alpha=alpha, seed=seed,
               userCol=user, itemCol=item, ratingCol=rating, coldStartStrategy="drop",
-              checkpointInterval=10)
+              checkpointInterval=10, numUserBlocks=n_blocks, numItemBlocks=n_blocks)
     return als.fit(ratings)
 
 

@@ -67,7 +67,8 @@ def t6(spark, d):
 
 def als_model(spark, d, rank=ALS_RANK):
     r = S.ratings(spark, d).groupBy("user", "item").agg(F.sum("rating").cast("float").alias("rating"))
-    r = r.select(F.col("user").cast("int"), F.col("item").cast("int"), "rating")
+    # input of an iterative fit, reused by the seen-item split and anti-join
+    r = r.select(F.col("user").cast("int"), F.col("item").cast("int"), "rating").persist()
     return R.fit_als(r, rank=rank, reg=0.01, iters=ALS_ITERS, alpha=1.0, seed=42), r
 
 
