@@ -89,6 +89,19 @@ def j11(spark, d):
     return score_pairs(r.select("user", "item"), m.userFactors, m.itemFactors)
 
 
+@register("J11_score_pairs_fixed_vectors", """
+SELECT e.vec_id AS "user", a.vec_id AS item, round(list_dot_product(e.embedding::DOUBLE[], a.embedding::DOUBLE[]), 6) AS score
+FROM embeddings e JOIN (SELECT label, max(vec_id) AS vec_id FROM embeddings GROUP BY label) m ON e.label = m.label
+JOIN embeddings a ON a.vec_id = m.vec_id""")
+def j11_fixed(spark, d):
+    """J11 on fixed factor vectors: each vector scored against its label's last vector."""
+    e = S.table(spark, d, "embeddings")
+    fac = e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+    pairs = e.groupBy("label").agg(F.max("vec_id").alias("item")).join(
+        e.select(F.col("vec_id").alias("user"), "label"), "label").select("user", "item")
+    return score_pairs(pairs, fac, fac).select("user", "item", F.round("score", 6).alias("score"))
+
+
 @register("R8_parameter_comparison")
 def r8(spark, d):
     m1, r = als_model(spark, d, ALS_RANK)

@@ -112,7 +112,7 @@ def t8(spark, d):
     return T.row_overlap(a, b, OVERLAP_COLS)
 
 
-def diag_sql(num, cat, ids, a="ra", b="sy"):
+def diag_sql(num, cat, ids, a="ra", b="sy", digits=6):
     parts = [f"""SELECT 'data_validity' AS property, '{c}' AS column_name,
   (SELECT count(*) FILTER (WHERE {c} >= (SELECT min({c}) FROM {a}) AND {c} <= (SELECT max({c}) FROM {a})) / count(*)
    FROM {b} WHERE {c} IS NOT NULL) AS score""" for c in num]
@@ -120,7 +120,8 @@ def diag_sql(num, cat, ids, a="ra", b="sy"):
    FROM {b} WHERE {c} IS NOT NULL)""" for c in cat]
     parts += [f"SELECT 'data_validity', '{c}', (SELECT count(DISTINCT {c}) / count(*) FROM {b})" for c in ids]
     parts.append("SELECT 'data_structure', '(table)', 1.0")
-    return "(SELECT property, column_name, round(CAST(score AS DOUBLE), 6) AS score FROM (" + " UNION ALL ".join(parts) + "))"
+    return (f"(SELECT property, column_name, round(CAST(score AS DOUBLE), {digits}) AS score FROM ("
+            + " UNION ALL ".join(parts) + "))")
 
 
 @register("T9_diagnostic_scores", with_(*SIDES) + "SELECT * FROM " + diag_sql(NUM[:2], CAT, ["o_orderkey"]))
@@ -137,15 +138,16 @@ def pair_tvd_sql(x, y, a="ra", b="sy"):
             f"USING (vx, vy)")
 
 
-def quality_sql(num, cat):
-    parts = [f"SELECT 'column_shapes' AS property, column_name, 1 - ks AS score FROM {ks_sql(num, 15)}",
-             f"SELECT 'column_shapes', column_name, 1 - tvd FROM {tvd_sql(cat, 15)}",
-             f"SELECT 'column_pair_trends', col_a || '|' || col_b, 1 - gap / 2 FROM {gap_sql(num, 15)}"]
+def quality_sql(num, cat, a="ra", b="sy", digits=6):
+    parts = [f"SELECT 'column_shapes' AS property, column_name, 1 - ks AS score FROM {ks_sql(num, 15, a, b)}",
+             f"SELECT 'column_shapes', column_name, 1 - tvd FROM {tvd_sql(cat, 15, a, b)}",
+             f"SELECT 'column_pair_trends', col_a || '|' || col_b, 1 - gap / 2 FROM {gap_sql(num, 15, a, b)}"]
     for i, x in enumerate(cat):
         for y in cat[i + 1:]:
-            parts.append(f"SELECT 'column_pair_trends', '{x}|{y}', 1 - ({pair_tvd_sql(x, y)})")
+            parts.append(f"SELECT 'column_pair_trends', '{x}|{y}', 1 - ({pair_tvd_sql(x, y, a, b)})")
     # "+ 0.0" folds a negative zero from rounding into 0.0 (Spark's round never yields -0.0)
-    return "(SELECT property, column_name, round(score, 6) + 0.0 AS score FROM (" + " UNION ALL ".join(parts) + "))"
+    return (f"(SELECT property, column_name, round(score, {digits}) + 0.0 AS score FROM ("
+            + " UNION ALL ".join(parts) + "))")
 
 
 @register("T10_quality_scores", with_(*SIDES) + "SELECT * FROM " + quality_sql(NUM, CAT))
@@ -162,7 +164,15 @@ def t11(spark, d):
     return T.report_rows(T.quality(a, b, NUM, CAT))
 
 
-@register("T12_side_by_side_evaluation", note="composition of T9/T10 per synthetic set; rows-only")
+def _eval_sql(name, b):
+    q = quality_sql(NUM, CAT, "ra", b, 15)
+    dg = diag_sql(NUM, CAT, [], "ra", b, 15)
+    return (f"SELECT '{name}' AS model, round((SELECT avg(p) FROM (SELECT avg(score) AS p FROM {q} GROUP BY property)), 6) AS quality_score, "
+            f"round((SELECT avg(p) FROM (SELECT avg(score) AS p FROM {dg} GROUP BY property)), 6) AS diagnostic_score")
+
+
+@register("T12_side_by_side_evaluation", with_(*SIDES, "sy2 AS (SELECT * FROM sy WHERE n_regionkey = 2)")
+          + _eval_sql("regions_2_4", "sy") + " UNION ALL " + _eval_sql("region_2", "sy2"))
 def t12(spark, d):
     a, b = sides(spark, d)
     b2 = b.where(F.col("n_regionkey") == 2)
