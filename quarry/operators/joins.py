@@ -88,7 +88,7 @@ def enrich_roles(df: DataFrame, dim: DataFrame, dim_key: str,
 
 def exclude_seen(recs: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop recommendations the user has already interacted with."""
-    return recs.join(seen.select(*keys).distinct(), list(keys), "left_anti")
+    return recs.join(seen.select(*keys), list(keys), "left_anti")  # anti join needs no distinct
 
 
 def members(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:

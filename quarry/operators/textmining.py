@@ -106,8 +106,11 @@ def tfidf(tf: DataFrame, vocab: DataFrame, id_col: str, n_docs, digits: int = 6)
     """``tf * (ln((1 + n) / (1 + df)) + 1)``, L2-normalised per document."""
     v = vocab.select("term", (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + 1).alias("idf"))
     j = tf.join(F.broadcast(v), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    nrm = j.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_n"))
-    return j.join(nrm, id_col).select(id_col, "term", F.round(F.col("w") / F.col("_n"), digits).alias("tfidf"))
+    # per-document norm as a window on the doc key: one exchange (tf is already
+    # aggregated by (doc, term), so a document's rows are bounded by its length)
+    from pyspark.sql import Window
+    nrm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return j.select(id_col, "term", F.round(F.col("w") / nrm, digits).alias("tfidf"))
 
 
 def top_words(df: DataFrame, text_col: str, k: int = 200, digits: int = 6) -> DataFrame:
