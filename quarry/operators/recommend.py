@@ -90,12 +90,15 @@ def recommend(model: ALSModel, seen: DataFrame, n: int = 10, user: str = "user",
     heavy users ask for ``n + their max``, so one heavy user never inflates
     every user's top-k heap."""
     per = seen.groupBy(user).agg(F.count_distinct(item).alias("_k"))
-    light = per.where(F.col("_k") <= light_seen).select(user)
-    heavy = per.where(F.col("_k") > light_seen)
-    parts = [model.recommendForUserSubset(light, n + light_seen)]
-    max_heavy = heavy.agg(F.max("_k")).first()[0]
-    if max_heavy is not None:
-        parts.append(model.recommendForUserSubset(heavy.select(user), n + int(max_heavy)))
+    k = F.col("_k")
+    mx = per.agg(F.max(F.when(k <= light_seen, k)).alias("l"), F.max(F.when(k > light_seen, k)).alias("h")).first()
+    parts = []
+    if mx["l"] is not None:
+        parts.append(model.recommendForUserSubset(per.where(k <= light_seen).select(user), n + int(mx["l"])))
+    if mx["h"] is not None:
+        parts.append(model.recommendForUserSubset(per.where(k > light_seen).select(user), n + int(mx["h"])))
+    if not parts:  # no interactions at all: same schema, no rows
+        parts.append(model.recommendForUserSubset(per.select(user).limit(0), n))
     recs = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     e = recs.select(F.col(user), F.explode("recommendations").alias("r")) \
         .select(user, F.col(f"r.{item}").alias(item), F.col("r.rating").alias("score"))
