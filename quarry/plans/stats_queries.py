@@ -525,3 +525,24 @@ def f12(spark, d):
     r = S.ratings(spark, d).select("ts").distinct()
     from quarry.functions.predicates import epoch_to_ntz
     return r.select("ts", epoch_to_ntz("ts").alias("rated_at"))
+
+
+@register("J9_align_frequency_tables", with_(*RS) + """
+SELECT coalesce(a.n_name, b.n_name) AS n_name, coalesce(a.n, 0) AS "real", coalesce(b.n, 0) AS synth
+FROM (SELECT n_name, count(*) AS n FROM real GROUP BY n_name) a
+FULL OUTER JOIN (SELECT n_name, count(*) AS n FROM synth GROUP BY n_name) b ON a.n_name = b.n_name""")
+def j9(spark, d):
+    from quarry.operators.joins import align_freq
+    a = real(spark, d).groupBy("n_name").agg(F.count(F.lit(1)).alias("n"))
+    b = synth(spark, d).groupBy("n_name").agg(F.count(F.lit(1)).alias("n"))
+    return align_freq(a, b, "n_name", "n", "n", "real", "synth")
+
+
+@register("S11_schema_listing", """
+SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name AS "column",
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                      WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS "type"
+FROM information_schema.columns WHERE table_name = 'orders'""")
+def s11b(spark, d):
+    from quarry.sources.io import schema_table
+    return schema_table(spark, S.table(spark, d, "orders"))
