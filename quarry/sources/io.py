@@ -65,16 +65,15 @@ def parse_pairs(lines: DataFrame, sep: str = ",", default_key: str | None = "Unk
     for p in skip_prefixes:
         keep = keep & ~raw.startswith(p)
     line = F.trim(raw) if strip else raw
-    parts = F.split(line, re.escape(sep))
-    key = F.get(parts, 0)
+    # split once into its own column; key / amount read that column
+    parts = lines.where(keep).select(F.split(line, re.escape(sep)).alias("_p"))
+    key = F.get(F.col("_p"), 0)
     if default_key is not None:
         key = F.when(key == "", F.lit(default_key)).otherwise(key)
-    amount = F.get(parts, 1).try_cast("double")
-    out = (lines.where(keep)
-           .select(parts.alias("_p"), key.alias("key"), amount.alias("value"))
-           .where((F.size("_p") >= 2) & F.col("value").isNotNull()
-                  & ~F.isnan("value") & (F.col("value") > 0))
-           .drop("_p"))
+    amount = F.get(F.col("_p"), 1).try_cast("double")
+    out = (parts.where(F.size("_p") >= 2)
+           .select(key.alias("key"), amount.alias("value"))
+           .where(F.col("value").isNotNull() & ~F.isnan("value") & (F.col("value") > 0)))
     return out
 
 
