@@ -18,7 +18,7 @@ from quarry.functions.predicates import col_, pct
 __all__ = [
     "reduce_pairs", "group_share", "group_profile", "bucket_share", "tail_share",
     "top_groups", "cap_impact", "cap_strategies", "clean_by_group_caps", "describe_long",
-    "describe_numeric", "exact_quantiles", "describe_categorical", "value_counts", "sparsity",
+    "describe_numeric", "exact_quantiles", "discrete_quantiles", "describe_categorical", "value_counts", "sparsity",
     "dataset_summary", "activity_stats", "rating_distribution", "histogram",
     "grouped_histogram", "category_counts_by_source", "proportion_table", "corr_matrix",
     "density", "collapse_pairs", "length_stats", "positive_rate", "union_tagged",
@@ -49,16 +49,34 @@ def group_share(df: DataFrame, keys: Sequence[str], value: str, digits: int = 2)
 
 def group_profile(df: DataFrame, key: str, value: str,
                   percentiles: Sequence[tuple[str, float]] = PROFILE_PERCENTILES,
-                  accuracy: int = 10000, small_sample: int = 100) -> DataFrame:
-    """G8 + Q9: count, avg, min, max and approximate percentiles per group."""
+                  accuracy: int = 10000, small_sample: int = 100, exact: bool = False) -> DataFrame:
+    """G8 + Q9: count, avg, min, max and percentiles per group.
+
+    ``exact=False``: ``percentile_approx`` (one aggregate, bounded sketch).
+    ``exact=True``: discrete percentiles (value at rank ceil(p*n)) from the
+    distributed per-group order-statistic lookup, no per-group value buffer."""
     probs = [p for _, p in percentiles]
-    g = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(value).alias("avg_value"),
-        F.min(value).alias("min_value"), F.max(value).alias("max_value"),
-        F.percentile_approx(value, probs, accuracy).alias("_q"))
-    cols = [F.col("_q")[i].alias(f"{name}_value") for i, (name, _) in enumerate(percentiles)]
-    return g.select(key, "n", "avg_value", "min_value", "max_value", *cols,
-                    (F.col("n") < small_sample).alias("small_sample"))
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg(value).alias("avg_value"),
+            F.min(value).alias("min_value"), F.max(value).alias("max_value")]
+    if not exact:
+        g = df.groupBy(key).agg(*aggs, F.percentile_approx(value, probs, accuracy).alias("_q"))
+        cols = [F.col("_q")[i].alias(f"{name}_value") for i, (name, _) in enumerate(percentiles)]
+        return g.select(key, "n", "avg_value", "min_value", "max_value", *cols,
+                        (F.col("n") < small_sample).alias("small_sample"))
+    from quarry.operators.sampling import order_stat_lookup
+    src = df.where(F.col(value).isNotNull())
+    g = src.groupBy(key).agg(*aggs)
+    max_groups = 100_000
+    ng = g.limit(max_groups + 1).count()
+    bound = ng if ng <= max_groups else None
+    draws = g.select(key, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")) \
+        .select(key, "p", (F.ceil(F.col("p") * F.col("n")) - 1).cast("bigint").alias("pos"))
+    got = order_stat_lookup(src, value, draws, group_cols=[key], n_groups=bound)
+    wide = got.groupBy(key).pivot("p", [float(p) for p in probs]).agg(F.first(value))
+    wide = wide.select(key, *[F.col(f"`{float(p)}`").alias(f"{name}_value") for name, p in percentiles])
+    return g.join(wide, key, "left").select(key, "n", "avg_value", "min_value", "max_value",
+                                            *[f"{name}_value" for name, _ in percentiles],
+                                            (F.col("n") < small_sample).alias("small_sample"))
 
 
 def bucket_share(df: DataFrame, value: str, edges: Sequence[float], labels: Sequence[str],
@@ -145,8 +163,39 @@ def clean_by_group_caps(df: DataFrame, key: str, value: str, caps: Mapping[str,
     return df.where(F.col(value) <= cap)
 
 
-def describe_long(df: DataFrame, cols: Sequence[str], accuracy: int = 10000) -> DataFrame:
-    """Typed long-form ``summary()``: count, mean, stddev, min, 25/50/75 %, max."""
+def discrete_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """Exact discrete quantiles ``(p, value)``: the value at rank ``ceil(p * n)``,
+    resolved by the distributed order-statistic lookup."""
+    from quarry.operators.sampling import order_stat_lookup
+    x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    n = x.select(F.count(F.lit(1))).scalar()
+    ps = df.sparkSession.createDataFrame([(float(p),) for p in probs], "p double")
+    draws = ps.select("p", F.greatest(F.ceil(F.col("p") * n) - 1, F.lit(0)).cast("bigint").alias("pos"))
+    return order_stat_lookup(x, "_x", draws).select("p", F.col("_x").alias("value"))
+
+
+def describe_long(df: DataFrame, cols: Sequence[str], accuracy: int = 10000,
+                  exact: bool = False) -> DataFrame:
+    """Typed long-form ``summary()``: count, mean, stddev, min, 25/50/75 %, max.
+
+    Quartiles are ``percentile_approx`` (Spark's ``summary()``), or with
+    ``exact=True`` the exact discrete quantiles from :func:`discrete_quantiles`."""
+    if exact:
+        aggs = []
+        for i, c in enumerate(cols):
+            x = F.col(c).cast("double")
+            aggs += [F.count(x).cast("double").alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
+                     F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        wide = df.agg(*aggs)
+        stats = [("count", "n{i}"), ("mean", "m{i}"), ("stddev", "s{i}"), ("min", "lo{i}"), ("max", "hi{i}")]
+        rows = [f"'{c}', '{s_}', {e.format(i=i)}" for i, c in enumerate(cols) for s_, e in stats]
+        out = wide.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (column_name, statistic, value)")
+        names = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
+        lab = F.create_map(*[x for p, nm in names.items() for x in (F.lit(p), F.lit(nm))])
+        for c in cols:
+            q = discrete_quantiles(df, c, list(names))
+            out = out.unionByName(q.select(F.lit(c).alias("column_name"), lab[F.col("p")].alias("statistic"), "value"))
+        return out
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")

@@ -73,8 +73,10 @@ def split_stratified(df: DataFrame, id_col: str, label: str, train_frac: float =
 
 
 def order_stat_lookup(df: DataFrame, col: str, draws: DataFrame, pos_col: str = "pos",
-                      n_buckets: int = 64) -> DataFrame:
-    """For each draw row, the ``pos``-th smallest (0-based) non-null value of ``col``.
+                      n_buckets: int = 64, group_cols: Sequence[str] = (),
+                      n_groups: int | None = None) -> DataFrame:
+    """For each draw row, the ``pos``-th smallest (0-based) non-null value of
+    ``col`` (within its ``group_cols`` group when given).
 
     Distinct values get the start ``lo`` of their cumulative interval
     (distributed prefix sum).  Interval starts and draws are unioned on one
@@ -82,17 +84,20 @@ def order_stat_lookup(df: DataFrame, col: str, draws: DataFrame, pos_col: str =
     starting at or before it (distributed forward fill).  A value holding a
     third of all rows is still one row here: no fan-out, no hot key."""
     from quarry.operators.windows import running_last
-    freq = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    iv = running_totals(freq, "_v", {"_hi": F.col("_c")}, n_buckets=n_buckets)
-    dstruct = F.struct(*[F.col(c) for c in draws.columns])
-    starts = iv.select((F.col("_hi") - F.col("_c")).cast("bigint").alias("_p"), F.lit(0).alias("_kind"),
-                       F.col("_v"), F.lit(None).cast(draws.select(dstruct.alias("d")).schema["d"].dataType).alias("_d"))
-    pts = draws.select(F.col(pos_col).cast("bigint").alias("_p"), F.lit(1).alias("_kind"),
+    g = list(group_cols)
+    freq = df.where(F.col(col).isNotNull()).groupBy(*g, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    iv = running_totals(freq, "_v", {"_hi": F.col("_c")}, g, n_buckets=n_buckets, n_groups=n_groups)
+    dcols = [c for c in draws.columns if c not in g]
+    dstruct = F.struct(*[F.col(c) for c in dcols])
+    dtype = draws.select(dstruct.alias("d")).schema["d"].dataType
+    starts = iv.select(*g, (F.col("_hi") - F.col("_c")).cast("bigint").alias("_p"), F.lit(0).alias("_kind"),
+                       F.col("_v"), F.lit(None).cast(dtype).alias("_d"))
+    pts = draws.select(*g, F.col(pos_col).cast("bigint").alias("_p"), F.lit(1).alias("_kind"),
                        F.lit(None).cast(freq.schema["_v"].dataType).alias("_v"), dstruct.alias("_d"))
     u = starts.unionByName(pts)
-    filled = running_last(u, "_p", ["_kind"], F.col("_kind") == 0, ["_v"], "_last", n_buckets)
-    got = filled.where(F.col("_kind") == 1).select("_d.*", F.col("_last._v").alias(col))
-    return got
+    filled = running_last(u, "_p", ["_kind"], F.col("_kind") == 0, ["_v"], "_last", n_buckets,
+                          partition_cols=g, n_groups=n_groups)
+    return filled.where(F.col("_kind") == 1).select(*g, "_d.*", F.col("_last._v").alias(col))
 
 
 def bootstrap_columns(spark: SparkSession, df: DataFrame, cols: Sequence[str], n: int,

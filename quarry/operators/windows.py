@@ -87,7 +87,8 @@ def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
 
 def running_last(df: DataFrame, order_col: str, tie_cols: Sequence[str], flag: Column,
                  values: Sequence[str], out: str = "_last", n_buckets: int = 64,
-                 accuracy: int = 10000) -> DataFrame:
+                 accuracy: int = 10000, partition_cols: Sequence[str] = (),
+                 n_groups: int | None = None) -> DataFrame:
     """Forward fill: for every row, ``struct(values)`` of the last row at or
     before it (order ``order_col``, then ``tie_cols``) where ``flag`` holds.
 
@@ -95,7 +96,8 @@ def running_last(df: DataFrame, order_col: str, tie_cols: Sequence[str], flag: C
     ignorenulls)`` plus the last flagged struct carried in from earlier
     buckets (a table with one row per bucket).  No row fans out and no
     group is gathered in one task."""
-    tagged, parts, o_rows = _tag_buckets(df, order_col, (), n_buckets, accuracy, 1)
+    tagged, parts, o_rows = _tag_buckets(df, order_col, partition_cols, n_buckets, accuracy,
+                                         n_groups if partition_cols else 1)
     st = F.when(flag, F.struct(*[F.col(v) for v in values]))
     tagged = tagged.withColumn("_st", st)
     wi = (Window.partitionBy(*parts, "_bucket").orderBy(order_col, *tie_cols)
@@ -110,7 +112,8 @@ def running_last(df: DataFrame, order_col: str, tie_cols: Sequence[str], flag: C
     carry = per_bucket.select(*parts, "_bucket", F.last("_bl", ignorenulls=True).over(wc).alias("_carry"))
     out_df = tagged.withColumn("_in", F.last("_st", ignorenulls=True).over(wi)) \
         .join(sized_broadcast(carry, rows_bound=o_rows), [*parts, "_bucket"], "left")
-    return out_df.withColumn(out, F.coalesce("_in", "_carry")).drop("_st", "_in", "_carry", "_bucket", *parts)
+    drop = ["_st", "_in", "_carry", "_bucket"] + ([_G] if _G in parts else [])
+    return out_df.withColumn(out, F.coalesce("_in", "_carry")).drop(*drop)
 
 
 def _is_numeric(df: DataFrame, c: str) -> bool:

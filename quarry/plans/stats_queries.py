@@ -48,7 +48,7 @@ SELECT column_name, statistic, round(value, 6) AS value FROM (
                  quantile_disc(trip_distance, 0.25), quantile_disc(trip_distance, 0.5), quantile_disc(trip_distance, 0.75),
                  max(trip_distance)]) FROM clean)""")
 def g15(spark, d):
-    r = G.describe_long(cleaned(spark, d), ["total_amount", "trip_distance"], accuracy=1_000_000)
+    r = G.describe_long(cleaned(spark, d), ["total_amount", "trip_distance"], exact=True)
     return r.select("column_name", "statistic", F.round("value", 6).alias("value"))
 
 

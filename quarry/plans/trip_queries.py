@@ -572,9 +572,7 @@ SELECT PU_Borough, count(*) AS n, round(avg(total_amount), 4) AS avg_value, min(
        count(*) < 100 AS small_sample
 FROM clean GROUP BY PU_Borough""")
 def g8(spark, d):
-    # a 1e6-entry sketch keeps percentiles rank-exact up to ~1e6 rows per
-    # group (5 groups here); the API default stays Spark's 10000.
-    g = G.group_profile(cleaned(spark, d), "PU_Borough", "total_amount", accuracy=1_000_000)
+    g = G.group_profile(cleaned(spark, d), "PU_Borough", "total_amount", exact=True)
     return g.withColumn("avg_value", F.round("avg_value", 4))
 
 

@@ -230,3 +230,15 @@ def test_recommend_excludes_seen_and_returns_n(spark):
     for x in rec:
         per.setdefault(x.user, []).append(x.item)
     assert all(len(v) == 3 for v in per.values()) and 99 in per
+
+
+def test_grouped_discrete_percentiles_match_brute_force(spark):
+    rnd = random.Random(13)
+    rows = [(k, float(rnd.randint(0, 40))) for k in ("a", "b", "c") for _ in range({"a": 97, "b": 10, "c": 3}[k])]
+    rows += [("a", 7.0)] * 60  # a hot value inside one group
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r for r in G.group_profile(df, "k", "v", exact=True).collect()}
+    for k in ("a", "b", "c"):
+        xs = sorted(v for kk, v in rows if kk == k)
+        for name, p in G.PROFILE_PERCENTILES:
+            assert got[k][f"{name}_value"] == xs[math.ceil(p * len(xs)) - 1]
