@@ -18,7 +18,7 @@ from quarry.functions.predicates import col_, pct
 __all__ = [
     "reduce_pairs", "group_share", "group_profile", "bucket_share", "tail_share",
     "top_groups", "cap_impact", "cap_strategies", "clean_by_group_caps", "describe_long",
-    "describe_numeric", "exact_quantiles", "discrete_quantiles", "describe_categorical", "value_counts", "sparsity",
+    "describe_numeric", "exact_quantiles", "discrete_quantiles", "ranks_to_values", "describe_categorical", "value_counts", "sparsity",
     "dataset_summary", "activity_stats", "rating_distribution", "histogram",
     "grouped_histogram", "category_counts_by_source", "proportion_table", "corr_matrix",
     "density", "collapse_pairs", "length_stats", "positive_rate", "union_tagged",
@@ -63,16 +63,20 @@ def group_profile(df: DataFrame, key: str, value: str,
         cols = [F.col("_q")[i].alias(f"{name}_value") for i, (name, _) in enumerate(percentiles)]
         return g.select(key, "n", "avg_value", "min_value", "max_value", *cols,
                         (F.col("n") < small_sample).alias("small_sample"))
-    from quarry.operators.sampling import order_stat_lookup
-    src = df.where(F.col(value).isNotNull())
-    g = src.groupBy(key).agg(*aggs)
+    # ONE pass over the input: a per-group value-frequency table; counts,
+    # moments and order statistics are all derived from it.
+    v = F.col(value)
+    freq = df.where(v.isNotNull()).groupBy(key, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    g = freq.groupBy(key).agg(F.sum("_c").alias("n"), (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("avg_value"),
+                              F.min("_v").alias("min_value"), F.max("_v").alias("max_value"))
     max_groups = 100_000
     ng = g.limit(max_groups + 1).count()
     bound = ng if ng <= max_groups else None
-    draws = g.select(key, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")) \
-        .select(key, "p", (F.ceil(F.col("p") * F.col("n")) - 1).cast("bigint").alias("pos"))
-    got = order_stat_lookup(src, value, draws, group_cols=[key], n_groups=bound)
-    wide = got.groupBy(key).pivot("p", [float(p) for p in probs]).agg(F.first(value))
+    req = F.array(*[F.struct(F.lit(float(p)).alias("p"),
+                             F.greatest(F.ceil(F.lit(float(p)) * F.col("n")), F.lit(1)).cast("bigint").alias("r"))
+                    for p in probs])
+    got = ranks_to_values(freq, [key], g.select(key, req.alias("_req")), n_groups=bound)
+    wide = got.groupBy(key).pivot("p", [float(p) for p in probs]).agg(F.first("value"))
     wide = wide.select(key, *[F.col(f"`{float(p)}`").alias(f"{name}_value") for name, p in percentiles])
     return g.join(wide, key, "left").select(key, "n", "avg_value", "min_value", "max_value",
                                             *[f"{name}_value" for name, _ in percentiles],
@@ -163,15 +167,36 @@ def clean_by_group_caps(df: DataFrame, key: str, value: str, caps: Mapping[str,
     return df.where(F.col(value) <= cap)
 
 
+def ranks_to_values(freq: DataFrame, group_cols: Sequence[str], ranks: DataFrame,
+                    n_groups: int | None = None, n_buckets: int = 64) -> DataFrame:
+    """Exact order statistics for a few requested ranks per group.
+
+    ``freq`` is ``(group..., _v, _c)`` (distinct values and counts); ``ranks``
+    is ``(group..., _req)`` with ``_req`` an array of ``struct(p, r)`` (1-based
+    ranks).  After the distributed prefix sum each distinct value knows its
+    rank interval ``(lo, hi]`` and keeps the requested ranks inside it, so the
+    result has one row per requested rank and nothing is gathered."""
+    from quarry.operators.joins import sized_broadcast
+    from quarry.operators.windows import running_totals
+    g = list(group_cols)
+    cum = running_totals(freq, "_v", {"_hi": F.col("_c")}, g, n_buckets=n_buckets, n_groups=n_groups)
+    j = cum.join(sized_broadcast(ranks, rows_bound=n_groups), g) if g else \
+        cum.join(sized_broadcast(ranks, rows_bound=1), how="inner")
+    lo, hi = F.col("_hi") - F.col("_c"), F.col("_hi")
+    hit = F.filter("_req", lambda x: (x["r"] > lo) & (x["r"] <= hi))
+    return j.select(*g, "_v", F.explode_outer(hit).alias("_q")).where(F.col("_q").isNotNull()) \
+        .select(*g, F.col("_q.p").alias("p"), F.col("_q.r").alias("r"), F.col("_v").alias("value"))
+
+
 def discrete_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
-    """Exact discrete quantiles ``(p, value)``: the value at rank ``ceil(p * n)``,
-    resolved by the distributed order-statistic lookup."""
-    from quarry.operators.sampling import order_stat_lookup
-    x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    n = x.select(F.count(F.lit(1))).scalar()
-    ps = df.sparkSession.createDataFrame([(float(p),) for p in probs], "p double")
-    draws = ps.select("p", F.greatest(F.ceil(F.col("p") * n) - 1, F.lit(0)).cast("bigint").alias("pos"))
-    return order_stat_lookup(x, "_x", draws).select("p", F.col("_x").alias("value"))
+    """Exact discrete quantiles ``(p, value)``: the value at rank ``ceil(p * n)``."""
+    x = F.col(col).cast("double")
+    freq = df.where(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    n = freq.select(F.sum("_c")).scalar()
+    req = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.greatest(F.ceil(F.lit(float(p)) * n), F.lit(1)).cast("bigint").alias("r"))
+                    for p in probs])
+    ranks = df.sparkSession.range(1).select(req.alias("_req"))
+    return ranks_to_values(freq, [], ranks).select("p", "value")
 
 
 def describe_long(df: DataFrame, cols: Sequence[str], accuracy: int = 10000,
@@ -214,20 +239,22 @@ def describe_long(df: DataFrame, cols: Sequence[str], accuracy: int = 10000,
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
-    """Exact linearly interpolated quantiles ``(p, value)`` without buffering a
-    column in one aggregate: positions ``p * (n - 1)`` are resolved by the
-    distributed order-statistic lookup (prefix sums over distinct values)."""
-    from quarry.operators.sampling import order_stat_lookup
-    x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    n = x.select(F.count(F.lit(1))).scalar()
-    spark = df.sparkSession
-    ps = spark.createDataFrame([(float(p),) for p in probs], "p double")
-    pos = ps.select("p", (F.col("p") * (n - 1)).alias("_h"))
-    ends = pos.select("p", "_h", F.explode(F.array(F.floor("_h"), F.ceil("_h"))).alias("pos")) \
-        .withColumn("pos", F.col("pos").cast("bigint")).dropDuplicates(["p", "pos"])
-    got = order_stat_lookup(x, "_x", ends)
-    g = got.groupBy("p", "_h").agg(F.min_by("_x", "pos").alias("lo"), F.max_by("_x", "pos").alias("hi"))
-    return g.select("p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("_h") - F.floor("_h"))).alias("value"))
+    """Exact linearly interpolated quantiles ``(p, value)`` (pandas / DuckDB
+    ``quantile_cont``): the order statistics at ``floor`` and ``ceil`` of
+    ``p * (n - 1)`` come from :func:`ranks_to_values` (no value buffer)."""
+    x = F.col(col).cast("double")
+    freq = df.where(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    n = freq.select(F.sum("_c")).scalar()
+    items = []
+    for p in probs:
+        h = F.lit(float(p)) * (n - 1)
+        items.append(F.struct(F.lit(float(p)).alias("p"), (F.floor(h) + 1).cast("bigint").alias("r")))
+        items.append(F.struct(F.lit(float(p)).alias("p"), (F.ceil(h) + 1).cast("bigint").alias("r")))
+    ranks = df.sparkSession.range(1).select(F.array(*items).alias("_req"))
+    got = ranks_to_values(freq, [], ranks)
+    g = got.groupBy("p").agg(F.min_by("value", "r").alias("lo"), F.max_by("value", "r").alias("hi"))
+    h = F.col("p") * (n - 1)
+    return g.select("p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (h - F.floor(h))).alias("value"))
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:

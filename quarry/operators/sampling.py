@@ -83,9 +83,18 @@ def order_stat_lookup(df: DataFrame, col: str, draws: DataFrame, pos_col: str =
     position axis and every draw takes the value of the last interval
     starting at or before it (distributed forward fill).  A value holding a
     third of all rows is still one row here: no fan-out, no hot key."""
-    from quarry.operators.windows import running_last
     g = list(group_cols)
     freq = df.where(F.col(col).isNotNull()).groupBy(*g, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    return lookup_in_frequencies(freq, col, draws, pos_col, n_buckets, g, n_groups)
+
+
+def lookup_in_frequencies(freq: DataFrame, col: str, draws: DataFrame, pos_col: str = "pos",
+                          n_buckets: int = 64, group_cols: Sequence[str] = (),
+                          n_groups: int | None = None) -> DataFrame:
+    """:func:`order_stat_lookup` on a precomputed value-frequency table
+    ``(group..., _v, _c)`` (lets callers reuse one pass over the data)."""
+    from quarry.operators.windows import running_last
+    g = list(group_cols)
     iv = running_totals(freq, "_v", {"_hi": F.col("_c")}, g, n_buckets=n_buckets, n_groups=n_groups)
     dcols = [c for c in draws.columns if c not in g]
     dstruct = F.struct(*[F.col(c) for c in dcols])
