@@ -66,7 +66,8 @@ def group_profile(df: DataFrame, key: str, value: str,
     # ONE pass over the input: a per-group value-frequency table; counts,
     # moments and order statistics are all derived from it.
     v = F.col(value)
-    freq = df.where(v.isNotNull()).groupBy(key, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    # read by several stages below: persisted once (memory, spilling to disk)
+    freq = df.where(v.isNotNull()).groupBy(key, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c")).persist()
     g = freq.groupBy(key).agg(F.sum("_c").alias("n"), (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("avg_value"),
                               F.min("_v").alias("min_value"), F.max("_v").alias("max_value"))
     max_groups = 100_000
@@ -191,7 +192,7 @@ def ranks_to_values(freq: DataFrame, group_cols: Sequence[str], ranks: DataFrame
 def discrete_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
     """Exact discrete quantiles ``(p, value)``: the value at rank ``ceil(p * n)``."""
     x = F.col(col).cast("double")
-    freq = df.where(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    freq = df.where(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c")).persist()
     n = freq.select(F.sum("_c")).scalar()
     req = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.greatest(F.ceil(F.lit(float(p)) * n), F.lit(1)).cast("bigint").alias("r"))
                     for p in probs])
@@ -243,7 +244,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
     ``quantile_cont``): the order statistics at ``floor`` and ``ceil`` of
     ``p * (n - 1)`` come from :func:`ranks_to_values` (no value buffer)."""
     x = F.col(col).cast("double")
-    freq = df.where(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    freq = df.where(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c")).persist()
     n = freq.select(F.sum("_c")).scalar()
     items = []
     for p in probs:
