@@ -83,13 +83,17 @@ def with_terms(docs: DataFrame, text_col: str, ngram_max: int = 2, out: str = "t
     return d.withColumn(out, t).drop(*cols)
 
 
-def term_counts(docs: DataFrame, id_col: str, text_col: str, ngram_max: int = 2) -> DataFrame:
-    """Long-form raw term frequencies ``(doc, term, tf)``."""
-    e = with_terms(spread(docs.select(id_col, text_col), id_col), text_col, ngram_max) \
-        .select(id_col, F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())
+def term_counts(docs: DataFrame, id_col: str, text_col: str, ngram_max: int = 2,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """Long-form raw term frequencies ``(doc, [keep...], term, tf)``; ``keep``
+    carries per-document columns (e.g. the split) so one tokenising pass can
+    feed several consumers."""
+    keep = [c for c in keep if c != id_col]
+    e = with_terms(spread(docs.select(id_col, *keep, text_col), id_col), text_col, ngram_max) \
+        .select(id_col, *keep, F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())
     # explode_outer: a plain explode makes the optimizer infer size(terms) > 0
     # and push that (whole tokenizer, inlined) below the repartition into the scan
-    return e.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return e.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(tf: DataFrame, id_col: str, n_docs, max_features: int = 5000, min_df: int = 5,

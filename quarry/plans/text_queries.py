@@ -36,9 +36,12 @@ def train_parts(spark, d):
     lab = labelled(spark, d)
     train = lab.where(F.col("split") == "train")
     n = train.select(F.count(F.lit(1))).scalar()
-    tf = N.term_counts(train, "doc_id", "text")
+    # one tokenising pass over all labelled documents; the vocabulary is fit
+    # on the train rows of the same term table
+    lab_tf = N.term_counts(lab, "doc_id", "text", keep=["split"])
+    tf = lab_tf.where(F.col("split") == "train").drop("split")
     vocab = N.vocabulary(tf, "doc_id", n, 5000, 5, 0.8)
-    return lab, train, n, tf, vocab
+    return lab, train, n, lab_tf.drop("split"), vocab
 
 
 @register("N3_terms_unigram_bigram_tf", with_(tok_sql("tok", "documents"), terms_sql("tf", "tok")) + """
@@ -58,8 +61,7 @@ def n4(spark, d):
 SELECT w.doc_id, w.term, round(w.w / sqrt(s.ss), 6) AS tfidf
 FROM w JOIN (SELECT doc_id, sum(w * w) AS ss FROM w GROUP BY doc_id) s ON w.doc_id = s.doc_id""")
 def n5(spark, d):
-    lab, train, n, tf, vocab = train_parts(spark, d)
-    all_tf = N.term_counts(lab, "doc_id", "text")
+    lab, train, n, all_tf, vocab = train_parts(spark, d)
     return N.tfidf(all_tf, vocab, "doc_id", n)
 
 
