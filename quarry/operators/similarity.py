@@ -17,7 +17,7 @@ from quarry.operators.aggregate import corr_matrix
 from quarry.operators.joins import sized_broadcast
 from quarry.operators.windows import running_totals
 
-__all__ = ["corr_gap", "mean_corr_gap", "ks", "tvd", "normalise_rows", "row_overlap",
+__all__ = ["corr_gap", "mean_corr_gap", "ks", "tvd", "pair_tvd", "normalise_rows", "row_overlap",
            "diagnostic", "quality", "report_rows", "evaluate", "unpivot_numeric",
            "unpivot_categorical"]
 
@@ -106,12 +106,16 @@ def diagnostic(real: DataFrame, synth: DataFrame, numeric: Sequence[str],
     and data structure (column-set agreement) -> ``(property, column_name, score)``."""
     parts = []
     if numeric:
+        # one aggregate over real (ranges) and one over synth (all columns)
         rng = real.agg(*[F.min(c).alias(f"lo_{c}") for c in numeric], *[F.max(c).alias(f"hi_{c}") for c in numeric])
-        for c in numeric:
+        aggs = []
+        for i, c in enumerate(numeric):
             lo, hi = rng.select(f"lo_{c}").scalar(), rng.select(f"hi_{c}").scalar()
-            s = synth.where(F.col(c).isNotNull()).agg(
-                (F.count_if((F.col(c) >= lo) & (F.col(c) <= hi)) / F.count(F.lit(1))).alias("score"))
-            parts.append(s.select(F.lit("data_validity").alias("property"), F.lit(c).alias("column_name"), "score"))
+            aggs += [F.count_if((F.col(c) >= lo) & (F.col(c) <= hi)).alias(f"in{i}"), F.count(c).alias(f"nn{i}")]
+        wide = synth.agg(*aggs)
+        st = ", ".join(f"'{c}', in{i} / nn{i}" for i, c in enumerate(numeric))
+        parts.append(wide.selectExpr(f"stack({len(numeric)}, {st}) as (column_name, score)")
+                     .select(F.lit("data_validity").alias("property"), "column_name", "score"))
     for c in categorical:
         cats = real.select(F.col(c).alias("_v")).distinct()
         sv = synth.select(F.col(c).alias("_v")).where(F.col("_v").isNotNull())
@@ -132,14 +136,22 @@ def diagnostic(real: DataFrame, synth: DataFrame, numeric: Sequence[str],
     return out.select("property", "column_name", F.round(F.col("score").cast("double"), digits).alias("score"))
 
 
-def _pair_tvd(a: DataFrame, b: DataFrame, c1: str, c2: str) -> DataFrame:
+def pair_tvd(a: DataFrame, b: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """TVD of the contingency tables of several column pairs, ONE scan per side:
+    each row emits one ``(pair, x, y)`` entry per pair (bounded fan-out), then a
+    single grouped count."""
     def probs(df, name):
-        f = df.groupBy(F.col(c1).cast("string").alias("_x"), F.col(c2).cast("string").alias("_y")) \
-            .agg(F.count(F.lit(1)).alias("_n"))
-        t = df.select(F.count(F.lit(1))).scalar()
-        return f.select("_x", "_y", (F.col("_n") / t).alias(name))
-    j = probs(a, "p").join(probs(b, "q"), ["_x", "_y"], "full_outer")
-    return j.agg((F.sum(F.abs(F.coalesce("p", F.lit(0.0)) - F.coalesce("q", F.lit(0.0)))) * 0.5).alias("tvd"))
+        entries = F.array(*[F.struct(F.lit(i).alias("pid"), F.col(x).cast("string").alias("x"),
+                                     F.col(y).cast("string").alias("y")) for i, (x, y) in enumerate(pairs)])
+        e = df.select(F.explode(entries).alias("e")).select("e.*")
+        f = e.groupBy("pid", "x", "y").agg(F.count(F.lit(1)).alias("_n"))
+        t = f.groupBy("pid").agg(F.sum("_n").alias("_t"))
+        return f.join(sized_broadcast(t, rows_bound=len(pairs)), "pid").select(
+            "pid", "x", "y", (F.col("_n") / F.col("_t")).alias(name))
+    j = probs(a, "p").join(probs(b, "q"), ["pid", "x", "y"], "full_outer")
+    d = F.abs(F.coalesce("p", F.lit(0.0)) - F.coalesce("q", F.lit(0.0)))
+    names = F.create_map(*[v for i, (x, y) in enumerate(pairs) for v in (F.lit(i), F.lit(f"{x}|{y}"))])
+    return j.groupBy("pid").agg((F.sum(d) * 0.5).alias("tvd")).select(names[F.col("pid")].alias("column_name"), "tvd")
 
 
 def quality(real: DataFrame, synth: DataFrame, numeric: Sequence[str],
@@ -159,11 +171,10 @@ def quality(real: DataFrame, synth: DataFrame, numeric: Sequence[str],
         parts.append(g.select(F.lit("column_pair_trends").alias("property"),
                               F.concat_ws("|", "col_a", "col_b").alias("column_name"),
                               (1 - F.col("gap") / 2).alias("score")))
-    for i, c1 in enumerate(categorical):
-        for c2 in categorical[i + 1:]:
-            parts.append(_pair_tvd(real, synth, c1, c2).select(
-                F.lit("column_pair_trends").alias("property"), F.lit(f"{c1}|{c2}").alias("column_name"),
-                (1 - F.col("tvd")).alias("score")))
+    cat_pairs = [(c1, c2) for i, c1 in enumerate(categorical) for c2 in categorical[i + 1:]]
+    if cat_pairs:
+        parts.append(pair_tvd(real, synth, cat_pairs).select(
+            F.lit("column_pair_trends").alias("property"), "column_name", (1 - F.col("tvd")).alias("score")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
