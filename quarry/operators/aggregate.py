@@ -18,7 +18,7 @@ from quarry.functions.predicates import col_, pct
 __all__ = [
     "reduce_pairs", "group_share", "group_profile", "bucket_share", "tail_share",
     "top_groups", "cap_impact", "cap_strategies", "clean_by_group_caps", "describe_long",
-    "describe_numeric", "exact_quantiles", "discrete_quantiles", "ranks_to_values", "describe_categorical", "value_counts", "sparsity",
+    "describe_numeric", "exact_quantiles", "discrete_quantiles", "column_quantiles", "ranks_to_values", "describe_categorical", "value_counts", "sparsity",
     "dataset_summary", "activity_stats", "rating_distribution", "histogram",
     "grouped_histogram", "category_counts_by_source", "proportion_table", "corr_matrix",
     "density", "collapse_pairs", "length_stats", "positive_rate", "union_tagged",
@@ -189,6 +189,38 @@ def ranks_to_values(freq: DataFrame, group_cols: Sequence[str], ranks: DataFrame
         .select(*g, F.col("_q.p").alias("p"), F.col("_q.r").alias("r"), F.col("_v").alias("value"))
 
 
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                     interpolate: bool) -> DataFrame:
+    """Exact quantiles ``(column_name, p, value)`` of several numeric columns from
+    ONE scan: unpivot to ``(column_name, value)``, one frequency table grouped
+    by column, per-column prefix sums, requested ranks per column.
+
+    ``interpolate=True``: linear (pandas / ``quantile_cont``); otherwise
+    discrete (value at rank ``ceil(p * n)``, ``quantile_disc``)."""
+    cols = list(cols)
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
+        .unpivot([], cols, "column_name", "_v").where(F.col("_v").isNotNull())
+    freq = long.groupBy("column_name", "_v").agg(F.count(F.lit(1)).alias("_c")).persist()
+    n = freq.groupBy("column_name").agg(F.sum("_c").alias("n"))
+    items = []
+    for p in probs:
+        pl = F.lit(float(p))
+        if interpolate:
+            h = pl * (F.col("n") - 1)
+            items.append(F.struct(pl.alias("p"), (F.floor(h) + 1).cast("bigint").alias("r")))
+            items.append(F.struct(pl.alias("p"), (F.ceil(h) + 1).cast("bigint").alias("r")))
+        else:
+            items.append(F.struct(pl.alias("p"), F.greatest(F.ceil(pl * F.col("n")), F.lit(1)).cast("bigint").alias("r")))
+    ranks = n.select("column_name", F.array(*items).alias("_req"))
+    got = ranks_to_values(freq, ["column_name"], ranks, n_groups=len(cols))
+    if not interpolate:
+        return got.select("column_name", "p", "value")
+    g = got.groupBy("column_name", "p").agg(F.min_by("value", "r").alias("lo"), F.max_by("value", "r").alias("hi"))
+    g = g.join(F.broadcast(n), "column_name")
+    h = F.col("p") * (F.col("n") - 1)
+    return g.select("column_name", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (h - F.floor(h))).alias("value"))
+
+
 def discrete_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
     """Exact discrete quantiles ``(p, value)``: the value at rank ``ceil(p * n)``."""
     x = F.col(col).cast("double")
@@ -218,10 +250,8 @@ def describe_long(df: DataFrame, cols: Sequence[str], accuracy: int = 10000,
         out = wide.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (column_name, statistic, value)")
         names = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
         lab = F.create_map(*[x for p, nm in names.items() for x in (F.lit(p), F.lit(nm))])
-        for c in cols:
-            q = discrete_quantiles(df, c, list(names))
-            out = out.unionByName(q.select(F.lit(c).alias("column_name"), lab[F.col("p")].alias("statistic"), "value"))
-        return out
+        q = column_quantiles(df, cols, list(names), interpolate=False)
+        return out.unionByName(q.select("column_name", lab[F.col("p")].alias("statistic"), "value"))
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
@@ -273,10 +303,9 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int = 6) -> Dat
     rows = [f"'{c}', '{s}', {e.format(i=i)}" for i, c in enumerate(cols) for s, e in stats]
     out = wide.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (column_name, statistic, value)")
     names = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
-    for c in cols:
-        q = exact_quantiles(df, c, list(names))
-        lab = F.create_map(*[x for p, nm in names.items() for x in (F.lit(p), F.lit(nm))])
-        out = out.unionByName(q.select(F.lit(c).alias("column_name"), lab[F.col("p")].alias("statistic"), "value"))
+    lab = F.create_map(*[x for p, nm in names.items() for x in (F.lit(p), F.lit(nm))])
+    q = column_quantiles(df, cols, list(names), interpolate=True)
+    out = out.unionByName(q.select("column_name", lab[F.col("p")].alias("statistic"), "value"))
     return out.select("column_name", "statistic", F.round("value", digits).alias("value"))
 
 

@@ -242,3 +242,16 @@ def test_grouped_discrete_percentiles_match_brute_force(spark):
         xs = sorted(v for kk, v in rows if kk == k)
         for name, p in G.PROFILE_PERCENTILES:
             assert got[k][f"{name}_value"] == xs[math.ceil(p * len(xs)) - 1]
+
+
+def test_column_quantiles_one_scan_match_numpy(spark):
+    rnd = random.Random(21)
+    rows = [(float(rnd.randint(0, 9)), round(rnd.uniform(0, 1), 4)) for _ in range(101)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    cont = {(r.column_name, r.p): r.value for r in G.column_quantiles(df, ["a", "b"], [0.1, 0.5, 0.9], True).collect()}
+    disc = {(r.column_name, r.p): r.value for r in G.column_quantiles(df, ["a", "b"], [0.1, 0.5, 0.9], False).collect()}
+    for i, c in enumerate(["a", "b"]):
+        xs = sorted(r[i] for r in rows)
+        for p in (0.1, 0.5, 0.9):
+            assert abs(cont[(c, p)] - float(np.percentile(xs, p * 100))) < 1e-9
+            assert disc[(c, p)] == xs[math.ceil(p * len(xs)) - 1]
