@@ -84,7 +84,8 @@ def order_stat_lookup(df: DataFrame, col: str, draws: DataFrame, pos_col: str =
     starting at or before it (distributed forward fill).  A value holding a
     third of all rows is still one row here: no fan-out, no hot key."""
     g = list(group_cols)
-    freq = df.where(F.col(col).isNotNull()).groupBy(*g, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    freq = df.where(F.col(col).isNotNull()).groupBy(*g, F.col(col).alias("_v")) \
+        .agg(F.count(F.lit(1)).alias("_c")).persist()   # distinct values, read by several stages
     return lookup_in_frequencies(freq, col, draws, pos_col, n_buckets, g, n_groups)
 
 

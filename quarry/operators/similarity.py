@@ -53,8 +53,9 @@ def ks(a: DataFrame, b: DataFrame, cols: Sequence[str], digits: int = 9,
     """Two-sample Kolmogorov-Smirnov statistic per numeric column."""
     la = unpivot_numeric(a, cols).withColumn("_a", F.lit(1)).withColumn("_b", F.lit(0))
     lb = unpivot_numeric(b, cols).withColumn("_a", F.lit(0)).withColumn("_b", F.lit(1))
+    # distinct values per column: read by the totals and every prefix-sum stage
     freq = la.unionByName(lb).groupBy("column_name", "value").agg(
-        F.sum("_a").cast("bigint").alias("na"), F.sum("_b").cast("bigint").alias("nb"))
+        F.sum("_a").cast("bigint").alias("na"), F.sum("_b").cast("bigint").alias("nb")).persist()
     tot = freq.groupBy("column_name").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
     cum = running_totals(freq, "value", {"ca": F.col("na"), "cb": F.col("nb")}, ["column_name"],
                          n_buckets=n_buckets, n_groups=len(cols))

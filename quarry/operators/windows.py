@@ -130,7 +130,7 @@ def index_ids(df: DataFrame, col: str, index_col: str | None = None,
     Distinct ids first (one shuffle), then the two-level prefix count.
     """
     index_col = index_col or f"{col}_index"
-    ids = df.select(col).where(F.col(col).isNotNull()).distinct()
+    ids = df.select(col).where(F.col(col).isNotNull()).distinct().persist()  # read by every prefix stage
     r = running_totals(ids, col, {"_cnt": F.lit(1).cast("bigint")}, n_buckets=n_buckets)
     return r.select(col, (F.col("_cnt") - 1).cast("bigint").alias(index_col))
 
@@ -155,7 +155,7 @@ def ecdf(df: DataFrame, col: str, partition_cols: Sequence[str] = (),
     """``(value, n, cum_n, cdf)`` over distinct values (per group)."""
     parts = list(partition_cols)
     freq = (df.where(F.col(col).isNotNull())
-            .groupBy(*parts, F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n")))
+            .groupBy(*parts, F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n")).persist())
     if not parts:
         r = running_totals(freq, "value", {"cum_n": F.col("n")}, n_buckets=n_buckets)
         total = freq.select(F.sum("n")).scalar()
