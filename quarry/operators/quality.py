@@ -67,6 +67,9 @@ def clean(df: DataFrame, rules: Sequence[Rule], observation: Observation | None
 
     With an ``Observation`` the per-rule removal counts are collected as
     observed metrics of the *same* job that consumes the clean rows.
+    Spark 4.1 caveat: after a session has used an ``Observation`` its ML
+    classification summaries are no longer serializable, so build observed
+    jobs on ``spark.newSession()`` when the session also trains models.
     """
     src = df
     if observation is not None:

@@ -655,8 +655,12 @@ def q1_observed(spark, d):
     from pyspark.sql import Observation
     rules = rules6()
     obs = Observation("clean_audit")
-    clean_rows = Q.clean(S.trips_zoned(spark, d), rules, observation=obs)
-    io.write_csv(clean_rows.select("PU_Borough", "total_amount"), _scratch(spark, "mr_input_observed"))
+    # observed jobs run in a sibling session (same SparkContext): in Spark 4.1
+    # a session that has used an Observation can no longer serialize ML
+    # classification summaries, which would break later model training.
+    side = spark.newSession()
+    clean_rows = Q.clean(S.trips_zoned(side, d), rules, observation=obs)
+    io.write_csv(clean_rows.select("PU_Borough", "total_amount"), _scratch(side, "mr_input_observed"))
     m = obs.get
     removed = [(i + 1, r.name, int(m[r.name])) for i, r in enumerate(rules)]
     kept = int(m["original"]) - sum(x[2] for x in removed)

@@ -57,3 +57,11 @@ def test_copula_and_fresh_ids(spark, q):
     assert s.join(r.select("c_mktsegment").distinct(), "c_mktsegment", "left_anti").count() == 0
     ids = q["Y7_fresh_ids"](spark, SF)
     assert ids.select("c_custkey").distinct().count() == ids.count()
+
+
+def test_observed_audit_does_not_break_later_model_training(spark, q):
+    # Spark 4.1: a session that used an Observation cannot serialize ML
+    # classification summaries; the observed job runs in a sibling session.
+    audit = q["Q1_S5_clean_export_with_observed_audit"](spark, SF).collect()
+    assert sum(r.removed for r in audit) > 0
+    assert 0.0 <= q["T6_train_synthetic_test_real"](spark, SF).first().tstr_accuracy <= 1.0
