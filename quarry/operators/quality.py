@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quarry.functions.predicates import DEFAULT_SENTINELS, col_, is_present, pct
+from quarry.functions.predicates import DEFAULT_SENTINELS, is_present, pct
 
 __all__ = [
     "Rule", "trip_rules", "clean", "first_failing_rule", "rule_audit", "retention",

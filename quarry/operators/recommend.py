@@ -7,8 +7,6 @@ all items with all items.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
