@@ -666,3 +666,19 @@ def q1_observed(spark, d):
     kept = int(m["original"]) - sum(x[2] for x in removed)
     return spark.createDataFrame(removed + [(len(rules) + 1, "kept", kept)],
                                  "rule_order int, rule string, removed bigint")
+
+
+@register("G6_G7_export_then_map_reduce", with_(*BASE, CLEAN6_SQL) + """
+SELECT PU_Borough AS "key", round(sum(total_amount), 2) AS total_revenue, count(*) AS trip_count,
+       round(avg(total_amount), 4) AS avg_fare, min(total_amount) AS min_fare, max(total_amount) AS max_fare
+FROM clean GROUP BY PU_Borough""")
+def g6g7(spark, d):
+    """The reference's trip flow end to end: cleaned (borough, amount) rows are
+    exported as headerless CSV, the exported text is read back, parsed
+    tolerantly and reduced per borough (one shuffle: partial + final aggregate)."""
+    p = _scratch(spark, "export_for_reduce")
+    io.write_csv(cleaned(spark, d).select("PU_Borough", "total_amount"), p)
+    pairs = io.parse_pairs(spark.read.text(p))
+    r = G.reduce_pairs(pairs)
+    return r.select("key", F.round("total_revenue", 2).alias("total_revenue"), "trip_count",
+                    F.round("avg_fare", 4).alias("avg_fare"), "min_fare", "max_fare")
