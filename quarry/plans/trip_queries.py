@@ -682,3 +682,9 @@ def g6g7(spark, d):
     r = G.reduce_pairs(pairs)
     return r.select("key", F.round("total_revenue", 2).alias("total_revenue"), "trip_count",
                     F.round("avg_fare", 4).alias("avg_fare"), "min_fare", "max_fare")
+
+
+@register("G8_group_profile_approx", note="percentile_approx at Spark's default accuracy (the reference's form); rows-only")
+def g8_approx(spark, d):
+    g = G.group_profile(cleaned(spark, d), "PU_Borough", "total_amount")
+    return g.withColumn("avg_value", F.round("avg_value", 4))

@@ -65,3 +65,11 @@ def test_observed_audit_does_not_break_later_model_training(spark, q):
     audit = q["Q1_S5_clean_export_with_observed_audit"](spark, SF).collect()
     assert sum(r.removed for r in audit) > 0
     assert 0.0 <= q["T6_train_synthetic_test_real"](spark, SF).first().tstr_accuracy <= 1.0
+
+
+def test_approximate_profile_is_ordered_and_in_range(spark, q):
+    rows = q["G8_group_profile_approx"](spark, SF).collect()
+    assert rows
+    for r in rows:
+        qs = [r.q1_value, r.median_value, r.q3_value, r.p90_value, r.p95_value, r.p99_value]
+        assert r.min_value <= qs[0] and qs == sorted(qs) and qs[-1] <= r.max_value
