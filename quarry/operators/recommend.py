@@ -53,7 +53,8 @@ def similar(factors: DataFrame, query_ids: DataFrame, n: int = 10, id_col: str =
     if nq > max_queries:
         raise ValueError(f"{nq} query ids > max_queries={max_queries}; use approximate LSH for bulk search")
     rows = q.collect()
-    qlit = F.array(*[F.struct(F.lit(r[id_col]).alias("qid"),
+    id_type = factors.schema[id_col].dataType
+    qlit = F.array(*[F.struct(F.lit(r[id_col]).cast(id_type).alias("qid"),
                               F.array(*[F.lit(float(x)) for x in r[vec_col]]).alias("qv")) for r in rows])
     # explode_outer: no inferred size() > 0 filter re-running the scoring (array is never empty)
     scored = factors.select(F.col(id_col).alias("neighbour"), F.explode_outer(F.transform(

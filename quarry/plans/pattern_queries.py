@@ -114,8 +114,8 @@ def m6(spark, d):
 
 
 @register("M7_one_hot_drop_last", with_(*SEG_SQL, IDX_SQL) + """
-SELECT PULocationID, time_of_day, [CASE WHEN idx = 0 THEN 1.0 ELSE 0.0 END, CASE WHEN idx = 1 THEN 1.0 ELSE 0.0 END,
-       CASE WHEN idx = 2 THEN 1.0 ELSE 0.0 END] AS one_hot
+SELECT PULocationID, time_of_day, CAST([CASE WHEN idx = 0 THEN 1.0 ELSE 0.0 END, CASE WHEN idx = 1 THEN 1.0 ELSE 0.0 END,
+       CASE WHEN idx = 2 THEN 1.0 ELSE 0.0 END] AS DOUBLE[]) AS one_hot
 FROM seg JOIN ix USING (time_of_day)""")
 def m7(spark, d):
     enc, _ = SG.index_and_encode(seg_features(spark, d), "time_of_day")

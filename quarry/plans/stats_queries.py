@@ -253,7 +253,7 @@ def j10(spark, d):
 
 
 @register("W2_W3_top3_items_per_user", with_(S.RATINGS_SQL) + """
-SELECT "user", item, rating, "rank" FROM (
+SELECT "user", item, rating, CAST("rank" AS INTEGER) AS "rank" FROM (
   SELECT "user", item, rating, row_number() OVER (PARTITION BY "user" ORDER BY rating DESC, item) AS "rank"
   FROM (SELECT "user", item, CAST(sum(rating) AS BIGINT) AS rating FROM ratings GROUP BY "user", item))
 WHERE "rank" <= 3""")
@@ -382,7 +382,7 @@ def f10(spark, d):
 
 @register("F14_vector_slice_argmax_size", """
 SELECT vec_id, list_transform(embedding[1:3], lambda x: CAST(x AS DOUBLE)) AS head3,
-       CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS argmax, len(embedding) AS dim
+       CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS argmax, CAST(len(embedding) AS INTEGER) AS dim
 FROM embeddings""")
 def f14(spark, d):
     e = S.table(spark, d, "embeddings")

@@ -3,7 +3,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from tools.check_oracle import digest
+from tools.check_oracle import digest, spark_type_name
 
 SQL = E.oracle_sql()
 NAMES = sorted(SQL)
@@ -25,5 +25,8 @@ def test_matches_oracle(spark, duck, name):
     dcols = [c[0] for c in cur.description]
     drows = [tuple(r) for r in cur.fetchall()]
     assert sorted(sdf.columns) == sorted(dcols)
+    rel = duck.sql(SQL[name])
+    dtypes = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    assert {f.name: spark_type_name(f.dataType) for f in sdf.schema.fields} == dtypes
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows, 6)[0] == digest(dcols, drows, 6)[0]
