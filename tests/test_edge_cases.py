@@ -255,3 +255,35 @@ def test_column_quantiles_one_scan_match_numpy(spark):
         for p in (0.1, 0.5, 0.9):
             assert abs(cont[(c, p)] - float(np.percentile(xs, p * 100))) < 1e-9
             assert disc[(c, p)] == xs[math.ceil(p * len(xs)) - 1]
+
+
+def _hinted(df):
+    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower() or \
+        "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_sized_broadcast_proof_paths(spark):
+    from quarry.operators.joins import sized_broadcast
+    small = spark.createDataFrame([(i, str(i)) for i in range(10)], "k long, v string")
+    assert _hinted(sized_broadcast(small))                       # estimate under the bound
+    big = spark.range(0, 200000).withColumn("v", F.lit("x"))
+    assert not _hinted(sized_broadcast(big, max_bytes=1024))     # bounded count fails -> no hint
+    assert _hinted(sized_broadcast(big, max_bytes=1 << 30, rows_bound=100))  # known bound
+
+
+def test_spread_only_when_under_parallel(spark):
+    from quarry.operators.textmining import spread
+    par = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 100, numPartitions=1)
+    assert spread(one).rdd.getNumPartitions() == par
+    many = spark.range(0, 100, numPartitions=par)
+    assert spread(many) is many
+
+
+def test_infer_metadata_and_class_balance(spark):
+    df = spark.createDataFrame([(1, "a", 2.5, 7), (2, "b", 3.5, 7), (3, "a", None, 8)],
+                               "user_id long, cat string, x double, group_key long")
+    meta = {r.column_name: r.sdtype for r in Q.infer_metadata(df, {"x": "numerical"}).collect()}
+    assert meta == {"user_id": "id", "cat": "categorical", "x": "numerical", "group_key": "numerical"}
+    cb = {r.cat: (r.n, r.imbalanced) for r in Q.class_balance(df, "cat").collect()}
+    assert cb == {"a": (2, False), "b": (1, False)}
