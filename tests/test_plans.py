@@ -42,3 +42,11 @@ def test_no_python_udfs_outside_batch_scoring(spark):
                  "Q1_clean_audit_6_rules", "G7_map_reduce_revenue"]:
         p = plan(E.queries()[name](spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and name not in allowed
+
+
+def test_flagship_broadcasts_the_dimension_not_the_facts(spark):
+    df = TQ.revenue_by_zone(spark, SF)
+    df.collect()
+    p = plan(df)
+    line = [x for x in p.splitlines() if "BroadcastHashJoin [PULocationID" in x]
+    assert line and "BuildRight" in line[0]
