@@ -6,10 +6,6 @@ functions (codegen, no Python); TF-IDF is computed in long form
 """
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -26,14 +22,24 @@ __all__ = ["stop_words", "spread", "raw_tokens", "with_tokens", "with_terms", "t
 TOKEN_RE = WORD + "{2,}"
 
 
-@functools.lru_cache(maxsize=None)
-def stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's shipped stop-word list, read from the MLlib jar (no JVM needed)."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        words = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8").split()
-    return tuple(words)
+# The English stop words of Spark ML's StopWordsRemover, in its order.
+STOP_WORDS_ENGLISH = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+herself it its itself they them their theirs themselves what which who whom this that these those am is are
+was were be been being have has had having do does did doing a an the and but if or because as until while of
+at by for with about against between into through during before after above below to from up down in out on
+off over under again further then once here there when where why how all any both each few more most other
+some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll she'll
+we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't
+mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+would
+""".split()
+
+
+def stop_words() -> tuple[str, ...]:
+    """English stop words (a constant: nothing is read when modules load)."""
+    return tuple(STOP_WORDS_ENGLISH)
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
