@@ -1,0 +1,506 @@
+"""Each operator against brute force, an exact round trip or held-out accuracy, on small tables."""
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from quarry.llm import common, components, decontam, langid, licenses, permindex, pieces, secretscan, simhash, suffixdedup, tokenfiles, warc
+from quarry.llm import queries as Q
+from tests.conftest import SF_SMALL
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_df(spark, texts, ids=None, extra=False):
+    ids = list(range(len(texts))) if ids is None else ids
+    rows = [(i, t, "en", "s", None if t is None else len(t)) for i, t in zip(ids, texts)]
+    return spark.createDataFrame(rows, DOC)
+
+
+def rows(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def fixture_texts(spark):
+    return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()}
+
+
+AWKWARD = [None, "", " ", "\n\n", "a", "É", "the the the", "x" * 5000, "▁ a", " odd space \x1c y", "🙂 ok 🙂"]
+
+
+# --- components ------------------------------------------------------------------
+def test_components_match_union_find(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, None), (None, 6), (7, 7)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+    got = {r["node"]: r["component"] for r in rows(components.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b"))}
+    assert got == {x: find(x) for x in parent}
+    assert components.connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+# --- 1 sentencepiece -------------------------------------------------------------
+def model_path():
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def scanned(m, text, chunk):
+    s = m.normal(text)
+    cuts = [*range(0, max(len(s) - chunk // 2, 1), chunk), len(s)]
+    parts = [(s[max(0, lo - 32):hi], max(0, lo - 32), lo, hi) for lo, hi in zip(cuts, cuts[1:])]
+    ms = [pieces.chunk_matrix(m, *p) for p in parts]
+    left = ms[0]
+    for x in ms[1:]:
+        left = pieces.combine(left, x)
+    right = ms[-1]
+    for x in reversed(ms[:-1]):
+        right = pieces.combine(x, right)
+    assert {k for k in left if k[0] == len(s)} == {k for k in right if k[0] == len(s)}  # associative
+    return left
+
+
+def test_max_plus_scan_equals_library(spark):
+    m = pieces.load(model_path())
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(a) for _ in range(rng.randint(60, 400))) for a in
+             ("ab", "abc ", "a", "the of", "▁ a", "é你x1 ", "0123456789abcdef", "\n a", "the quick", "  x") for _ in range(4)]
+    texts += list(fixture_texts(spark).values())[:60] + AWKWARD
+    d = docs_df(spark, texts)
+    for chunk in (40, 64):
+        got = {r["doc_id"]: r for r in rows(pieces.encode(d, model_path(), giant=40, chunk=chunk))}
+        for i, t in enumerate(texts):
+            if t is None:
+                assert got[i]["ids"] is None and got[i]["decoded"] is None
+            else:
+                assert got[i]["ids"] == m.lib.encode(t), (chunk, t[:80])
+                assert got[i]["decoded"] == t.replace("▁", " ")
+    for t in texts[:20]:
+        assert scanned(m, t, 40)
+
+
+def test_piece_digests_whole_table(spark):
+    m = pieces.load(model_path())
+    texts = fixture_texts(spark)
+    got = {r["doc_id"]: r for r in rows(Q.QUERIES["op1_sentencepiece"](spark, SF_SMALL))}
+    assert set(got) == set(texts)
+    for i, t in texts.items():
+        ids = m.lib.encode(t)
+        assert (got[i]["n_tokens"], got[i]["ids_crc32"], got[i]["round_trip"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), True)
+
+
+# --- 2 suffix dedup --------------------------------------------------------------
+def brute_removal(texts, length):
+    seen = Counter()
+    data = [(t or "").encode() for t in texts]
+    for b in data:
+        for s in range(len(b) - length + 1):
+            seen[b[s:s + length]] += 1
+    out = []
+    for b in data:
+        gone = np.zeros(len(b), dtype=bool)
+        for s in range(len(b) - length + 1):
+            if seen[b[s:s + length]] > 1:
+                gone[s:s + length] = True
+        runs = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        kept = bytes(np.frombuffer(b, np.uint8)[~gone]) if len(b) else b""
+        out.append((len(b), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def repeats(rng, n, passage):
+    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 8)))
+    texts = [None, "", "short", "x" * 900, "ab" * 300, "abcabc" * 100]
+    common = " ".join(word() for _ in range(passage // 5))
+    for _ in range(n):
+        t = " ".join(word() for _ in range(rng.randint(5, 150)))
+        k = rng.random()
+        if k < 0.4:  # a passage cut anywhere, of any length
+            a, b = sorted((rng.randrange(len(common)), rng.randrange(len(common))))
+            t = t[: len(t) // 2] + common[a:b] + t[len(t) // 2:]
+        elif k < 0.6 and len(texts) > 8:  # a near copy
+            src = rng.choice(texts[6:])
+            at = rng.randrange(len(src) + 1)
+            t = src[:at] + rng.choice("xyz") + src[at:]
+        elif k < 0.7:  # an exact copy
+            t = rng.choice(texts[3:])
+        elif k < 0.75:  # repeats within
+            t = t + " | " + t
+        texts.append(t)
+    return texts
+
+
+@pytest.mark.parametrize("length,group_rows,seed", [(400, 4096, 1), (64, 4096, 2), (64, 1, 3), (64, 3, 4), (33, 8, 5)])
+def test_suffix_dedup_equals_brute_force(spark, monkeypatch, length, group_rows, seed):
+    texts = repeats(random.Random(seed), 120, 900 if length == 400 else 200)
+    want = brute_removal(texts, length)
+    real = suffixdedup.repeated_spans
+    monkeypatch.setattr(suffixdedup, "repeated_spans", lambda *a, **k: real(*a, **{**k, "group_rows": group_rows}))
+    got = {r["doc_id"]: r for r in rows(suffixdedup.removal_digests(docs_df(spark, texts).repartition(5), length=length))}
+    for i, w in enumerate(want):
+        g = got[i]
+        assert (g["n_bytes"], g["n_removed"], g["n_spans"], g["kept_sha256"]) == w, (i, texts[i])
+
+
+def test_suffix_dedup_long_text_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(suffixdedup, "_BLOCK", 257)
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab ") for _ in range(3000)) for _ in range(3)]
+    texts += [texts[0][100:900] + texts[1][:600], texts[2]]
+    for t in texts:
+        x = np.frombuffer(t.encode(), np.uint8)
+        a, first, last = suffixdedup._anchor_ranges(x, 64)
+        assert first[0] == 0 and last[-1] == len(x) - 64 and (first[1:] == last[:-1] + 1).all() and (a >= last).all() and (a <= first + 64 - 16).all()
+
+
+def test_suffix_dedup_fixture_query(spark):
+    t = fixture_texts(spark)
+    want = dict(zip(t, brute_removal(list(t.values()), 400)))
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows(Q.QUERIES["op2_suffix_dedup"](spark, SF_SMALL))}
+    assert got == want
+
+
+def test_suffix_dedup_odd_rows(spark):
+    assert suffixdedup.removal_digests(docs_df(spark, [])).count() == 0
+    t = " ".join(f"w{i}" for i in range(300))
+    d = spark.createDataFrame([(1, t, "x"), (1, t, "y"), (None, t[:900], "z"), (2, None, None), (None, None, "q")], "doc_id long, text string, id string")
+    got = sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"]) for r in rows(suffixdedup.removal_digests(d)))
+    assert got == sorted([("1", len(t), len(t)), ("1", len(t), len(t)), ("None", 900, 900), ("2", 0, 0), ("None", 0, 0)])
+
+
+# --- 3 token files ---------------------------------------------------------------
+def test_elias_fano():
+    rng = np.random.default_rng(1)
+    for n, top in ((0, 1), (1, 1), (5, 3), (1000, 10), (1000, 10 ** 9), (3000, 3000)):
+        v = np.sort(rng.integers(0, top, n))
+        e, size = tokenfiles.EliasFano.unpack(memoryview(tokenfiles.EliasFano.of(v, top).pack()))
+        assert (e.all() == v).all() and all(e.select(i) == v[i] for i in range(0, n, 7))
+
+
+def test_token_files_round_trip(spark, tmp_path):
+    from tokenizers import Tokenizer
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    lib = Tokenizer.from_file(path)
+    lib.encode_special_tokens = True
+    texts = list(fixture_texts(spark).values()) + AWKWARD + ["a  b", "a \n x", "it's  we'll\t\n", "<|endoftext|> x"]
+    rng = random.Random(2)
+    texts += ["".join(rng.choice(" \n\t \x1c .a1'sé") for _ in range(40)) for _ in range(200)]
+    ids = rng.sample(range(-500, 10 ** 12), len(texts) - 2) + [None, 2 ** 62 + 1]
+    folder = str(tmp_path / "f")
+    man = tokenfiles.write_token_files(docs_df(spark, texts, ids), tokenfiles.byte_bpe_encoder(path), folder, file_bytes=4000)
+    assert man.count() > 8
+    got = {r["doc_id"]: r for r in rows(tokenfiles.token_digests(spark, folder, man))}
+    start = 0
+    for i, t in sorted(zip(ids, texts), key=lambda x: (x[0] is not None, x[0] or 0)):
+        e = lib.encode(t or "", add_special_tokens=False).ids + [0]
+        assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (start, len(e), zlib.crc32(np.array(e, "<u4").tobytes())), t
+        start += len(e)
+    none = tokenfiles.write_token_files(docs_df(spark, []), tokenfiles.byte_bpe_encoder(path), str(tmp_path / "e"))
+    assert tokenfiles.token_digests(spark, str(tmp_path / "e"), none).count() == 0
+
+
+# --- 4 secrets -------------------------------------------------------------------
+def test_secret_scan_and_redaction(spark):
+    rng = random.Random(4)
+    hexs = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    texts, planted = [], {}
+    for i in range(200):
+        t = " ".join(rng.choice(["the", "house", "river", "thing", "stone", "water"]) for _ in range(40))
+        if i % 4 == 0:
+            s = rng.choice([hexs(40), "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOP234567") for _ in range(16))])
+            planted[i] = s
+            t += f' token = "{s}" ' if len(s) == 40 else f" {s} "
+        elif i % 4 == 1:
+            t += f" card {rng.randrange(10 ** 15, 10 ** 16)} "
+        texts.append(t + "end")
+    texts += [None, "", "token = ", "Ünï " * 3 + 'password=ab12cd34ef56ab78 é']
+    planted[len(texts) - 1] = "ab12cd34ef56ab78"
+    d = docs_df(spark, texts).withColumn("id", F.lit("clash")).withColumn("start", F.lit(1))
+    found = rows(secretscan.scan(d))
+    yes = {(r["id"], texts[r["id"]][r["start"]:r["end"]]) for r in found if r["is_secret"]}
+    assert yes == set(planted.items())
+    assert any(not r["is_secret"] for r in found)
+    out = {r["doc_id"]: r for r in rows(secretscan.redact(d))}
+    assert len(out) == len(texts) and set(next(iter(out.values()))) == set(d.columns)
+    for i, t in enumerate(texts):
+        want = t.replace(planted[i], "[SECRET]") if i in planted else t
+        assert out[i]["text"] == want and out[i]["n_chars"] == (None if want is None else len(want))
+    assert secretscan.scan(docs_df(spark, [])).count() == 0 and secretscan.redact(docs_df(spark, [])).count() == 0
+
+
+# --- 5 nearest neighbours --------------------------------------------------------
+def test_permutation_index_recall_and_ties(spark):
+    got, want = (f(spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.1')}/embeddings.parquet"), "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+                 for f in (permindex.search, permindex.exact_search))
+    got, want = common.saved(got, "t"), common.saved(want, "t")
+    assert permindex.recall(got, want) >= 0.9
+    assert got.count() == want.count()
+
+
+def test_nearest_neighbours_odd_rows(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(300, 8)).round(3)
+    base[40:160] = base[0]  # one very common vector
+    vs = [(i, [float(x) for x in v]) for i, v in enumerate(base)]
+    bad = [(1000, None), (1020, [0.0] * 8), (1040, [1.0] * 7 + [None]), (1060, [float("nan")] + [1.0] * 7), (1080, [float("inf")] * 8), (1100, []),
+           (None, [1.0] * 8), (1120, [1.0, 2.0])]
+    d = spark.createDataFrame(vs + bad, "vec_id long, embedding array<double>")
+    for f in (permindex.search, permindex.exact_search):
+        kw = {"depth": 1.0} if f is permindex.search else {}
+        got = {}
+        for r in rows(f(d, "vec_id", "embedding", F.col("vec_id") % 20 == 0, shard_rows=64, query_rows=4, **kw)):
+            got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+        assert set(got) == set(range(0, 300, 20))
+        for q, g in got.items():
+            s = (base * base[q]).sum(axis=1)
+            o = [i for i in np.lexsort((np.arange(300), -s)) if i != q][:20]
+            assert [x[1] for x in sorted(g)] == o and np.allclose([x[2] for x in sorted(g)], s[o])
+    assert permindex.search(d.where("false"), "vec_id", "embedding", F.col("vec_id") % 20 == 0).count() == 0
+
+
+# --- 6 language ------------------------------------------------------------------
+def test_language_id_held_out(spark):
+    got = rows(Q.QUERIES["op6_language_id"](spark, SF_SMALL.replace("0.001", "0.01")).join(
+        spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "lang"), "doc_id"))
+    assert len(got) == 1000 and all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
+    test = [r for r in got if r["held_out"] and r["lang"]]
+    assert sum(r["lang"] == r["lang_pred"] for r in test) / len(test) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_language_id_backoff_and_odd_rows(spark):
+    d = spark.createDataFrame([(0, "the water and the stone", "en"), (1, "das wasser und der stein", "de"), (2, None, "en"), (3, "x", None)],
+                              "doc_id long, text string, lang string")
+    m = langid.fit(d)
+    assert m.langs == ["de", "en"]
+    q = spark.createDataFrame([(None, "wassersteine", "a"), (2, "123 ²", "b"), (3, None, "c"), (4, "", None), (5, "THE", "d"), (5, "THE", "d"), (6, "wa " * 200_000, "e")],
+                              "doc_id long, text string, lang_pred string")
+    got = rows(langid.predict(q, m))
+    assert [(r["doc_id"], r["lang_pred"]) for r in got] == [(None, "de"), (2, "und"), (3, "und"), (4, "und"), (5, "en"), (5, "en"), (6, got[6]["lang_pred"])]
+    assert got[6]["lang_pred"] in ("de", "en") and got[1]["score"] == 0
+    nothing = langid.fit(d.where("false"))
+    assert [r["lang_pred"] for r in rows(langid.predict(q, nothing))] == ["und"] * 7
+
+
+# --- 7 decontamination -----------------------------------------------------------
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def bench_words(t):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+
+
+def brute_contamination(texts, items):
+    win = {}
+    for i, t in items:
+        w = bench_words(t)
+        for s in range(max(len(w) - 12, 1) if w else 0):
+            win.setdefault(tuple(w[s:s + 13]), set()).add(str(i))
+    out = []
+    for t in texts:
+        w, hit, its = bench_words(t), set(), set()
+        for n in {len(x) for x in win}:
+            for s in range(len(w) - n + 1):
+                got = win.get(tuple(w[s:s + n]))
+                if got:
+                    hit |= set(range(s, s + n))
+                    its |= got
+        out.append((len(w), len(hit), len(its), hashlib.sha256(",".join(sorted(its)).encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(w)))
+    return out
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = random.Random(6)
+    vocab = ["the", "of", "É", "Straße", "x1", "And", "river", "ab", "Zu"]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.choice([1, 2, 5, 13, 14, 30])))) for i in range(25)] + [(90, None), (91, "..."), (92, "")]
+    items += [(99, items[3][1])]
+    texts = [" ".join(rng.choice(vocab) for _ in range(rng.randint(0, 60))) for _ in range(60)] + AWKWARD
+    for i in range(0, 60, 5):
+        texts[i] += ", " + items[i % 25][1].upper().replace("É", "É") + "! " + texts[i]
+    want = brute_contamination(texts, items)
+    it = spark.createDataFrame(items, "item_id long, text string")
+    for kw in ({}, {"block": 7}):
+        d = docs_df(spark, texts).repartition(3).withColumn("n_hit", F.lit(7)).withColumn("x", F.lit("c"))
+        real = decontam.window_hits
+        try:
+            decontam.window_hits = lambda *a, **k: real(*a, **{**k, **kw})
+            got = {r["doc_id"]: r for r in rows(decontam.contamination_digests(d, it))}
+        finally:
+            decontam.window_hits = real
+        for i, w in enumerate(want):
+            g = got[i]
+            assert (g["n_words"], g["n_hit"], g["n_items"], g["items_sha256"], g["contaminated"]) == w, texts[i]
+    kept = {r["doc_id"] for r in rows(decontam.drop_contaminated(docs_df(spark, texts), it))}
+    assert kept == {i for i, w in enumerate(want) if not w[4]}
+    assert decontam.contamination(docs_df(spark, []), it).count() == 0
+    assert not any(r["contaminated"] for r in rows(decontam.contamination(docs_df(spark, texts), it.where("false"))))
+
+
+def test_decontamination_plan_is_native(spark):
+    plan = Q.QUERIES["op7_decontamination"](spark, SF_SMALL)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# --- 8 simhash -------------------------------------------------------------------
+def brute_fingerprint(text):
+    b = bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+    w = re.findall(rb"[^\x20\x09-\x0D]+", b)
+    if not w:
+        return 0
+    g = [b" ".join(w[i:i + 3]) for i in range(max(len(w) - 2, 1))]
+    h = [xxhash.xxh64_intdigest(x, 42) for x in g]
+    return sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h) > len(h))
+
+
+def brute_components(fp):
+    """fp: id -> fingerprint"""
+    ids = sorted(fp)
+    comp = {i: i for i in ids}
+
+    def find(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+    for a in ids:
+        for b in ids:
+            if a < b and bin(fp[a] ^ fp[b]).count("1") <= 3:
+                x, y = sorted((find(a), find(b)))
+                comp[y] = x
+    return {i: find(i) for i in ids}
+
+
+def test_simhash_query_equals_brute_force(spark):
+    t = fixture_texts(spark)
+    fp = {i: brute_fingerprint(x) for i, x in t.items()}
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in rows(Q.QUERIES["op8_simhash"](spark, SF_SMALL))}
+    comp = brute_components(fp)
+    assert got == {i: (f"{fp[i]:016x}", comp[i]) for i in t}
+
+
+@pytest.mark.parametrize("bucket_rows,tile", [(8192, 1024), (10, 4), (50, 16)])
+def test_tiled_links_find_every_component(spark, bucket_rows, tile):
+    rng = random.Random(8)
+    fp = {}
+    for c in range(25):
+        x = rng.getrandbits(64)
+        for _ in range(rng.choice([1, 2, 30])):
+            for _ in range(rng.randint(0, 4)):
+                x ^= 1 << rng.randrange(64)
+            fp[len(fp)] = x
+    seen, classes = set(), []
+    for i, x in fp.items():
+        if x not in seen:
+            seen.add(x)
+            classes.append((i, x - (1 << 64) if x >> 63 else x))
+    links = simhash.link_classes(spark.createDataFrame(classes, "node long, fingerprint long"), 3, tile, bucket_rows)
+    got = {r["node"]: r["component"] for r in rows(components.connected_components(links, "u", "v"))}
+    want = brute_components({i: fp[i] for i, _ in classes})
+    assert {i: got.get(i, i) for i in want} == want
+
+
+def test_simhash_odd_rows_and_keep(spark):
+    texts = ["a b c d e f g", "A b c\nd e  f g", None, "", "   ", "one two", "other words here", "other words here"]
+    d = docs_df(spark, texts, [5, 3, 9, 8, None, 1, 20, 20]).withColumn("fingerprint", F.lit(0)).withColumn("component_id", F.lit("x"))
+    got = sorted((str(r["doc_id"]), r["component_id"]) for r in rows(simhash.near_duplicates(d)))
+    assert got == sorted([("5", 3), ("3", 3), ("9", 8), ("8", 8), ("None", 8), ("1", 1), ("20", 20), ("20", 20)])
+    kept = rows(simhash.keep_one_of_each(d))
+    assert sorted(str(r["doc_id"]) for r in kept) == ["1", "20", "3", "8", "None"] and set(kept[0]) == set(d.columns)
+    assert simhash.near_duplicates(docs_df(spark, [])).count() == 0
+
+
+def test_long_text_fingerprint_in_slices(monkeypatch):
+    t = " ".join(f"w{i % 97}" for i in range(3000))
+    whole = simhash._fingerprint(t.encode(), 3)
+    monkeypatch.setattr(simhash, "_SLICE", 64)
+    assert simhash._fingerprint(t.encode(), 3) == whole == (lambda x: x - (1 << 64) if x >> 63 else x)(brute_fingerprint(t))
+
+
+# --- 9 licenses ------------------------------------------------------------------
+def test_licenses_and_inheritance(spark):
+    files = [("/a/LICENSE", "Released under the MIT License."), ("/a/b/c/x.txt", "plain words"), ("/a/b/y.txt", "Licensed under CC BY-NC 4.0.\n" + "river stone " * 20),
+             ("/a/b/d/COPYING.txt", "This work is licensed under the GNU General Public License, version 3."), ("/a/b/d/e/z.txt", None), ("/q/w.txt", ""),
+             (None, "see\nLicensed under the Apache License, Version 2.0.\nmore"), ("top.txt", "the license of the river"), ("/a/b/c/x.txt", "plain words")]
+    d = spark.createDataFrame([(i, p, t, "c") for i, (p, t) in enumerate(files)], "file long, path string, text string, license string")
+    got = {r["file"]: (r["license"], r["basis"], r["directory"]) for r in rows(licenses.scan_licenses(d, "file", "path", "text"))}
+    assert got == {0: ("MIT", "header", None), 1: ("MIT", "inherited", "/a"), 2: ("CC-BY-NC-4.0", "header", None), 3: ("GPL-3.0", "header", None),
+                   4: ("GPL-3.0", "inherited", "/a/b/d"), 5: (None, None, None), 6: ("Apache-2.0", "header", None), 7: (None, None, None), 8: ("MIT", "inherited", "/a")}
+    assert licenses.scan_licenses(d.where("false"), "file", "path", "text").count() == 0
+
+
+def test_license_query_finds_every_statement(spark):
+    t = fixture_texts(spark)
+    want = {i: [k for k, s in licenses.TEMPLATES if s in x.split("\n")] for i, x in t.items()}
+    got = {r["doc_id"]: r for r in rows(Q.QUERIES["op9_license_scan"](spark, SF_SMALL))}
+    assert set(got) == set(t)
+    for i, ks in want.items():
+        assert (got[i]["license"] in ks and got[i]["basis"] == "header") if ks else got[i]["basis"] != "header", t[i][-200:]
+
+
+# --- 10 WARC ---------------------------------------------------------------------
+def test_warc_round_trip(spark, tmp_path):
+    rng = random.Random(10)
+    big = "".join(chr(rng.randrange(32, 0x2000)) for _ in range(20_000))
+    html = [None, "", "short", "short", "é" * 60, "é" * 60, "x" * 99, "x" * 99, "x" * 100, "x" * 100, "\r\n\r\nWARC/1.1\r\n" * 20, big, big, "\x1f\x8b\x08 no member" * 30]
+    pages = [(i * 3, None if i == 3 else f"http://a/{i} b\r\n", h) for i, h in enumerate(html)] + [(None, "u", "é" * 60), (2 ** 60 + 1, "u", "z" * 500)]
+    d = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
+    folder = str(tmp_path / "w")
+    warc.write_warc(d.repartition(3), folder, file_bytes=3000)
+    for split in (97, 1000, 1 << 20):
+        got = rows(warc.read_warc(spark, folder, split))
+        assert len(got) == len(pages)
+        by = {r["page_id"]: r for r in got}
+        for i, u, h in pages:
+            p = (h or "").encode()
+            same = sorted(j for j, _, x in pages if (x or "") == (h or "") and j is not None)
+            r = by[i]
+            assert (r["payload_bytes"], r["payload_digest"]) == (len(p), hashlib.sha256(p).hexdigest())
+            revisit = len(p) >= 100 and same[0] != i
+            assert (r["record_type"], r["refers_to"]) == (("revisit", same[0]) if revisit else ("response", None))
+            assert r["payload"] == (None if revisit else p)
+    warc.write_warc(d.where("false"), str(tmp_path / "none"))
+
+
+# --- pipeline --------------------------------------------------------------------
+def test_pipeline_stages(spark):
+    import corpus_pipeline as C
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    assert [n for n, _ in C.STAGES] == ["language_id", "simhash_dedup", "decontaminate", "mask_secrets", "sentencepiece"]
+    at = {}
+    for name, stage in C.STAGES:
+        at[name + "_in"] = d
+        d = common.saved(stage(spark, d, SF_SMALL), "test-stage")
+        if name != "sentencepiece":
+            assert d.columns == at["language_id_in"].columns
+        at[name] = d
+    texts = lambda x: {r["doc_id"]: r["text"] for r in x.collect()}
+    a, b = texts(at["language_id_in"]), texts(at["language_id"])
+    assert set(b) == {i for i, t in a.items() if t and any(c.isalpha() for c in t)}
+    comp = brute_components({i: brute_fingerprint(t) for i, t in b.items()})
+    c = texts(at["simhash_dedup"])
+    assert set(c) == {i for i in b if comp[i] == i}
+    e = texts(at["decontaminate"])
+    assert set(e) == {i for (i, t), w in zip(c.items(), brute_contamination(c.values(), bench)) if not w[4]}
+    f = texts(at["mask_secrets"])
+    assert set(f) == set(e)
+    for i, t in e.items():
+        want = re.sub(r'(token = ")[0-9a-f]{40}(")', r"\1[SECRET]\2", re.sub(r"AKIA[0-9A-Z]{16}", "[SECRET]", re.sub(r"(password=)[0-9a-f]{18}", r"\1[SECRET]", t)))
+        assert f[i] == want, i
+    m = pieces.load(model_path())
+    ids = {r["doc_id"]: r["ids"] for r in at["sentencepiece"].collect()}
+    assert ids == {i: m.lib.encode(t) for i, t in f.items()}
