@@ -122,7 +122,7 @@ def _blocks(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k:
 
 
 def search(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int = 20, n_pivots: int = 256,
-           prefix: int = 64, depth: float = 0.3, shard_rows: int = 4096, query_rows: int = 2048) -> DataFrame:
+           prefix: int = 64, depth: float = 0.4, shard_rows: int = 4096, query_rows: int = 2048) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` rows of largest inner product
     found for every row that ``is_query`` names, itself excluded.
 
