@@ -108,8 +108,9 @@ def pct(num, den, digits: int | None = None) -> Column:
 
 
 def fingerprint(*cols, sep: str = "\u001f") -> Column:
-    """SHA-256 over the columns joined by a unit separator (nulls skipped)."""
-    return F.sha2(F.concat_ws(sep, *[col_(c).cast("string") for c in cols]), 256)
+    """SHA-256 over the columns joined by a unit separator; a value is marked
+    ``=``, a null ``-``, so rows that differ in where their nulls stand differ."""
+    return F.sha2(F.concat_ws(sep, *[F.coalesce(F.concat(F.lit("="), col_(c).cast("string")), F.lit("-")) for c in cols]), 256)
 
 
 def drop_matching(df: DataFrame, pattern: str = r"^Unnamed") -> DataFrame:

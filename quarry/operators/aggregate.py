@@ -14,11 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.predicates import pct
+from quarry.operators.joins import join_null_safe, sized_broadcast
+from quarry.operators.windows import running_totals
+from quarry.session import cut_lineage
 
 __all__ = [
     "reduce_pairs", "group_share", "group_profile", "bucket_share", "tail_share",
     "top_groups", "cap_impact", "cap_strategies", "clean_by_group_caps", "describe_long",
-    "describe_numeric", "exact_quantiles", "discrete_quantiles", "column_quantiles", "ranks_to_values", "describe_categorical", "value_counts", "sparsity",
+    "describe_numeric", "exact_quantiles", "discrete_quantiles", "group_quantile", "column_quantiles", "ranks_to_values", "describe_categorical", "value_counts", "sparsity",
     "dataset_summary", "activity_stats", "rating_distribution", "histogram",
     "grouped_histogram", "category_counts_by_source", "proportion_table", "corr_matrix",
     "density", "collapse_pairs", "length_stats", "positive_rate", "union_tagged",
@@ -54,7 +57,8 @@ def group_profile(df: DataFrame, key: str, value: str,
 
     ``exact=False``: ``percentile_approx`` (one aggregate, bounded sketch).
     ``exact=True``: discrete percentiles (value at rank ceil(p*n)) from the
-    distributed per-group order-statistic lookup, no per-group value buffer."""
+    distributed per-group order-statistic lookup, no per-group value buffer.
+    ``n`` counts all rows of a group in both forms; a null key is a group."""
     probs = [p for _, p in percentiles]
     aggs = [F.count(F.lit(1)).alias("n"), F.avg(value).alias("avg_value"),
             F.min(value).alias("min_value"), F.max(value).alias("max_value")]
@@ -66,20 +70,18 @@ def group_profile(df: DataFrame, key: str, value: str,
     # ONE pass over the input: a per-group value-frequency table; counts,
     # moments and order statistics are all derived from it.
     v = F.col(value)
-    # read by several stages below: persisted once (memory, spilling to disk)
-    freq = df.where(v.isNotNull()).groupBy(key, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c")).persist()
-    g = freq.groupBy(key).agg(F.sum("_c").alias("n"), (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("avg_value"),
+    # read by several stages below: checkpointed once
+    freq = cut_lineage(df.groupBy(key, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+    some = F.when(F.col("_v").isNotNull(), F.col("_c"))
+    g = freq.groupBy(key).agg(F.sum("_c").alias("n"), F.sum(some).alias("_n"), (F.sum(F.col("_v") * F.col("_c")) / F.sum(some)).alias("avg_value"),
                               F.min("_v").alias("min_value"), F.max("_v").alias("max_value"))
-    max_groups = 100_000
-    ng = g.limit(max_groups + 1).count()
-    bound = ng if ng <= max_groups else None
     req = F.array(*[F.struct(F.lit(float(p)).alias("p"),
-                             F.greatest(F.ceil(F.lit(float(p)) * F.col("n")), F.lit(1)).cast("bigint").alias("r"))
+                             F.greatest(F.ceil(F.lit(float(p)) * F.col("_n")), F.lit(1)).cast("bigint").alias("r"))
                     for p in probs])
-    got = ranks_to_values(freq, [key], g.select(key, req.alias("_req")), n_groups=bound)
+    got = ranks_to_values(freq.where("_v is not null"), [key], g.where("_n > 0").select(key, req.alias("_req")))
     wide = got.groupBy(key).pivot("p", [float(p) for p in probs]).agg(F.first("value"))
     wide = wide.select(key, *[F.col(f"`{float(p)}`").alias(f"{name}_value") for name, p in percentiles])
-    return g.join(wide, key, "left").select(key, "n", "avg_value", "min_value", "max_value",
+    return join_null_safe(g, wide, [key], "left").select(key, "n", "avg_value", "min_value", "max_value",
                                             *[f"{name}_value" for name, _ in percentiles],
                                             (F.col("n") < small_sample).alias("small_sample"))
 
@@ -169,7 +171,7 @@ def clean_by_group_caps(df: DataFrame, key: str, value: str, caps: Mapping[str,
 
 
 def ranks_to_values(freq: DataFrame, group_cols: Sequence[str], ranks: DataFrame,
-                    n_groups: int | None = None, n_buckets: int = 64) -> DataFrame:
+                    n_buckets: int | None = None) -> DataFrame:
     """Exact order statistics for a few requested ranks per group.
 
     ``freq`` is ``(group..., _v, _c)`` (distinct values and counts); ``ranks``
@@ -177,12 +179,10 @@ def ranks_to_values(freq: DataFrame, group_cols: Sequence[str], ranks: DataFrame
     ranks).  After the distributed prefix sum each distinct value knows its
     rank interval ``(lo, hi]`` and keeps the requested ranks inside it, so the
     result has one row per requested rank and nothing is gathered."""
-    from quarry.operators.joins import sized_broadcast
-    from quarry.operators.windows import running_totals
     g = list(group_cols)
-    cum = running_totals(freq, "_v", {"_hi": F.col("_c")}, g, n_buckets=n_buckets, n_groups=n_groups)
-    j = cum.join(sized_broadcast(ranks, rows_bound=n_groups), g) if g else \
-        cum.join(sized_broadcast(ranks, rows_bound=1), how="inner")
+    cum = running_totals(freq, "_v", {"_hi": F.col("_c")}, g, n_buckets=n_buckets)
+    # without groups there is one row of ranks
+    j = join_null_safe(cum, sized_broadcast(ranks), g) if g else cum.join(F.broadcast(ranks.limit(1)), how="inner")
     lo, hi = F.col("_hi") - F.col("_c"), F.col("_hi")
     hit = F.filter("_req", lambda x: (x["r"] > lo) & (x["r"] <= hi))
     return j.select(*g, "_v", F.explode_outer(hit).alias("_q")).where(F.col("_q").isNotNull()) \
@@ -200,7 +200,7 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     cols = list(cols)
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
         .unpivot([], cols, "column_name", "_v").where(F.col("_v").isNotNull())
-    freq = long.groupBy("column_name", "_v").agg(F.count(F.lit(1)).alias("_c")).persist()
+    freq = cut_lineage(long.groupBy("column_name", "_v").agg(F.count(F.lit(1)).alias("_c")))
     n = freq.groupBy("column_name").agg(F.sum("_c").alias("n"))
     items = []
     for p in probs:
@@ -212,7 +212,7 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         else:
             items.append(F.struct(pl.alias("p"), F.greatest(F.ceil(pl * F.col("n")), F.lit(1)).cast("bigint").alias("r")))
     ranks = n.select("column_name", F.array(*items).alias("_req"))
-    got = ranks_to_values(freq, ["column_name"], ranks, n_groups=len(cols))
+    got = ranks_to_values(freq, ["column_name"], ranks)
     if not interpolate:
         return got.select("column_name", "p", "value")
     g = got.groupBy("column_name", "p").agg(F.min_by("value", "r").alias("lo"), F.max_by("value", "r").alias("hi"))
@@ -221,10 +221,22 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return g.select("column_name", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (h - F.floor(h))).alias("value"))
 
 
+def group_quantile(df: DataFrame, key: str, col: str, p: float) -> DataFrame:
+    """Exact linearly interpolated quantile ``(key, value)`` per group (a null key is a group)."""
+    x = F.col(col).cast("double")
+    freq = cut_lineage(df.where(x.isNotNull()).groupBy(key, x.alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+    n = freq.groupBy(key).agg(F.sum("_c").alias("n"))
+    h = F.lit(float(p)) * (F.col("n") - 1)
+    ends = [F.struct(F.lit(float(p)).alias("p"), (f(h) + 1).cast("bigint").alias("r")) for f in (F.floor, F.ceil)]
+    got = ranks_to_values(freq, [key], n.select(key, F.array(*ends).alias("_req")))
+    g = got.groupBy(key).agg(F.min_by("value", "r").alias("lo"), F.max_by("value", "r").alias("hi"))
+    return join_null_safe(g, n, [key]).select(key, (F.col("lo") + (F.col("hi") - F.col("lo")) * (h - F.floor(h))).alias("value"))
+
+
 def discrete_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
     """Exact discrete quantiles ``(p, value)``: the value at rank ``ceil(p * n)``."""
     x = F.col(col).cast("double")
-    freq = df.where(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c")).persist()
+    freq = cut_lineage(df.where(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
     n = freq.select(F.sum("_c")).scalar()
     req = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.greatest(F.ceil(F.lit(float(p)) * n), F.lit(1)).cast("bigint").alias("r"))
                     for p in probs])
@@ -274,7 +286,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
     ``quantile_cont``): the order statistics at ``floor`` and ``ceil`` of
     ``p * (n - 1)`` come from :func:`ranks_to_values` (no value buffer)."""
     x = F.col(col).cast("double")
-    freq = df.where(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c")).persist()
+    freq = cut_lineage(df.where(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
     n = freq.select(F.sum("_c")).scalar()
     items = []
     for p in probs:
@@ -348,7 +360,8 @@ def dataset_summary(ratings: DataFrame, user: str = "user", item: str = "item",
     a = ratings.agg(F.count(F.lit(1)).cast("double").alias("n"),
                     F.count_distinct(user).cast("double").alias("u"),
                     F.count_distinct(item).cast("double").alias("i"),
-                    F.avg(rating).alias("m"), F.median(rating).cast("double").alias("med"))
+                    F.avg(rating).alias("m"))
+    a = a.crossJoin(F.broadcast(exact_quantiles(ratings, rating, [0.5]).select(F.col("value").alias("med"))))  # one row each
     a = a.withColumn("sp", (F.lit(1.0) - F.col("n") / (F.col("u") * F.col("i"))) * 100)
     return a.selectExpr(
         "stack(6, 'total_ratings', n, 'unique_users', u, 'unique_items', i, "
@@ -359,11 +372,12 @@ def dataset_summary(ratings: DataFrame, user: str = "user", item: str = "item",
 def activity_stats(df: DataFrame, key: str, digits: int = 4) -> DataFrame:
     """Mean, median, min, max, std of rows per entity (two-level aggregate)."""
     per = df.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
-    return per.agg(F.round(F.avg("_c"), digits).alias("mean"),
-                   F.round(F.median("_c").cast("double"), digits).alias("median"),
+    med = exact_quantiles(per, "_c", [0.5]).select(F.round("value", digits).alias("median"))
+    a = per.agg(F.round(F.avg("_c"), digits).alias("mean"),
                    F.min("_c").cast("bigint").alias("min"), F.max("_c").cast("bigint").alias("max"),
                    F.round(F.stddev_samp("_c"), digits).alias("std"),
                    F.count(F.lit(1)).alias("n_entities"))
+    return a.crossJoin(F.broadcast(med)).select("mean", "median", "min", "max", "std", "n_entities")  # one row each
 
 
 def rating_distribution(df: DataFrame, rating: str = "rating") -> DataFrame:
@@ -473,11 +487,13 @@ def length_stats(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFra
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"m{i}"), F.median(x).alias(f"md{i}"), F.min(x).alias(f"lo{i}"),
+        aggs += [F.avg(x).alias(f"m{i}"), F.min(x).alias(f"lo{i}"),
                  F.max(x).alias(f"hi{i}"), F.stddev_samp(x).alias(f"s{i}")]
     wide = df.agg(*aggs)
-    st = ", ".join(f"'{c}', m{i}, md{i}, lo{i}, hi{i}, s{i}" for i, c in enumerate(cols))
-    r = wide.selectExpr(f"stack({len(cols)}, {st}) as (measure, mean, median, min, max, std)")
+    st = ", ".join(f"'{c}', m{i}, lo{i}, hi{i}, s{i}" for i, c in enumerate(cols))
+    r = wide.selectExpr(f"stack({len(cols)}, {st}) as (measure, mean, min, max, std)")
+    med = column_quantiles(df, cols, [0.5], interpolate=True).select(F.col("column_name").alias("measure"), F.col("value").alias("median"))
+    r = r.join(med, "measure", "left")
     return r.select("measure", *[F.round(c, digits).alias(c) for c in ("mean", "median", "min", "max", "std")])
 
 

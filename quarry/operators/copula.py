@@ -80,7 +80,7 @@ class CopulaModel:
     corr: np.ndarray
 
 
-def fit_copula(df: DataFrame, cols: Sequence[str], n_buckets: int = 64) -> CopulaModel:
+def fit_copula(df: DataFrame, cols: Sequence[str], n_buckets: int | None = None) -> CopulaModel:
     cols = list(cols)
     scored = df.select(*cols)
     for c in cols:

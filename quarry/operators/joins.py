@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quarry.functions.vectors import dot
 
 __all__ = [
-    "estimated_bytes", "sized_broadcast", "enrich", "enrich_roles", "exclude_seen",
+    "estimated_bytes", "measured_bytes", "sized_broadcast", "join_null_safe", "enrich", "enrich_roles", "exclude_seen",
     "members", "align_freq", "score_pairs",
 ]
 
@@ -27,18 +27,21 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(v) if isinstance(v, int) else int(v.toString())
 
 
-def _row_width(df: DataFrame) -> int:
+def _fixed_width(df: DataFrame) -> int | None:
+    """Bytes of a row, where every column has a fixed width; else None."""
     from pyspark.sql import types as T
-    w = 16
-    for f in df.schema.fields:
-        t = f.dataType
-        if isinstance(t, (T.StringType, T.BinaryType)):
-            w += 64
-        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
-            w += 256
-        else:
-            w += 8
-    return w
+    if any(isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType))
+           for f in df.schema.fields):
+        return None
+    return 16 + 16 * len(df.columns)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of ``df`` as text plus row overhead, summed over its rows in one
+    distributed aggregate."""
+    text = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in df.schema.fields]
+    r = df.agg(F.count(F.lit(1)).alias("n"), *[F.sum(t).alias(f"b{i}") for i, t in enumerate(text)]).first()
+    return r["n"] * (16 + 16 * len(text)) + sum(r[f"b{i}"] or 0 for i in range(len(text)))
 
 
 def sized_broadcast(dim: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
@@ -46,21 +49,27 @@ def sized_broadcast(dim: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
     """Broadcast hint only for a side proven to be under ``max_bytes``.
 
     First the optimizer's estimate; when it is inconclusive (without CBO a
-    joined dimension is estimated as the product of its inputs) the bound is
-    proven by counting at most ``max_rows + 1`` rows (bounded work).  Beyond
-    the bound the join stays a shuffle join.  ``rows_bound`` is a row count
-    known by construction (e.g. one row per bucket of a fixed number of
-    groups); when given and small enough no job is needed."""
-    if rows_bound is not None and rows_bound * _row_width(dim) <= max_bytes:
+    joined dimension is estimated as the product of its inputs) the side's
+    bytes are summed by an aggregate.  Beyond the bound the join stays a
+    shuffle join.  ``rows_bound`` is a row count known by construction (e.g.
+    one row per bucket of a fixed number of groups); with columns of fixed
+    width it proves the bound without a job."""
+    width = _fixed_width(dim)
+    if rows_bound is not None and width is not None and rows_bound * width <= max_bytes:
+        return F.broadcast(dim)
+    if estimated_bytes(dim) <= max_bytes or measured_bytes(dim) <= max_bytes:
         return F.broadcast(dim)
-    try:
-        if estimated_bytes(dim) <= max_bytes:
-            return F.broadcast(dim)
-    except Exception:  # noqa: BLE001  estimate unavailable
-        pass
-    max_rows = max(1, max_bytes // _row_width(dim))
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return dim
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join in which null keys match each other; the keys appear once."""
+    names = {k: f"_rk_{i}" for i, k in enumerate(keys)}
+    r = right.select(*[F.col(k).alias(names[k]) if k in names else F.col(k) for k in right.columns])
+    cond = F.lit(True)
+    for k, v in names.items():
+        cond = cond & F.col(k).eqNullSafe(F.col(v))
+    return left.join(r, cond, how).drop(*names.values())
 
 
 def enrich(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
@@ -98,17 +107,21 @@ def members(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def align_freq(a: DataFrame, b: DataFrame, key: str, a_col: str, b_col: str,
                a_name: str = "a", b_name: str = "b") -> DataFrame:
-    """Full-outer alignment of two frequency tables; missing -> 0."""
-    j = a.select(key, F.col(a_col).alias(a_name)).join(
-        b.select(key, F.col(b_col).alias(b_name)), key, "full_outer")
-    return j.select(key, F.coalesce(a_name, F.lit(0)).alias(a_name),
+    """Full-outer alignment of two frequency tables; missing -> 0, and a null
+    key matches a null key."""
+    j = a.select(F.col(key).alias("_ka"), F.col(a_col).alias(a_name)).join(
+        b.select(F.col(key).alias("_kb"), F.col(b_col).alias(b_name)), F.col("_ka").eqNullSafe(F.col("_kb")), "full_outer")
+    return j.select(F.coalesce("_ka", "_kb").alias(key), F.coalesce(a_name, F.lit(0)).alias(a_name),
                     F.coalesce(b_name, F.lit(0)).alias(b_name))
 
 
 def score_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
                 user: str = "user", item: str = "item") -> DataFrame:
-    """Dot product of factors for given (user, item) pairs (two equi-joins)."""
+    """Dot product of factors for given (user, item) pairs (two equi-joins).
+
+    Only the factors of items that occur are joined, by broadcast if they are
+    few: a handful of items shared by all pairs is then no hot key."""
     u = user_factors.select(F.col("id").alias(user), F.col("features").alias("_uf"))
-    i = item_factors.select(F.col("id").alias(item), F.col("features").alias("_if"))
-    return (pairs.join(u, user).join(i, item)
+    i = item_factors.select(F.col("id").alias(item), F.col("features").alias("_if")).join(pairs.select(item).distinct(), item, "left_semi")
+    return (pairs.join(u, user).join(sized_broadcast(i), item)
             .withColumn("score", dot("_uf", "_if")).drop("_uf", "_if"))

@@ -18,7 +18,8 @@ def baskets(df: DataFrame, cols: Sequence[str], out: str = "items") -> DataFrame
 def fit_fpgrowth(b: DataFrame, min_support: float = 0.001, min_confidence: float = 0.2,
                  items: str = "items") -> FPGrowthModel:
     """Parallel FP-growth (item groups are mined in parallel after one shuffle)."""
-    return FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence).fit(b)
+    return FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence,
+                    numPartitions=b.sparkSession.sparkContext.defaultParallelism).fit(b)
 
 
 def frequent_itemsets(model: FPGrowthModel, n_baskets=None, digits: int = 9) -> DataFrame:

@@ -152,11 +152,10 @@ def missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def class_balance(df: DataFrame, label: str, threshold: float = 2.0) -> DataFrame:
     """Q8: count and % per class, majority/minority ratio and imbalance flag."""
-    from pyspark.sql import Window
     g = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy()  # one row per class: bounded
-    ratio = F.try_divide(F.max("n").over(w).cast("double"), F.min("n").over(w).cast("double"))
-    return g.select(label, "n", pct("n", F.sum("n").over(w), 2).alias("pct"),
+    most, least, total = (g.select(f("n")).scalar() for f in (F.max, F.min, F.sum))
+    ratio = F.try_divide(most.cast("double"), least.cast("double"))
+    return g.select(label, "n", pct("n", total, 2).alias("pct"),
                     F.round(ratio, 2).alias("imbalance_ratio"),
                     (ratio > F.lit(threshold)).alias("imbalanced"))
 

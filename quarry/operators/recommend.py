@@ -1,9 +1,8 @@
 """Recommendation operators.
 
-Exact top-N similarity uses a bounded, size-checked query list shipped in
-the plan as a literal; the candidate side is scanned once (map-only),
-and the per-query top-N is a two-stage WindowGroupLimit.  Nothing pairs
-all items with all items.
+Exact top-N similarity broadcasts the stated queries in blocks; the
+candidate side is scanned once a block (map-only), and the per-query top-N
+is a two-stage WindowGroupLimit.  Nothing pairs all items with all items.
 """
 from __future__ import annotations
 
@@ -12,15 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import cosine
-from quarry.operators.joins import exclude_seen
-from quarry.operators.windows import top_n_per_group
+from quarry.operators.joins import exclude_seen, sized_broadcast
+from quarry.operators.windows import index_ids, rank_within, top_n_per_group
+from quarry.session import cut_lineage
 
-__all__ = ["implicit_positives", "interactions", "similar", "fit_als", "recommend", "als_report",
+__all__ = ["implicit_positives", "implicit_rows", "interaction_triples", "interactions", "similar", "fit_als", "recommend", "als_report",
            "popular_unseen"]
 
-MAX_QUERIES = 1024
-
-
 def implicit_positives(ratings: DataFrame, rating: str = "rating", min_rating: int = 4,
                        user: str = "user", item: str = "item") -> DataFrame:
     """Keep ratings >= ``min_rating``; report kept rows, % kept, users and items left (one scan)."""
@@ -31,6 +28,18 @@ def implicit_positives(ratings: DataFrame, rating: str = "rating", min_rating: i
     return a.select("n_kept", "n_users", "n_items", F.round(F.col("n_kept") * 100.0 / F.col("_n"), 4).alias("pct_kept"))
 
 
+def implicit_rows(ratings: DataFrame, rating: str = "rating", min_rating: int = 4) -> DataFrame:
+    """The kept rows themselves."""
+    return ratings.where(F.col(rating) >= min_rating)
+
+
+def interaction_triples(ratings: DataFrame, user: str = "user", item: str = "item", rating: str = "rating") -> DataFrame:
+    """``(user_index, item_index, rating)``: duplicates summed, dense zero-based indices in id order."""
+    pairs = cut_lineage(ratings.groupBy(user, item).agg(F.sum(rating).alias(rating)))
+    ui, ii = index_ids(pairs, user, "user_index"), index_ids(pairs, item, "item_index")
+    return pairs.join(ui, user).join(ii, item).select("user_index", "item_index", user, item, rating)
+
+
 def interactions(ratings: DataFrame, user: str = "user", item: str = "item",
                  rating: str = "rating") -> DataFrame:
     """Duplicates summed; dimensions and sparsity of the implied matrix."""
@@ -41,27 +50,28 @@ def interactions(ratings: DataFrame, user: str = "user", item: str = "item",
 
 
 def similar(factors: DataFrame, query_ids: DataFrame, n: int = 10, id_col: str = "id",
-            vec_col: str = "features", max_queries: int = MAX_QUERIES, digits: int = 6) -> DataFrame:
+            vec_col: str = "features", block: int = 1024, digits: int = 6) -> DataFrame:
     """Top-``n`` cosine neighbours of each query id (self included at 1.0).
 
-    The query list is bounded (``max_queries``, checked before anything is
-    fetched); its vectors travel inside the plan, every candidate row is
-    scored against them map-side, and top-N keeps at most ``n`` rows per
-    query per task before the shuffle."""
-    q = factors.join(query_ids.select(id_col).distinct(), id_col, "left_semi").select(id_col, vec_col)
-    nq = q.count()
-    if nq > max_queries:
-        raise ValueError(f"{nq} query ids > max_queries={max_queries}; use approximate LSH for bulk search")
-    rows = q.collect()
-    id_type = factors.schema[id_col].dataType
-    qlit = F.array(*[F.struct(F.lit(r[id_col]).cast(id_type).alias("qid"),
-                              F.array(*[F.lit(float(x)) for x in r[vec_col]]).alias("qv")) for r in rows])
-    # explode_outer: no inferred size() > 0 filter re-running the scoring (array is never empty)
-    scored = factors.select(F.col(id_col).alias("neighbour"), F.explode_outer(F.transform(
-        qlit, lambda s: F.struct(s["qid"].alias("query"), cosine(F.col(vec_col), s["qv"]).alias("score")))).alias("s"))
-    scored = scored.select(F.col("s.query").alias("query"), "neighbour", F.col("s.score").alias("score"))
-    top = top_n_per_group(scored, ["query"], [F.desc("score"), F.col("neighbour")], n)
-    return top.select("query", "neighbour", F.round("score", digits).alias("score"), F.col("rank").cast("int"))
+    Queries are taken in blocks of about ``block``; a block's vectors are
+    broadcast as one row, every candidate row is scored against them
+    map-side, and top-N keeps at most ``n`` rows per query per task before
+    the shuffle.  More queries take more blocks (one scan each)."""
+    q = factors.join(query_ids.select(id_col).distinct(), id_col, "left_semi").select(
+        F.col(id_col).alias("query"), F.col(vec_col).alias("qv"))
+    blocks = max(1, -(-q.count() // block))
+    q = cut_lineage(q.withColumn("_b", F.pmod(F.xxhash64("query"), F.lit(blocks))))
+    out = None
+    for k in range(blocks):
+        qs = q.where(F.col("_b") == k).agg(F.collect_list(F.struct("query", "qv")).alias("_q"))  # one row of about block vectors
+        # explode_outer: no inferred size() > 0 filter re-running the scoring
+        scored = factors.select(F.col(id_col).alias("neighbour"), F.col(vec_col).alias("_v")).join(F.broadcast(qs), how="cross") \
+            .select("neighbour", F.explode_outer(F.transform("_q", lambda s: F.struct(
+                s["query"].alias("query"), cosine(F.col("_v"), s["qv"]).alias("score")))).alias("s")) \
+            .select("s.query", "neighbour", "s.score").where(F.col("query").isNotNull())
+        top = top_n_per_group(scored, ["query"], [F.desc("score"), F.col("neighbour")], n)
+        out = top if out is None else out.unionByName(top)
+    return out.select("query", "neighbour", F.round("score", digits).alias("score"), F.col("rank").cast("int"))
 
 
 def fit_als(ratings: DataFrame, rank: int = 50, reg: float = 0.01, iters: int = 15, alpha: float = 1.0,
@@ -69,10 +79,10 @@ def fit_als(ratings: DataFrame, rank: int = 50, reg: float = 0.01, iters: int =
             n_blocks: int | None = None) -> ALSModel:
     """R2: implicit-feedback ALS (Spark scales lambda by counts and uses 1 + alpha*r).
 
-    ``n_blocks`` defaults to the cluster parallelism (capped at 200): user and
-    item factor blocks are the unit of the per-iteration shuffle."""
+    ``n_blocks`` defaults to the cluster parallelism: user and item factor
+    blocks are the unit of the per-iteration shuffle."""
     if n_blocks is None:
-        n_blocks = max(2, min(200, ratings.sparkSession.sparkContext.defaultParallelism))
+        n_blocks = max(2, ratings.sparkSession.sparkContext.defaultParallelism)
     als = ALS(implicitPrefs=True, rank=rank, regParam=reg, maxIter=iters, alpha=alpha, seed=seed,
               userCol=user, itemCol=item, ratingCol=rating, coldStartStrategy="drop",
               checkpointInterval=10, numUserBlocks=n_blocks, numItemBlocks=n_blocks)
@@ -80,25 +90,24 @@ def fit_als(ratings: DataFrame, rank: int = 50, reg: float = 0.01, iters: int =
 
 
 def recommend(model: ALSModel, seen: DataFrame, n: int = 10, user: str = "user", item: str = "item",
-              light_seen: int = 200) -> DataFrame:
-    """Best ``n`` unseen items per user, exact.
-
-    ALS's blockified top-k must ask for ``n + seen_u`` items so that ``n``
-    survive the anti-join.  Users are split by how many items they have
-    seen: light users (<= ``light_seen``) ask for ``n + light_seen``; the few
-    heavy users ask for ``n + their max``, so one heavy user never inflates
-    every user's top-k heap."""
+              users: DataFrame | None = None) -> DataFrame:
+    """Best ``n`` unseen items for ``users`` (default: every user with an
+    interaction), exact.
+
+    A user who has seen k items needs the best ``n + k`` so that ``n`` survive
+    the anti-join.  Users are dealt into bands by the power of two above k,
+    so one heavy user never inflates every user's top-k heap."""
+    if users is not None:
+        seen = seen.join(users.select(user).distinct(), user, "left_semi")
     per = seen.groupBy(user).agg(F.count_distinct(item).alias("_k"))
-    k = F.col("_k")
-    mx = per.agg(F.max(F.when(k <= light_seen, k)).alias("l"), F.max(F.when(k > light_seen, k)).alias("h")).first()
-    parts = []
-    if mx["l"] is not None:
-        parts.append(model.recommendForUserSubset(per.where(k <= light_seen).select(user), n + int(mx["l"])))
-    if mx["h"] is not None:
-        parts.append(model.recommendForUserSubset(per.where(k > light_seen).select(user), n + int(mx["h"])))
+    per = cut_lineage(per.withColumn("_band", F.ceil(F.log2(F.col("_k") + 1)).cast("int")))
+    bands = [r["_band"] for r in per.select("_band").distinct().orderBy("_band").collect()]  # 63 at most
+    parts = [model.recommendForUserSubset(per.where(F.col("_band") == b).select(user), n + (1 << b)) for b in bands]
     if not parts:  # no interactions at all: same schema, no rows
-        parts.append(model.recommendForUserSubset(per.select(user).limit(0), n))
-    recs = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        parts = [model.recommendForUserSubset(per.select(user).limit(0), n)]
+    recs = parts[0]
+    for p in parts[1:]:
+        recs = recs.unionByName(p)
     e = recs.select(F.col(user), F.explode("recommendations").alias("r")) \
         .select(user, F.col(f"r.{item}").alias(item), F.col("r.rating").alias("score"))
     e = exclude_seen(e, seen, [user, item])
@@ -115,15 +124,20 @@ def als_report(model: ALSModel) -> DataFrame:
                                  ((u + i) * k).alias("total_parameters"))
 
 
-def popular_unseen(ratings: DataFrame, user_groups: DataFrame, group: str, n_candidates: int = 10,
+def popular_unseen(ratings: DataFrame, user_groups: DataFrame, group: str,
                    n: int = 5, user: str = "user", item: str = "item") -> DataFrame:
-    """Items popular in the user's group (top ``n_candidates`` per group),
-    minus items the user has seen, top ``n`` per user.  Candidates join on the
-    group key (bounded fan-out: ``n_candidates`` per user)."""
+    """The ``n`` items most popular in the user's group that the user has not seen.
+
+    Items are ranked once per group.  A user who has seen k items finds the
+    ``n`` among the first ``n + k`` of the group, so the join is bounded by
+    that, the anti-join removes the seen ones, and nobody gets fewer than
+    the group offers."""
     rg = ratings.join(user_groups, user)
     pop = rg.groupBy(group, item).agg(F.count(F.lit(1)).alias("popularity"))
-    cand = top_n_per_group(pop, [group], [F.desc("popularity"), F.col(item)], n_candidates).drop("rank")
-    users = user_groups.join(ratings.select(user).distinct(), user, "left_semi")
-    recs = users.join(cand, group)
+    ranked = rank_within(pop, [group], [F.desc("popularity"), F.col(item)], "_place")
+    users = user_groups.join(ratings.groupBy(user).agg(F.count_distinct(item).alias("_k")), user)
+    g = F.col(f"u.{group}") == F.col(f"p.{group}")
+    recs = users.alias("u").join(sized_broadcast(ranked).alias("p"), g & (F.col("_place") <= F.col("_k") + n)) \
+        .select(f"u.{user}", f"u.{group}", f"p.{item}", "popularity")
     recs = exclude_seen(recs, ratings, [user, item])
     return top_n_per_group(recs, [user], [F.desc("popularity"), F.col(item)], n)

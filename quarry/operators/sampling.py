@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.predicates import col_
 from quarry.operators.windows import running_totals
+from quarry.session import cut_lineage
 
 __all__ = ["seed_key", "unit_hash", "hash_int", "sample_n", "sample_per_class", "split",
            "split_stratified", "order_stat_lookup", "bootstrap_columns", "fresh_ids"]
@@ -53,28 +54,24 @@ def split(df: DataFrame, id_col: str, train_frac: float = 0.8, seed: int = 42,
 
 
 def split_stratified(df: DataFrame, id_col: str, label: str, train_frac: float = 0.8,
-                     seed: int = 42, out: str = "split", n_buckets: int = 64) -> DataFrame:
+                     seed: int = 42, out: str = "split", n_buckets: int | None = None) -> DataFrame:
     """Per class, the first ``round(frac * n_class)`` rows in seeded order are train.
 
     The in-class rank is a distributed prefix count (a class may hold a
-    third of all rows, so it is never sorted in one task)."""
-    from quarry.operators.joins import sized_broadcast
+    third of all rows, so it is never sorted in one task).  Rows without a
+    label are a class of their own."""
+    from quarry.operators.joins import join_null_safe, sized_broadcast
     cnt = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    max_classes = 100_000
-    n_classes = cnt.limit(max_classes + 1).count()   # one small job; proves the bound for all joins below
-    bound = n_classes if n_classes <= max_classes else None
     k = df.withColumn("_hk", hash_int(id_col, seed, hex_digits=15))
-    r = running_totals(k, "_hk", {"_rank": F.lit(1).cast("bigint")}, [label], [id_col], n_buckets,
-                       n_groups=bound)
-    r = r.join(sized_broadcast(cnt, rows_bound=bound), label)
+    r = running_totals(k, "_hk", {"_rank": F.lit(1).cast("bigint")}, [label], [id_col], n_buckets)
+    r = join_null_safe(r, sized_broadcast(cnt), [label])
     quota = F.floor(F.col("_nc") * F.lit(train_frac) + F.lit(0.5))
     return r.withColumn(out, F.when(F.col("_rank") <= quota, "train").otherwise("test")) \
         .drop("_hk", "_rank", "_nc")
 
 
 def order_stat_lookup(df: DataFrame, col: str, draws: DataFrame, pos_col: str = "pos",
-                      n_buckets: int = 64, group_cols: Sequence[str] = (),
-                      n_groups: int | None = None) -> DataFrame:
+                      n_buckets: int | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
     """For each draw row, the ``pos``-th smallest (0-based) non-null value of
     ``col`` (within its ``group_cols`` group when given).
 
@@ -84,19 +81,18 @@ def order_stat_lookup(df: DataFrame, col: str, draws: DataFrame, pos_col: str =
     starting at or before it (distributed forward fill).  A value holding a
     third of all rows is still one row here: no fan-out, no hot key."""
     g = list(group_cols)
-    freq = df.where(F.col(col).isNotNull()).groupBy(*g, F.col(col).alias("_v")) \
-        .agg(F.count(F.lit(1)).alias("_c")).persist()   # distinct values, read by several stages
-    return lookup_in_frequencies(freq, col, draws, pos_col, n_buckets, g, n_groups)
+    freq = cut_lineage(df.where(F.col(col).isNotNull()).groupBy(*g, F.col(col).alias("_v"))
+                       .agg(F.count(F.lit(1)).alias("_c")))   # distinct values, read by several stages
+    return lookup_in_frequencies(freq, col, draws, pos_col, n_buckets, g)
 
 
 def lookup_in_frequencies(freq: DataFrame, col: str, draws: DataFrame, pos_col: str = "pos",
-                          n_buckets: int = 64, group_cols: Sequence[str] = (),
-                          n_groups: int | None = None) -> DataFrame:
+                          n_buckets: int | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
     """:func:`order_stat_lookup` on a precomputed value-frequency table
     ``(group..., _v, _c)`` (lets callers reuse one pass over the data)."""
     from quarry.operators.windows import running_last
     g = list(group_cols)
-    iv = running_totals(freq, "_v", {"_hi": F.col("_c")}, g, n_buckets=n_buckets, n_groups=n_groups)
+    iv = running_totals(freq, "_v", {"_hi": F.col("_c")}, g, n_buckets=n_buckets)
     dcols = [c for c in draws.columns if c not in g]
     dstruct = F.struct(*[F.col(c) for c in dcols])
     dtype = draws.select(dstruct.alias("d")).schema["d"].dataType
@@ -106,7 +102,7 @@ def lookup_in_frequencies(freq: DataFrame, col: str, draws: DataFrame, pos_col:
                        F.lit(None).cast(freq.schema["_v"].dataType).alias("_v"), dstruct.alias("_d"))
     u = starts.unionByName(pts)
     filled = running_last(u, "_p", ["_kind"], F.col("_kind") == 0, ["_v"], "_last", n_buckets,
-                          partition_cols=g, n_groups=n_groups)
+                          partition_cols=g)
     return filled.where(F.col("_kind") == 1).select(*g, "_d.*", F.col("_last._v").alias(col))
 
 
@@ -114,12 +110,12 @@ def bootstrap_columns(spark: SparkSession, df: DataFrame, cols: Sequence[str], n
                       seed: int = 42, id_col: str = "row_id") -> DataFrame:
     """Each column resampled on its own with replacement (marginals kept,
     joint distribution dropped).  Draw ``i`` of column ``c`` takes position
-    ``md5(seed-c-i)[:8] mod N_c`` in the sorted column."""
+    ``md5(seed-c-i)[:15] mod N_c`` (60 bits) in the sorted column."""
     base = spark.range(n).withColumnRenamed("id", id_col)
     out = base
     for c in cols:
         nc = df.select(F.count(c)).scalar()
-        draws = base.select(id_col, F.pmod(hash_int(id_col, seed, c), nc).alias("pos"))
+        draws = base.select(id_col, F.pmod(hash_int(id_col, seed, c, hex_digits=15), nc).alias("pos"))
         got = order_stat_lookup(df, c, draws).select(id_col, c)
         out = out.join(got, id_col, "left")
     return out

@@ -16,6 +16,7 @@ from quarry.functions.predicates import fingerprint
 from quarry.operators.aggregate import corr_matrix
 from quarry.operators.joins import sized_broadcast
 from quarry.operators.windows import running_totals
+from quarry.session import cut_lineage
 
 __all__ = ["corr_gap", "mean_corr_gap", "ks", "tvd", "pair_tvd", "normalise_rows", "row_overlap",
            "diagnostic", "quality", "report_rows", "evaluate", "unpivot_numeric",
@@ -29,7 +30,7 @@ def unpivot_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def unpivot_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in cols]) \
-        .unpivot([], list(cols), "column_name", "value")
+        .unpivot([], list(cols), "column_name", "value").where(F.col("value").isNotNull())
 
 
 def corr_gap(a: DataFrame, b: DataFrame, cols: Sequence[str], digits: int = 9) -> DataFrame:
@@ -49,16 +50,16 @@ def mean_corr_gap(a: DataFrame, b: DataFrame, cols: Sequence[str], digits: int =
 
 
 def ks(a: DataFrame, b: DataFrame, cols: Sequence[str], digits: int = 9,
-       n_buckets: int = 64) -> DataFrame:
+       n_buckets: int | None = None) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic per numeric column."""
     la = unpivot_numeric(a, cols).withColumn("_a", F.lit(1)).withColumn("_b", F.lit(0))
     lb = unpivot_numeric(b, cols).withColumn("_a", F.lit(0)).withColumn("_b", F.lit(1))
     # distinct values per column: read by the totals and every prefix-sum stage
-    freq = la.unionByName(lb).groupBy("column_name", "value").agg(
-        F.sum("_a").cast("bigint").alias("na"), F.sum("_b").cast("bigint").alias("nb")).persist()
+    freq = cut_lineage(la.unionByName(lb).groupBy("column_name", "value").agg(
+        F.sum("_a").cast("bigint").alias("na"), F.sum("_b").cast("bigint").alias("nb")))
     tot = freq.groupBy("column_name").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
     cum = running_totals(freq, "value", {"ca": F.col("na"), "cb": F.col("nb")}, ["column_name"],
-                         n_buckets=n_buckets, n_groups=len(cols))
+                         n_buckets=n_buckets)
     j = cum.join(sized_broadcast(tot, rows_bound=len(cols)), "column_name")
     diff = F.abs(F.col("ca") / F.col("tot_a") - F.col("cb") / F.col("tot_b"))
     return j.groupBy("column_name").agg(F.round(F.max(diff), digits).alias("ks"))
@@ -66,7 +67,8 @@ def ks(a: DataFrame, b: DataFrame, cols: Sequence[str], digits: int = 9,
 
 def tvd(a: DataFrame, b: DataFrame, cols: Sequence[str], digits: int = 9) -> DataFrame:
     """T4: total variation distance ``0.5 * sum |p - q|`` per categorical column;
-    categories present on one side only count with probability 0 on the other."""
+    categories present on one side only count with probability 0 on the other;
+    nulls are no category."""
     def probs(df, name):
         f = unpivot_categorical(df, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
         t = f.groupBy("column_name").agg(F.sum("_n").alias("_t"))
@@ -144,7 +146,7 @@ def pair_tvd(a: DataFrame, b: DataFrame, pairs: Sequence[tuple[str, str]]) -> Da
     def probs(df, name):
         entries = F.array(*[F.struct(F.lit(i).alias("pid"), F.col(x).cast("string").alias("x"),
                                      F.col(y).cast("string").alias("y")) for i, (x, y) in enumerate(pairs)])
-        e = df.select(F.explode(entries).alias("e")).select("e.*")
+        e = df.select(F.explode(entries).alias("e")).select("e.*").where("x is not null and y is not null")
         f = e.groupBy("pid", "x", "y").agg(F.count(F.lit(1)).alias("_n"))
         t = f.groupBy("pid").agg(F.sum("_n").alias("_t"))
         return f.join(sized_broadcast(t, rows_bound=len(pairs)), "pid").select(

@@ -43,11 +43,13 @@ def stop_words() -> tuple[str, ...]:
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-repartition by ``key`` only when the input has fewer partitions than
-    the cluster has cores (e.g. a single-row-group file).  Per-document
-    tokenising is CPU-heavy; on many-file inputs this is a no-op."""
+    """Hash-repartition by ``key`` only when the input has fewer files than the
+    cluster has cores (a row group is not split).  Per-document tokenising is
+    CPU-heavy; on many-file inputs this is a no-op.  Only the file listing is
+    read to decide (a source without files tells its partitions itself); no
+    part of a plan over files runs."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
+    if (len(df.inputFiles()) or df.rdd.getNumPartitions()) >= par:
         return df
     return df.repartition(par, key) if key else df.repartition(par)
 

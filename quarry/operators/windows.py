@@ -3,7 +3,8 @@
 A global ``Window.orderBy`` moves every row into one task.  For ordered
 running totals over large domains we use a two-level prefix sum instead:
 
-1. range bounds per group from ``percentile_approx`` (one small aggregate),
+1. range bounds per group from ``percentile_approx`` (one small aggregate,
+   checkpointed so that every later step reads the same bounds),
 2. every row gets a bucket = number of bounds below its order value,
 3. per-(group, bucket) totals (small table) -> exclusive offsets with a
    window over that small table,
@@ -20,7 +21,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import sized_broadcast
+from quarry.operators.joins import join_null_safe, sized_broadcast
+from quarry.session import cut_lineage
 
 __all__ = ["running_totals", "index_ids", "rank_within", "top_n_per_group", "ecdf",
            "share_of_total"]
@@ -28,44 +30,50 @@ __all__ = ["running_totals", "index_ids", "rank_within", "top_n_per_group", "ecd
 _G = "_grp_const"
 
 
-def _tag_buckets(df: DataFrame, order_col: str, partition_cols: Sequence[str], n_buckets: int,
-                 accuracy: int, n_groups: int | None):
-    """Add an order-preserving ``_bucket`` per row (within groups)."""
+def default_buckets(df: DataFrame) -> int:
+    """Buckets per group: a few for each task of the session's shuffles."""
+    spark = df.sparkSession
+    return max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
+def _tag_buckets(df: DataFrame, order_col: str, partition_cols: Sequence[str], n_buckets: int | None,
+                 accuracy: int):
+    """Add an order-preserving ``_bucket`` per row (within groups; a null group
+    is a group).  The assignment is frozen: totals and rows read the same
+    checkpointed bounds, whatever the order in which a retry merges sketches."""
+    n_buckets = n_buckets or default_buckets(df)
     parts = list(partition_cols)
     base = df
     if not parts:
         base = df.withColumn(_G, F.lit(0))
         parts = [_G]
-        n_groups = 1
-    # bounds: one row per group; offsets: one row per (group, bucket)
-    b_rows = n_groups
-    o_rows = None if n_groups is None else n_groups * n_buckets
     if _is_numeric(df, order_col):
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = (base.groupBy(*parts)
-                  .agg(F.percentile_approx(F.col(order_col), probs, accuracy).alias("_bounds")))
+        bounds = cut_lineage(base.groupBy(*parts).agg(F.percentile_approx(F.col(order_col), probs, accuracy).alias("_bounds")))
         v = F.col(order_col)
-        tagged = (base.join(sized_broadcast(bounds, rows_bound=b_rows), parts)
-                  .withColumn("_bucket", F.aggregate("_bounds", F.lit(0),
-                                                     lambda acc, b: acc + F.when(v > b, 1).otherwise(0)))
-                  .drop("_bounds"))
+        tagged = (join_null_safe(base, sized_broadcast(bounds), parts)
+                  .withColumn("_bucket", _count_below("_bounds", v, n_buckets)).drop("_bounds"))
     else:
         # Strings: range-partition on (group, value); the partition id is an
-        # order-preserving bucket.  Checkpoint freezes the assignment so both
-        # uses below (totals and rows) see the same buckets even after a retry.
-        from quarry.session import cut_lineage
+        # order-preserving bucket, frozen with the rows.
         tagged = cut_lineage(base.repartitionByRange(n_buckets, *parts, order_col)
                              .withColumn("_bucket", F.spark_partition_id()))
-    return tagged, parts, o_rows
+    return tagged, parts
+
+
+def _count_below(sorted_array: str, v: Column, size: int) -> Column:
+    """How many elements of a sorted array are below ``v`` (none, if it is null), by binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in range(size.bit_length(), -1, -1)])
+    a = F.col(sorted_array)
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(a, at + step - 1) < v, at + step).otherwise(at))
 
 
 def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
                    partition_cols: Sequence[str] = (), tie_cols: Sequence[str] = (),
-                   n_buckets: int = 64, accuracy: int = 10000,
-                   n_groups: int | None = None) -> DataFrame:
+                   n_buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Append inclusive running sums of ``sums`` ordered by ``order_col`` (then ``tie_cols``)
     within ``partition_cols``.  ``order_col`` may be of any orderable type."""
-    tagged, parts, o_rows = _tag_buckets(df, order_col, partition_cols, n_buckets, accuracy, n_groups)
+    tagged, parts = _tag_buckets(df, order_col, partition_cols, n_buckets, accuracy)
     for name, c in sums.items():
         tagged = tagged.withColumn(f"_v_{name}", c)
     totals = tagged.groupBy(*parts, "_bucket").agg(
@@ -76,7 +84,7 @@ def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
                               for n in sums])
     wi = (Window.partitionBy(*parts, "_bucket").orderBy(order_col, *tie_cols)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = tagged.join(sized_broadcast(offsets, rows_bound=o_rows), [*parts, "_bucket"])
+    out = join_null_safe(tagged, sized_broadcast(offsets), [*parts, "_bucket"])
     for n in sums:
         out = out.withColumn(n, F.col(f"_o_{n}") + F.sum(f"_v_{n}").over(wi))
     drop = ["_bucket"] + [f"_v_{n}" for n in sums] + [f"_o_{n}" for n in sums]
@@ -86,9 +94,8 @@ def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
 
 
 def running_last(df: DataFrame, order_col: str, tie_cols: Sequence[str], flag: Column,
-                 values: Sequence[str], out: str = "_last", n_buckets: int = 64,
-                 accuracy: int = 10000, partition_cols: Sequence[str] = (),
-                 n_groups: int | None = None) -> DataFrame:
+                 values: Sequence[str], out: str = "_last", n_buckets: int | None = None,
+                 accuracy: int = 10000, partition_cols: Sequence[str] = ()) -> DataFrame:
     """Forward fill: for every row, ``struct(values)`` of the last row at or
     before it (order ``order_col``, then ``tie_cols``) where ``flag`` holds.
 
@@ -96,8 +103,7 @@ def running_last(df: DataFrame, order_col: str, tie_cols: Sequence[str], flag: C
     ignorenulls)`` plus the last flagged struct carried in from earlier
     buckets (a table with one row per bucket).  No row fans out and no
     group is gathered in one task."""
-    tagged, parts, o_rows = _tag_buckets(df, order_col, partition_cols, n_buckets, accuracy,
-                                         n_groups if partition_cols else 1)
+    tagged, parts = _tag_buckets(df, order_col, partition_cols, n_buckets, accuracy)
     st = F.when(flag, F.struct(*[F.col(v) for v in values]))
     tagged = tagged.withColumn("_st", st)
     wi = (Window.partitionBy(*parts, "_bucket").orderBy(order_col, *tie_cols)
@@ -110,8 +116,8 @@ def running_last(df: DataFrame, order_col: str, tie_cols: Sequence[str], flag: C
         .select(*parts, "_bucket", F.col("_m.s").alias("_bl"))
     wc = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(*parts, "_bucket", F.last("_bl", ignorenulls=True).over(wc).alias("_carry"))
-    out_df = tagged.withColumn("_in", F.last("_st", ignorenulls=True).over(wi)) \
-        .join(sized_broadcast(carry, rows_bound=o_rows), [*parts, "_bucket"], "left")
+    out_df = join_null_safe(tagged.withColumn("_in", F.last("_st", ignorenulls=True).over(wi)),
+                            sized_broadcast(carry), [*parts, "_bucket"], "left")
     drop = ["_st", "_in", "_carry", "_bucket"] + ([_G] if _G in parts else [])
     return out_df.withColumn(out, F.coalesce("_in", "_carry")).drop(*drop)
 
@@ -124,13 +130,13 @@ def _is_numeric(df: DataFrame, c: str) -> bool:
 
 
 def index_ids(df: DataFrame, col: str, index_col: str | None = None,
-              n_buckets: int = 64) -> DataFrame:
+              n_buckets: int | None = None) -> DataFrame:
     """Mapping ``(col, index)`` with a dense zero-based index in ``col`` order.
 
     Distinct ids first (one shuffle), then the two-level prefix count.
     """
     index_col = index_col or f"{col}_index"
-    ids = df.select(col).where(F.col(col).isNotNull()).distinct().persist()  # read by every prefix stage
+    ids = cut_lineage(df.select(col).where(F.col(col).isNotNull()).distinct())  # read by every prefix stage
     r = running_totals(ids, col, {"_cnt": F.lit(1).cast("bigint")}, n_buckets=n_buckets)
     return r.select(col, (F.col("_cnt") - 1).cast("bigint").alias(index_col))
 
@@ -151,21 +157,17 @@ def top_n_per_group(df: DataFrame, partition_cols: Sequence[str], order: Sequenc
 
 
 def ecdf(df: DataFrame, col: str, partition_cols: Sequence[str] = (),
-         n_buckets: int = 64) -> DataFrame:
+         n_buckets: int | None = None) -> DataFrame:
     """``(value, n, cum_n, cdf)`` over distinct values (per group)."""
     parts = list(partition_cols)
-    freq = (df.where(F.col(col).isNotNull())
-            .groupBy(*parts, F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n")).persist())
+    freq = cut_lineage(df.where(F.col(col).isNotNull())
+                       .groupBy(*parts, F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n")))
+    r = running_totals(freq, "value", {"cum_n": F.col("n")}, parts, n_buckets=n_buckets)
     if not parts:
-        r = running_totals(freq, "value", {"cum_n": F.col("n")}, n_buckets=n_buckets)
         total = freq.select(F.sum("n")).scalar()
         return r.select("value", "n", "cum_n", (F.col("cum_n") / total).alias("cdf"))
     tot = freq.groupBy(*parts).agg(F.sum("n").alias("_tot"))
-    max_groups = 100_000
-    g = tot.limit(max_groups + 1).count()   # proves the size of every per-group table below
-    bound = g if g <= max_groups else None
-    r = running_totals(freq, "value", {"cum_n": F.col("n")}, parts, n_buckets=n_buckets, n_groups=bound)
-    return r.join(sized_broadcast(tot, rows_bound=bound), parts).select(
+    return join_null_safe(r, sized_broadcast(tot), parts).select(
         *parts, "value", "n", "cum_n", (F.col("cum_n") / F.col("_tot")).alias("cdf"))
 
 
@@ -178,4 +180,4 @@ def share_of_total(df: DataFrame, col: str, out: str = "pct", digits: int | None
         total = df.select(F.sum(col)).scalar()
         return df.withColumn(out, pct(col, total, digits))
     tot = df.groupBy(*partition_cols).agg(F.sum(col).alias("_tot"))
-    return df.join(tot, list(partition_cols)).withColumn(out, pct(col, "_tot", digits)).drop("_tot")
+    return join_null_safe(df, tot, list(partition_cols)).withColumn(out, pct(col, "_tot", digits)).drop("_tot")

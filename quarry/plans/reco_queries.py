@@ -29,6 +29,34 @@ def r1(spark, d):
     return R.interactions(S.ratings(spark, d))
 
 
+@register("P16_implicit_rows", with_(S.RATINGS_SQL) + """
+SELECT "user", item, rating, ts FROM ratings WHERE rating >= 4""")
+def p16_rows(spark, d):
+    return R.implicit_rows(S.ratings(spark, d))
+
+
+CHAIN_SQL = (S.RATINGS_SQL, """kept AS (SELECT "user", item, CAST(sum(rating) AS BIGINT) AS rating FROM ratings WHERE rating >= 4 GROUP BY "user", item)""",
+             """ui AS (SELECT "user", row_number() OVER (ORDER BY "user") - 1 AS user_index FROM (SELECT DISTINCT "user" FROM kept))""",
+             """ii AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS item_index FROM (SELECT DISTINCT item FROM kept))""",
+             """triples AS (SELECT user_index, item_index, "user", item, rating,
+  CASE WHEN CAST(('0x' || substr(md5('42-' || user_index || ':' || item_index), 1, 8)) AS UBIGINT) / 4294967296.0 < 0.8
+       THEN 'train' ELSE 'test' END AS split FROM kept JOIN ui USING ("user") JOIN ii USING (item))""")
+
+
+def triples(spark, d):
+    """Positives, indexed and split: what the implicit model is fitted on."""
+    from quarry.operators.sampling import split
+    t = R.interaction_triples(R.implicit_rows(S.ratings(spark, d))).withColumn("rating", F.col("rating").cast("bigint"))
+    key = F.concat_ws(":", F.col("user_index").cast("string"), F.col("item_index").cast("string"))
+    return split(t.withColumn("_k", key), "_k", 0.8, 42).drop("_k")
+
+
+@register("R1_interaction_triples_split", with_(*CHAIN_SQL) + """
+SELECT user_index, item_index, "user", item, rating, split FROM triples""")
+def r1_rows(spark, d):
+    return triples(spark, d)
+
+
 @register("J4_ratings_with_titles", with_(S.RATINGS_SQL) + """
 SELECT r."user", r.item, r.rating, p.p_name AS title FROM ratings r LEFT JOIN part p ON r.item = p.p_partkey""")
 def j4(spark, d):
@@ -46,15 +74,14 @@ def j5(spark, d):
 
 @register("J7_exclude_seen_popular_in_nation", with_(S.RATINGS_SQL, """ug AS (SELECT c_custkey AS "user", c_nationkey FROM customer)""",
           """pop AS (SELECT c_nationkey, item, count(*) AS popularity FROM ratings JOIN ug USING ("user") GROUP BY ALL)""",
-          """cand AS (SELECT * FROM pop QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY popularity DESC, item) <= 10)""",
           """recs AS (SELECT u."user", c.item, c.popularity FROM (SELECT * FROM ug WHERE "user" IN (SELECT "user" FROM ratings)) u
-  JOIN cand c ON u.c_nationkey = c.c_nationkey
+  JOIN pop c ON u.c_nationkey = c.c_nationkey
   WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r."user" = u."user" AND r.item = c.item))""") + """
 SELECT "user", item, popularity, CAST("rank" AS INTEGER) AS "rank" FROM (
   SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY popularity DESC, item) AS "rank" FROM recs) WHERE "rank" <= 5""")
 def j7(spark, d):
     ug = S.table(spark, d, "customer").select(F.col("c_custkey").alias("user"), "c_nationkey")
-    r = R.popular_unseen(S.ratings(spark, d), ug, "c_nationkey", 10, 5)
+    r = R.popular_unseen(S.ratings(spark, d), ug, "c_nationkey", 5)
     return r.select("user", "item", "popularity", F.col("rank").cast("int"))
 
 

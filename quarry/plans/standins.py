@@ -133,7 +133,8 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
 
     * one line per trip: ``region,amount`` (5 decimals; blank amount where null)
     * one line per customer: ``segment,acctbal`` with a blank key for HOUSEHOLD
-    * one line per nation: ``name`` only (one field) and ``name,region`` (non-numeric)
+    * one line per nation: ``name`` only (one field), ``name,region`` (non-numeric)
+      and ``name,<key>.5d`` (a number with a suffix: malformed)
     """
     t = trips_zoned(spark, d)
     a = t.select(F.concat_ws(",", F.col("PU_Borough"), F.when(F.col("total_amount").isNull(), F.lit("")).otherwise(F.format_string("%.5f", F.col("total_amount")))).alias("value"))
@@ -143,7 +144,8 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
     nr = n.join(r, n.n_regionkey == r.r_regionkey)
     one = n.select(F.col("n_name").alias("value"))
     bad = nr.select(F.concat_ws(",", "n_name", "r_name").alias("value"))
-    return a.unionByName(c).unionByName(one).unionByName(bad)
+    odd = n.select(F.concat_ws(",", "n_name", F.concat(F.col("n_nationkey").cast("string"), F.lit(".5d"))).alias("value"))
+    return a.unionByName(c).unionByName(one).unionByName(bad).unionByName(odd)
 
 
 LINES_SQL = """lines AS (
@@ -153,4 +155,6 @@ LINES_SQL = """lines AS (
   UNION ALL
   SELECT n_name FROM nation
   UNION ALL
-  SELECT concat_ws(',', n_name, r_name) FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+  SELECT concat_ws(',', n_name, r_name) FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL
+  SELECT concat_ws(',', n_name, n_nationkey || '.5d') FROM nation)"""

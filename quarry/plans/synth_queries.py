@@ -98,8 +98,8 @@ def t4(spark, d):
     return T.tvd(*sides(spark, d), CAT)
 
 
-FP = ("sha256(concat_ws(chr(31), lower(trim(o_orderpriority)), lower(trim(o_orderstatus)), lower(trim(c_mktsegment)), "
-      "CAST(CAST(round_even(c_acctbal, 0) AS BIGINT) AS VARCHAR)))")
+FP = ("sha256(concat_ws(chr(31), coalesce('=' || lower(trim(o_orderpriority)), '-'), coalesce('=' || lower(trim(o_orderstatus)), '-'), "
+      "coalesce('=' || lower(trim(c_mktsegment)), '-'), coalesce('=' || CAST(CAST(round_even(c_acctbal, 0) AS BIGINT) AS VARCHAR), '-')))")
 
 
 @register("T7_T8_row_overlap", with_(*SIDES, f"hr AS (SELECT DISTINCT {FP} AS h FROM ra)",

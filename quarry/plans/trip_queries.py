@@ -109,6 +109,29 @@ def s4(spark, d):
     return io.parse_pairs(S.lines(spark, d))
 
 
+TAB_SQL = """tabbed AS (SELECT replace(value, ',', chr(9)) AS value FROM lines)"""
+
+
+@register("S4_parse_pairs_tabs", with_(*BASE, S.LINES_SQL, TAB_SQL) + """
+SELECT split_part(trim(value), chr(9), 1) AS "key", TRY_CAST(split_part(trim(value), chr(9), 2) AS DOUBLE) AS value
+FROM tabbed WHERE len(string_split(trim(value), chr(9))) >= 2 AND TRY_CAST(split_part(trim(value), chr(9), 2) AS DOUBLE) > 0""")
+def s4_tabs(spark, d):
+    """Tab-separated form: malformed lines are skipped, the key is taken as it stands."""
+    ln = S.lines(spark, d).select(F.translate("value", ",", "\t").alias("value"))
+    return io.parse_pairs(ln, sep="\t", default_key=None)
+
+
+@register("S4_parse_pairs_header", with_(*BASE, S.LINES_SQL) + """
+SELECT split_part(trim(value), ',', 1) AS "key", TRY_CAST(split_part(trim(value), ',', 2) AS DOUBLE) AS value
+FROM (SELECT value FROM lines UNION ALL SELECT 'n_name,amount' FROM nation)
+WHERE NOT starts_with(value, 'n_name') AND len(string_split(trim(value), ',')) >= 2
+  AND TRY_CAST(split_part(trim(value), ',', 2) AS DOUBLE) > 0""")
+def s4_header(spark, d):
+    """Header lines are skipped and a blank key is kept."""
+    head = S.table(spark, d, "nation").select(F.lit("n_name,amount").alias("value"))
+    return io.parse_pairs(S.lines(spark, d).unionByName(head), default_key=None, skip_prefixes=("n_name",))
+
+
 @register("G7_map_reduce_revenue", with_(*BASE, S.LINES_SQL, PARSE_SQL) + """
 SELECT "key", round(sum(value), 2) AS total_revenue, count(*) AS trip_count,
        round(avg(value), 4) AS avg_fare, min(value) AS min_fare, max(value) AS max_fare
@@ -313,13 +336,15 @@ def p13(spark, d):
 
 
 @register("P14_columns_by_type", """
-SELECT column_name, CASE WHEN data_type IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'numeric' ELSE 'categorical' END AS kind
+SELECT column_name, CASE WHEN data_type IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'numeric' ELSE 'categorical' END AS kind, n AS n_values
 FROM information_schema.columns
+JOIN (UNPIVOT (SELECT count(COLUMNS(*)) FROM lineitem) ON COLUMNS(*) INTO NAME name VALUE n) ON name = column_name
 WHERE table_name = 'lineitem' AND data_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'VARCHAR')""")
 def p14(spark, d):
     li = S.table(spark, d, "lineitem")
-    rows = [(c, "numeric") for c in P.numeric_cols(li)] + [(c, "categorical") for c in P.categorical_cols(li)]
-    return spark.createDataFrame(rows, "column_name string, kind string")
+    kinds = [(c, "numeric") for c in P.numeric_cols(li)] + [(c, "categorical") for c in P.categorical_cols(li)]
+    n = li.agg(*[F.count(c).alias(c) for c, _ in kinds])
+    return n.selectExpr(f"stack({len(kinds)}, " + ", ".join(f"'{c}', '{k}', {c}" for c, k in kinds) + ") as (column_name, kind, n_values)")
 
 
 @register("P15_align_columns", """

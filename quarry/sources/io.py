@@ -51,6 +51,9 @@ def read_delimited(spark: SparkSession, path, sep: str = "\t",
     return spark.read.csv(path, schema=schema, header=False, sep=sep)
 
 
+NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
+
+
 def parse_pairs(lines: DataFrame, sep: str = ",", default_key: str | None = "Unknown",
                 skip_prefixes: Sequence[str] = (), line_col: str = "value",
                 strip: bool = True) -> DataFrame:
@@ -70,7 +73,9 @@ def parse_pairs(lines: DataFrame, sep: str = ",", default_key: str | None = "Unk
     key = F.get(F.col("_p"), 0)
     if default_key is not None:
         key = F.when(key == "", F.lit(default_key)).otherwise(key)
-    amount = F.get(F.col("_p"), 1).try_cast("double")
+    # the text must be a plain number: casts also take suffixes such as 12.5d
+    text = F.trim(F.get(F.col("_p"), 1))
+    amount = F.when(text.rlike(NUMBER), text.try_cast("double"))
     out = (parts.where(F.size("_p") >= 2)
            .select(key.alias("key"), amount.alias("value"))
            .where(F.col("value").isNotNull() & ~F.isnan("value") & (F.col("value") > 0)))
@@ -132,9 +137,12 @@ def distinct_field(lines: DataFrame, i: int, sep: str = ",", line_col: str = "va
 
 
 def schema_table(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Schema as rows ``(position, column, type)`` (driver metadata only)."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column string, type string")
+    """Schema as rows ``(position, column, type, n_values)``; ``n_values`` counts the
+    non-null values, all in one scan."""
+    fields = list(enumerate(df.schema.fields))
+    n = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in fields])
+    st = ", ".join(f"{i}, '{f.name}', '{f.dataType.simpleString()}', n{i}" for i, f in fields)
+    return n.selectExpr(f"stack({len(fields)}, {st}) as (position, column, type, n_values)")
 
 
 def inspect(df: DataFrame) -> DataFrame:

@@ -223,13 +223,15 @@ def test_recommend_excludes_seen_and_returns_n(spark):
     rows += [(99, i, 1.0) for i in range(35)]  # a heavy user
     r = spark.createDataFrame(rows, "user int, item int, rating float")
     m = R.fit_als(r, rank=4, iters=3)
-    rec = R.recommend(m, r, 3, light_seen=20).collect()
+    rec = R.recommend(m, r, 3).collect()
     seen = {(u, i) for u, i, _ in rows}
     assert all((x.user, x.item) not in seen for x in rec)
     per = {}
     for x in rec:
         per.setdefault(x.user, []).append(x.item)
     assert all(len(v) == 3 for v in per.values()) and 99 in per
+    some = R.recommend(m, r, 3, users=spark.createDataFrame([(99,), (3,), (12345,)], "user int")).collect()
+    assert {x.user for x in some} == {3, 99} and {(x.user, x.item) for x in some} <= {(x.user, x.item) for x in rec}
 
 
 def test_grouped_discrete_percentiles_match_brute_force(spark):
