@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontam, langid, pieces, secretscan, simhash
-from quarry.llm.common import saved, table
+from quarry.llm.common import saved, ship_package, table
 
 #: DuckDB has neither the models nor XXH64: run() is tested stage by stage against brute force.
 ORACLE_SQL = None
@@ -13,12 +13,14 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined; null texts and texts without a letter go."""
+    ship_package(spark)
     model = langid.fit(docs.where(langid.trains("doc_id")))
     return langid.predict(docs, model, lang_out="_pred", score_out="_score").where(F.col("_pred") != langid.UNDETERMINED).drop("_pred", "_score")
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group within three bits over three-word shingles."""
+    ship_package(spark)
     return simhash.keep_one_of_each(docs, shingle=3, radius=3)
 
 
@@ -29,12 +31,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mark."""
+    ship_package(spark)
     return secretscan.redact(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, lang, source, n_tokens, ids)``; texts that do not decode to themselves raise an error
     (a U+2581 counts as the blank it decodes to)."""
+    ship_package(spark)
     import public_tokenizers
     e = pieces.encode(docs, str(public_tokenizers.path("piece_bpe_32k.model")))
     same = F.col("decoded").eqNullSafe(F.translate("text", "▁", " "))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
-__all__ = ["scratch", "saved", "filesystem", "write_atomic", "merge_spans", "parallelism", "table"]
+__all__ = ["scratch", "ship_package", "saved", "filesystem", "write_atomic", "merge_spans", "parallelism", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,37 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{name}-{uuid.uuid4().hex}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the executors: its sources as a zip below the
+    shared checkpoint folder, added once per application (what ``--py-files``
+    does at submission; executors that have the package lose nothing)."""
+    import hashlib
+    import io
+    import os
+    import zipfile
+
+    import quarry
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(quarry.__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, names in sorted(os.walk(root)):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(d, n)
+                    z.write(path, os.path.join("quarry", os.path.relpath(path, root)))
+    data = buf.getvalue()
+    folder, name = ensure_checkpoint_dir(spark).rstrip("/"), f"quarry-{hashlib.sha256(data).hexdigest()[:16]}.zip"
+    write_atomic(folder, name, [data])
+    sc.addPyFile(f"{folder}/{name}")
+    _SHIPPED.add(sc.applicationId)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and reread it:
     cuts the lineage, compresses, and survives lost executors."""

@@ -1,13 +1,14 @@
 """Registered queries of the ten operators and the pipeline, with their DuckDB SQL."""
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontam, langid, licenses, permindex, pieces, secretscan, simhash, suffixdedup, tokenfiles, warc
-from quarry.llm.common import scratch, table
+from quarry.llm.common import scratch, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -15,7 +16,11 @@ ORACLE: dict[str, str] = {}
 
 def _query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql:
             ORACLE[name] = sql.strip()
         return fn
