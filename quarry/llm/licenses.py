@@ -30,9 +30,12 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TEMPLATES, "license string, statement string")
 
 
+TOKEN = r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"
+
+
 def tokens(text: Column) -> Column:
-    """Lower-case runs of ASCII letters, digits, dots and hyphens between word characters."""
-    return F.array_remove(F.split(F.lower(text), r"[^a-z0-9.\-]+|[.\-]+(?![a-z0-9])"), "")
+    """Lower-case runs of ASCII letters and digits, joined by single dots and hyphens."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
 def _weights(units: DataFrame, keys: list[str], idf: DataFrame, n_docs: Column) -> DataFrame:

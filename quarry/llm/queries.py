@@ -95,7 +95,36 @@ def op8(spark, d):
     return near.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-@_query("op9_license_scan")
+_TOKENS = "regexp_extract_all(lower({}), '" + licenses.TOKEN + "')"
+_OP9 = "WITH known(license, statement) AS (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in licenses.TEMPLATES) + f"""),
+src AS (SELECT doc_id, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR) || '.txt') AS path, coalesce(text, '') AS text FROM documents),
+n AS (SELECT count(*) AS n FROM src),
+tt AS (SELECT license, unnest({_TOKENS.format('statement')}) AS t FROM known),
+idf AS (SELECT v.t, ln((1 + (SELECT n FROM n)) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT t FROM tt) v LEFT JOIN (
+  SELECT t, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({_TOKENS.format('text')}) AS t FROM src) GROUP BY t) d ON v.t = d.t),
+lw AS (SELECT license, t, w / sqrt(sum(w * w) OVER (PARTITION BY license)) AS lw FROM (
+  SELECT license, tt.t, count(*) * any_value(idf) AS w FROM tt JOIN idf ON tt.t = idf.t GROUP BY license, tt.t)),
+lines AS (SELECT doc_id, generate_subscripts(l, 1) AS line, unnest(l) AS s FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM src)),
+units AS (SELECT doc_id, line, s FROM lines UNION ALL SELECT doc_id, 0, text FROM src),
+tf AS (SELECT doc_id, line, t, count(*) AS tf FROM (SELECT doc_id, line, unnest({_TOKENS.format('s')}) AS t FROM units) GROUP BY ALL),
+w AS (SELECT doc_id, line, tf.t, tf * coalesce(idf, ln(1 + (SELECT n FROM n)) + 1) AS w FROM tf LEFT JOIN idf ON tf.t = idf.t),
+norm AS (SELECT doc_id, line, sqrt(sum(w * w)) AS norm FROM w GROUP BY ALL),
+cos AS (SELECT doc_id, line, license, round(sum(w / norm * lw), 6) AS cosine FROM w JOIN norm USING (doc_id, line) JOIN lw ON w.t = lw.t GROUP BY ALL),
+head AS (SELECT doc_id, license, cosine FROM cos WHERE line > 0 AND cosine >= 0.6
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, license) = 1),
+decl AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, license, cosine FROM cos JOIN src USING (doc_id)
+  WHERE line = 0 AND cosine >= 0.6 AND doc_id IN (SELECT doc_id FROM head)),
+dirs AS (SELECT dir, license, cosine FROM decl QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, license) = 1),
+up AS (SELECT doc_id, i AS depth, array_to_string(parts[1:i], '/') AS dir FROM (
+  SELECT doc_id, parts, unnest(range(0, len(parts) + 1)) AS i FROM (SELECT doc_id, string_split(regexp_replace(path, '/?[^/]*$', ''), '/') AS parts FROM src))),
+near AS (SELECT doc_id, dir, license, cosine FROM up JOIN dirs USING (dir) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth DESC) = 1)
+SELECT doc_id, path, coalesce(h.license, d.license) AS license, coalesce(h.cosine, d.cosine) AS cosine,
+  CASE WHEN h.license IS NOT NULL THEN 'header' WHEN d.license IS NOT NULL THEN 'inherited' END AS basis,
+  CASE WHEN h.license IS NULL THEN d.dir END AS directory
+FROM src LEFT JOIN head h USING (doc_id) LEFT JOIN near d USING (doc_id)"""
+
+
+@_query("op9_license_scan", _OP9)
 def op9(spark, d):
     docs = table(spark, d, "documents")
     path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
