@@ -140,8 +140,8 @@ SELECT page_id, CAST(strlen(p.b) AS BIGINT) AS payload_bytes, sha256(p.b) AS pay
 FROM p LEFT JOIN f ON p.b = f.b""")
 def op10(spark, d):
     folder = scratch(spark, "warc")
-    warc.write_warc(table(spark, d, "pages"), folder)
-    return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    done = warc.write_warc(table(spark, d, "pages"), folder)
+    return warc.read_warc(spark, folder, done).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @_query("pipeline")

@@ -56,7 +56,9 @@ def _record(page_id, url, payload: bytes, refers_to, length: int, digest: str) -
 def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
                least: int = 100, file_bytes: int = 64 << 20) -> DataFrame:
     """Write one record a row, each a gzip member of its own, into ``*.warc.gz``
-    files of about ``file_bytes`` below ``folder``; returns ``(name, n_records)``.
+    files of about ``file_bytes`` below ``folder``; returns ``(name, n_records)``
+    of the files of the attempts that Spark committed (pass it to
+    :func:`read_warc`, which then leaves out those of lost attempts).
 
     A payload of ``least`` bytes or more that another row with a smaller id has
     too becomes a revisit of that row, without the body.  A null payload is
@@ -72,12 +74,12 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
-        part, out, held, size = TaskContext.get().partitionId(), [], [], 0
+        task, out, held, size = TaskContext.get(), [], [], 0
 
         def flush() -> None:
             nonlocal held, size
             if held:
-                name = f"pages-{part:07d}-{len(out):05d}.warc.gz"
+                name = f"pages-{task.partitionId():07d}-{len(out):05d}-{task.taskAttemptId()}.warc.gz"
                 write_atomic(folder, name, held)
                 out.append((name, len(held)))
             held, size = [], 0
@@ -180,9 +182,10 @@ def _parse(rec: bytes) -> tuple:
             length, digest, body if kind == "response" else None)
 
 
-def read_warc(spark: SparkSession, folder: str, split_bytes: int = 8 << 20) -> DataFrame:
+def read_warc(spark: SparkSession, folder: str, manifest: DataFrame | None = None, split_bytes: int = 8 << 20) -> DataFrame:
     """``(page_id, url, record_type, refers_to, payload_bytes, payload_digest,
-    payload)`` of every record of the ``*.warc.gz`` files below ``folder``.
+    payload)`` of every record of the ``*.warc.gz`` files below ``folder`` (of
+    those that ``manifest`` names, if it is given).
 
     Files are cut into byte ranges; a task owns the records whose member starts
     in its range, wherever they end.  Length and digest are those of the full
@@ -190,6 +193,8 @@ def read_warc(spark: SparkSession, folder: str, split_bytes: int = 8 << 20) -> D
     rows; a damaged payload raises an error."""
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "length")
+    if manifest is not None:
+        files = files.join(manifest.select("name"), F.element_at(F.split("path", "/"), -1) == F.col("name"), "left_semi")
     splits = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)),
                                                                  F.lit(split_bytes).cast("long"))).alias("start"))
     splits = splits.repartition(parallelism(spark))
