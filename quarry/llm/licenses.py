@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import saved
+from quarry.operators.joins import sized_broadcast
 
 __all__ = ["TEMPLATES", "templates", "scan_licenses", "tokens"]
 
@@ -125,7 +126,7 @@ def scan_licenses(files: DataFrame, id_col: str, path_col: str, text_col: str, k
     up = mine.select("dir", F.explode(F.transform(F.sequence(F.lit(0), F.size(steps)), lambda k: F.struct(
         k.alias("depth"), F.array_join(F.slice(steps, 1, k), "/").alias("up")))).alias("a")).select("dir", "a.depth", "a.up").distinct()
     near = up.join(dirs, "up").groupBy("dir").agg(F.max(F.struct("depth", "up", "dir_license", "dir_cosine")).alias("b")).select("dir", "b.up", "b.dir_license", "b.dir_cosine")
-    near = near.alias("d")
+    near = sized_broadcast(saved(near, "license-near")).alias("d")  # one row a directory: broadcast only if its measured size allows
     out = src.select("id", "path", "th", parent.alias("dir")).alias("l") \
         .join(head.alias("h"), (F.col("l.th") == F.col("h.th")) & F.col("l.id").eqNullSafe(F.col("h.id")), "left") \
         .join(near, F.col("l.dir") == F.col("d.dir"), "left")
