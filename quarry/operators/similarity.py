@@ -119,15 +119,18 @@ def diagnostic(real: DataFrame, synth: DataFrame, numeric: Sequence[str],
         st = ", ".join(f"'{c}', in{i} / nn{i}" for i, c in enumerate(numeric))
         parts.append(wide.selectExpr(f"stack({len(numeric)}, {st}) as (column_name, score)")
                      .select(F.lit("data_validity").alias("property"), "column_name", "score"))
-    for c in categorical:
-        cats = real.select(F.col(c).alias("_v")).distinct()
-        sv = synth.select(F.col(c).alias("_v")).where(F.col("_v").isNotNull())
-        n = sv.select(F.count(F.lit(1))).scalar()
-        ok = sv.join(cats, "_v", "left_semi").agg((F.count(F.lit(1)) / n).alias("score"))
-        parts.append(ok.select(F.lit("data_validity").alias("property"), F.lit(c).alias("column_name"), "score"))
-    for c in ids:
-        s = synth.agg((F.count_distinct(c) / F.count(F.lit(1))).alias("score"))
-        parts.append(s.select(F.lit("data_validity").alias("property"), F.lit(c).alias("column_name"), "score"))
+    if categorical:
+        # one scan a side: which of synth's values occur in real, weighted by their counts
+        cats = unpivot_categorical(real, categorical).distinct().withColumn("_in", F.lit(1))
+        sv = unpivot_categorical(synth, categorical).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
+        ok = sv.join(cats, ["column_name", "value"], "left").groupBy("column_name") \
+            .agg((F.sum(F.when(F.col("_in") == 1, F.col("_n")).otherwise(0)) / F.sum("_n")).alias("score"))
+        parts.append(ok.select(F.lit("data_validity").alias("property"), "column_name", "score"))
+    if ids:
+        u = synth.agg(*[(F.count_distinct(c) / F.count(F.lit(1))).alias(f"u{i}") for i, c in enumerate(ids)])
+        st = ", ".join(f"'{c}', u{i}" for i, c in enumerate(ids))
+        parts.append(u.selectExpr(f"stack({len(ids)}, {st}) as (column_name, score)")
+                     .select(F.lit("data_validity").alias("property"), "column_name", "score"))
     rc, sc = set(real.columns), set(synth.columns)
     struct = len(rc & sc) / len(rc | sc)
     spark = real.sparkSession
@@ -157,11 +160,31 @@ def pair_tvd(a: DataFrame, b: DataFrame, pairs: Sequence[tuple[str, str]]) -> Da
     return j.groupBy("pid").agg((F.sum(d) * 0.5).alias("tvd")).select(names[F.col("pid")].alias("column_name"), "tvd")
 
 
+def range_bins(real: DataFrame, numeric: Sequence[str], n: int = 10) -> dict:
+    """Bin number of each numeric column over the real side's range: 1..n inside,
+    0 below, n + 1 from the maximum on; null stays null."""
+    r = real.agg(*[F.min(F.col(c).cast("double")).alias(f"lo_{c}") for c in numeric],
+                 *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in numeric]).first()
+    out = {}
+    for c in numeric:
+        x, lo, hi = F.col(c).cast("double"), r[f"lo_{c}"], r[f"hi_{c}"]
+        if lo is None:
+            out[c] = F.lit(None).cast("bigint")
+            continue
+        inside = F.floor((x - F.lit(lo)) / F.lit((hi - lo) / n if hi > lo else 1.0)) + 1
+        out[c] = F.when(x < F.lit(lo), 0).when(x >= F.lit(hi), n + 1).when(x.isNotNull(), inside).cast("bigint")
+    return out
+
+
 def quality(real: DataFrame, synth: DataFrame, numeric: Sequence[str],
             categorical: Sequence[str], digits: int = 6) -> DataFrame:
     """Column shapes (1 - KS, 1 - TVD) and column-pair trends
     (1 - |dr|/2 for numeric pairs, 1 - TVD of the contingency table for
-    categorical pairs) -> ``(property, column_name, score)``."""
+    categorical and mixed pairs) -> ``(property, column_name, score)``.
+
+    In a mixed pair the numeric column stands as ten equal-width bins over the
+    real side's range, with one bin below and one from its maximum on (the
+    published contingency similarity for discretised columns)."""
     parts = []
     if numeric:
         parts.append(ks(real, synth, numeric, 15).select(
@@ -175,9 +198,13 @@ def quality(real: DataFrame, synth: DataFrame, numeric: Sequence[str],
                               F.concat_ws("|", "col_a", "col_b").alias("column_name"),
                               (1 - F.col("gap") / 2).alias("score")))
     cat_pairs = [(c1, c2) for i, c1 in enumerate(categorical) for c2 in categorical[i + 1:]]
-    if cat_pairs:
-        parts.append(pair_tvd(real, synth, cat_pairs).select(
-            F.lit("column_pair_trends").alias("property"), "column_name", (1 - F.col("tvd")).alias("score")))
+    mixed = [(x, c) for x in numeric for c in categorical]
+    if cat_pairs or mixed:
+        bins = range_bins(real, numeric) if mixed else {}
+        a, b = (s.withColumns({f"_bin_{x}": e for x, e in bins.items()}) if bins else s for s in (real, synth))
+        t = pair_tvd(a, b, cat_pairs + [(f"_bin_{x}", c) for x, c in mixed])
+        parts.append(t.select(F.lit("column_pair_trends").alias("property"), F.regexp_replace("column_name", "^_bin_", "").alias("column_name"),
+                              (1 - F.col("tvd")).alias("score")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -193,9 +220,12 @@ def report_rows(scores: DataFrame, digits: int = 6) -> DataFrame:
 
 def evaluate(real: DataFrame, synths: Mapping[str, DataFrame], numeric: Sequence[str],
              categorical: Sequence[str], digits: int = 6) -> DataFrame:
-    """Overall quality and diagnostic score per synthetic dataset."""
+    """Overall quality and diagnostic score per synthetic dataset.  Each side
+    is kept once for all the scores that read it."""
     out = None
+    real = cut_lineage(real)
     for name, s in synths.items():
+        s = cut_lineage(s)
         q = quality(real, s, numeric, categorical, 15).groupBy("property").agg(F.avg("score").alias("p"))
         dg = diagnostic(real, s, numeric, categorical, (), 15).groupBy("property").agg(F.avg("score").alias("p"))
         qs = q.select(F.avg("p")).scalar()

@@ -145,6 +145,11 @@ def quality_sql(num, cat, a="ra", b="sy", digits=6):
     for i, x in enumerate(cat):
         for y in cat[i + 1:]:
             parts.append(f"SELECT 'column_pair_trends', '{x}|{y}', 1 - ({pair_tvd_sql(x, y, a, b)})")
+    for x in num:
+        lo, hi = f"(SELECT min({x}) FROM {a})", f"(SELECT max({x}) FROM {a})"
+        binned = f"CASE WHEN {x} < {lo} THEN 0 WHEN {x} >= {hi} THEN 11 ELSE floor(({x} - {lo}) / (({hi} - {lo}) / 10)) + 1 END"
+        for y in cat:
+            parts.append(f"SELECT 'column_pair_trends', '{x}|{y}', 1 - ({pair_tvd_sql(binned, y, a, b)})")
     # "+ 0.0" folds a negative zero from rounding into 0.0 (Spark's round never yields -0.0)
     return (f"(SELECT property, column_name, round(score, {digits}) + 0.0 AS score FROM ("
             + " UNION ALL ".join(parts) + "))")
