@@ -205,11 +205,15 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", giant: int
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = load(model_path)
         for b in batches:
-            some = [x for x in b if x is not None]
-            ids = m.lib.encode(some, num_threads=1) if some else []
-            back = m.lib.decode(ids, num_threads=1) if ids else []
-            it = iter(zip(ids, back))
-            yield pd.DataFrame([next(it) if x is not None else (None, None) for x in b], columns=["ids", "decoded"])
+            out: list = []
+            for at in range(0, len(b), 128):  # a few texts at a time: lists of Python integers are large
+                part = b.iloc[at:at + 128].to_list()
+                some = [x for x in part if x is not None]
+                ids = m.lib.encode(some, num_threads=1) if some else []
+                back = m.lib.decode(ids, num_threads=1) if ids else []
+                it = iter(zip((np.asarray(x, dtype=np.int32) for x in ids), back))
+                out += [next(it) if x is not None else (None, None) for x in part]
+            yield pd.DataFrame(out, columns=["ids", "decoded"])
     small = rows.where(F.coalesce(F.char_length(t) <= giant, F.lit(True))).withColumn("_e", whole(t)) \
         .select(*keep, "_e.ids", "_e.decoded")
     large = rows.where(F.char_length(t) > giant)
