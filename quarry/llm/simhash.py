@@ -194,8 +194,9 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     from pyspark.sql import Window
     near = near_duplicates(docs, id_col, text_col, shingle, radius)
     kept = near.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
-    nameless = docs.sparkSession.range(1).select(F.lit(None).cast(docs.schema[id_col].dataType).alias("_kept"))
-    first = F.row_number().over(Window.partitionBy(id_col, F.when(F.col(id_col).isNull(), F.xxhash64(text_col)))
-                                .orderBy(F.col(text_col).asc_nulls_last()))
-    return docs.join(kept.unionByName(nameless), F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi") \
-        .withColumn("_first", first).where("_first = 1").drop("_first")
+    # the window reads the join's own partitions: the texts move once
+    named = docs.where(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("_kept"), "left_semi") \
+        .withColumn("_first", F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())))
+    nameless = docs.where(F.col(id_col).isNull()) \
+        .withColumn("_first", F.row_number().over(Window.partitionBy(F.sha2(F.col(text_col).cast("string"), 256)).orderBy(F.lit(1))))
+    return named.unionByName(nameless).where("_first = 1").drop("_first")
