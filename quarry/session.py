@@ -45,14 +45,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     when it is unset (local tests) do we create a scratch folder.
     """
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+    named, current = sc.getConf().get("spark.checkpoint.dir", None), sc.getCheckpointDir()
+    if current:  # setting it again would only nest another folder
+        return named or current
+    if not named:
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        d = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(d)
-    return d
+        named = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(named)
+    return named
 
 
 def cut_lineage(df):
