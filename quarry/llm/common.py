@@ -41,6 +41,7 @@ def ship_package(spark: SparkSession) -> None:
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for d, _, names in sorted(os.walk(root)):
+            z.writestr(zipfile.ZipInfo(os.path.join("quarry", os.path.relpath(d, root), "").replace("/./", "/")), b"")  # packages without __init__ need it
             for n in sorted(names):
                 if n.endswith(".py"):
                     path = os.path.join(d, n)
