@@ -68,8 +68,9 @@ def parse_pairs(lines: DataFrame, sep: str = ",", default_key: str | None = "Unk
     for p in skip_prefixes:
         keep = keep & ~raw.startswith(p)
     line = F.trim(raw) if strip else raw
-    # split once into its own column; key / amount read that column
-    parts = lines.where(keep).select(F.split(line, re.escape(sep)).alias("_p"))
+    # split once; a generated column, so that the filters below are not pushed
+    # under it with the whole line expression copied into each of them
+    parts = lines.where(keep).select(F.explode_outer(F.array(F.split(line, re.escape(sep)))).alias("_p"))
     key = F.get(F.col("_p"), 0)
     if default_key is not None:
         key = F.when(key == "", F.lit(default_key)).otherwise(key)
