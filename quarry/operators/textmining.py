@@ -238,19 +238,19 @@ def word_weights(train: DataFrame, id_col: str, text_col: str, label: str, vocab
 
 
 def word_list_predictor(weights: Mapping[str, float], digits: int = 9):
-    """Factory for :func:`score_batches`: sum of word weights > 0 -> positive."""
-    import regex
-    rx = regex.compile(TOKEN_RE)
-    stops = frozenset(stop_words())
+    """Factory for :func:`score_batches` over a column of token arrays (tokenised
+    by :func:`with_tokens`): sum of word weights > 0 -> positive.  A batch is
+    scored at once: one lookup over all its tokens, one sum by row."""
     w = dict(weights)
 
     def make():
-        def predict(s: pd.Series) -> pd.Series:
-            def one(t):
-                if t is None:
-                    return 0
-                toks = [x for x in rx.findall(t.lower()) if x not in stops]
-                return int(round(sum(w.get(x, 0.0) for x in toks), digits) > 0)
-            return s.map(one)
+        import numpy as np
+
+        def predict(tokens: pd.Series) -> pd.Series:
+            rows = [t if t is not None else [] for t in tokens]
+            row = np.repeat(np.arange(len(rows)), [len(t) for t in rows])
+            flat = [x for t in rows for x in t]
+            v = pd.Series(flat, dtype=object).map(w).fillna(0.0).to_numpy(dtype=float)
+            return pd.Series((np.bincount(row, weights=v, minlength=len(rows)).round(digits) > 0).astype("int32"), index=tokens.index)
         return predict
     return make

@@ -103,7 +103,8 @@ def predictions(spark, d):
     wts = N.word_weights(train, "doc_id", "text", "label", vocab)
     weights = {r["term"]: r["weight"] for r in wts.collect()}  # bounded by max_features
     test = lab.where(F.col("split") == "test").select("doc_id", "text", "label")
-    pred = N.score_batches(test, "text", N.word_list_predictor(weights)).drop("text")
+    tokens = N.with_tokens(test, "text", "tokens").select("doc_id", "label", "tokens")
+    pred = N.score_batches(tokens, "tokens", N.word_list_predictor(weights)).drop("tokens")
     base = test.select("doc_id", "label", F.lit(1).alias("prediction"))
     return pred, base
 
