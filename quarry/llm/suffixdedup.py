@@ -120,8 +120,8 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _window_repeats(p: dict, length: int, half: int) -> np.ndarray:
-    """For members of whole groups (equal ``side, k``): which of their windows on
-    that side equal a window of another member; bool, members x places.
+    """For members of whole groups (equal ``side, k, s, t``): which of their windows
+    on that side equal a window of another member; bool, members x places.
 
     Place d is the window that starts d bytes before the anchor.  All members'
     windows of one place are hashed by a rolling update and sorted."""
@@ -132,7 +132,7 @@ def _window_repeats(p: dict, length: int, half: int) -> np.ndarray:
     buf = np.frombuffer(b"".join(text), dtype=np.uint8)
     # two polynomial prefix sums (64 bits each) give the hash of any window
     out = np.zeros((n, places), dtype=bool)
-    group = p["k"].view(np.uint64)
+    group = (p["k"].view(np.uint64) * _MIX[2]) ^ ((p["s"] * 65536 + p["t"]).astype(np.uint64) * _MIX[3])
     pow_, inv = _powers(int(max(np.diff(off), default=0)) + 1)
     sums = []
     for r in range(2):
@@ -178,12 +178,14 @@ def _places_to_spans(hit: np.ndarray, right: bool, a: int, length: int, half: in
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
-                   group_rows: int = 4096) -> DataFrame:
+                   group_rows: int = 1024, most_parts: int = 64) -> DataFrame:
     """``(id, th, spans array<struct<s,e>>)``: per row key the byte spans that a
     window of ``length`` bytes found elsewhere covers (unmerged).
 
-    Groups of more than ``group_rows`` different spans that share a half digit
-    are not gathered: their windows are counted one by one by an aggregate."""
+    A group of up to ``group_rows`` different spans that share a half digit is
+    ordered in one place.  A larger one is dealt into parts of that size, and
+    each pair of parts is ordered by itself; beyond ``most_parts`` parts its
+    windows are counted one by one by an aggregate, which grows in proportion."""
     half = length // 2
     a = saved(anchors(docs, id_col, text_col, length), "suffix-anchors")
     spans = saved(a.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "th", "a", "lo", "hi", "kr", "kl")).alias("x"))
@@ -203,11 +205,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("l.id", "l.th", F.explode("r.c").alias("c"), "l.t") \
         .select("id", "th", "c.*", F.expr(f"substring(t, cast(c.a + c.lo + 1 as int), c.hi - c.lo + {length})").alias("bytes"))
     got = saved(got, "suffix-open")
-    few = got.where(F.col("m") <= group_rows).repartition(parallelism(docs.sparkSession), "side", "k").sortWithinPartitions("side", "k")
+    parts = F.ceil(F.col("m") / group_rows)
+    few = got.where(parts <= most_parts).withColumn("p", F.pmod(F.xxhash64("id", "th", "a"), parts)) \
+        .withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))) \
+        .withColumn("s", F.least("p", "q")).withColumn("t", F.greatest("p", "q")).drop("p", "q", "m")
+    group = ["side", "k", "s", "t"]
+    few = few.repartition(parallelism(docs.sparkSession), *group).sortWithinPartitions(*group)
     key = f"id {got.schema['id'].dataType.simpleString()}, th long"
 
     def solve(t: pa.Table) -> pa.RecordBatch | None:
-        p = {c: t.column(c).to_numpy().astype(np.int64) for c in ("side", "k", "n", "a", "lo", "hi")}
+        p = {c: t.column(c).to_numpy().astype(np.int64) for c in ("side", "k", "s", "t", "n", "a", "lo", "hi")}
         p["bytes"] = t.column("bytes").to_pylist()
         hit = _window_repeats(p, length, half)
         keep = np.flatnonzero((p["n"] == 1) & hit.any(axis=1))
@@ -222,8 +229,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
             if not t.num_rows:
                 continue
-            side, k = t.column("side").to_numpy(), t.column("k").to_numpy()
-            ends = np.flatnonzero((side[1:] != side[:-1]) | (k[1:] != k[:-1])) + 1  # whole groups; the last may go on
+            new = np.zeros(max(t.num_rows - 1, 0), dtype=bool)
+            for c in group:
+                x = t.column(c).to_numpy()
+                new |= x[1:] != x[:-1]
+            ends = np.flatnonzero(new) + 1  # whole groups; the last may go on
             at = 0
             for e in ends:
                 if e - at >= 2048 or e == ends[-1]:
@@ -249,7 +259,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 i = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("id").take(i), part.column("th").take(i), part.column("n").take(i),
                                                   pa.array(starts, pa.int64()), pa.array(w, pa.binary())], names=["id", "th", "n", "s", "w"])
-    many = got.where(F.col("m") > group_rows).mapInArrow(windows, f"{key}, n long, s long, w binary")
+    many = got.where(parts > most_parts).mapInArrow(windows, f"{key}, n long, s long, w binary")
     twice = many.groupBy("w").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("w")
     single = many.where("n = 1").join(twice, "w", "left_semi") \
         .select("id", "th", F.struct("s", (F.col("s") + length).alias("e")).alias("sp"))
