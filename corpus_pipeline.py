@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontam, langid, pieces, secretscan, simhash
-from quarry.llm.common import saved, ship_package, table
+from quarry.llm.common import own_prefix, saved, ship_package, table
 
 #: DuckDB has neither the models nor XXH64: run() is tested stage by stage against brute force.
 ORACLE_SQL = None
@@ -15,7 +15,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined; null texts and texts without a letter go."""
     ship_package(spark)
     model = langid.fit(docs.where(langid.trains("doc_id")))
-    return langid.predict(docs, model, lang_out="_pred", score_out="_score").where(F.col("_pred") != langid.UNDETERMINED).drop("_pred", "_score")
+    p = own_prefix(docs)
+    return langid.predict(docs, model, lang_out=f"{p}lang", score_out=f"{p}score") \
+        .where(F.col(f"{p}lang") != langid.UNDETERMINED).drop(f"{p}lang", f"{p}score")
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
-__all__ = ["scratch", "ship_package", "saved", "filesystem", "write_atomic", "merge_spans", "parallelism", "table"]
+__all__ = ["scratch", "ship_package", "saved", "own_prefix", "filesystem", "write_atomic", "merge_spans", "parallelism", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def own_prefix(df: DataFrame) -> str:
+    """A prefix that no column of ``df`` has, for helper columns beside its own."""
+    p = "_q"
+    while any(c.lower().startswith(p) for c in df.columns):
+        p += "q"
+    return p + "_"
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions for a CPU-bound shuffle: the session's own shuffle parallelism."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import saved
+from quarry.llm.common import own_prefix, saved
 
 __all__ = ["words", "item_windows", "window_hits", "contamination", "drop_contaminated"]
 
@@ -97,5 +97,6 @@ def contamination_digests(docs: DataFrame, items: DataFrame, **kw) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The rows of ``docs`` whose text is not contaminated, all columns kept."""
-    c = contamination(docs, items, id_col, text_col, **kw).where("contaminated").select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(c, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    bad = own_prefix(docs) + "bad"
+    c = contamination(docs.select(id_col, text_col), items, id_col, text_col, **kw).where("contaminated").select(F.col(id_col).alias(bad)).distinct()
+    return docs.join(c, F.col(id_col).eqNullSafe(F.col(bad)), "left_anti")

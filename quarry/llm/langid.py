@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import saved
+from quarry.llm.common import own_prefix, saved
 
 __all__ = ["LanguageModel", "fit", "predict", "held_out", "trains"]
 
@@ -162,7 +162,7 @@ _LOADED: dict = {}
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
     """``docs`` with the predicted language of each whole text and its posterior
-    probability.  A null text or one without a letter is ``und`` with score 0;
+    probability (columns of these names are replaced).  A null text or one without a letter is ``und`` with score 0;
     every other gets a learned language.  Nothing but the text is an input."""
     import uuid
     shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
@@ -175,5 +175,6 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_
         p = _LOADED[name]
         for s in batches:
             yield pd.DataFrame([p(t) for t in s], columns=["lang", "score"])
-    return docs.withColumn("_lp", run(F.col(text_col).cast("string"))).select(
-        *[docs[c] for c in docs.columns if c not in (lang_out, score_out)], F.col("_lp.lang").alias(lang_out), F.col("_lp.score").alias(score_out))
+    lp = own_prefix(docs) + "lp"
+    return docs.withColumn(lp, run(F.col(text_col).cast("string"))).select(
+        *[F.col(c) for c in docs.columns if c.lower() not in (lang_out.lower(), score_out.lower())], F.col(f"{lp}.lang").alias(lang_out), F.col(f"{lp}.score").alias(score_out))

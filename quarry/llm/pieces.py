@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import parallelism, saved
+from quarry.llm.common import own_prefix, parallelism, saved
 
 __all__ = ["PieceModel", "load", "encode", "chunk_matrix", "combine", "trace"]
 
@@ -197,7 +197,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", giant: int
     A null text has null ids and a null decoded text, an empty text no ids.
     Columns that are named ``ids`` or ``decoded`` are replaced; repeated rows
     give repeated results.  U+2581 in a text decodes as a blank."""
-    keep = [c for c in docs.columns if c not in ("ids", "decoded")]
+    keep = [c for c in docs.columns if c.lower() not in ("ids", "decoded")]
     t = F.col(text_col).cast("string")
     rows = docs.select(*keep)
 
@@ -214,13 +214,14 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", giant: int
                 it = iter(zip((np.asarray(x, dtype=np.int32) for x in ids), back))
                 out += [next(it) if x is not None else (None, None) for x in part]
             yield pd.DataFrame(out, columns=["ids", "decoded"])
-    small = rows.where(F.coalesce(F.char_length(t) <= giant, F.lit(True))).withColumn("_e", whole(t)) \
-        .select(*keep, "_e.ids", "_e.decoded")
+    p = own_prefix(rows)
+    small = rows.where(F.coalesce(F.char_length(t) <= giant, F.lit(True))).withColumn(f"{p}e", whole(t)) \
+        .select(*keep, f"{p}e.ids", f"{p}e.decoded")
     large = rows.where(F.char_length(t) > giant)
     texts = large.select(F.col(text_col).cast("string").alias("t")).distinct().select(F.sha2("t", 256).alias("k"), "t")
     chunks = saved(_chunks(texts, model_path, chunk), "piece-chunks")
-    ids = _scan(chunks, model_path)
-    return small.unionByName(large.withColumn("_k", F.sha2(t, 256)).join(ids, F.col("_k") == ids["k"]).select(*keep, "ids", "decoded"))
+    ids = _scan(chunks, model_path).withColumnRenamed("k", f"{p}k")
+    return small.unionByName(large.withColumn(f"{p}t", F.sha2(t, 256)).join(ids, F.col(f"{p}t") == F.col(f"{p}k")).select(*keep, "ids", "decoded"))
 
 
 def _chunks(texts: DataFrame, model_path: str, chunk: int) -> DataFrame:

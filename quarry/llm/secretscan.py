@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import saved
+from quarry.llm.common import own_prefix, saved
 
 __all__ = ["Lexicon", "lexicon", "findings", "rule_label", "fit_forest", "score", "scan", "redact"]
 
@@ -192,17 +192,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars", mark: str = "[SECRET]", **kw) -> DataFrame:
     """``docs`` with every found secret replaced by ``mark`` and ``chars_col``
     counted anew where the text changed; all rows and columns stay."""
+    q = own_prefix(docs)
     spans = scan(docs, id_col, text_col, **kw).where("is_secret").groupBy("id", "th") \
-        .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
-    spans = saved(spans.select(F.col("id").alias("_rid"), F.col("th").alias("_rth"), "_spans"), "secret-spans")
-    th = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    j = docs.withColumn("_th", th).join(spans, (F.col("_th") == F.col("_rth")) & F.col(id_col).eqNullSafe(F.col("_rid")), "left")
-    text = F.col(text_col)
-    cut = F.aggregate("_spans", F.struct(F.lit("").alias("s"), F.lit(0).cast("long").alias("at")), lambda a, x: F.struct(
+        .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(f"{q}spans"))
+    spans = saved(spans.select(F.col("id").alias(f"{q}rid"), F.col("th").alias(f"{q}rth"), f"{q}spans"), "secret-spans")
+    text, found = F.col(text_col), F.col(f"{q}spans")
+    th = F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+    j = docs.withColumn(f"{q}th", th).join(spans, (F.col(f"{q}th") == F.col(f"{q}rth")) & F.col(id_col).eqNullSafe(F.col(f"{q}rid")), "left")
+    cut = F.aggregate(found, F.struct(F.lit("").alias("s"), F.lit(0).cast("long").alias("at")), lambda a, x: F.struct(
         F.concat(a["s"], text.substr((a["at"] + 1).cast("int"), (x["start"] - a["at"]).cast("int")), F.lit(mark)).alias("s"), x["end"].alias("at")))
-    out = j.withColumn("_cut", cut).withColumn("_new", F.when(F.col("_spans").isNull(), text).otherwise(
-        F.concat("_cut.s", text.substr((F.col("_cut.at") + 1).cast("int"), F.length(text)))))
-    cols = [F.col("_new").alias(c) if c == text_col else
-            F.when(F.col("_spans").isNull(), F.col(c)).otherwise(F.char_length("_new")).cast(docs.schema[c].dataType).alias(c) if c == chars_col
+    out = j.withColumn(f"{q}cut", cut).withColumn(f"{q}new", F.when(found.isNull(), text).otherwise(
+        F.concat(f"{q}cut.s", text.substr((F.col(f"{q}cut.at") + 1).cast("int"), F.length(text)))))
+    cols = [F.col(f"{q}new").alias(c) if c == text_col else
+            F.when(found.isNull(), F.col(c)).otherwise(F.char_length(f"{q}new")).cast(docs.schema[c].dataType).alias(c) if c == chars_col
             else F.col(c) for c in docs.columns]
     return out.select(*cols)

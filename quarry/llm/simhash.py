@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import min_labels, parallelism, saved
+from quarry.llm.common import min_labels, own_prefix, parallelism, saved
 from quarry.llm.components import connected_components
 
 __all__ = ["fingerprints", "link_classes", "near_duplicates", "keep_one_of_each"]
@@ -193,10 +193,11 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     null id, which no component can name, stay, once for each text."""
     from pyspark.sql import Window
     near = near_duplicates(docs, id_col, text_col, shingle, radius)
-    kept = near.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
+    p = own_prefix(docs)
+    kept = near.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(f"{p}kept")).distinct()
     # the window reads the join's own partitions: the texts move once
-    named = docs.where(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("_kept"), "left_semi") \
-        .withColumn("_first", F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())))
+    named = docs.where(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col(f"{p}kept"), "left_semi") \
+        .withColumn(f"{p}first", F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())))
     nameless = docs.where(F.col(id_col).isNull()) \
-        .withColumn("_first", F.row_number().over(Window.partitionBy(F.sha2(F.col(text_col).cast("string"), 256)).orderBy(F.lit(1))))
-    return named.unionByName(nameless).where("_first = 1").drop("_first")
+        .withColumn(f"{p}first", F.row_number().over(Window.partitionBy(F.sha2(F.col(text_col).cast("string"), 256)).orderBy(F.lit(1))))
+    return named.unionByName(nameless).where(f"{p}first = 1").drop(f"{p}first")

@@ -145,12 +145,13 @@ def repeats(rng, n, passage):
     return texts
 
 
-@pytest.mark.parametrize("length,group_rows,seed", [(400, 4096, 1), (64, 4096, 2), (64, 1, 3), (64, 3, 4), (33, 8, 5)])
-def test_suffix_dedup_equals_brute_force(spark, monkeypatch, length, group_rows, seed):
+@pytest.mark.parametrize("length,group_rows,most_parts,seed", [
+    (400, 1024, 64, 1), (64, 1024, 64, 2), (64, 1, 1, 3), (64, 3, 64, 4), (33, 4, 2, 5), (64, 2, 64, 6), (64, 5, 1, 7)])
+def test_suffix_dedup_equals_brute_force(spark, monkeypatch, length, group_rows, most_parts, seed):
     texts = repeats(random.Random(seed), 120, 900 if length == 400 else 200)
     want = brute_removal(texts, length)
     real = suffixdedup.repeated_spans
-    monkeypatch.setattr(suffixdedup, "repeated_spans", lambda *a, **k: real(*a, **{**k, "group_rows": group_rows}))
+    monkeypatch.setattr(suffixdedup, "repeated_spans", lambda *a, **k: real(*a, **{**k, "group_rows": group_rows, "most_parts": most_parts}))
     got = {r["doc_id"]: r for r in rows(suffixdedup.removal_digests(docs_df(spark, texts).repartition(5), length=length))}
     for i, w in enumerate(want):
         g = got[i]
@@ -204,6 +205,7 @@ def test_token_files_round_trip(spark, tmp_path):
     folder = str(tmp_path / "f")
     man = tokenfiles.write_token_files(docs_df(spark, texts, ids), tokenfiles.byte_bpe_encoder(path), folder, file_bytes=4000)
     assert man.count() > 8
+    (tmp_path / "f" / "ids-0000000-00000-9.eftk").write_bytes(b"a lost attempt's file")
     got = {r["doc_id"]: r for r in rows(tokenfiles.token_digests(spark, folder, man))}
     start = 0
     for i, t in sorted(zip(ids, texts), key=lambda x: (x[0] is not None, x[0] or 0)):
@@ -459,9 +461,11 @@ def test_warc_round_trip(spark, tmp_path):
     pages = [(i * 3, None if i == 3 else f"http://a/{i} b\r\n", h) for i, h in enumerate(html)] + [(None, "u", "é" * 60), (2 ** 60 + 1, "u", "z" * 500)]
     d = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
     folder = str(tmp_path / "w")
-    warc.write_warc(d.repartition(3), folder, file_bytes=3000)
+    done = warc.write_warc(d.repartition(3), folder, file_bytes=3000)
+    assert done.count() > 3
+    (tmp_path / "w" / "pages-0000000-00000-9.warc.gz").write_bytes(b"a lost attempt's file")
     for split in (97, 1000, 1 << 20):
-        got = rows(warc.read_warc(spark, folder, split))
+        got = rows(warc.read_warc(spark, folder, done, split))
         assert len(got) == len(pages)
         by = {r["page_id"]: r for r in got}
         for i, u, h in pages:
@@ -472,7 +476,8 @@ def test_warc_round_trip(spark, tmp_path):
             revisit = len(p) >= 100 and same[0] != i
             assert (r["record_type"], r["refers_to"]) == (("revisit", same[0]) if revisit else ("response", None))
             assert r["payload"] == (None if revisit else p)
-    warc.write_warc(d.where("false"), str(tmp_path / "none"))
+    none = warc.write_warc(d.where("false"), str(tmp_path / "none"))
+    assert none.count() == 0
 
 
 # --- pipeline --------------------------------------------------------------------
@@ -504,3 +509,24 @@ def test_pipeline_stages(spark):
     m = pieces.load(model_path())
     ids = {r["doc_id"]: r["ids"] for r in at["sentencepiece"].collect()}
     assert ids == {i: m.lib.encode(t) for i, t in f.items()}
+
+
+CLASHES = ("_q", "_q_x", "id", "th", "t", "k", "x", "w", "r", "l", "start", "end", "spans", "fingerprint", "component_id", "lang_pred", "score",
+           "items", "n_hit", "contaminated", "is_secret", "node", "Ids", "i")
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline as C
+    texts = AWKWARD + ["plain words of some length", "plain words of some length", "password=ab12cd34ef56ab78 here"]
+    d = docs_df(spark, texts, [*range(len(texts) - 3), None, None, 50]).withColumns({c: F.lit("clash") for c in CLASHES})
+    d = d.withColumn("lang", F.when(F.col("doc_id") != 6, F.col("lang"))).withColumn("source", F.lit(None).cast("string"))
+    for rows_in in (d, d.unionByName(d), d.where("false"), d.where("text is null")):
+        x = rows_in
+        for name, stage in C.STAGES:
+            y = common.saved(stage(spark, x, SF_SMALL), "odd-stage")
+            if name != "sentencepiece":
+                assert y.columns == rows_in.columns
+            x = y
+        got = {(r["doc_id"], r["n_tokens"]) for r in rows(x)}
+        assert x.count() == len(got)  # one of each
+        assert bool(got) == (rows_in in (d,) or rows_in.where("text is not null").count() > 0)
