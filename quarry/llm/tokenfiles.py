@@ -2,16 +2,19 @@
 from __future__ import annotations
 
 import json
-import re
 import struct
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import parallelism, scratch, write_atomic
+from quarry.operators.joins import sized_broadcast
 
 __all__ = ["EliasFano", "byte_bpe_encoder", "encode_block", "decode_block", "write_token_files", "read_token_files", "file_bases", "token_digests"]
 
@@ -79,7 +82,7 @@ class EliasFano:
 _MAGIC = b"EFTK0001"
 
 
-def encode_block(doc_ids: list, lengths: np.ndarray, ids: bytes, width: int) -> list[bytes]:
+def encode_block(doc_ids: list, lengths: np.ndarray, ids: list[bytes], width: int) -> list[bytes]:
     """File contents: magic, id width, documents and ids; the documents' ids (a
     null one has its flag set); the Elias-Fano coded ends; the id array."""
     ends = np.cumsum(lengths)
@@ -87,7 +90,7 @@ def encode_block(doc_ids: list, lengths: np.ndarray, ids: bytes, width: int) ->
     null = np.packbits(np.array([d is None for d in doc_ids], dtype=np.uint8), bitorder="little").tobytes()
     plain = np.array([0 if d is None else d for d in doc_ids], dtype="<i8").tobytes()
     ef = EliasFano.of(ends, total + 1).pack()
-    return [_MAGIC, struct.pack("<BQQQ", width, len(doc_ids), total, len(ef)), null, plain, ef, ids]
+    return [_MAGIC, struct.pack("<BQQQ", width, len(doc_ids), total, len(ef)), null, plain, ef, *ids]
 
 
 def decode_block(data: bytes) -> tuple[list, EliasFano, np.ndarray]:
@@ -109,8 +112,10 @@ def decode_block(data: bytes) -> tuple[list, EliasFano, np.ndarray]:
 
 
 # --- encoding -------------------------------------------------------------------
-_CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-_ODD_SPACE = re.compile("[" + "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\n\r") + "]")
+# every white space but the four of _BLANK, as a class for Arrow's patterns
+_ODD_SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\n\r") + "]"
+_BLANK = " \t\n\r"
+_IS_BLANK = np.isin(np.arange(256), [ord(c) for c in _BLANK])
 _ENCODERS: dict = {}
 
 
@@ -118,12 +123,14 @@ class _ByteBpe:
     """Ids of texts by the tokenizers library, as little-endian bytes.
 
     Where the tokenizer parts texts by the usual byte-level pattern, a token
-    never spans a blank after a non-blank, so a text is cut there and the
-    library encodes each distinct piece once; pieces are held in a memo of
-    bounded size.  Texts with rarer kinds of blank, and other tokenizers, go to
-    the library whole."""
-
-    def __init__(self, path: str, end_id: int, memo: int = 400_000):
+    never spans a blank after a non-blank, so all texts of a batch are cut
+    there, on their bytes, and each distinct piece is encoded once: the pieces
+    go to the library side by side in long strings, whose ids are parted again
+    where a token begins with a blank after one that does not end with one.
+    Texts with rarer kinds of blank, and other tokenizers, go to the library
+    whole."""
+
+    def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True
@@ -131,29 +138,93 @@ class _ByteBpe:
         pre = spec.get("pre_tokenizer") or {}
         self.cut = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") \
             and not spec.get("normalizer") and spec["model"].get("type") == "BPE"
-        self.width = 2 if max(self.lib.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        size = self.lib.get_vocab_size()
+        self.width = 2 if max(size, end_id + 1) <= 1 << 16 else 4
         self.end = end_id.to_bytes(self.width, "little")
-        self.memo, self.most = {}, memo
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=f"<u{self.width}").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return self.end
-        if not self.cut or _ODD_SPACE.search(text):
-            return self._whole([text])[0] + self.end
-        if len(self.memo) > self.most:
-            self.memo.clear()
-        memo, pieces = self.memo, _CHUNK.findall(text)
-        try:
-            return b"".join([memo[p] for p in pieces]) + self.end
-        except KeyError:
-            new = list({p for p in pieces if p not in memo})
-            known = dict(zip(new, self._whole(new)))
-            memo.update((p, i) for p, i in known.items() if len(p) <= 64)
-            get = memo.get
-            return b"".join([get(p) or known[p] for p in pieces]) + self.end
+        blank = {"Ġ", "ĉ", "Ċ", "č"}  # blank, tab, line feed, carriage return as byte-level symbols
+        self.begins, self.ends = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+        for t, i in self.lib.get_vocab().items():
+            self.begins[i], self.ends[i] = t[:1] in blank, t[-1:] in blank
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Concatenated ids of the texts, and where each text's begin."""
+        flat, n = [], []
+        for i in range(0, len(texts), 64):  # the library's own results are large: a few at a time
+            ids = [e.ids for e in self.lib.encode_batch_fast(texts[i:i + 64], add_special_tokens=False)]
+            n += map(len, ids)
+            flat.append(np.fromiter(chain.from_iterable(ids), dtype=f"<u{self.width}", count=sum(n[i:])))
+        return np.concatenate([np.zeros(0, dtype=f"<u{self.width}"), *flat]), np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+
+    def _pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces: a pool of ids, and each piece's place and number.
+        Pieces from a blank to a non-blank are encoded in rows, the rest singly."""
+        at, data = _layout(words)
+        row = _IS_BLANK[data[at[:-1]]] & ~_IS_BLANK[data[at[1:] - 1]]
+        place, n = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        pool = np.zeros(0, dtype=f"<u{self.width}")
+        if row.any():
+            x, text = _layout(words.filter(pa.array(row)))
+            text = text.tobytes()
+            cut = np.append(x[:-1:256], x[-1])
+            pool, _ = self._ids([text[a:b].decode() for a, b in zip(cut[:-1], cut[1:])])
+            first = self.begins[pool]
+            first[1:] &= ~self.ends[pool[:-1]]
+            where = np.append(np.flatnonzero(first), len(pool))
+            if len(where) != len(x):
+                raise AssertionError("a token spans a cut")
+            place[row], n[row] = where[:-1], np.diff(where)
+        if not row.all():
+            flat, where = self._ids(words.filter(pa.array(~row)).to_pylist())
+            place[~row], n[~row] = where[:-1] + len(pool), np.diff(where)
+            pool = np.concatenate([pool, flat])
+        return pool, place, n
+
+    def _cut(self, t: pa.Array) -> list[np.ndarray]:
+        """Ids of texts that are cut at blanks."""
+        at, data = _layout(t)
+        if not len(data):
+            return [np.zeros(0, dtype=f"<u{self.width}")] * len(t)
+        blank = _IS_BLANK[data]
+        start = np.zeros(len(data) + 1, dtype=bool)
+        start[1:-1] = blank[1:] & ~blank[:-1]
+        start[at] = True
+        where = np.flatnonzero(start).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(where) - 1, pa.py_buffer(where), pa.py_buffer(data)).dictionary_encode()
+        pool, place, n = self._pieces(pieces.dictionary)
+        code = pieces.indices.to_numpy()
+        each = n[code]
+        end = np.concatenate([[0], np.cumsum(each)])
+        small = np.int32 if max(end[-1], len(pool)) < 1 << 31 else np.int64
+        idx = np.arange(end[-1], dtype=small)
+        idx += np.repeat((place[code] - end[:-1]).astype(small), each)
+        flat = pool[idx]
+        doc = end[np.searchsorted(where, at)]
+        return [flat[a:b] for a, b in zip(doc[:-1], doc[1:])]
+
+    def __call__(self, t: pa.Array) -> list[bytes]:
+        """Ids of each text with the end id, as little-endian bytes."""
+        t = t.cast(pa.string()).fill_null("")
+        if not self.cut:
+            whole = np.ones(len(t), dtype=bool)
+        else:
+            whole = pc.match_substring_regex(t, _ODD_SPACE).to_numpy(zero_copy_only=False)
+        out: list = [None] * len(t)
+        for where, encode in ((whole, self._together), (~whole, self._cut)):
+            if where.any():
+                for i, x in zip(np.flatnonzero(where), encode(t if where.all() else t.filter(pa.array(where)))):
+                    out[i] = x.tobytes() + self.end
+        return out
+
+    def _together(self, t: pa.Array) -> list[np.ndarray]:
+        flat, at = self._ids(t.to_pylist())
+        return [flat[a:b] for a, b in zip(at[:-1], at[1:])]
+
+
+def _layout(t: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets (from 0) and bytes of a string array."""
+    at = np.frombuffer(t.buffers()[1], dtype=np.int32)[t.offset:t.offset + len(t) + 1].astype(np.int64)
+    data = np.frombuffer(t.buffers()[2], dtype=np.uint8)[at[0]:at[-1]] if t.buffers()[2] is not None else np.zeros(0, np.uint8)
+    return at - at[0], data
 
 
 def byte_bpe_encoder(path: str, end_id: int = 0) -> Callable[[], _ByteBpe]:
@@ -167,12 +238,23 @@ def byte_bpe_encoder(path: str, end_id: int = 0) -> Callable[[], _ByteBpe]:
     return make
 
 
+def _by_size(b: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``most`` bytes of ``t``."""
+    n = pc.fill_null(pc.binary_length(b.column("t")), 0).to_numpy().cumsum() // most
+    cut = [0, *(np.flatnonzero(n[1:] != n[:-1]) + 1).tolist(), b.num_rows]
+    for at, end in zip(cut, cut[1:]):
+        if end > at:
+            yield b.slice(at, end - at)
+
+
 # --- tables <-> files -----------------------------------------------------------
 def write_token_files(docs: DataFrame, make_encoder: Callable[[], _ByteBpe], folder: str, id_col: str = "doc_id",
                       text_col: str = "text", file_bytes: int = 16 << 20) -> DataFrame:
     """Write ids in ascending ``id_col`` order (null first, then repeated ids by
     text) as files below ``folder``; returns the manifest ``(name, n_docs,
-    n_tokens)``, whose name order is the document order.
+    n_tokens)``, whose name order is the document order.  Names carry the task's
+    attempt, and the manifest those of the attempts that Spark committed: files
+    of lost or doubled attempts are never read.
 
     Rows are dealt by range, and each task encodes its range in order into
     files of about ``file_bytes``: nothing but the texts moves.  A null or
@@ -182,31 +264,33 @@ def write_token_files(docs: DataFrame, make_encoder: Callable[[], _ByteBpe], fol
     src = src.repartitionByRange(parallelism(spark), "d", F.xxhash64("t")).sortWithinPartitions("d", "t") \
         .select(F.coalesce("d", F.lit(0)).alias("d"), F.col("d").isNull().alias("z"), "t")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encode, part, out = make_encoder(), TaskContext.get().partitionId(), []
+        encode, task, out = make_encoder(), TaskContext.get(), []
         ids, lens, parts, size = [], [], [], 0
 
         def flush() -> None:
             nonlocal ids, lens, parts, size
             if ids:
-                name = f"ids-{part:07d}-{len(out):05d}.eftk"
-                write_atomic(folder, name, encode_block(ids, np.array(lens), b"".join(parts), encode.width))
+                name = f"ids-{task.partitionId():07d}-{len(out):05d}-{task.taskAttemptId()}.eftk"
+                write_atomic(folder, name, encode_block(ids, np.array(lens), parts, encode.width))
                 out.append((name, len(ids), int(sum(lens))))
             ids, lens, parts, size = [], [], [], 0
         for b in batches:
-            for d, null, t in zip(b["d"], b["z"], b["t"]):
-                x = encode(t)
-                ids.append(None if null else int(d))
-                lens.append(len(x) // encode.width)
-                parts.append(x)
-                size += len(x)
-                if size >= file_bytes:
-                    flush()
+            for part_of in _by_size(b, 16 << 20):
+                for d, null, x in zip(part_of.column("d").to_pylist(), part_of.column("z").to_pylist(), encode(part_of.column("t"))):
+                    ids.append(None if null else int(d))
+                    lens.append(len(x) // encode.width)
+                    parts.append(x)
+                    size += len(x)
+                    if size >= file_bytes:
+                        flush()
         flush()
-        yield pd.DataFrame(out, columns=["name", "n_docs", "n_tokens"]).astype({"n_docs": "int64", "n_tokens": "int64", "name": object})
+        c = list(zip(*out)) or [[], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.string()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64())],
+                                         names=["name", "n_docs", "n_tokens"])
     done = scratch(spark, "token-manifest")
-    src.mapInPandas(run, "name string, n_docs long, n_tokens long").write.parquet(done)
+    src.mapInArrow(run, "name string, n_docs long, n_tokens long").write.parquet(done)
     return spark.read.schema("name string, n_docs long, n_tokens long").parquet(done)
 
 
@@ -223,6 +307,7 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
         files = spark.createDataFrame([], "path string, content binary")
     else:
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.eftk").load(folder)
+        files = files.join(sized_broadcast(manifest.select("name")), F.element_at(F.split("path", "/"), -1) == F.col("name"), "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
