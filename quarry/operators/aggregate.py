@@ -182,7 +182,7 @@ def ranks_to_values(freq: DataFrame, group_cols: Sequence[str], ranks: DataFrame
     g = list(group_cols)
     cum = running_totals(freq, "_v", {"_hi": F.col("_c")}, g, n_buckets=n_buckets)
     # without groups there is one row of ranks
-    j = join_null_safe(cum, sized_broadcast(ranks), g) if g else cum.join(F.broadcast(ranks.limit(1)), how="inner")
+    j = join_null_safe(cum, sized_broadcast(ranks), g) if g else cum.withColumn("_req", ranks.select("_req").scalar())
     lo, hi = F.col("_hi") - F.col("_c"), F.col("_hi")
     hit = F.filter("_req", lambda x: (x["r"] > lo) & (x["r"] <= hi))
     return j.select(*g, "_v", F.explode_outer(hit).alias("_q")).where(F.col("_q").isNotNull()) \
@@ -361,7 +361,7 @@ def dataset_summary(ratings: DataFrame, user: str = "user", item: str = "item",
                     F.count_distinct(user).cast("double").alias("u"),
                     F.count_distinct(item).cast("double").alias("i"),
                     F.avg(rating).alias("m"))
-    a = a.crossJoin(F.broadcast(exact_quantiles(ratings, rating, [0.5]).select(F.col("value").alias("med"))))  # one row each
+    a = a.withColumn("med", exact_quantiles(ratings, rating, [0.5]).select("value").scalar())
     a = a.withColumn("sp", (F.lit(1.0) - F.col("n") / (F.col("u") * F.col("i"))) * 100)
     return a.selectExpr(
         "stack(6, 'total_ratings', n, 'unique_users', u, 'unique_items', i, "
@@ -377,7 +377,7 @@ def activity_stats(df: DataFrame, key: str, digits: int = 4) -> DataFrame:
                    F.min("_c").cast("bigint").alias("min"), F.max("_c").cast("bigint").alias("max"),
                    F.round(F.stddev_samp("_c"), digits).alias("std"),
                    F.count(F.lit(1)).alias("n_entities"))
-    return a.crossJoin(F.broadcast(med)).select("mean", "median", "min", "max", "std", "n_entities")  # one row each
+    return a.select("mean", med.scalar().alias("median"), "min", "max", "std", "n_entities")
 
 
 def rating_distribution(df: DataFrame, rating: str = "rating") -> DataFrame:

@@ -53,8 +53,8 @@ def similar(factors: DataFrame, query_ids: DataFrame, n: int = 10, id_col: str =
             vec_col: str = "features", block: int = 1024, digits: int = 6) -> DataFrame:
     """Top-``n`` cosine neighbours of each query id (self included at 1.0).
 
-    Queries are taken in blocks of about ``block``; a block's vectors are
-    broadcast as one row, every candidate row is scored against them
+    Queries are taken in blocks of about ``block``; a block's vectors are one
+    scalar of the plan, every candidate row is scored against them
     map-side, and top-N keeps at most ``n`` rows per query per task before
     the shuffle.  More queries take more blocks (one scan each)."""
     q = factors.join(query_ids.select(id_col).distinct(), id_col, "left_semi").select(
@@ -65,7 +65,7 @@ def similar(factors: DataFrame, query_ids: DataFrame, n: int = 10, id_col: str =
     for k in range(blocks):
         qs = q.where(F.col("_b") == k).agg(F.collect_list(F.struct("query", "qv")).alias("_q"))  # one row of about block vectors
         # explode_outer: no inferred size() > 0 filter re-running the scoring
-        scored = factors.select(F.col(id_col).alias("neighbour"), F.col(vec_col).alias("_v")).join(F.broadcast(qs), how="cross") \
+        scored = factors.select(F.col(id_col).alias("neighbour"), F.col(vec_col).alias("_v"), qs.scalar().alias("_q")) \
             .select("neighbour", F.explode_outer(F.transform("_q", lambda s: F.struct(
                 s["query"].alias("query"), cosine(F.col("_v"), s["qv"]).alias("score")))).alias("s")) \
             .select("s.query", "neighbour", "s.score").where(F.col("query").isNotNull())
