@@ -55,19 +55,21 @@ class _InvertedFiles:
         n, self.l = order.shape
         flat = order.ravel()
         by = np.argsort(flat, kind="stable")
-        self.row, self.place = (by // self.l).astype(np.int32), (by % self.l).astype(np.int16)
-        self.at = np.searchsorted(flat[by], np.arange(n_pivots + 1))
-        self.n = n
+        row, place = by // self.l, (by % self.l).astype(np.int16)
+        at = np.searchsorted(flat[by], np.arange(n_pivots + 1))
+        self.post = [(row[a:b], place[a:b]) for a, b in zip(at[:-1], at[1:])]
+        self.n, self.most = n, self.l * (self.l + 1) // 2
 
     def footrule(self, order: np.ndarray) -> np.ndarray:
         """Sum of |place there - place here| over the query's pivots; a pivot that
         a row lacks counts as its place ``prefix``."""
-        l = self.l
-        out = np.full(self.n, int(sum(l - r for r in range(l))), dtype=np.int32)
-        for r, p in enumerate(order):
-            k = slice(self.at[p], self.at[p + 1])
-            out[self.row[k]] -= (l - r) - np.abs(self.place[k] - r)
-        return out
+        l, lists = self.l, [self.post[p] for p in order]
+        here = np.repeat(np.arange(l, dtype=np.int16), [len(r) for r, _ in lists])
+        near = np.concatenate([p for _, p in lists])
+        near -= here
+        np.abs(near, out=near)
+        gain = l - here - near  # against a row that lacks the pivot
+        return self.most - np.bincount(np.concatenate([r for r, _ in lists]), weights=gain, minlength=self.n)
 
 
 def _classes(valid: DataFrame, k: int) -> DataFrame:
@@ -103,6 +105,10 @@ def _blocks(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k:
         x, y, rep = np.stack(idx["v"].to_list()), np.stack(q["y"].to_list()), idx["rep"].to_numpy()
         who, what, score = [], [], []
         for i, cand in answer(arg, x, y):
+            rough = x[cand] @ y[i]
+            if len(cand) > 4 * k + 4:  # well beyond k + 1; the margin covers what rounding can change
+                low = np.partition(rough, len(cand) - k - 1)[len(cand) - k - 1]
+                cand = cand[rough >= low - 1e-9 * (1 + abs(low))]
             s = (x[cand] * y[i]).sum(axis=1)
             best = np.lexsort((rep[cand], -s))[: k + 1]
             who.append(np.full(len(best), q["query"].iloc[i]))
