@@ -16,13 +16,14 @@ traced back by itself.
 """
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm.common import own_prefix, parallelism, saved
 
@@ -185,9 +186,22 @@ def _path(m: PieceModel, s: str, off: int, entry: tuple[int, str], end: int, pie
     return [i for p in reversed(out) for i in ([m.ids[p]] if p in m.ids else m.encode_raw(p))]
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text", giant: int = 32_768, chunk: int = 16_384) -> DataFrame:
+_STEP = 128  # rows whose ids are Python integers at a time
+
+
+def _finish(part: pa.RecordBatch, keep: list[str], ids: list, back: list, packed: bool) -> pa.RecordBatch:
+    """Rows with their ids (packed, or as an array) and the text they decode to."""
+    if packed:
+        col = pa.array([None if x is None else np.asarray(x, dtype="<u4").tobytes() for x in ids], pa.binary())
+    else:
+        col = pa.array([None if x is None else np.asarray(x, dtype=np.int32) for x in ids], pa.list_(pa.int32()))
+    return pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], col, pa.array(back, pa.string())], names=[*keep, "ids", "decoded"])
+
+
+def encode(docs: DataFrame, model_path: str, text_col: str = "text", giant: int = 32_768, chunk: int = 16_384, packed: bool = False) -> DataFrame:
     """``docs`` with ``ids array<int>`` (SentencePiece ids of the whole text, as the
-    library gives them) and ``decoded string`` (the text those ids decode to).
+    library gives them; with ``packed`` as little-endian unsigned 32-bit bytes)
+    and ``decoded string`` (the text those ids decode to).
 
     Texts of up to ``giant`` characters are encoded by one library call each.
     A longer text is cut into chunks of ``chunk`` characters at any place; the
@@ -198,30 +212,33 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", giant: int
     Columns that are named ``ids`` or ``decoded`` are replaced; repeated rows
     give repeated results.  U+2581 in a text decodes as a blank."""
     keep = [c for c in docs.columns if c.lower() not in ("ids", "decoded")]
-    t = F.col(text_col).cast("string")
     rows = docs.select(*keep)
+    p = own_prefix(rows)
+    text = text_col if isinstance(docs.schema[text_col].dataType, T.StringType) and text_col in keep else f"{p}t"
+    t = F.col(text_col).cast("string")
+    if text != text_col:
+        rows = docs.select(*keep, t.alias(text))
+        t = F.col(text)
+    ids_type = T.BinaryType() if packed else T.ArrayType(T.IntegerType())
+    out = T.StructType([*[docs.schema[c] for c in keep], T.StructField("ids", ids_type), T.StructField("decoded", T.StringType())])
 
-    @F.pandas_udf("struct<ids:array<int>,decoded:string>")
-    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load(model_path)
         for b in batches:
-            out: list = []
-            for at in range(0, len(b), 128):  # a few texts at a time: lists of Python integers are large
-                part = b.iloc[at:at + 128].to_list()
-                some = [x for x in part if x is not None]
+            for at in range(0, b.num_rows, _STEP):
+                part = b.slice(at, _STEP)
+                texts = part.column(text).to_pylist()
+                some = [x for x in texts if x is not None]
                 ids = m.lib.encode(some, num_threads=1) if some else []
                 back = m.lib.decode(ids, num_threads=1) if ids else []
-                it = iter(zip((np.asarray(x, dtype=np.int32) for x in ids), back))
-                out += [next(it) if x is not None else (None, None) for x in part]
-            yield pd.DataFrame(out, columns=["ids", "decoded"])
-    p = own_prefix(rows)
-    small = rows.where(F.coalesce(F.char_length(t) <= giant, F.lit(True))).withColumn(f"{p}e", whole(t)) \
-        .select(*keep, f"{p}e.ids", f"{p}e.decoded")
+                i, j = iter(ids), iter(back)
+                yield _finish(part, keep, [None if x is None else next(i) for x in texts], [None if x is None else next(j) for x in texts], packed)
+    small = rows.where(F.coalesce(F.char_length(t) <= giant, F.lit(True))).mapInArrow(whole, out)
     large = rows.where(F.char_length(t) > giant)
-    texts = large.select(F.col(text_col).cast("string").alias("t")).distinct().select(F.sha2("t", 256).alias("k"), "t")
+    texts = large.select(t.alias("t")).distinct().select(F.sha2("t", 256).alias("k"), "t")
     chunks = saved(_chunks(texts, model_path, chunk), "piece-chunks")
-    ids = _scan(chunks, model_path).withColumnRenamed("k", f"{p}k")
-    return small.unionByName(large.withColumn(f"{p}t", F.sha2(t, 256)).join(ids, F.col(f"{p}t") == F.col(f"{p}k")).select(*keep, "ids", "decoded"))
+    ids = _scan(chunks, model_path, packed).withColumnRenamed("k", f"{p}k")
+    return small.unionByName(large.withColumn(f"{p}h", F.sha2(t, 256)).join(ids, F.col(f"{p}h") == F.col(f"{p}k")).select(*keep, "ids", "decoded"))
 
 
 def _chunks(texts: DataFrame, model_path: str, chunk: int) -> DataFrame:
@@ -244,7 +261,7 @@ def _chunks(texts: DataFrame, model_path: str, chunk: int) -> DataFrame:
 _NODE = "struct<end:long,piece:string>"
 
 
-def _scan(chunks: DataFrame, model_path: str) -> DataFrame:
+def _scan(chunks: DataFrame, model_path: str, packed: bool) -> DataFrame:
     """``(k, ids, decoded)`` from chunk rows: matrices, their scan, and the traces."""
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = load(model_path)
@@ -289,26 +306,28 @@ def _scan(chunks: DataFrame, model_path: str) -> DataFrame:
     def traces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = load(model_path)
         for b in batches:
-            ids = [trace(m, r.s, r.off, r.lo, r.hi, (r.entry_end, r.entry_piece), (r.exit_end, r.exit_piece)) for r in b.itertuples(index=False)]
-            yield pd.DataFrame({"k": b["k"], "i": b["i"], "ids": ids})
+            for at in range(0, len(b), _STEP):
+                part = b.iloc[at:at + _STEP]
+                ids = [np.asarray(trace(m, r.s, r.off, r.lo, r.hi, (r.entry_end, r.entry_piece), (r.exit_end, r.exit_piece)), dtype=np.int32)
+                       for r in part.itertuples(index=False)]
+                yield pd.DataFrame({"k": part["k"].to_numpy(), "i": part["i"].to_numpy(), "ids": ids})
     traced = chunks.join(bounds, ["k", "i"]).mapInPandas(traces, "k string, i long, ids array<int>")
     whole = traced.groupBy("k").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("i", "ids"))), lambda x: x["ids"])).alias("ids"))
 
-    @F.pandas_udf("string")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load(model_path)
         for b in batches:
-            yield pd.Series([m.lib.decode([int(i) for i in x]) for x in b], dtype=object)
-    return whole.withColumn("decoded", decode("ids"))
+            for at in range(b.num_rows):  # giant documents: one at a time
+                part = b.slice(at, 1)
+                ids = part.column("ids").to_pylist()
+                yield _finish(part, ["k"], ids, [m.lib.decode(x) for x in ids], packed)
+    return whole.mapInArrow(decode, f"k string, ids {'binary' if packed else 'array<int>'}, decoded string")
 
 
 def piece_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """``(id_col, n_chars, n_tokens, ids_crc32, round_trip)`` of every document."""
-    e = encode(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_t")), model_path, "_t", **kw)
-
-    @F.pandas_udf("long")
-    def crc(ids: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(np.asarray(x if x is not None else [], dtype="<u4").tobytes()) for x in ids], dtype="int64")
+    e = encode(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_t")), model_path, "_t", packed=True, **kw)
+    packed = F.coalesce("ids", F.lit(b""))
     return e.select(id_col, F.coalesce(F.char_length("_t"), F.lit(0)).cast("long").alias("n_chars"),
-                    F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), crc("ids").alias("ids_crc32"),
-                    F.col("decoded").eqNullSafe(F.col("_t")).alias("round_trip"))
+                    (F.octet_length(packed) / 4).cast("long").alias("n_tokens"), F.crc32(packed).alias("ids_crc32"),
+                    F.col("decoded").eqNullSafe(F.translate("_t", "▁", " ")).alias("round_trip"))
