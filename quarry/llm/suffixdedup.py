@@ -6,7 +6,7 @@ equals), a choice that depends on the window's bytes alone, so that equal
 windows have equal anchors at equal places.  Only anchors are sorted, about one
 in ``length / 2`` positions, and only through ``length`` bytes:
 
-1. first digit: the whole span of an anchor's windows.  Anchors that share it
+1. first digit: the whole span of an anchor's windows (96 bits of a hash).  Anchors that share it
    with another repeat with all their windows.
 2. second digit: the half-length string right or left of the anchor, which all
    windows on that side contain.  Spans alone with theirs are done.
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import merge_spans, parallelism, saved
+from quarry.operators.joins import sized_broadcast
 
 __all__ = ["anchors", "repeated_spans", "remove_repeats"]
 
@@ -66,12 +67,12 @@ def _anchor_ranges(x: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray,
     return a[new], new, np.append(new[1:], len(a)) - 1
 
 
-def anchors(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
+def anchors(docs: DataFrame, id_col: str, text_col: str, length: int, unique: bool = False) -> DataFrame:
     """One row an anchor: the row's key ``(id, th)``, ``a``, its windows ``a - lo ..
-    a + hi`` (``lo``, ``hi`` relative), the span digit ``f`` (128 bits) and the half
+    a + hi`` (``lo``, ``hi`` relative), the span digit ``f`` (96 bits) and the half
     digits ``kr`` and ``kl`` (64 bits; null where no window is on that side)."""
     half = length // 2
-    src = _keyed(docs, id_col, text_col)
+    src = _keyed(docs, id_col, text_col, unique)
     schema = f"id {src.schema['id'].dataType.simpleString()}, th long, a long, lo int, hi int, f binary, kr long, kl long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +97,7 @@ def anchors(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
                 rows.append(np.full(len(a), at))
                 for c, x in zip(cols, (
                         a, first - a, last - a,
-                        [xxh3_128_digest(view[s:e]) for s, e in zip(first.tolist(), (last + length).tolist())],
+                        [xxh3_128_digest(view[s:e])[:12] for s, e in zip(first.tolist(), (last + length).tolist())],
                         [_signed(xxh3_64_intdigest(view[p:p + half])) if r else None for p, r in zip(pos, right)],
                         [_signed(xxh3_64_intdigest(view[p - half:p], 1)) if r else None for p, r in zip(pos, left)])):
                     c.append(x)
@@ -113,10 +114,16 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows by id and a hash of id and text (rows alike in both are one key)."""
+def _keyed(docs: DataFrame, id_col: str, text_col: str, unique: bool) -> DataFrame:
+    """Rows by id and, where ids repeat, a hash of id and text (rows alike in both
+    are one key); where they do not, the hash is a constant that costs nothing."""
     t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), t).alias("th"), t.cast("binary").alias("t"))
+    th = F.lit(0).cast("long") if unique else F.xxhash64(F.col(id_col), t)
+    return docs.select(F.col(id_col).alias("id"), th.alias("th"), t.cast("binary").alias("t"))
+
+
+def _unique(docs: DataFrame, id_col: str) -> bool:
+    return docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
 
 
 def _window_repeats(p: dict, length: int, half: int) -> np.ndarray:
@@ -178,7 +185,7 @@ def _places_to_spans(hit: np.ndarray, right: bool, a: int, length: int, half: in
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
-                   group_rows: int = 1024, most_parts: int = 64) -> DataFrame:
+                   group_rows: int = 512, most_parts: int = 64, unique: bool | None = None) -> DataFrame:
     """``(id, th, spans array<struct<s,e>>)``: per row key the byte spans that a
     window of ``length`` bytes found elsewhere covers (unmerged).
 
@@ -187,7 +194,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     each pair of parts is ordered by itself; beyond ``most_parts`` parts its
     windows are counted one by one by an aggregate, which grows in proportion."""
     half = length // 2
-    a = saved(anchors(docs, id_col, text_col, length), "suffix-anchors")
+    unique = _unique(docs, id_col) if unique is None else unique
+    a = saved(anchors(docs, id_col, text_col, length, unique), "suffix-anchors")
     spans = saved(a.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "th", "a", "lo", "hi", "kr", "kl")).alias("x"))
                   .select("f", "n", "x.*"), "suffix-spans")
     whole = a.join(spans.where("n > 1").select("f"), "f", "left_semi") \
@@ -199,9 +207,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     open_ = sides.groupBy("side", "k").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).where("m > 1 and least = 1") \
         .select("side", "k", "m")
     cand = sides.join(open_, ["side", "k"])
-    want = cand.groupBy("id", "th").agg(F.collect_list(F.struct("side", "k", "m", "n", "a", "lo", "hi")).alias("c")).alias("r")
-    text = _keyed(docs, id_col, text_col).alias("l")
-    got = text.join(want, (F.col("l.th") == F.col("r.th")) & F.col("l.id").eqNullSafe(F.col("r.id"))) \
+    want = cand.groupBy("id", "th").agg(F.collect_list(F.struct("side", "k", "m", "n", "a", "lo", "hi")).alias("c"))
+    want = saved(want, "suffix-wanted")  # few documents have any; broadcast only if its measured size allows
+    text = _keyed(docs, id_col, text_col, unique).alias("l")
+    got = text.join(sized_broadcast(want).alias("r"), (F.col("l.th") == F.col("r.th")) & F.col("l.id").eqNullSafe(F.col("r.id"))) \
         .select("l.id", "l.th", F.explode("r.c").alias("c"), "l.t") \
         .select("id", "th", "c.*", F.expr(f"substring(t, cast(c.a + c.lo + 1 as int), c.hi - c.lo + {length})").alias("bytes"))
     got = saved(got, "suffix-open")
@@ -277,8 +286,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A null text is empty; texts shorter than ``length`` stay whole; repeated
     rows repeat each other, so all their windows go; an empty table gives no
     rows."""
-    spans = repeated_spans(docs, id_col, text_col, length).alias("r")
-    j = _keyed(docs, id_col, text_col).alias("l").join(spans, (F.col("l.th") == F.col("r.th")) & F.col("l.id").eqNullSafe(F.col("r.id")), "left") \
+    unique = _unique(docs, id_col)
+    spans = repeated_spans(docs, id_col, text_col, length, unique=unique).alias("r")
+    j = _keyed(docs, id_col, text_col, unique).alias("l").join(spans, (F.col("l.th") == F.col("r.th")) & F.col("l.id").eqNullSafe(F.col("r.id")), "left") \
         .select("l.id", "l.t", "r.spans")
     idt = j.schema["id"].dataType.simpleString()
     spans_type = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
