@@ -1,6 +1,7 @@
 """Shared helpers of the training-data operators: scratch tables, files and byte spans."""
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
-__all__ = ["scratch", "ship_package", "saved", "own_prefix", "filesystem", "write_atomic", "merge_spans", "parallelism", "table"]
+__all__ = ["scratch", "ship_package", "saved", "own_prefix", "arrow_rows", "filesystem", "write_atomic", "merge_spans", "parallelism", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +62,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, most: int):
+    """Arrow batches of at most ``most`` rows for the jobs that run inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= most:
+        spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def own_prefix(df: DataFrame) -> str:
     """A prefix that no column of ``df`` has, for helper columns beside its own."""
     p = "_q"

@@ -1,20 +1,17 @@
 """Token-id files: a concatenated id array with Elias-Fano document boundaries."""
 from __future__ import annotations
 
-import json
 import struct
 from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import parallelism, scratch, write_atomic
-from quarry.operators.joins import sized_broadcast
+from quarry.llm.common import arrow_rows, filesystem, parallelism, scratch, write_atomic
 
 __all__ = ["EliasFano", "byte_bpe_encoder", "encode_block", "decode_block", "write_token_files", "read_token_files", "file_bases", "token_digests"]
 
@@ -134,10 +131,9 @@ class _ByteBpe:
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True
-        spec = json.loads(self.lib.to_str())
-        pre = spec.get("pre_tokenizer") or {}
-        self.cut = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") \
-            and not spec.get("normalizer") and spec["model"].get("type") == "BPE"
+        pre = self.lib.pre_tokenizer
+        self.cut = type(pre).__name__ == "ByteLevel" and pre.use_regex and not pre.add_prefix_space \
+            and self.lib.normalizer is None and type(self.lib.model).__name__ == "BPE"
         size = self.lib.get_vocab_size()
         self.width = 2 if max(size, end_id + 1) <= 1 << 16 else 4
         self.end = end_id.to_bytes(self.width, "little")
@@ -189,14 +185,17 @@ class _ByteBpe:
         start[1:-1] = blank[1:] & ~blank[:-1]
         start[at] = True
         where = np.flatnonzero(start).astype(np.int32)
+        del blank, start
         pieces = pa.StringArray.from_buffers(len(where) - 1, pa.py_buffer(where), pa.py_buffer(data)).dictionary_encode()
         pool, place, n = self._pieces(pieces.dictionary)
         code = pieces.indices.to_numpy()
-        each = n[code]
-        end = np.concatenate([[0], np.cumsum(each)])
+        each = n.astype(np.int32)[code]
+        end = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])
         small = np.int32 if max(end[-1], len(pool)) < 1 << 31 else np.int64
-        idx = np.arange(end[-1], dtype=small)
-        idx += np.repeat((place[code] - end[:-1]).astype(small), each)
+        shift = place.astype(small)[code]
+        shift -= end[:-1].astype(small)
+        idx = np.repeat(shift, each)
+        idx += np.arange(end[-1], dtype=small)
         flat = pool[idx]
         doc = end[np.searchsorted(where, at)]
         return [flat[a:b] for a, b in zip(doc[:-1], doc[1:])]
@@ -277,7 +276,7 @@ def write_token_files(docs: DataFrame, make_encoder: Callable[[], _ByteBpe], fol
                 out.append((name, len(ids), int(sum(lens))))
             ids, lens, parts, size = [], [], [], 0
         for b in batches:
-            for part_of in _by_size(b, 16 << 20):
+            for part_of in _by_size(b, 8 << 20):
                 for d, null, x in zip(part_of.column("d").to_pylist(), part_of.column("z").to_pylist(), encode(part_of.column("t"))):
                     ids.append(None if null else int(d))
                     lens.append(len(x) // encode.width)
@@ -285,46 +284,45 @@ def write_token_files(docs: DataFrame, make_encoder: Callable[[], _ByteBpe], fol
                     size += len(x)
                     if size >= file_bytes:
                         flush()
+                pa.default_memory_pool().release_unused()
         flush()
         c = list(zip(*out)) or [[], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.string()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64())],
                                          names=["name", "n_docs", "n_tokens"])
     done = scratch(spark, "token-manifest")
-    src.mapInArrow(run, "name string, n_docs long, n_tokens long").write.parquet(done)
+    with arrow_rows(spark, 2048):
+        src.mapInArrow(run, "name string, n_docs long, n_tokens long").write.parquet(done)
     return spark.read.schema("name string, n_docs long, n_tokens long").parquet(done)
 
 
 def file_bases(manifest: DataFrame) -> DataFrame:
     """``(name, base)``: ids in all files before; one row a file, of 16 MB each."""
-    return manifest.select("name", (F.sum("n_tokens").over(Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1))).alias("base"))
+    before = Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
+    return manifest.select("name", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
 
 
 def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
-    """``(name, doc_id, rel, n_tokens, ids binary)`` from the files: ``rel`` counts
-    the ids of the file's documents before; ``ids`` are little-endian unsigned
-    32-bit.  Add :func:`file_bases` for the global offset."""
-    if manifest.isEmpty():
-        files = spark.createDataFrame([], "path string, content binary")
-    else:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.eftk").load(folder)
-        files = files.join(sized_broadcast(manifest.select("name")), F.element_at(F.split("path", "/"), -1) == F.col("name"), "left_semi")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``(doc_id, start, n_tokens, ids binary)`` from the manifest's files: ``start``
+    counts the ids of all documents before; ``ids`` are little-endian unsigned
+    32-bit."""
+    files = file_bases(manifest).repartition(parallelism(spark))
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, path = filesystem(folder)
         for b in batches:
-            for path, data in zip(b["path"], b["content"]):
-                docs, ef, ids = decode_block(data)
+            for name, base in zip(b.column("name").to_pylist(), b.column("base").to_pylist()):  # one file at a time
+                with fs.open_input_file(f"{path}/{name}") as f:
+                    docs, ef, ids = decode_block(f.read())
                 ends = ef.all()
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                for at in range(0, len(docs), 2048):
-                    k = slice(at, at + 2048)
-                    yield pd.DataFrame({"name": path.rsplit("/", 1)[-1], "doc_id": pd.array(docs[k], dtype="Int64"), "rel": starts[k],
-                                        "n_tokens": ends[k] - starts[k],
-                                        "ids": [ids[x:y].astype("<u4").tobytes() for x, y in zip(starts[k], ends[k])]})
-    return files.select("path", "content").mapInPandas(run, "name string, doc_id long, rel long, n_tokens long, ids binary")
+                for at in range(0, len(docs), 512):
+                    k = slice(at, at + 512)
+                    cols = (docs[k], starts[k] + base, ends[k] - starts[k], [ids[x:y].astype("<u4").tobytes() for x, y in zip(starts[k], ends[k])])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "start", "n_tokens", "ids"])
+    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def token_digests(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` of every document, from the files."""
-    rows, base = read_token_files(spark, folder, manifest), file_bases(manifest)
-    light = rows.select("name", "doc_id", "rel", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-    return light.join(base, "name").select("doc_id", (F.col("rel") + F.coalesce("base", F.lit(0))).alias("start"), "n_tokens", "ids_crc32")
+    return read_token_files(spark, folder, manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
