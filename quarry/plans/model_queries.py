@@ -58,12 +58,19 @@ def als_model(spark, d, rank=ALS_RANK):
     key = (spark.sparkContext.applicationId, d, rank)
     if key not in _FITTED:
         t = cut_lineage(triples(spark, d).select(F.col("user_index").cast("int").alias("user"), F.col("item_index").cast("int").alias("item"),
-                                                 F.col("rating").cast("float").alias("rating"), "split"))
+                                                 F.col("rating").cast("float").alias("rating"), "split",
+                                                 F.col("user").alias("user_id"), F.col("item").alias("item_id")))
         train = t.where("split = 'train'").select("user", "item", "rating")
-        _FITTED[key] = R.fit_als(train, rank=rank, reg=0.01, iters=ALS_ITERS, alpha=1.0, seed=42), t.select("user", "item", "rating")
+        _FITTED[key] = R.fit_als(train, rank=rank, reg=0.01, iters=ALS_ITERS, alpha=1.0, seed=42), t
     return _FITTED[key]
 
 
+def with_ids(recs, t):
+    """Matrix indices back to the users' and items' own ids."""
+    u, i = t.select("user", "user_id").distinct(), t.select("item", "item_id").distinct()
+    return recs.join(u, "user").join(i, "item").select(F.col("user_id").alias("user"), F.col("item_id").alias("item"), "score", "rank")
+
+
 @register("R2_R7_implicit_als_report")
 def r2(spark, d):
     return R.als_report(als_model(spark, d)[0])
@@ -72,14 +79,14 @@ def r2(spark, d):
 @register("R3_recommend_unseen_top5")
 def r3(spark, d):
     m, r = als_model(spark, d)
-    return R.recommend(m, r, 5)
+    return with_ids(R.recommend(m, r, 5), r)
 
 
 @register("R3_recommend_for_users_top10", note="items for the users with most interactions, 100 of them: the feature is a stated list of users")
 def r3_users(spark, d):
     m, r = als_model(spark, d)
     users = r.groupBy("user").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "user").limit(100)
-    return R.recommend(m, r, 10, users=users)
+    return with_ids(R.recommend(m, r, 10, users=users), r)
 
 
 @register("J11_score_user_item_pairs")
