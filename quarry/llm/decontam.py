@@ -74,6 +74,13 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     are at least one in ``share``, and at least one.  A null or wordless text
     has no words; an item without words has no window; null item ids are named
     by no document.  Rows that repeat an id are judged each by its own text."""
+    return _judged(docs, items, id_col, text_col, item_col, item_text, length, share) \
+        .select(F.col("id").alias(id_col), "n_words", "n_hit", "n_items", "items", "contaminated")
+
+
+def _judged(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str = "item_id", item_text: str = "text",
+            length: int = 13, share: int = 20) -> DataFrame:
+    """:func:`contamination` with the text's hash: ``(id, th, n_words, n_hit, n_items, items, contaminated)``."""
     hits = window_hits(docs, items, id_col, text_col, item_col, item_text, length).distinct()
     # hit words by document: the part of each occurrence that lies beyond all earlier ones
     per = hits.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end")))).alias("s"),
@@ -86,7 +93,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     j = base.join(per, (F.col("l.th") == F.col("r.th")) & F.col("l.id").eqNullSafe(F.col("r.id")), "left")
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     items_ = F.coalesce("items", F.array().cast("array<string>"))
-    return j.select(F.col("l.id").alias(id_col), "n_words", hit.alias("n_hit"), F.size(items_).cast("long").alias("n_items"),
+    return j.select(F.col("l.id").alias("id"), F.col("l.th").alias("th"), "n_words", hit.alias("n_hit"), F.size(items_).cast("long").alias("n_items"),
                     items_.alias("items"), ((hit > 0) & (share * hit >= F.col("n_words"))).alias("contaminated"))
 
 
@@ -96,7 +103,10 @@ def contamination_digests(docs: DataFrame, items: DataFrame, **kw) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` whose text is not contaminated, all columns kept."""
-    bad = own_prefix(docs) + "bad"
-    c = contamination(docs.select(id_col, text_col), items, id_col, text_col, **kw).where("contaminated").select(F.col(id_col).alias(bad)).distinct()
-    return docs.join(c, F.col(id_col).eqNullSafe(F.col(bad)), "left_anti")
+    """The rows of ``docs`` whose text is not contaminated, all columns kept.  Rows
+    that share an id, or have none, stay or go each by its own text."""
+    p = own_prefix(docs)
+    c = _judged(docs.select(id_col, text_col), items, id_col, text_col, **kw).where("contaminated") \
+        .select(F.col("id").alias(f"{p}bad"), F.col("th").alias(f"{p}th")).distinct()
+    th = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    return docs.join(c, (th == F.col(f"{p}th")) & F.col(id_col).eqNullSafe(F.col(f"{p}bad")), "left_anti")

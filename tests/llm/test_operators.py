@@ -353,6 +353,14 @@ def test_decontamination_equals_brute_force(spark):
     assert not any(r["contaminated"] for r in rows(decontam.contamination(docs_df(spark, texts), it.where("false"))))
 
 
+def test_decontamination_drops_by_id_and_text(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    texts = [f"so {item} it is", "a clean text of its own", None, f"so {item} it is", "another clean text", f"now {item}", "clean too"]
+    d = docs_df(spark, texts, [None, None, None, 7, 7, 8, 9])
+    it = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {(r["doc_id"], r["text"]) for r in rows(decontam.drop_contaminated(d, it))} == {(None, texts[1]), (None, None), (7, texts[4]), (9, texts[6])}
+
+
 def test_decontamination_plan_is_native(spark):
     plan = Q.QUERIES["op7_decontamination"](spark, SF_SMALL)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
