@@ -25,15 +25,20 @@ def usable_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return d.where(F.size("v") == (top["n"] if top else 0))
 
 
+def _directions(classes: DataFrame, sample: int) -> np.ndarray:
+    """At most ``sample`` distinct vectors, those with the smallest hash of their id, scaled to unit length."""
+    rows = classes.orderBy(F.xxhash64("rep", F.lit(17)), "rep").limit(sample).select("v").collect()
+    u = np.array([r["v"] for r in rows], dtype=np.float64).reshape(len(rows), -1 if rows else 1)
+    return u / np.linalg.norm(u, axis=1, keepdims=True)
+
+
 def choose_pivots(classes: DataFrame, n_pivots: int = 256, sample: int = 2048, near: float = 0.7) -> np.ndarray:
     """Unit pivots from a sample of at most ``sample`` distinct vectors (those with
     the smallest hash of their id): in hash order, those less than ``near``
     cosine to all chosen before; if too few, the rest in order."""
-    rows = classes.orderBy(F.xxhash64("rep", F.lit(17)), "rep").limit(sample).select("v").collect()
-    if not rows:
+    u = _directions(classes, sample)
+    if not len(u):
         return np.zeros((0, 1))
-    u = np.array([r["v"] for r in rows], dtype=np.float64)
-    u /= np.linalg.norm(u, axis=1, keepdims=True)
     pick: list[int] = []
     for i in range(len(u)):
         if len(pick) < n_pivots and (not pick or float(np.max(u[pick] @ u[i])) < near):
@@ -72,6 +77,26 @@ class _InvertedFiles:
         return self.most - np.bincount(np.concatenate([r for r, _ in lists]), weights=gain, minlength=self.n)
 
 
+def _calibrate(u: np.ndarray, pivots: np.ndarray, prefix: int) -> tuple[float, float]:
+    """``(a, b)`` such that ``a - b * footrule`` is two standard deviations above the
+    cosine that the footrule of two vectors lets expect: a line through all pairs
+    of the unit vectors ``u``.  Where these tell nothing, cosine 1 at footrule 0."""
+    l = min(prefix, len(pivots))
+    plain = (1.0, 1.0 / max(1, l * (l + 1) // 2))
+    if len(u) < 3:
+        return plain
+    order = _prefixes(u, pivots, l)
+    files, other = _InvertedFiles(order, len(pivots)), ~np.eye(len(u), dtype=bool)
+    f = np.stack([files.footrule(o) for o in order])[other]
+    c = (u @ u.T)[other]
+    if not f.std() > 0:
+        return plain
+    slope = ((f - f.mean()) * (c - c.mean())).mean() / f.var()
+    if not slope < 0:
+        return plain
+    return float(c.mean() - slope * f.mean() + 2 * np.std(c - slope * f)), float(-slope)
+
+
 def _classes(valid: DataFrame, k: int) -> DataFrame:
     """Equal vectors as one class ``(rep, ids, v)``: its smallest id and its k + 1
     smallest ids, which are all that any answer can hold."""
@@ -134,23 +159,28 @@ def search(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k: i
 
     Each vector is the list of its ``prefix`` nearest pivots in order.  The
     index is dealt over shards of ``shard_rows``; each keeps inverted files by
-    pivot.  A query ranks a shard's rows by Spearman's footrule through those
-    files; the nearest ``depth`` of them (and all ties; at least 4k rows) are
-    reranked by the exact inner product.  Equal vectors are indexed once.
+    pivot.  Those files give a query Spearman's footrule to a shard's rows, which
+    tells directions only: a row's norm times the cosine that its footrule lets
+    expect (plus two standard deviations, from a sample of pairs) bounds its inner
+    product.  The ``depth`` rows of the largest bounds (and all ties; at least 4k
+    rows) are reranked by the exact inner product; among rows of one norm these
+    are the nearest by footrule.  Equal vectors are indexed once.
 
     See :func:`usable_vectors` for the rows that take part; repeated ids count
     once for equal vectors; fewer candidates give fewer rows; ties go to the
     smaller id; an empty table gives no rows."""
     def fit(classes):
-        return choose_pivots(classes, n_pivots)
+        pivots = choose_pivots(classes, n_pivots)
+        return pivots, _calibrate(_directions(classes, 256), pivots, prefix)
 
-    def answer(pivots, x, y):
+    def answer(fitted, x, y):
+        pivots, (a, b) = fitted
         files = _InvertedFiles(_prefixes(x, pivots, min(prefix, len(pivots))), len(pivots))
         asked = _prefixes(y, pivots, min(prefix, len(pivots)))
-        m = max(math.ceil(depth * len(x)), 4 * k)
+        m, norm = max(math.ceil(depth * len(x)), 4 * k), np.linalg.norm(x, axis=1)
         for i in range(len(y)):
-            f = files.footrule(asked[i])
-            yield i, np.flatnonzero(f <= np.partition(f, m - 1)[m - 1]) if m < len(f) else np.arange(len(f))
+            far = norm * (b * files.footrule(asked[i]) - a)
+            yield i, np.flatnonzero(far <= np.partition(far, m - 1)[m - 1]) if m < len(far) else np.arange(len(far))
     return _blocks(vectors, id_col, vec_col, is_query, k, shard_rows, query_rows, fit, answer)
 
 

@@ -254,6 +254,16 @@ def test_permutation_index_recall_and_ties(spark):
     assert got.count() == want.count()
 
 
+@pytest.mark.parametrize("sigma", [0.25, 1.0])
+def test_permutation_index_recall_on_differing_norms(spark, sigma):
+    t = spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.1')}/embeddings.parquet").select("vec_id", "embedding").toPandas()
+    scale = np.exp(sigma * np.random.default_rng(1).normal(size=len(t)))
+    d = common.saved(spark.createDataFrame([(int(i), [float(x) for x in v * s]) for i, v, s in zip(t["vec_id"], t["embedding"], scale)],
+                                           "vec_id long, embedding array<double>"), "t")
+    got, want = (common.saved(f(d, "vec_id", "embedding", F.col("vec_id") % 20 == 0), "t") for f in (permindex.search, permindex.exact_search))
+    assert permindex.recall(got, want) >= 0.95 and got.count() == want.count()
+
+
 def test_nearest_neighbours_odd_rows(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(300, 8)).round(3)
