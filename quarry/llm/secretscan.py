@@ -16,12 +16,18 @@ from quarry.llm.common import own_prefix, saved
 __all__ = ["Lexicon", "lexicon", "findings", "rule_label", "fit_forest", "score", "scan", "redact"]
 
 # Shapes of published key formats, words beside secrets and beside harmless numbers.
-KNOWN = (r"AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_\-]{20,}"
-         r"|xox[abprs]-[A-Za-z0-9\-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_\-]{35}|eyJ[A-Za-z0-9_\-]{8,}\.eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]+"
-         r"|-----BEGIN [A-Z ]*PRIVATE KEY-----")
+_LINE = r"(?:\r?\n|\\r\\n|\\n)"  # also as written within a JSON string
+# A private key runs to its END line; without one, to the last of the base64 lines that follow (header lines first).
+PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^\-]*+(?:-(?!----(?:BEGIN|END) )[^\-]*+)*+-----END [A-Z ]*PRIVATE KEY-----"
+       rf"|(?:{_LINE}[ \t]*+(?:[A-Z][A-Za-z0-9]*-[A-Za-z0-9\-]+|Comment): [^\r\n\\]*+)*+(?:{_LINE}[ \t]*+(?={_LINE}))?+"
+       rf"(?:{_LINE}[ \t]*+[A-Za-z0-9+/]++={{0,2}}+[ \t]*+(?=[\r\n\\\"']|\Z))*+)")
+KNOWN = (r"(?:AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_\-]{20,}"
+         r"|xox[abprs]-[A-Za-z0-9\-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_\-]{35}|eyJ[A-Za-z0-9_\-]{8,}\.eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]+)"
+         rf"[A-Za-z0-9+/_\-]*+|{PEM}")
+# Values and runs are maximal, of any length.
 ASSIGNED = (r"(?i:(?P<key>passwords?|passwd|pwd|passphrase|secrets?|tokens?|api[_\-]?keys?|access[_\-]?keys?|auth|credentials?))"
-            r"[\"']?\s{0,4}[:=]\s{0,4}[\"']?(?P<value>[A-Za-z0-9+/=_\-.~!@#$%^&*]{6,512})")
-RUN = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]{0,512}[0-9])[A-Za-z0-9+/_\-]{16,512}={0,2}"
+            r"[\"']?\s{0,4}[:=]\s{0,4}[\"']?(?!-----BEGIN )(?P<value>[A-Za-z0-9+/=_\-.~!@#$%^&*]{6,}+)")
+RUN = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{16,}+={0,2}"
 NEAR_SECRET = r"(?i)pass|pwd|secret|token|key|auth|credential|bearer"
 NEAR_HARMLESS = r"(?i)sha\d*|md5|commit|checksum|digest|hash|uuid|isbn|phone|tel|card|account|order|invoice|serial|example|version"
 PLACEHOLDER = r"(?i)example|sample|dummy|change.?me|placeholder|your[_\-]|xxxx|0000000|1234567|abcdefg|<|\{\{"
@@ -37,7 +43,7 @@ class Lexicon:
 
     def __init__(self, counts: dict[str, int]):
         self.words = set(counts)
-        self.longest = max(map(len, counts), default=0)
+        self.lengths = sorted({len(w) for w in counts if len(w) > 2}, reverse=True)
         pair, first = Counter(), Counter()
         for w, n in counts.items():
             s = f"^{w}$"
@@ -56,7 +62,7 @@ class Lexicon:
         """Share of the characters that words of three or more letters cover, longest first."""
         s, at, hit = s.lower(), 0, 0
         while at < len(s):
-            n = next((n for n in range(min(self.longest, len(s) - at), 2, -1) if s[at:at + n] in self.words), 0)
+            n = next((n for n in self.lengths if n <= len(s) - at and s[at:at + n] in self.words), 0)
             hit += n
             at += n or 1
         return hit / max(len(s), 1)
@@ -102,8 +108,9 @@ def _candidates(text: str, path: str, lex: Lexicon) -> Iterator[tuple]:
 
 def findings(docs: DataFrame, lex: Lexicon, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
     """``(id, th, start, end, kind, sha256, features)`` of every candidate in the
-    whole texts; offsets count characters.  The candidates themselves are not
-    passed on."""
+    whole texts; offsets count characters.  A candidate is a maximal run of any
+    length, a private key the whole block from its BEGIN to its END line.  The
+    candidates themselves are not passed on."""
     import hashlib
     t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     src = docs.select(F.col(id_col).alias("id"), F.xxhash64(t).alias("th"), t.alias("t"),
