@@ -68,12 +68,10 @@ class Lexicon:
         return hit / max(len(s), 1)
 
 
-def lexicon(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_docs: int = 20_000, max_words: int = 5_000) -> Lexicon:
-    """The ``max_words`` most frequent words (three or more letters) of a sample of
-    at most about ``max_docs`` texts, those with the smallest hashes of their id."""
-    n = docs.count()
-    d = docs.where(F.pmod(F.xxhash64(id_col, F.lit(23)), F.lit(1_000_000)) < math.ceil(1_000_000 * max_docs / n)) if n > max_docs else docs
-    w = d.select(F.explode(F.split(F.lower(F.col(text_col).cast("string")), r"[^\p{L}]+")).alias("w")).where(F.length("w") >= 3) \
+def lexicon(docs: DataFrame, text_col: str = "text", max_words: int = 5_000) -> Lexicon:
+    """The ``max_words`` most frequent words (three or more letters) of all texts,
+    with their counts."""
+    w = docs.select(F.explode(F.split(F.lower(F.col(text_col).cast("string")), r"[^\p{L}]+")).alias("w")).where(F.length("w") >= 3) \
         .groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     return Lexicon({r["w"]: r["n"] for r in w.orderBy(F.desc("n"), "w").limit(max_words).collect()})
 
@@ -190,7 +188,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     without it, :func:`rule_label`.  A null or empty text has no candidates, a
     null path no traits; an empty table gives no rows.  ``th`` tells rows of
     one id apart; repeated rows give repeated findings."""
-    lex = lexicon(docs, text_col, id_col)
+    lex = lexicon(docs, text_col)
     found = saved(findings(docs, lex, id_col, text_col, path_col), "secret-findings")
     model = fit_forest(found.withColumn("label", rule_label() if label is None else label).where("label is not null").select("features", "label"))
     return score(found, model).withColumn("is_secret", F.col("score") >= least)

@@ -273,6 +273,16 @@ def test_secrets_are_found_and_masked_whole(spark):
         assert out[i] == before.removesuffix("AKIA") + want + after, out[i][:300]
 
 
+def test_lexicon_counts_every_text(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rare = {700 * i: "Only" + letters[i // 26] + letters[i % 26] for i in range(36)}
+    texts = [f"the river {rare.get(i, '')}" for i in range(25_200)]
+    lex = secretscan.lexicon(docs_df(spark, texts))
+    want = Counter(w for t in texts for w in t.lower().split())
+    assert lex.words == set(want) and len(want) == 38
+    assert lex.log_p == secretscan.Lexicon(dict(want)).log_p
+
+
 def test_secret_patterns_are_linear():
     import time
     lex, start = secretscan.Lexicon({"the": 2, "x" * 300: 1}), time.time()
