@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontam, langid, pieces, secretscan, simhash
-from quarry.llm.common import own_prefix, saved, ship_package, table
+from quarry.llm.common import document_path, own_prefix, saved, ship_package, table
 
 #: DuckDB has neither the models nor XXH64: run() is tested stage by stage against brute force.
 ORACLE_SQL = None
@@ -34,7 +34,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mark."""
     ship_package(spark)
-    return secretscan.redact(docs)
+    path = own_prefix(docs) + "path"
+    return secretscan.redact(docs.withColumn(path, document_path()), path_col=path).drop(path)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

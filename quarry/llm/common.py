@@ -5,18 +5,23 @@ import contextlib
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
-__all__ = ["scratch", "ship_package", "saved", "own_prefix", "arrow_rows", "filesystem", "write_atomic", "merge_spans", "parallelism", "table"]
+__all__ = ["scratch", "ship_package", "saved", "own_prefix", "arrow_rows", "filesystem", "write_atomic", "merge_spans", "parallelism", "table", "document_path"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def document_path() -> Column:
+    """The path of a row of ``documents``: ``source/lang/doc_id.txt``."""
+    return F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared ``spark.checkpoint.dir``."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{name}-{uuid.uuid4().hex}"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontam, langid, licenses, permindex, pieces, secretscan, simhash, suffixdedup, tokenfiles, warc
-from quarry.llm.common import scratch, ship_package, table
+from quarry.llm.common import document_path, scratch, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,8 +51,8 @@ def op3(spark, d):
 
 @_query("op4_secret_scan")
 def op4(spark, d):
-    docs = table(spark, d, "documents")
-    return secretscan.scan(docs).select(F.col("id").alias("doc_id"), "start", "end", "kind", "sha256", "score", "is_secret")
+    docs = table(spark, d, "documents").select("doc_id", "text", document_path().alias("path"))
+    return secretscan.scan(docs, path_col="path").select(F.col("id").alias("doc_id"), "start", "end", "kind", "sha256", "score", "is_secret")
 
 
 @_query("op5_permutation_index")
@@ -127,8 +127,7 @@ FROM src LEFT JOIN head h USING (doc_id) LEFT JOIN near d USING (doc_id)"""
 @_query("op9_license_scan", _OP9)
 def op9(spark, d):
     docs = table(spark, d, "documents")
-    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    return licenses.scan_licenses(docs.select("doc_id", path.alias("path"), "text"), "doc_id", "path", "text")
+    return licenses.scan_licenses(docs.select("doc_id", document_path().alias("path"), "text"), "doc_id", "path", "text")
 
 
 @_query("op10_warc", """

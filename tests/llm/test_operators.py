@@ -283,6 +283,19 @@ def test_lexicon_counts_every_text(spark):
     assert lex.log_p == secretscan.Lexicon(dict(want)).log_p
 
 
+def test_secret_queries_pass_the_path(spark, tmp_path, monkeypatch):
+    import corpus_pipeline as C
+    at = secretscan.FEATURES.index("path_config") + 1
+    monkeypatch.setattr(secretscan, "score", lambda found, model: found.withColumn("score", F.element_at("features", at)))
+    key = "4f" * 16
+    d = spark.createDataFrame([(0, f"a {key} b", "en", "config", 1), (1, f"a {key} b", "en", "web", 1), (2, f"a {key} b", None, None, 1)], DOC)
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["is_secret"] for r in rows(Q.QUERIES["op4_secret_scan"](spark, str(tmp_path)))}
+    assert got == {0: True, 1: False, 2: False}
+    out = C.mask_secrets(spark, d, SF_SMALL)
+    assert out.columns == d.columns and {r["doc_id"]: r["text"] for r in rows(out)} == {0: "a [SECRET] b", 1: f"a {key} b", 2: f"a {key} b"}
+
+
 def test_secret_patterns_are_linear():
     import time
     lex, start = secretscan.Lexicon({"the": 2, "x" * 300: 1}), time.time()
