@@ -12,9 +12,12 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is determined; null texts and texts without a letter go."""
+    """Documents whose language is determined; null texts and texts without a letter go.
+    These alone go, too, if no row of the training fold has a language to learn."""
     ship_package(spark)
     model = langid.fit(docs.where(langid.trains("doc_id")))
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     p = own_prefix(docs)
     return langid.predict(docs, model, lang_out=f"{p}lang", score_out=f"{p}score") \
         .where(F.col(f"{p}lang") != langid.UNDETERMINED).drop(f"{p}lang", f"{p}score")

@@ -588,6 +588,15 @@ def test_pipeline_stages(spark):
     assert ids == {i: m.lib.encode(t) for i, t in f.items()}
 
 
+def test_pipeline_keeps_documents_without_languages(spark):
+    import corpus_pipeline as C
+    d = docs_df(spark, ["the river", "", None, "123 ²", "é", "x 1"])
+    held = min(i for i in range(99) if zlib.crc32(str(i).encode()) % 3 == 1)
+    no_lang = d.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["doc_id"] for r in rows(C.language_id(spark, no_lang, SF_SMALL))} == {0, 4, 5}
+    assert [r["text"] for r in rows(C.language_id(spark, docs_df(spark, ["the river", "1"], [held, held]), SF_SMALL))] == ["the river"]
+
+
 CLASHES = ("_q", "_q_x", "id", "th", "t", "k", "x", "w", "r", "l", "start", "end", "spans", "fingerprint", "component_id", "lang_pred", "score",
            "items", "n_hit", "contaminated", "is_secret", "node", "Ids", "i")
 
