@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import saved
 from quarry.operators.joins import sized_broadcast
 
-__all__ = ["TEMPLATES", "templates", "scan_licenses", "tokens"]
+__all__ = ["TEMPLATES", "HEADERS", "templates", "scan_licenses", "tokens"]
 
 # License identifiers and the statements by which files declare them.
 TEMPLATES = [
@@ -24,6 +24,30 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 
+# Standard headers and titles as the licences' own texts give them; found wherever they stand, wrapped or within longer lines.
+HEADERS = [
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+                "the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+                "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+                 "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
+            "\"Software\"), to deal in the Software without restriction"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+                "file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+]
+
 _FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)([.-][^/]*)?$"
 
 
@@ -58,6 +82,62 @@ def _best(units: DataFrame, keys: list[str], lic: DataFrame, idf: DataFrame, n_d
         .select(*keys, F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"))
 
 
+def _model(src: DataFrame, known: DataFrame, n_docs: int, least: float) -> tuple[DataFrame, DataFrame, dict[str, set[str]]]:
+    """Document frequencies of the templates' tokens as ``idf``, the templates'
+    weights, and each template's tokens without which no cosine of ``least`` is
+    possible.  The templates are few: all three are small tables by nature."""
+    tt = known.select("license", tokens(F.col("statement")).alias("x"))
+    vocab = tt.select(F.explode("x").alias("t")).distinct()
+    words = [r["t"] for r in vocab.orderBy("t").collect()]
+    both = F.array_intersect(tokens(F.col("text")), F.array(*[F.lit(w) for w in words]).cast("array<string>"))
+    df = src.select(F.explode(both).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    idf = saved(vocab.join(df, "t", "left").select("t", (F.log((1 + F.lit(n_docs)) / (1 + F.coalesce("df", F.lit(0)))) + 1).alias("idf")), "license-idf")
+    lic = _weights(tt, ["license"], idf, F.lit(n_docs)).select("license", "t", F.col("w").alias("lw"))
+    lic = saved(lic, "license-weights")
+    # tokens needed: without the heaviest ones, the rest of a template has a norm below the threshold
+    need: dict[str, set[str]] = {}
+    by_lic: dict[str, list] = {}
+    for r in lic.collect():
+        by_lic.setdefault(r["license"], []).append((r["lw"], r["t"]))
+    for k, v in by_lic.items():
+        left = sum(w * w for w, _ in v)
+        need[k] = set()
+        for w, t in sorted(v, reverse=True):
+            if left < least ** 2 * (1 - 1e-9):
+                break
+            need[k].add(t)
+            left -= w * w
+    return idf, lic, need
+
+
+def _any_of(words: set[str]) -> Column:
+    return F.array(*[F.lit(t) for t in sorted(words)]).cast("array<string>")
+
+
+def _passages(src: DataFrame, known: DataFrame, idf: DataFrame, lic: DataFrame, need: dict[str, set[str]], n_docs: int, least: float) -> DataFrame:
+    """``(id, th, license, cosine)`` of the texts with a passage similar to a template,
+    whatever lines it stands on.  Weighed are the passages of a template's length
+    that have one of its needed tokens at its own place."""
+    x = tokens(F.col("text"))
+    wanted = src.sparkSession.createDataFrame([(k, t) for k, ts in need.items() for t in sorted(ts)], "license string, t string")
+    t = known.select("license", tokens(F.col("statement")).alias("x"))
+    at = t.select("license", F.size("x").alias("n"), F.posexplode("x").alias("o", "t")).join(F.broadcast(wanted), ["license", "t"], "left_semi") \
+        .select("n", "o", "t").distinct()
+    must = _any_of(set().union(*need.values()) if need else set())
+    found = src.where(F.arrays_overlap(x, must)).select("id", "th", x.alias("x")).select("id", "th", "x", F.posexplode("x").alias("p", "t")) \
+        .join(F.broadcast(at), "t").select("id", "th", F.greatest(F.col("p") - F.col("o"), F.lit(0)).alias("start"), "n", "x") \
+        .select("id", "th", "start", "n", F.expr("slice(x, start + 1, n)").alias("x"))
+    units = saved(found.dropDuplicates(["id", "th", "start", "n"]), "license-passages")
+    return _best(units, ["id", "th", "start", "n"], lic, idf, F.lit(n_docs), least) \
+        .select("id", "th", F.substring_index("license", "#", 1).alias("license"), "cosine")
+
+
+def _top(found: DataFrame) -> DataFrame:
+    """The most similar of each text (ties: the smaller identifier)."""
+    return found.groupBy("id", "th").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("b")) \
+        .select("id", "th", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"))
+
+
 def scan_licenses(files: DataFrame, id_col: str, path_col: str, text_col: str, known: DataFrame | None = None,
                   least: float = 0.6, file_least: float = 0.6) -> DataFrame:
     """Per row ``(id_col, path, license, cosine, basis, directory)``.
@@ -66,57 +146,48 @@ def scan_licenses(files: DataFrame, id_col: str, path_col: str, text_col: str, k
     ``license, statement``; small by nature) as a TF-IDF vector whose document
     frequencies are counted over all texts.  A line must share one of the
     template tokens without which no cosine of ``least`` is possible; only
-    those lines are weighed.  ``basis`` is ``header`` if a line of the text is
-    similar enough, else ``inherited`` if the nearest ancestor directory
+    those lines are weighed.  In texts without a similar line, passages of a
+    template's length are compared, across lines and within them, to the templates
+    and to the standard headers and titles of their licences (``HEADERS``).
+    ``basis`` is ``header`` if a line or passage of the text is similar enough, else ``inherited`` if the nearest ancestor directory
     (its own first) holds a licence file, else null.  A licence file has a
-    licence file's name, or its whole text is similar enough to a template;
+    licence file's name and a similar line or passage, or its whole text is similar enough to a template;
     of several in a directory the most similar counts (ties: smaller licence).
 
     A null text is empty; a null path has no directory; repeated rows give
     repeated results; an empty table gives no rows."""
     spark = files.sparkSession
     known = templates(spark) if known is None else known.select("license", "statement")
-    # the templates are few: their tokens and shares are small tables by nature
-    tt = known.select("license", tokens(F.col("statement")).alias("x"))
-    vocab = tt.select(F.explode("x").alias("t")).distinct()
-    words = [r["t"] for r in vocab.orderBy("t").collect()]
     src = files.select(F.col(id_col).alias("id"), F.col(path_col).cast("string").alias("path"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     src = src.withColumn("th", F.xxhash64("path", "text"))
-    both = F.array_intersect(tokens(F.col("text")), F.array(*[F.lit(w) for w in words]).cast("array<string>"))
-    n_docs_row = src.agg(F.count(F.lit(1)).alias("n"))
-    df = src.select(F.explode(both).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = n_docs_row.first()["n"]
-    idf = saved(vocab.join(df, "t", "left").select("t", (F.log((1 + F.lit(n_docs)) / (1 + F.coalesce("df", F.lit(0)))) + 1).alias("idf")), "license-idf")
+    n_docs = src.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     n = F.lit(n_docs)
-    lic = _weights(tt, ["license"], idf, n).select("license", "t", F.col("w").alias("lw"))
-    lic = saved(lic, "license-weights")
-    # tokens needed: without the heaviest ones, the rest of a template has a norm below the threshold
-    need = set()
-    by_lic: dict[str, list] = {}
-    for r in lic.collect():
-        by_lic.setdefault(r["license"], []).append((r["lw"], r["t"]))
-    for v in by_lic.values():
-        left = sum(w * w for w, _ in v)
-        for w, t in sorted(v, reverse=True):
-            if left < min(least, file_least) ** 2 * (1 - 1e-9):
-                break
-            need.add(t)
-            left -= w * w
-    must = F.array(*[F.lit(t) for t in sorted(need)]).cast("array<string>")
+    idf, lic, need = _model(src, known, n_docs, min(least, file_least))
+    must = _any_of(set().union(*need.values()) if need else set())
     lines = src.where(F.arrays_overlap(tokens(F.col("text")), must)).select("id", "path", "th", F.posexplode(F.split("text", "\n")).alias("line", "s")) \
         .withColumn("x", tokens(F.col("s"))).where(F.arrays_overlap("x", must)).select("id", "path", "th", "line", "x")
     lines = saved(lines, "license-lines")
-    head = _best(lines.select("id", "th", "line", "x").distinct(), ["id", "th", "line"], lic, idf, n, least) \
-        .groupBy("id", "th").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("b")) \
-        .select("id", "th", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"))
+    head = _top(_best(lines.select("id", "th", "line", "x").distinct(), ["id", "th", "line"], lic, idf, n, least))
     head = saved(head, "license-headers")
+    # texts without such a line: passages over several lines or within one, of the templates and of the standard headers
+    rest = src.join(head.select("id", "th").alias("h"), (src["th"] == F.col("h.th")) & src["id"].eqNullSafe(F.col("h.id")), "left_anti")
+    extra = spark.createDataFrame([(f"{k}#{i}", x) for i, (k, x) in enumerate(HEADERS)], "license string, statement string") \
+        .join(F.broadcast(known.select(F.col("license").alias("k")).distinct()), F.substring_index("license", "#", 1) == F.col("k"), "left_semi")
+    e_idf, e_lic, e_need = _model(src, extra, n_docs, least)
+    parts = _passages(rest, known, idf, lic, need, n_docs, least).unionByName(_passages(rest, extra, e_idf, e_lic, e_need, n_docs, least))
+    parts = saved(_top(parts), "license-parts")
     # licence files: by name, or by the cosine of the whole text (only of texts that have a similar line)
     named = src.where(F.col("path").rlike(_FILE)).select("id", "th", "path", tokens(F.col("text")).alias("x"))
     few = src.join(head.select("id", "th").alias("h"), (src["th"] == F.col("h.th")) & src["id"].eqNullSafe(F.col("h.id")), "left_semi") \
         .select("id", "th", "path", tokens(F.col("text")).alias("x"))
     whole = named.unionByName(few).distinct()
-    decl = _best(whole.where("path is not null"), ["id", "th", "path"], lic, idf, n, file_least)
+    decl = _best(whole.where("path is not null"), ["id", "th", "path"], lic, idf, n, file_least).select("path", "license", "cosine")
+    head = saved(head.unionByName(parts), "license-found")
+    # a file of a licence file's name declares what its text holds, too: whole licences begin with their title or grant
+    by_name = src.where(F.col("path").rlike(_FILE)).select("id", "th", "path").alias("f") \
+        .join(head.alias("h"), (F.col("f.th") == F.col("h.th")) & F.col("f.id").eqNullSafe(F.col("h.id"))).select("f.path", "h.license", "h.cosine")
+    decl = decl.unionByName(by_name)
     parent = F.regexp_replace("path", "/?[^/]*$", "")
     dirs = decl.select(parent.alias("dir"), "license", "cosine").groupBy("dir") \
         .agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("b")).select(F.col("dir").alias("up"), F.col("b.license").alias("dir_license"), (-F.col("b.c")).alias("dir_cosine"))

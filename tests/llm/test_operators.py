@@ -521,6 +521,47 @@ def test_licenses_and_inheritance(spark):
     assert licenses.scan_licenses(d.where("false"), "file", "path", "text").count() == 0
 
 
+MIT_TEXT = """Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+GPL_HEADER = """# x.py - a program
+#
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+"""
+
+
+def test_license_texts_and_wrapped_headers(spark):
+    plain = "the stone by the river is free to any person who may use it " * 20
+    files = [("/a/LICENSE", MIT_TEXT), ("/a/src/x.c", plain), ("/b/x.py", GPL_HEADER + "import os\n" + plain), ("/b/y.py", GPL_HEADER.replace("version 3", "version 2")),
+             ("/c/x.txt", plain + " This work is licensed under the GNU General Public License, version 3. " + plain), ("/c/y.txt", plain),
+             ("/d/x.txt", "This library is licensed under\nthe GNU Lesser General\nPublic License, version 3.\n" + plain), ("/e/README", "MIT is a place"), (None, GPL_HEADER)]
+    d = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(files)], "file long, path string, text string")
+    got = {r["file"]: (r["license"], r["basis"], r["directory"]) for r in rows(licenses.scan_licenses(d, "file", "path", "text"))}
+    none = (None, None, None)
+    assert got == {0: ("MIT", "header", None), 1: ("MIT", "inherited", "/a"), 2: ("GPL-3.0", "header", None), 3: ("GPL-2.0", "header", None), 4: ("GPL-3.0", "header", None),
+                   5: none, 6: ("LGPL-3.0", "header", None), 7: none, 8: ("GPL-3.0", "header", None)}
+
+
 def test_license_query_finds_every_statement(spark):
     t = fixture_texts(spark)
     want = {i: [k for k, s in licenses.TEMPLATES if s in x.split("\n")] for i, x in t.items()}
