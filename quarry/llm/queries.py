@@ -45,7 +45,7 @@ def op2(spark, d):
 @_query("op3_token_files")
 def op3(spark, d):
     folder = scratch(spark, "token-files")
-    done = tokenfiles.write_token_files(table(spark, d, "documents"), tokenfiles.byte_bpe_encoder(_vocabulary("byte_bpe_50k.json")), folder)
+    done = tokenfiles.write_token_files(table(spark, d, "documents"), tokenfiles.byte_bpe_encoder(_vocabulary("byte_bpe_50k.json"), added_tokens=True), folder)
     return tokenfiles.token_digests(spark, folder, done)
 
 

@@ -125,12 +125,15 @@ class _ByteBpe:
     go to the library side by side in long strings, whose ids are parted again
     where a token begins with a blank after one that does not end with one.
     Texts with rarer kinds of blank, and other tokenizers, go to the library
-    whole."""
+    whole; so do texts that hold an added token, which with ``added_tokens``
+    gets its own id, as by the library's plain call, and else is ordinary text
+    where it is a special one."""
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, added_tokens: bool = False):
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
+        self.lib.encode_special_tokens = not added_tokens
+        self.added = sorted({x.content for x in self.lib.get_added_tokens_decoder().values() if x.content and (added_tokens or not x.special)})
         pre = self.lib.pre_tokenizer
         self.cut = type(pre).__name__ == "ByteLevel" and pre.use_regex and not pre.add_prefix_space \
             and self.lib.normalizer is None and type(self.lib.model).__name__ == "BPE"
@@ -207,6 +210,8 @@ class _ByteBpe:
             whole = np.ones(len(t), dtype=bool)
         else:
             whole = pc.match_substring_regex(t, _ODD_SPACE).to_numpy(zero_copy_only=False)
+            for x in self.added:
+                whole = whole | pc.match_substring(t, x).to_numpy(zero_copy_only=False)
         out: list = [None] * len(t)
         for where, encode in ((whole, self._together), (~whole, self._cut)):
             if where.any():
@@ -226,14 +231,16 @@ def _layout(t: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return at - at[0], data
 
 
-def byte_bpe_encoder(path: str, end_id: int = 0) -> Callable[[], _ByteBpe]:
-    """Factory of the encoder; a worker builds it once and keeps it."""
+def byte_bpe_encoder(path: str, end_id: int = 0, added_tokens: bool = False) -> Callable[[], _ByteBpe]:
+    """Factory of the encoder; a worker builds it once and keeps it.  With
+    ``added_tokens`` the tokenizer's special tokens in a text get their own ids."""
     def make() -> _ByteBpe:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if (path, end_id) not in _ENCODERS:
-            _ENCODERS[path, end_id] = _ByteBpe(path, end_id)
-        return _ENCODERS[path, end_id]
+        key = path, end_id, added_tokens
+        if key not in _ENCODERS:
+            _ENCODERS[key] = _ByteBpe(*key)
+        return _ENCODERS[key]
     return make
 
 

@@ -216,6 +216,19 @@ def test_token_files_round_trip(spark, tmp_path):
     assert tokenfiles.token_digests(spark, str(tmp_path / "e"), none).count() == 0
 
 
+def test_token_query_gives_added_tokens_their_id(spark, tmp_path):
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "a b", "x<|endoftext|><|endoftext|>\n y", "<|endoftext", None]
+    docs_df(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in rows(Q.QUERIES["op3_token_files"](spark, str(tmp_path)))}
+    start = 0
+    for i, t in enumerate(texts):
+        e = lib.encode(t or "", add_special_tokens=False).ids + [0]
+        assert got[i] == (start, len(e), zlib.crc32(np.array(e, "<u4").tobytes())), t
+        start += len(e)
+
+
 # --- 4 secrets -------------------------------------------------------------------
 def test_secret_scan_and_redaction(spark):
     rng = random.Random(4)
