@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and the pipeline, with their DuckDB SQL."""
+"""Registered queries of the operators and the pipeline, with their DuckDB SQL."""
 from __future__ import annotations
 
 import functools
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, langid, licenses, permindex, pieces, secretscan, simhash, suffixdedup, tokenfiles, warc
+from quarry.llm import decontam, hardneg, langid, lexical, licenses, permindex, pieces, secretscan, simhash, suffixdedup, tokenfiles, warc
 from quarry.llm.common import document_path, scratch, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +143,40 @@ def op10(spark, d):
     return warc.read_warc(spark, folder, done).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+_TERMS = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@_query("op11_lexical_search", f"""
+WITH d AS (SELECT doc_id, {_TERMS.format('text')} AS x FROM documents),
+c AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(x)) AS BIGINT) AS terms FROM d WHERE len(x) > 0),
+q AS (SELECT item_id, t, count(*) AS q FROM (SELECT item_id, unnest({_TERMS.format('text')}) AS t FROM benchmark) GROUP BY ALL),
+p AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(x) AS n, unnest(x) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, c GROUP BY t),
+s AS (SELECT item_id, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN w USING (t) JOIN p USING (t), c GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10""")
+def op11(spark, d):
+    return lexical.rank_documents(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@_query("op12_hard_negatives", """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score QUALIFY rank <= 10""")
+def op12(spark, d):
+    vec, turned = F.col("vec_id"), F.expr("(label + 1) % 10")
+    found = hardneg.mine(table(spark, d, "embeddings"), "vec_id", "embedding", F.when(vec % 7 == 0, turned).otherwise(F.col("label")), vec % 100 == 0)
+    return found.select(F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), "rank", F.col("negative").alias("negative_id"), "positive_score", "negative_score")
+
+
 @_query("pipeline")
 def pipeline(spark, d):
     import corpus_pipeline
