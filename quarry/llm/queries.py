@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, hardneg, langid, lexical, licenses, permindex, pieces, secretscan, simhash, suffixdedup, tokenfiles, warc
+from quarry.llm import decontam, hardneg, langid, lexical, licenses, pathjoin, permindex, pieces, secretscan, simhash, suffixdedup, tokenfiles, warc
 from quarry.llm.common import document_path, scratch, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,6 +177,20 @@ def op12(spark, d):
     return found.select(F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), "rank", F.col("negative").alias("negative_id"), "positive_score", "negative_score")
 
 
+@_query("op13_minhash", r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS x FROM documents),
+s AS (SELECT DISTINCT doc_id, t FROM (SELECT doc_id, unnest(CASE WHEN len(x) >= 3 THEN list_transform(range(1, len(x) - 1), lambda i: array_to_string(x[i:i + 2], ' '))
+  WHEN len(x) > 0 THEN [array_to_string(x, ' ')] ELSE [] END) AS t FROM d)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS hits FROM s a JOIN s b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM p JOIN c x ON u = x.doc_id JOIN c y ON v = y.doc_id WHERE 100 * hits >= 85 * (x.n + y.n - hits)),
+r AS (SELECT doc_id, doc_id AS to_id FROM d UNION SELECT r.doc_id, l.v FROM r JOIN l ON r.to_id = l.u)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(to_id) AS component_id, doc_id = min(to_id) AS kept
+FROM r LEFT JOIN c USING (doc_id) GROUP BY doc_id""")
+def op13(spark, d):
+    return pathjoin.near_duplicates(table(spark, d, "documents"))
+
+
 @_query("pipeline")
 def pipeline(spark, d):
     import corpus_pipeline
