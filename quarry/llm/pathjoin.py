@@ -20,7 +20,7 @@ COORDINATES = 64
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2, _K = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 _A, _B = (np.frombuffer(hashlib.shake_256(f"minwise-{x}".encode()).digest(8 * COORDINATES), "<u8") | np.uint64(1) for x in "ab")
-_SLICE = 1 << 13
+_SLICE = 512
 
 
 class _WordHashes(dict):
@@ -57,8 +57,9 @@ def signature(h: np.ndarray) -> np.ndarray:
     """For each coordinate the smallest of the shingles' values under its own hash, 32 bits."""
     low = np.full(COORDINATES, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(h), _SLICE):
-        for j in range(COORDINATES):
-            low[j] = min(low[j], (h[at:at + _SLICE] * _A[j] + _B[j]).min())
+        x = h[at:at + _SLICE, None] * _A
+        x += _B
+        np.minimum(low, x.min(axis=0), out=low)
     return (low >> np.uint64(32)).astype("<u4")
 
 
