@@ -95,9 +95,10 @@ def _coordinates(tree: int, branches: float) -> list[int]:
 
 
 def _roots(classes: DataFrame, trees: range, branches: float) -> DataFrame:
-    """``(node, cid, comp)``: every class in the nodes of the first level of each tree."""
+    """``(node, cid, comp, up)``: every class in the nodes of the first level of each
+    tree; ``up`` is the size of the node above (of no bound here)."""
     nodes = [F.xxhash64(F.lit(t), F.lit(c), _value(c)) for t in trees for c in _coordinates(t, branches)]
-    return classes.select("cid", "comp", F.explode(F.array(*nodes)).alias("node"))
+    return classes.select("cid", "comp", F.lit((1 << 63) - 1).alias("up"), F.explode(F.array(*nodes)).alias("node"))
 
 
 def _branch(members: DataFrame, classes: DataFrame, branches: float) -> DataFrame:
@@ -106,26 +107,37 @@ def _branch(members: DataFrame, classes: DataFrame, branches: float) -> DataFram
     pick = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(COORDINATES)).cast("int")
     more = F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(1 << 20)) < F.lit(int((branches - int(branches)) * (1 << 20)))
     ks = F.when(more, F.sequence(F.lit(0), F.lit(int(branches)))).otherwise(F.sequence(F.lit(0), F.lit(int(branches) - 1)))
-    rows = members.join(classes.select("cid", "sig", "comp"), "cid").withColumn("c", F.explode(F.array_distinct(F.transform(ks, pick))))
-    return rows.select("cid", "comp", F.xxhash64("node", "c", _value(F.col("c"))).alias("node"))
+    rows = members.select("node", "cid", F.col("size").alias("up")).join(classes.select("cid", "sig", "comp"), "cid") \
+        .withColumn("c", F.explode(F.array_distinct(F.transform(ks, pick))))
+    return rows.select("cid", "comp", "up", F.xxhash64("node", "c", _value(F.col("c"))).alias("node"))
 
 
 def _members(rows: DataFrame) -> DataFrame:
-    """``(node, cid, size, first, last)`` of the nodes that hold more than one
-    component; ``first`` and ``last`` are two of the node's members.  Nodes
+    """``(node, cid, comp, size, up, first, last)`` of the nodes that hold more than
+    one component; ``first`` and ``last`` are two of the node's members.  Nodes
     without work are dropped by an aggregate, before any member moves."""
-    at = F.struct(F.xxhash64("cid").alias("h"), "cid")
     stat = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                    F.min(at)["cid"].alias("first"), F.max(at)["cid"].alias("last")).where("size > 1 AND lo != hi")
-    return saved(rows.select("node", "cid").join(stat.drop("lo", "hi"), "node"), "path-members")
+                                    F.min("cid").alias("first"), F.max("cid").alias("last")).where("size > 1 AND lo != hi")
+    return saved(rows.join(stat.drop("lo", "hi"), "node"), "path-members")
 
 
 def _dealt(members: DataFrame, part_rows: int) -> DataFrame:
-    """Large nodes as pairs of parts: ``(unit, cid, side)``."""
-    m = members.withColumn("m", F.ceil(F.col("size") / part_rows).cast("int"))
-    m = m.withColumn("s", F.pmod(F.xxhash64("cid", F.lit(5)), F.col("m")).cast("int")).withColumn("t", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    a, b = F.least("s", "t"), F.greatest("s", "t")
-    return m.select(F.xxhash64("node", a, b).alias("unit"), "cid", F.when(a != b, (F.col("s") == b).cast("int")).otherwise(0).alias("side"))
+    """Large nodes, compared whole: ``(unit, cid, side)``.  Members of the node's
+    largest component need no comparison among themselves, so parts of the others
+    meet each other and every part of it: as many rows as members where the
+    others are one part."""
+    per = members.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("k"))
+    top = per.groupBy("node").agg(F.max_by("comp", F.struct("k", "comp")).alias("top"), F.max("k").alias("k"))
+    cut = lambda n: F.greatest(F.ceil(n / part_rows), F.lit(1)).cast("int")
+    m = members.join(top, "node").withColumn("mx", cut(F.col("size") - F.col("k"))).withColumn("mg", cut(F.col("k")))
+    m = m.withColumn("big", F.col("comp") == F.col("top")).withColumn("s", F.pmod(F.xxhash64("cid", F.lit(5)), F.when(F.col("big"), F.col("mg")).otherwise(F.col("mx"))).cast("int"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    unit = lambda kind, x, y, side: F.struct(F.xxhash64("node", F.lit(kind), x, y).alias("unit"), side.cast("int").alias("side"))
+    s = F.col("s")
+    others = F.transform(upto(F.col("mx")), lambda t: unit(0, F.least(s, t), F.greatest(s, t), s > t))
+    to_big = F.transform(upto(F.col("mg")), lambda t: unit(1, s, t, F.lit(0)))
+    as_big = F.transform(upto(F.col("mx")), lambda t: unit(1, t, s, F.lit(1)))
+    return m.select("cid", F.explode(F.when(F.col("big"), as_big).otherwise(F.concat(others, to_big))).alias("x")).select("x.unit", "cid", "x.side")
 
 
 # --- comparison ------------------------------------------------------------------------
@@ -284,8 +296,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first, whose large nodes are compared in parts, each part along with two
     members common to all parts; this joins a large group of near copies, and
     the trees behind it drop every node that lies in one component, and every
-    pair of one.  Nodes still large after ``levels`` are compared whole, as
-    pairs of parts.
+    pair of one.  Large nodes that keep over half of the node above them, or are
+    at the last of ``levels``, are compared whole, in parts.
 
     A text of fewer words is one shingle; a null or blank one has none and links
     to nothing.  Rows that share an id are rows of their own; a null id names no
@@ -317,12 +329,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         m = _members(at)
         units.append(m.where(F.col("size") <= node_rows).select(F.col("node").alias("unit"), "cid", F.lit(0).alias("side")))
         large = m.where(F.col("size") > node_rows)
-        if not large.take(1):
+        alike = F.lit(level == levels - 1) | (2 * F.col("size") > F.col("up"))  # branching does not part these
+        units.append(_dealt(large.where(alike), part_rows))
+        at = _branch(large.where(~alike), classes, branches)
+        if not large.where(~alike).take(1):
             break
-        if level == levels - 1:
-            units.append(_dealt(large, part_rows))
-        else:
-            at = _branch(large, classes, branches)
     groups = saved(_candidates(reduce(DataFrame.unionByName, units), classes, cutoff, share, unit_shingles), "path-groups")
     more = _confirmed(groups, classes, docs, id_col, text_col, shingle, cutoff, share)
     found = connected_components(links.unionByName(more), "u", "v")
