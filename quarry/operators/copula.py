@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.joins import sized_broadcast
 from quarry.operators.sampling import order_stat_lookup, unit_hash
+from quarry.session import cut_lineage
 from quarry.operators.windows import running_totals
 
 __all__ = ["normal_cdf", "probit", "CopulaModel", "fit_copula", "sample_copula"]
@@ -88,7 +89,7 @@ def fit_copula(df: DataFrame, cols: Sequence[str], n_buckets: int | None = None)
         n = freq.select(F.sum("_c")).scalar()
         iv = running_totals(freq, "_v", {"_hi": F.col("_c")}, n_buckets=n_buckets)
         sc = iv.select(F.col("_v").alias(c), probit((F.col("_hi") - F.col("_c") / 2) / n).alias(f"_z_{c}"))
-        scored = scored.join(sized_broadcast(sc), c, "left")
+        scored = scored.join(sized_broadcast(cut_lineage(sc)), c, "left")
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     row = scored.agg(*[F.corr(f"_z_{a}", f"_z_{b}").alias(f"{a}|{b}") for a, b in pairs]).first() if pairs else None
     d = len(cols)

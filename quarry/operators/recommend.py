@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import cosine
-from quarry.operators.joins import exclude_seen, sized_broadcast
-from quarry.operators.windows import index_ids, rank_within, top_n_per_group
+from quarry.operators.joins import exclude_seen
+from quarry.operators.windows import index_ids, running_totals, top_n_per_group
 from quarry.session import cut_lineage
 
 __all__ = ["implicit_positives", "implicit_rows", "interaction_triples", "interactions", "similar", "fit_als", "recommend", "als_report",
@@ -128,16 +128,17 @@ def popular_unseen(ratings: DataFrame, user_groups: DataFrame, group: str,
                    n: int = 5, user: str = "user", item: str = "item") -> DataFrame:
     """The ``n`` items most popular in the user's group that the user has not seen.
 
-    Items are ranked once per group.  A user who has seen k items finds the
-    ``n`` among the first ``n + k`` of the group, so the join is bounded by
-    that, the anti-join removes the seen ones, and nobody gets fewer than
-    the group offers."""
-    rg = ratings.join(user_groups, user)
-    pop = rg.groupBy(group, item).agg(F.count(F.lit(1)).alias("popularity"))
-    ranked = rank_within(pop, [group], [F.desc("popularity"), F.col(item)], "_place")
-    users = user_groups.join(ratings.groupBy(user).agg(F.count_distinct(item).alias("_k")), user)
-    g = F.col(f"u.{group}") == F.col(f"p.{group}")
-    recs = users.alias("u").join(sized_broadcast(ranked).alias("p"), g & (F.col("_place") <= F.col("_k") + n)) \
-        .select(f"u.{user}", f"u.{group}", f"p.{item}", "popularity")
-    recs = exclude_seen(recs, ratings, [user, item])
-    return top_n_per_group(recs, [user], [F.desc("popularity"), F.col(item)], n)
+    Items get their place within the group by a distributed prefix count.  A
+    user who has seen k items finds the ``n`` among the first ``n + k`` places, so
+    the user is joined with just these places of the group, an equi join on
+    (group, place) whose size is interactions + ``n`` x users; no key pairs all
+    users of a group with all its items.  The anti-join removes the seen ones,
+    and nobody gets fewer than the group offers."""
+    pop = cut_lineage(ratings.join(user_groups, user).where(F.col(group).isNotNull()).groupBy(group, item).agg(F.count(F.lit(1)).alias("popularity")))
+    order = index_ids(pop, item, "_ix")  # equal popularity: by item, as one number
+    ranked = pop.join(order, item).withColumn("_o", (-F.col("popularity")).cast("decimal(38,0)") * F.lit(1 << 40).cast("decimal(15,0)") + F.col("_ix"))
+    ranked = running_totals(ranked, "_o", {"_place": F.lit(1).cast("bigint")}, [group]).select(group, "_place", item, "popularity")
+    seen_by = ratings.groupBy(user).agg(F.count_distinct(item).alias("_k"))
+    places = user_groups.join(seen_by, user).select(user, group, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_k") + n)).alias("_place"))
+    recs = exclude_seen(places.join(ranked, [group, "_place"]), ratings, [user, item])
+    return top_n_per_group(recs.select(user, group, item, "popularity"), [user], [F.desc("popularity"), F.col(item)], n)

@@ -61,7 +61,7 @@ def split_stratified(df: DataFrame, id_col: str, label: str, train_frac: float =
     third of all rows, so it is never sorted in one task).  Rows without a
     label are a class of their own."""
     from quarry.operators.joins import join_null_safe, sized_broadcast
-    cnt = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+    cnt = cut_lineage(df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc")))
     k = df.withColumn("_hk", hash_int(id_col, seed, hex_digits=15))
     r = running_totals(k, "_hk", {"_rank": F.lit(1).cast("bigint")}, [label], [id_col], n_buckets)
     r = join_null_safe(r, sized_broadcast(cnt), [label])

@@ -33,6 +33,11 @@ def unpivot_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         .unpivot([], list(cols), "column_name", "value").where(F.col("value").isNotNull())
 
 
+def _name_row(cols: Sequence[str]) -> int:
+    """Bytes of a row of a column's name and a few numbers."""
+    return 96 + max(4 * len(c) for c in cols)
+
+
 def corr_gap(a: DataFrame, b: DataFrame, cols: Sequence[str], digits: int = 9) -> DataFrame:
     """``|r_a - r_b|`` per column pair (upper triangle, i < j)."""
     ra = corr_matrix(a, cols, 15).withColumnRenamed("r", "r_a")
@@ -60,7 +65,7 @@ def ks(a: DataFrame, b: DataFrame, cols: Sequence[str], digits: int = 9,
     tot = freq.groupBy("column_name").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
     cum = running_totals(freq, "value", {"ca": F.col("na"), "cb": F.col("nb")}, ["column_name"],
                          n_buckets=n_buckets)
-    j = cum.join(sized_broadcast(tot, rows_bound=len(cols)), "column_name")
+    j = cum.join(sized_broadcast(tot, rows_bound=len(cols), row_bytes=_name_row(cols)), "column_name")
     diff = F.abs(F.col("ca") / F.col("tot_a") - F.col("cb") / F.col("tot_b"))
     return j.groupBy("column_name").agg(F.round(F.max(diff), digits).alias("ks"))
 
@@ -72,7 +77,7 @@ def tvd(a: DataFrame, b: DataFrame, cols: Sequence[str], digits: int = 9) -> Dat
     def probs(df, name):
         f = unpivot_categorical(df, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
         t = f.groupBy("column_name").agg(F.sum("_n").alias("_t"))
-        return f.join(sized_broadcast(t, rows_bound=len(cols)), "column_name").select(
+        return f.join(sized_broadcast(t, rows_bound=len(cols), row_bytes=_name_row(cols)), "column_name").select(
             "column_name", "value", (F.col("_n") / F.col("_t")).alias(name))
     j = probs(a, "p").join(probs(b, "q"), ["column_name", "value"], "full_outer")
     d = F.abs(F.coalesce("p", F.lit(0.0)) - F.coalesce("q", F.lit(0.0)))

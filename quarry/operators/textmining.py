@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import WORD
 from quarry.operators.joins import sized_broadcast
+from quarry.session import cut_lineage
 
 __all__ = ["stop_words", "spread", "raw_tokens", "with_tokens", "with_terms", "term_counts", "vocabulary", "tfidf", "top_words",
            "class_weights", "confusion", "classification_report", "compare_models",
@@ -43,13 +44,12 @@ def stop_words() -> tuple[str, ...]:
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-repartition by ``key`` only when the input has fewer files than the
-    cluster has cores (a row group is not split).  Per-document tokenising is
-    CPU-heavy; on many-file inputs this is a no-op.  Only the file listing is
-    read to decide (a source without files tells its partitions itself); no
-    part of a plan over files runs."""
+    """Hash-repartition by ``key`` only when the input has fewer partitions than the
+    cluster has cores.  Per-document tokenising is CPU-heavy; on many-file inputs
+    this is a no-op.  The scan's own partitions decide; no file name reaches the
+    driver's Python, and nothing runs."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    if (len(df.inputFiles()) or df.rdd.getNumPartitions()) >= par:
+    if df.rdd.getNumPartitions() >= par:
         return df
     return df.repartition(par, key) if key else df.repartition(par)
 
@@ -136,12 +136,14 @@ def top_words(df: DataFrame, text_col: str, k: int = 200, digits: int = 6) -> Da
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Balanced weights ``n / (k * n_class)`` attached to every row."""
-    c = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    n = c.select(F.sum("_nc")).scalar()   # from the class table (reuses its shuffle)
+    """Balanced weights ``n / (k * n_class)`` attached to every row.  Rows without
+    a label are no class: they count in neither ``n`` nor ``k`` and stay, with a
+    null weight."""
+    c = cut_lineage(df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_nc")))
+    n = c.select(F.sum("_nc")).scalar()
     k = c.select(F.count(F.lit(1))).scalar()
     w = c.select(label, (n / (k * F.col("_nc"))).alias(out))
-    return df.join(sized_broadcast(w), label)
+    return df.join(sized_broadcast(w), label, "left")
 
 
 def confusion(pred: DataFrame, label: str = "label", prediction: str = "prediction",

@@ -21,7 +21,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import join_null_safe, sized_broadcast
+from quarry.operators.joins import DEFAULT_BROADCAST_BYTES, join_null_safe, measured, row_width, sized_broadcast
 from quarry.session import cut_lineage
 
 __all__ = ["running_totals", "index_ids", "rank_within", "top_n_per_group", "ecdf",
@@ -40,7 +40,9 @@ def _tag_buckets(df: DataFrame, order_col: str, partition_cols: Sequence[str], n
                  accuracy: int):
     """Add an order-preserving ``_bucket`` per row (within groups; a null group
     is a group).  The assignment is frozen: totals and rows read the same
-    checkpointed bounds, whatever the order in which a retry merges sketches."""
+    checkpointed bounds, whatever the order in which a retry merges sketches.
+    Also returns how many (group, bucket) pairs there can be and the bytes of
+    their keys, where the bounds tell; else None."""
     n_buckets = n_buckets or default_buckets(df)
     parts = list(partition_cols)
     base = df
@@ -50,15 +52,26 @@ def _tag_buckets(df: DataFrame, order_col: str, partition_cols: Sequence[str], n
     if _is_numeric(df, order_col):
         probs = [i / n_buckets for i in range(1, n_buckets)]
         bounds = cut_lineage(base.groupBy(*parts).agg(F.percentile_approx(F.col(order_col), probs, accuracy).alias("_bounds")))
+        n, size = (1, 64 * n_buckets) if parts == [_G] else measured(bounds)
+        room = n * n_buckets, size * n_buckets
         v = F.col(order_col)
-        tagged = (join_null_safe(base, sized_broadcast(bounds), parts)
+        tagged = (join_null_safe(base, F.broadcast(bounds) if size <= DEFAULT_BROADCAST_BYTES else bounds, parts)
                   .withColumn("_bucket", _count_below("_bounds", v, n_buckets)).drop("_bounds"))
     else:
         # Strings: range-partition on (group, value); the partition id is an
         # order-preserving bucket, frozen with the rows.
         tagged = cut_lineage(base.repartitionByRange(n_buckets, *parts, order_col)
                              .withColumn("_bucket", F.spark_partition_id()))
-    return tagged, parts
+        room = None
+    return tagged, parts, room
+
+
+def _bucket_side(small: DataFrame, room: tuple[int, int] | None, extra: int | None) -> DataFrame:
+    """A table of one row per (group, bucket), broadcast if its size is proven:
+    by ``room`` and ``extra`` bytes a row, else by checkpoint and measure."""
+    if room is not None and extra is not None:
+        return F.broadcast(small) if room[0] * extra + room[1] <= DEFAULT_BROADCAST_BYTES else small
+    return sized_broadcast(cut_lineage(small))
 
 
 def _count_below(sorted_array: str, v: Column, size: int) -> Column:
@@ -73,7 +86,7 @@ def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
                    n_buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Append inclusive running sums of ``sums`` ordered by ``order_col`` (then ``tie_cols``)
     within ``partition_cols``.  ``order_col`` may be of any orderable type."""
-    tagged, parts = _tag_buckets(df, order_col, partition_cols, n_buckets, accuracy)
+    tagged, parts, room = _tag_buckets(df, order_col, partition_cols, n_buckets, accuracy)
     for name, c in sums.items():
         tagged = tagged.withColumn(f"_v_{name}", c)
     totals = tagged.groupBy(*parts, "_bucket").agg(
@@ -84,7 +97,7 @@ def running_totals(df: DataFrame, order_col: str, sums: Mapping[str, Column],
                               for n in sums])
     wi = (Window.partitionBy(*parts, "_bucket").orderBy(order_col, *tie_cols)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = join_null_safe(tagged, sized_broadcast(offsets), [*parts, "_bucket"])
+    out = join_null_safe(tagged, _bucket_side(offsets, room, 16 * len(sums)), [*parts, "_bucket"])
     for n in sums:
         out = out.withColumn(n, F.col(f"_o_{n}") + F.sum(f"_v_{n}").over(wi))
     drop = ["_bucket"] + [f"_v_{n}" for n in sums] + [f"_o_{n}" for n in sums]
@@ -103,7 +116,7 @@ def running_last(df: DataFrame, order_col: str, tie_cols: Sequence[str], flag: C
     ignorenulls)`` plus the last flagged struct carried in from earlier
     buckets (a table with one row per bucket).  No row fans out and no
     group is gathered in one task."""
-    tagged, parts = _tag_buckets(df, order_col, partition_cols, n_buckets, accuracy)
+    tagged, parts, room = _tag_buckets(df, order_col, partition_cols, n_buckets, accuracy)
     st = F.when(flag, F.struct(*[F.col(v) for v in values]))
     tagged = tagged.withColumn("_st", st)
     wi = (Window.partitionBy(*parts, "_bucket").orderBy(order_col, *tie_cols)
@@ -117,7 +130,7 @@ def running_last(df: DataFrame, order_col: str, tie_cols: Sequence[str], flag: C
     wc = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(*parts, "_bucket", F.last("_bl", ignorenulls=True).over(wc).alias("_carry"))
     out_df = join_null_safe(tagged.withColumn("_in", F.last("_st", ignorenulls=True).over(wi)),
-                            sized_broadcast(carry), [*parts, "_bucket"], "left")
+                            _bucket_side(carry, room, row_width(df.select(*values))), [*parts, "_bucket"], "left")
     drop = ["_st", "_in", "_carry", "_bucket"] + ([_G] if _G in parts else [])
     return out_df.withColumn(out, F.coalesce("_in", "_carry")).drop(*drop)
 
@@ -166,7 +179,7 @@ def ecdf(df: DataFrame, col: str, partition_cols: Sequence[str] = (),
     if not parts:
         total = freq.select(F.sum("n")).scalar()
         return r.select("value", "n", "cum_n", (F.col("cum_n") / total).alias("cdf"))
-    tot = freq.groupBy(*parts).agg(F.sum("n").alias("_tot"))
+    tot = cut_lineage(freq.groupBy(*parts).agg(F.sum("n").alias("_tot")))
     return join_null_safe(r, sized_broadcast(tot), parts).select(
         *parts, "value", "n", "cum_n", (F.col("cum_n") / F.col("_tot")).alias("cdf"))
 

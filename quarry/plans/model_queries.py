@@ -12,7 +12,8 @@ from quarry.operators import sampling as Y
 from quarry.operators import segment as SG
 from quarry.operators import textmining as N
 from quarry.operators import utility as UT
-from quarry.operators.joins import score_pairs, sized_broadcast
+from quarry.operators import neighbours as K
+from quarry.operators.joins import score_pairs
 from quarry.plans import standins as S
 from quarry.plans.pattern_queries import seg_features
 from quarry.plans.reco_queries import triples
@@ -82,6 +83,19 @@ def r3(spark, d):
     return with_ids(R.recommend(m, r, 5), r)
 
 
+@register("R3_recommend_all_users_pruned_top5")
+def r3_pruned(spark, d):
+    """The same by the norm bound instead of ALS's blockwise product of all with all."""
+    m, r = als_model(spark, d)
+    return with_ids(K.recommend_pruned(m.userFactors, m.itemFactors, r, 5), r)
+
+
+@register("R5_similar_users_bulk_top10")
+def r5_bulk(spark, d):
+    m, _ = als_model(spark, d)
+    return K.similar_all(m.userFactors, 10)
+
+
 @register("R3_recommend_for_users_top10", note="items for the users with most interactions, 100 of them: the feature is a stated list of users")
 def r3_users(spark, d):
     m, r = als_model(spark, d)
@@ -104,7 +118,7 @@ def j11_fixed(spark, d):
     e = S.table(spark, d, "embeddings")
     fac = e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
     last = e.groupBy("label").agg(F.max("vec_id").alias("item"))
-    pairs = e.select(F.col("vec_id").alias("user"), "label").join(sized_broadcast(last), "label").select("user", "item")
+    pairs = e.select(F.col("vec_id").alias("user"), "label").join(last, "label").select("user", "item")
     return score_pairs(pairs, fac, fac).select("user", "item", F.round("score", 6).alias("score"))
 
 

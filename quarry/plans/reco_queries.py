@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import aggregate as G
+from quarry.operators import neighbours as K
 from quarry.operators import recommend as R
 from quarry.operators.windows import top_n_per_group
 from quarry.plans import standins as S
@@ -110,6 +111,42 @@ def r5(spark, d):
     return R.similar(f, q, 5)
 
 
+@register("R4_similar_items_bulk_top5")
+def r4_bulk(spark, d):
+    """Every embedding's nearest, found by hyperplane buckets (approximate: its recall is tested and reported)."""
+    return K.similar_all(emb(spark, d), 5)
+
+
+@register("R4_similar_items_bulk_recall")
+def r4_recall(spark, d):
+    """Recall of the bulk search against the exact one, over all embeddings."""
+    f = emb(spark, d)
+    return K.recall(K.similar_all(f, 5), R.similar(f, f, 5))
+
+
+FIXED_SQL = ("""u AS (SELECT vec_id AS "user", embedding::DOUBLE[] AS v FROM embeddings WHERE label < 5)""",
+             """i AS (SELECT vec_id AS item, list_transform(embedding, lambda x: x::DOUBLE * (1 + vec_id % 10)) AS v FROM embeddings WHERE label >= 5)""",
+             """s AS (SELECT "user", item, list_dot_product(u.v, i.v) AS score FROM u, i WHERE "user" % 7 <> item % 7)""")
+
+
+def fixed_factors(spark, d):
+    """User and item factors that are not fitted: embeddings, items with norms from 1 to 10; seen are items of the user's remainder by 7."""
+    e = S.table(spark, d, "embeddings").withColumn("v", F.col("embedding").cast("array<double>"))
+    u = e.where("label < 5").select(F.col("vec_id").alias("id"), F.col("v").alias("features"))
+    i = e.where("label >= 5").select(F.col("vec_id").alias("id"), F.transform("v", lambda x: x * (1 + F.col("vec_id") % 10)).alias("features"))
+    part = lambda f, n: f.select(F.col("id").alias(n), (F.col("id") % 7).alias("_m"))
+    return u, i, part(u, "user").join(part(i, "item"), "_m").select("user", "item")
+
+
+@register("R3_recommend_all_users_fixed_factors", with_(*FIXED_SQL) + """
+SELECT "user", item, round(score, 6) AS score, CAST("rank" AS INTEGER) AS "rank" FROM (
+  SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS "rank" FROM s) WHERE "rank" <= 5""")
+def r3_fixed(spark, d):
+    """Top items for every user by the norm bound, on factors that SQL can read."""
+    u, i, seen = fixed_factors(spark, d)
+    return K.recommend_pruned(u, i, seen, 5).withColumn("score", F.round("score", 6))
+
+
 @register("R6_seen_item_context", with_(S.RATINGS_SQL) + """
 SELECT "user", item, rating, title, CAST("rank" AS INTEGER) AS "rank" FROM (
   SELECT r."user", r.item, r.rating, p.p_name AS title,

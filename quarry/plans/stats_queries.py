@@ -9,8 +9,8 @@ from quarry.functions.predicates import fingerprint, persona, pct
 from quarry.operators import aggregate as G
 from quarry.operators import sampling as Y
 from quarry.operators import windows as W
-from quarry.operators.joins import sized_broadcast
 from quarry.plans import standins as S
+from quarry.session import cut_lineage
 from quarry.sources.io import NUMBER
 from quarry.plans.registry import register, with_
 from quarry.plans.trip_queries import BASE, CLEAN6_SQL, cleaned
@@ -95,6 +95,32 @@ def g19(spark, d):
                  F.round(F.avg("rating"), 6).alias("mean_rating")).withColumn("median_rating", med.scalar())
 
 
+@register("G19_distinct_by_bitmaps", with_(S.RATINGS_SQL) + """
+SELECT 'user' AS entity, rating, count(DISTINCT "user") AS n_distinct FROM ratings GROUP BY rating
+UNION ALL SELECT 'user', NULL, count(DISTINCT "user") FROM ratings
+UNION ALL SELECT 'item', rating, count(DISTINCT item) FROM ratings GROUP BY rating
+UNION ALL SELECT 'item', NULL, count(DISTINCT item) FROM ratings""")
+def g19_bitmaps(spark, d):
+    """Distinct users and items a rating and over all: one table of bitmaps each, merged, rows read once."""
+    r = S.ratings(spark, d)
+    out = None
+    for c in ("user", "item"):
+        parts = cut_lineage(G.distinct_bitmaps(r.select(c, "rating"), c, ["rating"]))
+        both = G.distinct_counts(parts, ["rating"]).unionByName(G.distinct_counts(parts), allowMissingColumns=True) \
+            .select(F.lit(c).alias("entity"), "rating", "n_distinct")
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+@register("G21_sparsity_by_bitmaps", with_(S.RATINGS_SQL) + """
+SELECT count(*) AS n_interactions, count(DISTINCT "user") AS n_users, count(DISTINCT item) AS n_items,
+       round((1.0 - count(*) / (count(DISTINCT "user")::DOUBLE * count(DISTINCT item))) * 100, 4) AS sparsity_pct
+FROM ratings""")
+def g21_bitmaps(spark, d):
+    """G21 from stored day parts: bitmaps and row counts of each day are merged, rows are not read again."""
+    return G.sparsity_from_parts(G.sparsity_parts(S.ratings(spark, d), ["ts"]))
+
+
 @register("G21_sparsity", with_(S.RATINGS_SQL) + """
 SELECT count(*) AS n_interactions, count(DISTINCT "user") AS n_users, count(DISTINCT item) AS n_items,
        round((1.0 - count(*) / (count(DISTINCT "user")::DOUBLE * count(DISTINCT item))) * 100, 4) AS sparsity_pct
@@ -404,7 +430,7 @@ def f15(spark, d):
     e = S.table(spark, d, "embeddings")
     first = e.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
     anc = e.join(first, ["label", "vec_id"], "left_semi").select("label", F.col("embedding").alias("a"))
-    j = e.join(sized_broadcast(anc), "label")
+    j = e.join(anc, "label")
     return j.select("vec_id", F.round(V.dot("embedding", "a"), 6).alias("dot"),
                     F.round(V.cosine("embedding", "a"), 6).alias("cosine"))
 

@@ -507,6 +507,17 @@ def j1(spark, d):
     return j.select(t.trip_id, t.PULocationID, z.LocationID, z.Borough)
 
 
+@register("J1_left_join_heavy_key", with_(S.TRIPS_SQL, S.ZONES_PU_SQL, """hot AS (
+  SELECT trip_id, CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE PULocationID END AS LocationID FROM trips)""") + """
+SELECT h.trip_id, h.LocationID, z.Borough FROM hot h LEFT JOIN zones_pu z ON h.LocationID = z.LocationID""")
+def j1_heavy(spark, d):
+    """J1 where one key holds half of all rows and the dimension is joined by shuffle."""
+    from quarry.operators.joins import join_heavy
+    t = S.trips(spark, d).select("trip_id", "l_orderkey", F.when(F.col("l_orderkey") % 2 == 0, F.lit(1)).otherwise(F.col("PULocationID")).cast("bigint").alias("LocationID"))
+    z = S.zones_pickup(spark, d).select(F.col("LocationID").cast("bigint"), "Borough")
+    return join_heavy(t, z, "LocationID", ["trip_id"]).select("trip_id", "LocationID", "Borough")
+
+
 @register("J2_enrich_dimension", with_(*BASE) + "SELECT trip_id, PULocationID, PU_Borough, Zone FROM trips_z")
 def j2(spark, d):
     return S.trips_zoned(spark, d).select("trip_id", "PULocationID", "PU_Borough", "Zone")
