@@ -135,8 +135,11 @@ def popular_unseen(ratings: DataFrame, user_groups: DataFrame, group: str,
     users of a group with all its items.  The anti-join removes the seen ones,
     and nobody gets fewer than the group offers."""
     pop = cut_lineage(ratings.join(user_groups, user).where(F.col(group).isNotNull()).groupBy(group, item).agg(F.count(F.lit(1)).alias("popularity")))
-    order = index_ids(pop, item, "_ix")  # equal popularity: by item, as one number
-    ranked = pop.join(order, item).withColumn("_o", (-F.col("popularity")).cast("decimal(38,0)") * F.lit(1 << 40).cast("decimal(15,0)") + F.col("_ix"))
+    if pop.schema[item].dataType.typeName() in ("byte", "short", "integer", "long"):  # equal popularity: by item, as one number
+        ranked = pop.withColumn("_ix", F.col(item))
+    else:
+        ranked = pop.join(index_ids(pop, item, "_ix"), item)
+    ranked = ranked.withColumn("_o", (F.col("_ix").cast("decimal(20,0)") - F.col("popularity").cast("decimal(18,0)") * F.expr("CAST(10000000000000000000 AS DECIMAL(20,0))")).cast("decimal(38,0)"))
     ranked = running_totals(ranked, "_o", {"_place": F.lit(1).cast("bigint")}, [group]).select(group, "_place", item, "popularity")
     seen_by = ratings.groupBy(user).agg(F.count_distinct(item).alias("_k"))
     places = user_groups.join(seen_by, user).select(user, group, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_k") + n)).alias("_place"))
