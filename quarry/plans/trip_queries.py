@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 
 from quarry.functions import predicates as P
 from quarry.operators import aggregate as G
+from quarry.operators import increments as I
 from quarry.operators import quality as Q
 from quarry.operators.joins import enrich, members
 from quarry.plans import standins as S
 from quarry.plans.registry import register, with_
 from quarry.sources import io
+from quarry.sources import tolerant as TS
 
 SENT = S.FIXTURE_SENTINELS
 SQ = S.SENTINELS_SQL
@@ -132,6 +134,76 @@ def s4_header(spark, d):
     return io.parse_pairs(S.lines(spark, d).unionByName(head), default_key=None, skip_prefixes=("n_name",))
 
 
+REASON_SQL = """reasons AS (
+  SELECT CASE WHEN value IS NULL THEN 'null_line' WHEN starts_with(value, 'n_name') THEN 'header'
+              WHEN len(string_split(trim(value), ',')) < 2 THEN 'too_few_fields'
+              WHEN TRY_CAST(split_part(trim(value), ',', 2) AS DOUBLE) IS NULL OR isnan(TRY_CAST(split_part(trim(value), ',', 2) AS DOUBLE)) THEN 'not_a_number'
+              WHEN TRY_CAST(split_part(trim(value), ',', 2) AS DOUBLE) <= 0 THEN 'not_positive' ELSE 'kept' END AS reason
+  FROM (SELECT value FROM lines UNION ALL SELECT 'n_name,amount' FROM nation))"""
+
+
+@register("S4_rejected_lines_by_reason", with_(*BASE, S.LINES_SQL, REASON_SQL) + """
+SELECT reason, count(*) AS n FROM reasons GROUP BY reason""")
+def s4_rejected(spark, d):
+    """Why lines are left out; with the kept ones they are all lines."""
+    head = S.table(spark, d, "nation").select(F.lit("n_name,amount").alias("value"))
+    return TS.rejected_counts(TS.parse_pairs_checked(S.lines(spark, d).unionByName(head), skip_prefixes=("n_name",)))
+
+
+BAD_CSV_SQL = """rec AS (SELECT CASE WHEN l_linenumber = 7 THEN 1 WHEN l_orderkey % 5 = 0 THEN 2 WHEN l_orderkey % 7 = 0 THEN 3 ELSE 0 END AS fault,
+  CAST(l_orderkey AS INTEGER) AS id, CAST(l_quantity AS DOUBLE) AS q FROM lineitem)"""
+
+
+@register("S2_rejected_records_by_reason", with_(BAD_CSV_SQL) + """
+SELECT CASE fault WHEN 1 THEN 'field_count' WHEN 2 THEN 'bad_id' WHEN 3 THEN 'bad_q' ELSE 'kept' END AS reason, count(*) AS n,
+       round(coalesce(sum(CASE WHEN fault = 0 THEN q END), 0), 2) AS total
+FROM rec GROUP BY ALL""")
+def s2_rejected(spark, d):
+    """A CSV with records of too few fields and with text in number columns."""
+    from pyspark.sql import types as T
+    li = S.table(spark, d, "lineitem")
+    k, q = F.col("l_orderkey").cast("string"), F.col("l_quantity").cast("double").cast("string")
+    text = F.when(F.col("l_linenumber") == 7, k).when(F.col("l_orderkey") % 5 == 0, F.concat(F.lit("x"), k, F.lit(","), q)) \
+        .when(F.col("l_orderkey") % 7 == 0, F.concat(k, F.lit(",much"))).otherwise(F.concat(k, F.lit(","), q))
+    p = _scratch(spark, "bad_csv")
+    li.select(text).write.text(p)
+    c = TS.read_csv_checked(spark, p, T.StructType([T.StructField("id", T.IntegerType()), T.StructField("q", T.DoubleType())]), header=False)
+    kept, rejected = TS.write_checked(c, _scratch(spark, "checked_csv"))
+    both = kept.select(F.lit("kept").alias("reason"), "q").unionByName(rejected.select("reason", "q"))
+    return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.round(F.coalesce(F.sum("q"), F.lit(0.0)), 2).alias("total"))
+
+
+@register("S1_files_of_differing_schemas", """
+SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity,
+       CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(l_tax AS DOUBLE) END AS l_tax, 'm' || (l_linenumber % 3) AS month
+FROM lineitem""")
+def s1_widened(spark, d):
+    """Three files: whole numbers, doubles and decimals in one column, one without a column, one with it in capitals."""
+    li = S.table(spark, d, "lineitem")
+    kinds = [("int", "int", "int", None, None), ("bigint", "smallint", "double", "double", "l_tax"), ("bigint", "tinyint", "decimal(12,2)", "double", "L_TAX")]
+    root, paths = _scratch(spark, "months"), []
+    for m, (a, b, c, t, name) in enumerate(kinds):
+        cols = [F.col("l_orderkey").cast(a), F.col("l_linenumber").cast(b), F.col("l_quantity").cast(c)] + ([F.col("l_tax").cast(t).alias(name)] if name else [])
+        li.where(F.col("l_linenumber") % 3 == m).select(*cols).write.parquet(f"{root}/m{m}")
+        paths.append(f"{root}/m{m}")
+    r = TS.read_widened(spark, paths, "file")
+    return r.select("l_orderkey", "l_linenumber", "l_quantity", "l_tax", F.regexp_extract("file", "/(m[0-9])/[^/]*$", 1).alias("month"))
+
+
+@register("G6_increments_merged", with_(*BASE, S.LINES_SQL, PARSE_SQL) + """
+SELECT "key", round(sum(value), 2) AS total_revenue, count(*) AS trip_count,
+       round(avg(value), 4) AS avg_fare, min(value) AS min_fare, max(value) AS max_fare
+FROM pairs GROUP BY "key" """)
+def g6_increments(spark, d):
+    """Three increments, one of them loaded twice, merged from their partial results."""
+    folder, ln = _scratch(spark, "pair_parts"), S.lines(spark, d)
+    for m in (0, 1, 2, 1):
+        own = ln.where(F.pmod(F.coalesce(F.xxhash64("value"), F.lit(0)), F.lit(3)) == m)
+        I.store_part(I.pair_part(io.parse_pairs(own)), folder, f"m{m}")
+    r = I.merge_pairs(I.stored_parts(spark, folder))
+    return r.select("key", F.round("total_revenue", 2).alias("total_revenue"), "trip_count", F.round("avg_fare", 4).alias("avg_fare"), "min_fare", "max_fare")
+
+
 @register("G7_map_reduce_revenue", with_(*BASE, S.LINES_SQL, PARSE_SQL) + """
 SELECT "key", round(sum(value), 2) AS total_revenue, count(*) AS trip_count,
        round(avg(value), 4) AS avg_fare, min(value) AS min_fare, max(value) AS max_fare
@@ -368,6 +440,15 @@ def q1(spark, d):
     return Q.rule_audit(S.trips_zoned(spark, d), rules6())
 
 
+@register("Q1_audit_increments_merged", with_(*BASE, AUDIT6_SQL) + "SELECT rule_order, rule, removed FROM audit")
+def q1_increments(spark, d):
+    """The audit of all trips from the stored audits of three increments."""
+    folder, t = _scratch(spark, "audit_parts"), S.trips_zoned(spark, d)
+    for m in range(3):
+        I.store_part(I.audit_part(t.where(F.pmod(F.xxhash64("trip_id"), F.lit(3)) == m), rules6()), folder, f"m{m}")
+    return I.merge_audits(I.stored_parts(spark, folder)).select("rule_order", "rule", "removed")
+
+
 @register("Q2_clean_audit_8_rules", with_(*BASE, f"""tagged AS (
   SELECT CASE WHEN NOT coalesce(total_amount IS NOT NULL, false) THEN 'null_amount'
               WHEN NOT coalesce(total_amount > 0, false) THEN 'non_positive_amount'
