@@ -1,7 +1,7 @@
 """Gaussian-copula synthesizer.
 
-Fit: every column's distinct values get their cumulative interval in the
-sorted column (distributed prefix sums); a value's normal score is
+Fit: every row gets the middle of its value's interval in the sorted column
+(range buckets and their offsets, no join on the value); its normal score is
 ``probit(mid-interval / N)``; the d x d correlation of the scores is the
 only thing that reaches the driver (Cholesky there).
 Sample: per row, independent normals from a seeded hash (Box-Muller, so
@@ -22,10 +22,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import sized_broadcast
 from quarry.operators.sampling import order_stat_lookup, unit_hash
-from quarry.session import cut_lineage
-from quarry.operators.windows import running_totals
+from quarry.operators.windows import mid_ranks
 
 __all__ = ["normal_cdf", "probit", "CopulaModel", "fit_copula", "sample_copula"]
 
@@ -83,13 +81,8 @@ class CopulaModel:
 
 def fit_copula(df: DataFrame, cols: Sequence[str], n_buckets: int | None = None) -> CopulaModel:
     cols = list(cols)
-    scored = df.select(*cols)
-    for c in cols:
-        freq = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-        n = freq.select(F.sum("_c")).scalar()
-        iv = running_totals(freq, "_v", {"_hi": F.col("_c")}, n_buckets=n_buckets)
-        sc = iv.select(F.col("_v").alias(c), probit((F.col("_hi") - F.col("_c") / 2) / n).alias(f"_z_{c}"))
-        scored = scored.join(sized_broadcast(cut_lineage(sc)), c, "left")
+    ranked = mid_ranks(df.select(*cols), cols, n_buckets)
+    scored = ranked.select(*[probit(F.col(f"_p_{c}")).alias(f"_z_{c}") for c in cols])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     row = scored.agg(*[F.corr(f"_z_{a}", f"_z_{b}").alias(f"{a}|{b}") for a, b in pairs]).first() if pairs else None
     d = len(cols)

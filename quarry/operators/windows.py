@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from quarry.operators.joins import DEFAULT_BROADCAST_BYTES, join_null_safe, measured, row_width, sized_broadcast
 from quarry.session import cut_lineage
 
-__all__ = ["running_totals", "index_ids", "rank_within", "top_n_per_group", "ecdf",
+__all__ = ["running_totals", "mid_ranks", "index_ids", "rank_within", "top_n_per_group", "ecdf",
            "share_of_total"]
 
 _G = "_grp_const"
@@ -135,6 +135,54 @@ def running_last(df: DataFrame, order_col: str, tie_cols: Sequence[str], flag: C
     return out_df.withColumn(out, F.coalesce("_in", "_carry")).drop(*drop)
 
 
+def mid_ranks(df: DataFrame, cols: Sequence[str], n_buckets: int | None = None, most_heavy: int = 64,
+              sample: int = 4096) -> DataFrame:
+    """W4 for every row and several columns: ``df`` with ``_p_<col>``, the middle of the
+    value's interval in the sorted column, ``(below + equal / 2) / n``; null for a null.
+
+    Rows get their ranks where they are: a column's rows go to buckets of its
+    range, are ranked there, and add the count of all lower buckets (one row a
+    bucket).  No row is joined with its value.  Values that hold more than a
+    bucket's share are found by a mergeable sketch (at most ``most_heavy``) and
+    counted exactly; they need no ranking, so their rows, and nulls, are spread
+    over all buckets.  Bounds come from about ``sample`` rows; they decide where
+    rows go, not what ranks they get.  One shuffle of the rows a column."""
+    k = n_buckets or default_buckets(df)
+    cols = list(cols)
+    # rows are told apart once, in a table that every later stage reads alike
+    base = cut_lineage(df.withColumn("_salt", F.monotonically_increasing_id()))
+    first = base.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    sketch = [F.expr(f"approx_top_k(`{c}`, {most_heavy}, {max(1000, 16 * k)})").alias(f"t{i}") for i, c in enumerate(cols)]
+    tops = base.agg(*sketch).first()
+    heavy = [sorted(x["item"] for x in (tops[f"t{i}"] or []) if x["item"] is not None and x["count"] * k > first[f"n{i}"]) for i in range(len(cols))]
+    exact = [agg for i, c in enumerate(cols) for j, v in enumerate(heavy[i])
+             for agg in (F.count_if(F.col(c) == F.lit(v)).alias(f"e{i}_{j}"), F.count_if(F.col(c) < F.lit(v)).alias(f"b{i}_{j}"))]
+    counts = base.agg(*exact).first() if exact else {}
+    some = base.where(F.pmod(F.xxhash64("_salt"), F.lit(max(1, first["rows"] // sample))) == 0).select(*cols).collect()
+    out = base
+    for i, c in enumerate(cols):
+        kind, n = df.schema[c].dataType, first[f"n{i}"]
+        seen = sorted(r[c] for r in some if r[c] is not None and r[c] not in set(heavy[i]))
+        bounds = sorted({seen[len(seen) * j // k] for j in range(1, k)}) if seen else []
+        literal = lambda values: F.array(*[F.lit(v).cast(kind) for v in values]) if values else F.array().cast(f"array<{kind.simpleString()}>")
+        plain = F.col(c).isNotNull() & ~F.coalesce(F.array_contains(literal(heavy[i]), F.col(c)), F.lit(False))
+        place = lambda d: d.withColumn("_bounds", literal(bounds)).withColumn("_bucket", F.when(plain, _count_below("_bounds", F.col(c), max(1, len(bounds))))
+                                                                             .otherwise(-1 - F.pmod("_salt", F.lit(k)))).drop("_bounds")
+        per = place(base.select(c, "_salt")).where("_bucket >= 0").groupBy("_bucket").agg(F.count(F.lit(1)).alias("_m"))
+        lower = per.select("_bucket", F.coalesce(F.sum("_m").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_lower"))  # one row a bucket
+        w = Window.partitionBy("_bucket")
+        ranked = place(out).withColumn("_rank", F.rank().over(w.orderBy(c))).withColumn("_equal", F.count(F.lit(1)).over(Window.partitionBy("_bucket", c)))
+        ranked = ranked.join(sized_broadcast(lower, rows_bound=k), "_bucket", "left")
+        below, equal = F.col("_lower") + F.col("_rank") - 1, F.col("_equal")
+        at = F.lit(None).cast("double")
+        for j, v in enumerate(heavy[i]):
+            e, b = counts[f"e{i}_{j}"], counts[f"b{i}_{j}"]
+            below = below + F.when(F.col(c) > F.lit(v), F.lit(e)).otherwise(F.lit(0))
+            at = F.when(F.col(c) == F.lit(v), F.lit((b + e / 2) / n)).otherwise(at)
+        out = ranked.withColumn(f"_p_{c}", F.when(plain, (below + equal / 2) / F.lit(n or None).cast("double")).otherwise(at)).drop("_bucket", "_rank", "_equal", "_lower")
+    return out.drop("_salt")
+
+
 def _is_numeric(df: DataFrame, c: str) -> bool:
     from pyspark.sql import types as T
     return isinstance(df.schema[c].dataType, (

@@ -11,6 +11,7 @@ from quarry.operators import joins as J
 from quarry.operators import neighbours as K
 from quarry.operators import recommend as R
 from quarry.operators import textmining as N
+from quarry.operators import windows as W
 
 SF = "/root/testdata/sf0.001"
 
@@ -184,6 +185,38 @@ def test_density_groups_rows_by_cell_only(spark):
     assert all(r["density"] is None for r in G.density(df.select(F.lit(1.0).alias("v")), "v", 3).collect())
 
 
+# --- ranks where the rows are --------------------------------------------------------------
+@pytest.mark.parametrize("buckets", [1, 3, 16])
+def test_mid_ranks_equal_brute_force(spark, buckets):
+    rng = random.Random(8)
+    data = [(rng.choice([None, 5.0, 5.0, 5.0, rng.gauss(0, 3)]), rng.choice(["b", "b", None, f"k{rng.randrange(300)}"]), rng.randrange(4)) for _ in range(700)]
+    df = spark.createDataFrame(data, "x double, s string, i int").repartition(5)
+
+    def mid(values, v):
+        own = [y for y in values if y is not None]
+        return None if v is None else (sum(y < v for y in own) + sum(y == v for y in own) / 2) / len(own)
+    xs, ss, js = zip(*data)
+    want = sorted(((x, s, j, mid(xs, x), mid(ss, s), mid(js, j)) for x, s, j in data), key=repr)
+    got = sorted(rows(W.mid_ranks(df, ["x", "s", "i"], buckets, sample=64).select("x", "s", "i", "_p_x", "_p_s", "_p_i")), key=repr)
+    assert len(got) == len(want) and all(a[:3] == b[:3] and all((x is None) == (y is None) and (x is None or abs(x - y) < 1e-12) for x, y in zip(a[3:], b[3:]))
+                                         for a, b in zip(got, want))
+    assert rows(W.mid_ranks(df.limit(0), ["x", "s"])) == []
+
+
+def test_a_value_of_half_the_rows_spreads_over_all_tasks(spark):
+    df = spark.range(20000).select(F.when(F.col("id") % 2 == 0, 1.0).otherwise(F.col("id").cast("double")).alias("x"))
+    keep = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        r = W.mid_ranks(df, ["x"], 64)
+        sizes = sorted(x["count"] for x in r.groupBy(F.spark_partition_id()).count().collect())
+        plan = r._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", keep)
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+    assert "SortMergeJoin" not in plan
+
+
 # --- sides are not run to be measured ------------------------------------------------------
 NO_MEASURE = ["T4_total_variation_distance", "J7_exclude_seen_popular_in_nation", "W1_J10_dense_index", "T3_kolmogorov_smirnov", "Y4_stratified_split",
               "G8_Q9_group_profile_percentiles", "T10_quality_scores"]
