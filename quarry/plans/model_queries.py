@@ -16,9 +16,10 @@ from quarry.operators import neighbours as K
 from quarry.operators.joins import score_pairs
 from quarry.plans import standins as S
 from quarry.plans.pattern_queries import seg_features
-from quarry.plans.reco_queries import triples
+from quarry.plans.fitted import fitted
+from quarry.plans.reco_queries import CHAIN_SQL, triples
 from quarry.plans.registry import register
-from quarry.plans.stats_queries import labelled, real
+from quarry.plans.stats_queries import LABELLED_SQL, RS, labelled, real
 from quarry.plans.synth_queries import sides
 from quarry.plans.trip_queries import PARSE_SQL, _scratch
 from quarry.plans.trip_queries import BASE as TBASE
@@ -50,20 +51,16 @@ def t6(spark, d):
     return UT.tstr(lab(a), lab(b), ["o_totalprice", "c_acctbal"], ["c_mktsegment"], "label")
 
 
-_FITTED: dict = {}
-
-
 def als_model(spark, d, rank=ALS_RANK):
-    """Model on the train part of the indexed positives, and all of them; one fit
-    a session, table folder and rank."""
-    key = (spark.sparkContext.applicationId, d, rank)
-    if key not in _FITTED:
+    """Model on the train part of the indexed positives, and all of them; one fit for
+    the queries that read it."""
+    def fit():
         t = cut_lineage(triples(spark, d).select(F.col("user_index").cast("int").alias("user"), F.col("item_index").cast("int").alias("item"),
                                                  F.col("rating").cast("float").alias("rating"), "split",
                                                  F.col("user").alias("user_id"), F.col("item").alias("item_id")))
         train = t.where("split = 'train'").select("user", "item", "rating")
-        _FITTED[key] = R.fit_als(train, rank=rank, reg=0.01, iters=ALS_ITERS, alpha=1.0, seed=42), t
-    return _FITTED[key]
+        return R.fit_als(train, rank=rank, reg=0.01, iters=ALS_ITERS, alpha=1.0, seed=42), t
+    return fitted(spark, d, ("als", rank), ("lineitem", "orders"), fit)
 
 
 def with_ids(recs, t):
@@ -72,7 +69,9 @@ def with_ids(recs, t):
     return recs.join(u, "user").join(i, "item").select(F.col("user_id").alias("user"), F.col("item_id").alias("item"), "score", "rank")
 
 
-@register("R2_R7_implicit_als_report")
+@register("R2_R7_implicit_als_report", with_(*CHAIN_SQL) + f"""
+SELECT {ALS_RANK} AS rank, u AS n_user_factors, i AS n_item_factors, (u + i) * {ALS_RANK} AS total_parameters
+FROM (SELECT count(DISTINCT "user") AS u, count(DISTINCT item) AS i FROM triples WHERE split = 'train')""")
 def r2(spark, d):
     return R.als_report(als_model(spark, d)[0])
 
@@ -126,11 +125,11 @@ def j11_fixed(spark, d):
 def r8(spark, d):
     m1, r = als_model(spark, d, ALS_RANK)
     m2, _ = als_model(spark, d, 2 * ALS_RANK)
-    # the 100 items with most interactions: a stated query set
-    q = r.groupBy("item").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "item").limit(100)
-    a = R.similar(m1.itemFactors, q.select(F.col("item").alias("id")), 5) \
+    # users similar to the 100 with most interactions: a stated query set
+    q = r.where("split = 'train'").groupBy("user").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "user").limit(100)
+    a = R.similar(m1.userFactors, q.select(F.col("user").alias("id")), 5) \
         .groupBy("query").agg(F.collect_set("neighbour").alias("a"))
-    b = R.similar(m2.itemFactors, q.select(F.col("item").alias("id")), 5) \
+    b = R.similar(m2.userFactors, q.select(F.col("user").alias("id")), 5) \
         .groupBy("query").agg(F.collect_set("neighbour").alias("b"))
     return a.join(b, "query").select("query", F.size(F.array_intersect("a", "b")).alias("overlap_top5"))
 
@@ -160,7 +159,7 @@ def n9(spark, d):
                                  F.lit(round(max(cv.avgMetrics), 6)).alias("best_f1"))
 
 
-@register("N15_save_load_fitted_model")
+@register("N15_save_load_fitted_model", with_(LABELLED_SQL) + "SELECT count(*) AS n, count(*) AS n_same FROM lab WHERE split = 'test'")
 def n15(spark, d):
     train, test = _split(spark, d)
     model = C.fit_forest(train)
@@ -186,6 +185,13 @@ def y7(spark, d):
     return Y.fresh_ids(real(spark, d).select("c_custkey", "c_acctbal"), "c_custkey")
 
 
+@register("Y7_fresh_ids_are_unique", with_(*RS) + """
+SELECT count(*) AS n, count(*) AS n_ids, round(sum(c_acctbal), 2) AS total FROM real""")
+def y7_unique(spark, d):
+    ids = Y.fresh_ids(real(spark, d).select("c_custkey", "c_acctbal"), "c_custkey")
+    return ids.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("c_custkey").alias("n_ids"), F.round(F.sum("c_acctbal"), 2).alias("total"))
+
+
 @register("G7_streaming_map_reduce", with_(*TBASE, S.LINES_SQL, PARSE_SQL) + """
 SELECT "key", round(sum(value), 2) AS total_revenue, count(*) AS trip_count,
        round(avg(value), 4) AS avg_fare, min(value) AS min_fare, max(value) AS max_fare

@@ -9,6 +9,7 @@ from quarry.operators import patterns as M
 from quarry.operators import quality as Q
 from quarry.operators import segment as SG
 from quarry.plans import standins as S
+from quarry.plans.fitted import fitted
 from quarry.plans.registry import register, with_
 from quarry.session import cut_lineage
 from quarry.plans.trip_queries import BASE, BOTH, SQ, rules8, rules_both
@@ -49,16 +50,12 @@ def m1(spark, d):
     return b.groupBy("items").agg(F.count(F.lit(1)).alias("n"))
 
 
-_FITTED: dict = {}
-
-
 def fp(spark, d):
-    """One fit a session and table folder, for the four queries that read it."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _FITTED:
+    """One fit for the four queries that read it."""
+    def fit():
         b = cut_lineage(basket_df(spark, d))
-        _FITTED[key] = M.fit_fpgrowth(b, 0.001, 0.2), b.count()
-    return _FITTED[key]
+        return M.fit_fpgrowth(b, 0.001, 0.2), b.count()
+    return fitted(spark, d, "patterns", ("lineitem", "orders", "supplier", "customer", "nation", "region"), fit)
 
 
 @register("M2_frequent_itemsets", with_(*BK_SQL) + """
