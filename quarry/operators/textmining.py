@@ -62,9 +62,9 @@ def raw_tokens(text) -> "F.Column":
 
 def with_tokens(df: DataFrame, text_col: str, out: str = "tokens") -> DataFrame:
     """Tokens with stop words removed by Spark ML's ``StopWordsRemover``
-    (hash-set lookup per token, JVM-side)."""
+    (hash-set lookup per token, JVM-side).  A null text has no tokens."""
     from pyspark.ml.feature import StopWordsRemover
-    d = df.withColumn("_raw_tok", raw_tokens(F.col(text_col)))
+    d = df.withColumn("_raw_tok", raw_tokens(F.coalesce(F.col(text_col), F.lit(""))))
     r = StopWordsRemover(inputCol="_raw_tok", outputCol=out, stopWords=list(stop_words()), caseSensitive=True)
     return r.transform(d).drop("_raw_tok")
 

@@ -8,6 +8,7 @@ from quarry.functions import vectors as V
 from quarry.functions.predicates import fingerprint, persona, pct
 from quarry.operators import aggregate as G
 from quarry.operators import sampling as Y
+from quarry.operators.membership import intersect_filtered
 from quarry.operators import windows as W
 from quarry.plans import standins as S
 from quarry.session import cut_lineage
@@ -365,6 +366,14 @@ def u4(spark, d):
         o.where(F.col("o_orderpriority") == "5-LOW").select("o_custkey"))
 
 
+@register("U4_intersect_behind_bloom_filter", """
+SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R' INTERSECT SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'A'""")
+def u4b(spark, d):
+    li = S.table(spark, d, "lineitem")
+    side = lambda f: li.where(F.col("l_returnflag") == f).select("l_partkey", "l_suppkey")
+    return intersect_filtered(side("R"), side("A"))
+
+
 @register("U5_distinct", "SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders")
 def u5(spark, d):
     return S.table(spark, d, "orders").select("o_orderpriority", "o_orderstatus").distinct()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import aggregate as G
 from quarry.operators import similarity as T
+from quarry.operators.membership import row_overlap_filtered
 from quarry.plans import standins as S
 from quarry.plans.registry import register, with_
 
@@ -102,16 +103,25 @@ FP = ("sha256(concat_ws(chr(31), coalesce('=' || lower(trim(o_orderpriority)), '
       "coalesce('=' || lower(trim(c_mktsegment)), '-'), coalesce('=' || CAST(CAST(round_even(c_acctbal, 0) AS BIGINT) AS VARCHAR), '-')))")
 
 
-@register("T7_T8_row_overlap", with_(*SIDES, f"hr AS (SELECT DISTINCT {FP} AS h FROM ra)",
-                                      f"hs AS (SELECT DISTINCT {FP} AS h FROM sy)") + """
+OVERLAP_SQL = with_(*SIDES, f"hr AS (SELECT DISTINCT {FP} AS h FROM ra)",
+                    f"hs AS (SELECT DISTINCT {FP} AS h FROM sy)") + """
 SELECT (SELECT count(*) FROM hr) AS n_real_distinct, count(*) AS n_overlap,
        round(count(*) * 100.0 / (SELECT count(*) FROM hr), 6) AS overlap_pct
-FROM (SELECT h FROM hr INTERSECT SELECT h FROM hs)""")
+FROM (SELECT h FROM hr INTERSECT SELECT h FROM hs)"""
+
+
+@register("T7_T8_row_overlap", OVERLAP_SQL)
 def t8(spark, d):
     a, b = sides(spark, d)
     return T.row_overlap(a, b, OVERLAP_COLS)
 
 
+@register("T7_T8_row_overlap_behind_bloom_filter", OVERLAP_SQL)
+def t8b(spark, d):
+    a, b = sides(spark, d)
+    return row_overlap_filtered(a, b, OVERLAP_COLS)
+
+
 def diag_sql(num, cat, ids, a="ra", b="sy", digits=6):
     parts = [f"""SELECT 'data_validity' AS property, '{c}' AS column_name,
   (SELECT count(*) FILTER (WHERE {c} >= (SELECT min({c}) FROM {a}) AND {c} <= (SELECT max({c}) FROM {a})) / count(*)

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.operators import frequent as H
 from quarry.operators import textmining as N
 from quarry.plans import standins as S
 from quarry.plans.registry import register, with_
@@ -55,6 +56,12 @@ def n4(spark, d):
     return train_parts(spark, d)[4]
 
 
+@register("N4_vocabulary_by_heavy_buckets", with_(*TRAIN_SQL) + "SELECT term, df, CAST(cf AS BIGINT) AS cf FROM vocab")
+def n4b(spark, d):
+    train = labelled(spark, d).where(F.col("split") == "train")
+    return H.vocabulary_frequent(train, "doc_id", "text", train.select(F.count(F.lit(1))).scalar(), 5000, 5, 0.8)
+
+
 @register("N5_tfidf_long_form", with_(*TRAIN_SQL, tok_sql("lab_tok", "lab"), terms_sql("lab_tf", "lab_tok"),
           """w AS (SELECT f.doc_id, f.term, f.tf * (ln((1 + (SELECT n FROM ntr)) / (1 + v.df)) + 1) AS w
   FROM lab_tf f JOIN vocab v ON f.term = v.term)""") + """
@@ -80,6 +87,11 @@ def n6b(spark, d):
     return N.top_words(S.table(spark, d, "documents"), "text", 200)
 
 
+@register("N6_top_words_by_heavy_buckets", TOPW_SQL.format(tok=TOK.format(t="text"), src="documents"))
+def n6c(spark, d):
+    return H.top_words_frequent(S.table(spark, d, "documents"), "text", 200)
+
+
 @register("N7_balanced_class_weights", with_(LABELLED_SQL) + """
 SELECT doc_id, label, round((SELECT count(*) FROM lab) / (2.0 * count(*) OVER (PARTITION BY label)), 6) AS weight FROM lab""")
 def n7(spark, d):

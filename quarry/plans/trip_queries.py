@@ -8,6 +8,7 @@ from quarry.operators import aggregate as G
 from quarry.operators import increments as I
 from quarry.operators import quality as Q
 from quarry.operators.joins import enrich, members
+from quarry.operators.membership import members_filtered
 from quarry.plans import standins as S
 from quarry.plans.registry import register, with_
 from quarry.sources import io
@@ -635,6 +636,15 @@ def j8(spark, d):
     return members(S.table(spark, d, "customer").select("c_custkey", "c_name"), o, ["c_custkey"])
 
 
+@register("J8_semi_join_behind_bloom_filter", """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')""")
+def j8b(spark, d):
+    o = S.table(spark, d, "orders").where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")) \
+        .select(F.col("o_orderkey").alias("l_orderkey"))
+    return members_filtered(S.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"), o, ["l_orderkey"])
+
+
 # ---------------------------------------------------------------- G: aggregates over trips
 
 
