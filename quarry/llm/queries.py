@@ -96,6 +96,8 @@ def op8(spark, d):
 
 
 _TOKENS = "regexp_extract_all(lower({}), '" + licenses.TOKEN + "')"
+_NOT9 = " OR ".join([f"(license = '{k}' AND list_has_any(x, {v}))" for k, v in licenses.EXCLUDED.items()]
+                    + [f"(license = '{k}' AND NOT list_has_any(x, {v}))" for k, v in licenses.REQUIRED.items()])
 _OP9 = "WITH known(license, statement) AS (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in licenses.TEMPLATES) + f"""),
 src AS (SELECT doc_id, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR) || '.txt') AS path, coalesce(text, '') AS text FROM documents),
 n AS (SELECT count(*) AS n FROM src),
@@ -109,7 +111,9 @@ units AS (SELECT doc_id, line, s FROM lines UNION ALL SELECT doc_id, 0, text FRO
 tf AS (SELECT doc_id, line, t, count(*) AS tf FROM (SELECT doc_id, line, unnest({_TOKENS.format('s')}) AS t FROM units) GROUP BY ALL),
 w AS (SELECT doc_id, line, tf.t, tf * coalesce(idf, ln(1 + (SELECT n FROM n)) + 1) AS w FROM tf LEFT JOIN idf ON tf.t = idf.t),
 norm AS (SELECT doc_id, line, sqrt(sum(w * w)) AS norm FROM w GROUP BY ALL),
-cos AS (SELECT doc_id, line, license, round(sum(w / norm * lw), 6) AS cosine FROM w JOIN norm USING (doc_id, line) JOIN lw ON w.t = lw.t GROUP BY ALL),
+near_by AS (SELECT doc_id, line, license, round(sum(w / norm * lw), 6) AS cosine FROM w JOIN norm USING (doc_id, line) JOIN lw ON w.t = lw.t GROUP BY ALL),
+cos AS (SELECT doc_id, line, license, cosine FROM near_by JOIN (SELECT doc_id, line, {_TOKENS.format('s')} AS x FROM units) USING (doc_id, line)
+  WHERE cosine >= 0.6 AND NOT ({_NOT9})),
 head AS (SELECT doc_id, license, cosine FROM cos WHERE line > 0 AND cosine >= 0.6
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, license) = 1),
 decl AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, license, cosine FROM cos JOIN src USING (doc_id)

@@ -575,6 +575,66 @@ def test_license_texts_and_wrapped_headers(spark):
                    5: none, 6: ("LGPL-3.0", "header", None), 7: none, 8: ("GPL-3.0", "header", None)}
 
 
+BSD_OPENING = """// Copyright 2021 A. Person
+// Redistribution and use in source and binary forms, with or without
+// modification, are permitted provided that the following conditions are met:
+// 1. Redistributions of source code must retain the above copyright notice.
+// 2. Redistributions in binary form must reproduce the above copyright notice.
+"""
+BSD_THIRD = """// 3. Neither the name of Person Inc. nor the names of its contributors may
+// be used to endorse or promote products derived from this software without
+// specific prior written permission.
+"""
+ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+NEIGHBOURS = [
+    ("AGPL-3.0", GPL_HEADER.replace("General Public", "Affero General Public")), ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
+    ("LGPL-2.1", GPL_HEADER.replace("General Public", "Lesser General Public").replace("program is free software:", "library is free software;").replace("version 3", "version 2.1")),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."), ("GPL-3.0", GPL_HEADER),
+    ("CC-BY-SA-4.0", "Licensed under the Creative Commons Attribution-ShareAlike 4.0 International License, CC BY-SA 4.0."),
+    ("CC-BY-4.0", "Licensed under the Creative Commons Attribution 4.0 International License, CC BY 4.0."),
+    (None, "Licensed under the Creative Commons Attribution-NoDerivatives 4.0 International License, CC BY-ND 4.0."),
+    (None, "Creative Commons Attribution-NoDerivatives 4.0 International Public License"), ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("GPL-3.0", "This program is licensed under the GNU General Public License, version 3."), ("GPL-2.0", GPL_HEADER.replace("program", "library").replace("version 3", "version 2")),
+    ("BSD-2-Clause", BSD_OPENING), ("BSD-3-Clause", BSD_OPENING + BSD_THIRD), ("BSD-2-Clause", BSD_OPENING.replace("\n//", "")),
+    ("ISC", ISC_TEXT), ("ISC", "Released under the ISC License."), ("MIT", "Released under the MIT License."), (None, "Released under the Zlib License."),
+    ("MIT", "/* SPDX-License-Identifier: MIT */"), ("GPL-2.0", "# SPDX-License-Identifier: GPL-2.0-only"), ("AGPL-3.0", "-- spdx-license-identifier: AGPL-3.0-or-later"),
+    ("BSD-2-Clause", "x = 1  # (c) A. Person, all rights of the authors stay, SPDX-License-Identifier: BSD-2-Clause"), (None, "# SPDX-License-Identifier: Zlib"),
+    (None, "SPDX-License-Identifier:"), (None, "mit freundlichen gruessen"),
+]
+
+
+@pytest.mark.parametrize("filler", [0, 40])
+def test_license_neighbours_are_told_apart(spark, filler):
+    """Each alone in its directory, among few and among many texts with the same words."""
+    plain = "der stein mit dem fluss, the license of the river, version 3 of the public house\n"
+    files = [(k, f"/n{i}/x.c", t + "\n" + plain) for i, (k, t) in enumerate(NEIGHBOURS)] + [(None, f"/p{i}/y.c", plain * 3) for i in range(filler)]
+    d = spark.createDataFrame([(i, p, t) for i, (_, p, t) in enumerate(files)], "file long, path string, text string")
+    got = {r["file"]: r["license"] for r in rows(licenses.scan_licenses(d, "file", "path", "text"))}
+    assert {i: (got[i], t[:90]) for i, (k, _, t) in enumerate(files) if got[i] != k} == {}
+
+
+def test_license_file_of_a_neighbour_declares_its_directory(spark):
+    files = [("/b/LICENSE", BSD_OPENING + BSD_THIRD), ("/b/src/x.c", "int x"), ("/c/LICENSE", BSD_OPENING), ("/c/src/x.c", "int x")]
+    d = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(files)], "file long, path string, text string")
+    got = {r["file"]: (r["license"], r["basis"]) for r in rows(licenses.scan_licenses(d, "file", "path", "text"))}
+    assert got == {0: ("BSD-3-Clause", "header"), 1: ("BSD-3-Clause", "inherited"), 2: ("BSD-2-Clause", "header"), 3: ("BSD-2-Clause", "inherited")}
+
+
+def test_license_tie_long_text_and_own_templates(spark):
+    both = "Released under the ISC License.\nReleased under the MIT License."
+    long = "the river and the stone " * 200_000 + "\nReleased under the MIT License.\n" + "word" * 100_000
+    d = spark.createDataFrame([(1, "/a/x", both), (2, "/b/x", long), (3, "/c/x", "Covered by the Stone Licence 7.")], "file long, path string, text string")
+    got = {r["file"]: r["license"] for r in rows(licenses.scan_licenses(d, "file", "path", "text"))}
+    assert got == {1: "ISC", 2: "MIT", 3: None}
+    own = spark.createDataFrame([("Stone", "Covered by the Stone Licence 7."), (None, "nothing"), ("none", None)], "license string, statement string")
+    got = {r["file"]: r["license"] for r in rows(licenses.scan_licenses(d, "file", "path", "text", known=own))}
+    assert got == {1: None, 2: None, 3: "Stone"}
+
+
 def test_license_query_finds_every_statement(spark):
     t = fixture_texts(spark)
     want = {i: [k for k, s in licenses.TEMPLATES if s in x.split("\n")] for i, x in t.items()}
