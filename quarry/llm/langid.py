@@ -100,9 +100,10 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_doc
 
     ``max_docs`` bounds the labelled sample (its expected size): rows with the
     smallest hashes of ``seed_cols``, whole texts.  The model holds the most
-    frequent words and n-grams of each length of a language, at most
-    ``max_words`` and ``max_grams`` (equally frequent ones all or none), so it
-    is small whatever the corpus.  Without any labelled row
+    frequent words and n-grams of each length of a language, about
+    ``max_words`` and ``max_grams``, so it is small whatever the corpus; of the
+    equally frequent ones at the bound it holds those of the smallest hashes that
+    fill it (their expected number), so a flat vocabulary fills the tables, too.  Without any labelled row
     the model has no languages and every prediction is ``und``."""
     lab = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     n = lab.count()
@@ -138,12 +139,16 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_doc
     grams = words.select("lang", "n", F.explode(pieces).alias("p")).groupBy("lang", F.col("p.k").alias("k"), F.col("p.g").alias("w")) \
         .agg(F.sum("n").alias("n"))
     every = words.select("lang", F.lit(0).alias("k"), "w", "n").unionByName(grams)
-    # how often a string must occur for the table to hold no more than its bound: from the counts of counts
+    # how often a string must occur for the table to hold no more than its bound, and the share of the strings just below
+    # that still find room: from the counts of counts
     most = F.when(F.col("k") == 0, max_words).otherwise(max_grams)
     counts = every.groupBy("lang", "k", "n").agg(F.count(F.lit(1)).alias("c"))
     held = F.sum("c").over(Window.partitionBy("lang", "k").orderBy(F.desc("n")))
-    enough = counts.withColumn("h", held).where(F.col("h") <= most).groupBy("lang", "k").agg(F.min("n").alias("least"))
-    top = every.join(F.broadcast(enough), ["lang", "k"]).where(F.col("n") >= F.col("least"))  # a row a language and length
+    full = F.col("h") > most
+    edge = counts.withColumn("h", held).groupBy("lang", "k").agg(F.max(F.when(full, F.struct("n", ((most - F.col("h") + F.col("c")) / F.col("c")).alias("room")))).alias("e"))
+    kept = F.col("e").isNull() | (F.col("n") > F.col("e.n")) \
+        | ((F.col("n") == F.col("e.n")) & (F.pmod(F.xxhash64("w", F.lit(13)), F.lit(1_000_000)) < F.col("e.room") * 1_000_000))
+    top = every.join(F.broadcast(edge), ["lang", "k"]).where(kept)  # a row a language and length
     totals = {(r["lang"], r["k"]): (r["n"], r["v"]) for r in every.groupBy("lang", "k").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     col = {x: i for i, x in enumerate(langs)}

@@ -367,6 +367,19 @@ def test_language_id_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_language_tables_are_filled_by_equally_frequent_strings(spark):
+    import string
+    flat = ["".join(string.ascii_lowercase[(i // 26 ** p) % 26] for p in range(3)) + "q" for i in range(180)]
+    d = spark.createDataFrame([(1, "aa", " ".join(flat)), (2, "bb", " ".join(["oft"] * 5 + ["mal"] * 2 + flat[:3]))], "doc_id long, lang string, text string")
+    m = langid.fit(d, max_words=50, max_grams=10_000)
+    held = {w for w, v in m.tables[0].items() if v[0] > v.min() or w in flat}
+    assert 25 <= len(held & set(flat)) <= 80 and {"oft", "mal"} <= set(m.tables[0])  # 180 words once each: about 50, not none
+    assert set(langid.fit(d, max_words=50).tables[0]) == set(m.tables[0])  # the same ones at every run
+    assert set(langid.fit(d, max_words=180).tables[0]) == {*flat, "oft", "mal"}  # exactly full: all
+    two = langid.fit(d, max_words=2).tables[0]  # the most frequent ones stay before any that fill
+    assert {"oft", "mal"} <= set(two)
+
+
 def test_language_id_backoff_and_odd_rows(spark):
     d = spark.createDataFrame([(0, "the water and the stone", "en"), (1, "das wasser und der stein", "de"), (2, None, "en"), (3, "x", None)],
                               "doc_id long, text string, lang string")
