@@ -51,8 +51,8 @@ def op3(spark, d):
 
 @_query("op4_secret_scan")
 def op4(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text", document_path().alias("path"))
-    return secretscan.scan(docs, path_col="path").select(F.col("id").alias("doc_id"), "start", "end", "kind", "sha256", "score", "is_secret")
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", document_path().alias("path"))
+    return secretscan.scan(docs, path_col="path", lang_col="lang").select(F.col("id").alias("doc_id"), "start", "end", "kind", "sha256", "score", "is_secret")
 
 
 @_query("op5_permutation_index")
