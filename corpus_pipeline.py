@@ -38,7 +38,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """All documents, their secrets replaced by a mark."""
     ship_package(spark)
     path = own_prefix(docs) + "path"
-    return secretscan.redact(docs.withColumn(path, document_path()), path_col=path).drop(path)
+    return secretscan.redact(docs.withColumn(path, document_path()), path_col=path, lang_col="lang").drop(path)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
