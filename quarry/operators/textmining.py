@@ -91,17 +91,40 @@ def with_terms(docs: DataFrame, text_col: str, ngram_max: int = 2, out: str = "t
     return d.withColumn(out, t).drop(*cols)
 
 
+def _counted(t: DataFrame, keys: Sequence[str], terms: str = "terms") -> DataFrame:
+    """``(keys..., term, tf)`` of each row's own term array, without a shuffle: the
+    array is sorted, and a term's count is the distance to the next term's first place.
+
+    Each step stands behind a generator of one row, so that it is evaluated once
+    and not copied into the lambdas of the next one."""
+    once = lambda c, out: F.explode_outer(F.array(c)).alias(out)
+    s = t.select(*keys, once(F.sort_array(terms), "_s"))
+    firsts = F.filter(F.sequence(F.lit(0), F.size("_s") - 1), lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
+    s = s.select(*keys, "_s", once(F.when(F.size("_s") > 0, firsts), "_b"))
+    e = F.transform("_b", lambda b, k: F.struct(
+        F.get("_s", b).alias("term"), (F.coalesce(F.get("_b", k + 1), F.size("_s")) - b).cast("long").alias("tf")))
+    return s.select(*keys, F.explode_outer(e).alias("_e")).where(F.col("_e").isNotNull()) \
+        .select(*keys, F.col("_e.term").alias("term"), F.col("_e.tf").alias("tf"))
+
+
 def term_counts(docs: DataFrame, id_col: str, text_col: str, ngram_max: int = 2,
                 keep: Sequence[str] = ()) -> DataFrame:
     """Long-form raw term frequencies ``(doc, [keep...], term, tf)``; ``keep``
     carries per-document columns (e.g. the split) so one tokenising pass can
-    feed several consumers."""
-    keep = [c for c in keep if c != id_col]
-    e = with_terms(spread(docs.select(id_col, *keep, text_col), id_col), text_col, ngram_max) \
-        .select(id_col, *keep, F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())
-    # explode_outer: a plain explode makes the optimizer infer size(terms) > 0
-    # and push that (whole tokenizer, inlined) below the repartition into the scan
-    return e.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
+    feed several consumers.
+
+    A document is counted within its row, so no term is shuffled.  Only rows
+    whose id (or null) comes more than once are added up by an aggregate; the ids
+    alone are shuffled to find them."""
+    keys = [id_col, *[c for c in keep if c != id_col]]
+    src = docs.select(*keys, text_col)
+    counted = lambda d: _counted(with_terms(spread(d, id_col), text_col, ngram_max), keys)
+    again = cut_lineage(src.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(id_col).alias("_again")))
+    if again.isEmpty():
+        return counted(src)
+    same, few = F.col(id_col).eqNullSafe(F.col("_again")), sized_broadcast(again)
+    once, more = src.join(few, same, "left_anti"), src.join(few, same, "left_semi")
+    return counted(once).unionByName(counted(more).groupBy(*keys, "term").agg(F.sum("tf").alias("tf")))
 
 
 def vocabulary(tf: DataFrame, id_col: str, n_docs, max_features: int = 5000, min_df: int = 5,

@@ -153,3 +153,13 @@ def test_vocabulary_is_the_plain_one(spark, buckets, most, min_df, max_df):
     want = N.vocabulary(N.term_counts(docs, "doc_id", "text"), "doc_id", n, most, min_df, max_df).select("term", "df", "cf")
     got = H.vocabulary_frequent(docs, "doc_id", "text", n, most, min_df, max_df, buckets=buckets)
     assert rows(got) == rows(want)
+
+
+def test_terms_are_counted_within_their_rows(spark):
+    docs = spark.createDataFrame([(1, "red fox red fox"), (2, "the fox"), (3, None), (3, "red red"), (3, "red"), (None, "owl"), (None, "owl hoot")], "doc_id long, text string")
+    want = {(1, "red", 2), (1, "fox", 2), (1, "red fox", 2), (1, "fox red", 1), (2, "fox", 1), (3, "red", 3), (3, "red red", 1),
+            (None, "owl", 2), (None, "hoot", 1), (None, "owl hoot", 1)}
+    got = [tuple(r) for r in N.term_counts(docs, "doc_id", "text").collect()]
+    assert len(got) == len(want) and set(got) == want
+    plan = N.term_counts(docs.where("doc_id < 3").repartition(spark.sparkContext.defaultParallelism), "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and "hashpartitioning" not in plan  # no term is shuffled
