@@ -10,6 +10,7 @@ from quarry.operators import aggregate as G
 from quarry.operators import joins as J
 from quarry.operators import neighbours as K
 from quarry.operators import recommend as R
+from quarry.operators.windows import top_n_per_group
 from quarry.operators import textmining as N
 from quarry.operators import windows as W
 
@@ -247,3 +248,50 @@ def test_stored_sides_are_told_apart(spark):
 def test_class_weights_leave_rows_without_a_label_out_of_the_classes(spark):
     df = spark.createDataFrame([(1, 0), (2, 1), (3, None), (4, 1)], "id int, label int")
     assert sorted(rows(N.class_weights(df, "label").select("id", "weight")), key=repr) == [(1, 1.5), (2, 0.75), (3, None), (4, 0.75)]
+
+
+def test_exact_neighbours_are_scored_in_parts_of_bounded_size(spark):
+    """Against the plain expression, with vectors of undefined cosine, repeated ids and copies."""
+    rng = random.Random(5)
+    vec = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(60)]
+    data = [(i, vec[i % 50]) for i in range(120)] + [(7, vec[55]), (200, None), (201, [0.0] * 6), (202, [float("nan")] * 6), (203, [1.0, 2.0]), (None, vec[3])]
+    f = spark.createDataFrame(data, "id long, features array<double>")
+    q = f.where("id % 3 = 0 or id > 199 or id = 7")
+    c = f.select("id", F.col("features").alias("held"))
+    plain = top_n_per_group(R._similar_plain(c, c.join(q.select("id").distinct(), "id", "left_semi"), 5, 1024), ["query"], [F.desc("score"), F.col("neighbour")], 5) \
+        .select("query", "neighbour", F.round("score", 6).alias("score"), F.col("rank").cast("int"))
+    assert sorted(map(str, rows(R.similar(f, q, 5, part_rows=16)))) == sorted(map(str, rows(plain)))
+    plan = R.similar(f.where("id < 100"), q, 5, part_rows=16)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" in plan and "zip_with" not in plan
+
+
+def test_recommendations_are_not_made_by_the_product_of_all_blocks(spark):
+    r = spark.createDataFrame([(u, i, 1.0 + (u * i) % 3) for u in range(12) for i in range(30) if (u + i) % 4], "user int, item int, rating float")
+    m = R.fit_als(r, rank=3, iters=2)
+    got = R.recommend(m, r, 4)
+    assert "FlatMap" not in got._jdf.queryExecution().optimizedPlan().toString() and [f.dataType.simpleString() for f in got.schema] == ["int", "int", "float", "int"]
+    u, i = ({x["id"]: x["features"] for x in t.collect()} for t in (m.userFactors, m.itemFactors))
+    had = {(x["user"], x["item"]) for x in r.collect()}
+    for a in u:
+        mine = sorted(x["score"] for x in got.where(F.col("user") == a).collect())
+        want = sorted(sum(p * w for p, w in zip(u[a], i[b])) for b in i if (a, b) not in had)[-4:]
+        assert mine == pytest.approx(want, abs=1e-5)
+
+
+def test_seen_groups_equal_their_pairs(spark):
+    rng = random.Random(8)
+    u = spark.createDataFrame([(k, [rng.gauss(0, 1) for _ in range(4)], k % 3 if k % 5 else None) for k in range(40)], "id long, features array<double>, g long")
+    i = spark.createDataFrame([(k, [rng.gauss(0, 1) for _ in range(4)], k % 3 if k % 7 else None) for k in range(90)], "id long, features array<double>, g long")
+    seen = u.select(F.col("id").alias("user"), "g").join(i.select(F.col("id").alias("item"), "g"), "g").select("user", "item")
+    assert sorted(rows(K.recommend_pruned(u, i, None, 5, group="g", block=8, band_bytes=1))) == sorted(rows(K.recommend_pruned(u, i, seen, 5)))
+
+
+def test_bulk_neighbours_send_bounded_tables(spark):
+    """Without structure, buckets of 256 rows would need hundreds of tables."""
+    rng = random.Random(3)
+    v = spark.createDataFrame([(k, [rng.gauss(0, 1) for _ in range(16)]) for k in range(3000)], "id long, v array<double>")
+    assert K.plan_tables(v, 5, 600_000, 256)[1] > 100
+    bits, tables = K.plan_tables(v, 5, 600_000)
+    parts = -(-600_000 // 2 ** bits // 8192)
+    assert tables * parts <= 100
+    assert K.plan_tables(v, 5, 3000) == (0, 1)  # few rows: all pairs
