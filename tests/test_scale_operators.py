@@ -295,3 +295,10 @@ def test_bulk_neighbours_send_bounded_tables(spark):
     parts = -(-600_000 // 2 ** bits // 8192)
     assert tables * parts <= 100
     assert K.plan_tables(v, 5, 3000) == (0, 1)  # few rows: all pairs
+
+
+def test_bulk_neighbours_of_repeated_rows_are_n_different_ids(spark):
+    rng = random.Random(9)
+    f = spark.createDataFrame([(k // 3, [rng.gauss(0, 1) for _ in range(4)] if k % 3 == 2 else [1.0, float(k // 3), 0.5, 2.0]) for k in range(90)], "id long, features array<double>")
+    got = rows(K.similar_all(f, 5).groupBy("query").agg(F.count(F.lit(1)), F.count_distinct("neighbour")))
+    assert sorted(got) == [(k, 5, 5) for k in range(30)]
