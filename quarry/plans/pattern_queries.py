@@ -11,7 +11,7 @@ from quarry.operators import segment as SG
 from quarry.plans import standins as S
 from quarry.plans.fitted import fitted
 from quarry.plans.registry import register, with_
-from quarry.session import cut_lineage
+from quarry.session import bounded_parts, cut_lineage
 from quarry.plans.trip_queries import BASE, BOTH, SQ, rules8, rules_both
 
 
@@ -54,7 +54,9 @@ def fp(spark, d):
     """One fit for the four queries that read it."""
     def fit():
         b = cut_lineage(basket_df(spark, d))
-        return M.fit_fpgrowth(b, 0.001, 0.2), b.count()
+        n = b.count()
+        # FP-growth keeps baskets as objects, some 300 bytes each, in the partitions it is given
+        return M.fit_fpgrowth(bounded_parts(b, 250_000, n), 0.001, 0.2), n
     return fitted(spark, d, "patterns", ("lineitem", "orders", "supplier", "customer", "nation", "region"), fit)
 
 
