@@ -74,3 +74,20 @@ def test_approximate_profile_is_ordered_and_in_range(spark, q):
     for r in rows:
         qs = [r.q1_value, r.median_value, r.q3_value, r.p90_value, r.p95_value, r.p99_value]
         assert r.min_value <= qs[0] and qs == sorted(qs) and qs[-1] <= r.max_value
+
+
+def test_models_get_stored_rows_in_bounded_partitions(spark):
+    from quarry.session import bounded_parts, cut_lineage
+    d = cut_lineage(spark.range(1000).coalesce(2))
+    got = bounded_parts(d, 100)
+    assert got.rdd.getNumPartitions() == 10 and max(got.rdd.glom().map(len).collect()) < 200
+    assert got.count() == 1000 and bounded_parts(d, 500) is d
+
+
+def test_forest_partitions_are_bounded_by_features(spark, monkeypatch):
+    from quarry.operators import classify as C
+    monkeypatch.setattr(C, "_FOREST_BYTES", 4 * 40)
+    train = spark.createDataFrame([(f"word{i % 4} other{i % 3} all", i % 2) for i in range(200)], "text string, label int").coalesce(1)
+    model, d = C._prep(train, "text", "label")
+    most = 4 * 40 // (4 * len(model.stages[0].vocabulary))
+    assert d.rdd.getNumPartitions() == -(-200 // most) and d.count() == 200
