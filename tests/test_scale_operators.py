@@ -260,8 +260,8 @@ def test_exact_neighbours_are_scored_in_parts_of_bounded_size(spark):
     c = f.select("id", F.col("features").alias("held"))
     plain = top_n_per_group(R._similar_plain(c, c.join(q.select("id").distinct(), "id", "left_semi"), 5, 1024), ["query"], [F.desc("score"), F.col("neighbour")], 5) \
         .select("query", "neighbour", F.round("score", 6).alias("score"), F.col("rank").cast("int"))
-    assert sorted(map(str, rows(R.similar(f, q, 5, part_rows=16)))) == sorted(map(str, rows(plain)))
-    plan = R.similar(f.where("id < 100"), q, 5, part_rows=16)._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, rows(R.similar(f, q, 5, block=16, part_rows=16)))) == sorted(map(str, rows(plain)))
+    plan = R.similar(f.where("id < 100"), q, 5, block=16, part_rows=16)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInPandas" in plan and "zip_with" not in plan
 
 
