@@ -302,3 +302,33 @@ def test_bulk_neighbours_of_repeated_rows_are_n_different_ids(spark):
     f = spark.createDataFrame([(k // 3, [rng.gauss(0, 1) for _ in range(4)] if k % 3 == 2 else [1.0, float(k // 3), 0.5, 2.0]) for k in range(90)], "id long, features array<double>")
     got = rows(K.similar_all(f, 5).groupBy("query").agg(F.count(F.lit(1)), F.count_distinct("neighbour")))
     assert sorted(got) == [(k, 5, 5) for k in range(30)]
+
+
+def test_pruned_top_n_keeps_no_state_of_the_users_from_band_to_band(spark, monkeypatch):
+    """A checkpoint of all users, their vectors and seen items a band filled the disks."""
+    rng, kept = random.Random(10), []
+    u, i = (spark.createDataFrame([(k, [rng.gauss(0, 1) for _ in range(4)]) for k in range(m)], "id int, features array<float>") for m in (30, 60))
+    own = K.cut_lineage
+    monkeypatch.setattr(K, "cut_lineage", lambda df: kept.append(set(df.columns)) or own(df))
+    got = rows(K.recommend_pruned(u, i, None, 3, block=2, band_bytes=1))  # 30 bands
+    assert len(kept) <= 1 and not any("user" in c for c in kept)
+    v, w = ([np.array(x["features"], dtype=np.float64) for x in sorted(t.collect())] for t in (u, i))
+    assert sorted((a, r, b) for a, b, _, r in got) == [(a, r + 1, b) for a in range(30) for r, b in enumerate(np.argsort(-np.array([v[a] @ x for x in w]), kind="stable")[:3])]
+
+
+def test_shuffle_files_that_nothing_refers_to_go_while_a_model_is_fitted(spark):
+    import gc
+    import time
+    sc = spark.sparkContext
+    files = lambda: {f.getName() for f in sc._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        sc._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before = files()
+    sc.parallelize(range(1000), 4).map(lambda x: (x % 7, x)).groupByKey().count()
+    own = files() - before
+    gc.collect()
+    with R._unused_files_removed(spark, 0.3):
+        for _ in range(100):
+            if not own & files():
+                break
+            time.sleep(0.3)
+    assert own and not own & files()
