@@ -2,11 +2,12 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections import Counter, defaultdict
+from collections.abc import Iterator, Mapping
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +36,23 @@ def _words(text: str | None) -> list[str]:
     return regex.findall(r"\p{L}+", text.lower()) if text else []
 
 
+class Table(Mapping):
+    """Strings and their vectors, which are rows of one array: an object a vector takes
+    several times their bytes, in each worker."""
+
+    def __init__(self, at: dict[str, int], rows: np.ndarray):
+        self.at, self.rows = at, rows
+
+    def __getitem__(self, w: str) -> np.ndarray:
+        return self.rows[self.at[w]]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.at)
+
+    def __len__(self) -> int:
+        return len(self.at)
+
+
 class LanguageModel:
     """Log frequencies of words and of character n-grams (word ends marked), by language.
 
@@ -42,26 +60,26 @@ class LanguageModel:
     vector over ``langs``.  A word of the table scores by it; another by its
     n-grams of the largest n of which any is known, averaged."""
 
-    def __init__(self, langs: list[str], tables: dict[int, dict[str, np.ndarray]], priors: np.ndarray, max_n: int):
+    def __init__(self, langs: list[str], tables: dict[int, Table], priors: np.ndarray, max_n: int):
         self.langs, self.tables, self.priors, self.max_n = langs, tables, priors, max_n
 
     def word(self, w: str) -> np.ndarray:
-        hit = self.tables[0].get(w)
-        if hit is not None:
-            return hit
+        k = self.tables[0].at.get(w)
+        if k is not None:
+            return self.tables[0].rows[k]
         s = f"^{w}$"
         for n in range(self.max_n, 0, -1):
-            t = self.tables[n]
-            known = [v for v in (t.get(s[i:i + n]) for i in range(len(s) - n + 1)) if v is not None]
+            get = self.tables[n].at.get
+            known = [k for i in range(len(s) - n + 1) if (k := get(s[i:i + n])) is not None]
             if known:
-                return np.mean(known, axis=0)
+                return self.tables[n].rows[known].mean(axis=0)
         return np.zeros(len(self.langs))
 
 
 class Predictor:
     """Predictions of one worker; scores of words are held in a memo of bounded size."""
 
-    def __init__(self, model: LanguageModel, memo: int = 200_000):
+    def __init__(self, model: LanguageModel, memo: int = 100_000):
         self.model, self.most = model, memo
         self._reset()
 
@@ -110,22 +128,22 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_doc
     if n > max_docs:
         lab = lab.where(F.pmod(F.xxhash64(*seed_cols, F.lit(11)), F.lit(1_000_000)) < math.ceil(1_000_000 * max_docs / n))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c: Counter = Counter()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: defaultdict[str, Counter] = defaultdict(Counter)
 
-        def rows():
-            d = pd.DataFrame([(lang, w, k) for (lang, w), k in c.items()], columns=["lang", "w", "n"])
-            c.clear()
-            return d.astype({"n": "int64"})
+        def rows() -> Iterator[pa.RecordBatch]:
+            for lang, c in found.items():
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64())],
+                                                 names=["lang", "w", "n"])
+            found.clear()
         for b in batches:
-            for lang, text in zip(b["lang"], b["text"]):
-                for w, k in Counter(_words(text)).items():
-                    c[lang, w] += k
-                if len(c) > 200_000:
-                    yield rows()
-        yield rows()
-    words = lab.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")) \
-        .mapInPandas(count, "lang string, w string, n long").groupBy("lang", "w").agg(F.sum("n").alias("n"))
+            for lang, text in zip(b.column("lang"), b.column("text")):  # one text at a time becomes a Python string
+                found[lang.as_py()].update(_words(text.as_py()))
+                if sum(map(len, found.values())) > 50_000:
+                    yield from rows()
+        yield from rows()
+    words = lab.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")) \
+        .mapInArrow(count, "lang string, w string, n long").groupBy("lang", "w").agg(F.sum("n").alias("n"))
     words = saved(words, "langid-words")  # read by both the words' and the n-grams' counts
     langs_docs = {r["lang"]: r["n"] for r in lab.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(langs_docs)
@@ -152,11 +170,20 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_doc
     totals = {(r["lang"], r["k"]): (r["n"], r["v"]) for r in every.groupBy("lang", "k").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     col = {x: i for i, x in enumerate(langs)}
-    tables: dict[int, dict[str, np.ndarray]] = {n: {} for n in range(max_n + 1)}
-    floor = {n: np.array([math.log(0.5 / (sum(totals.get((x, n), (0, 0))) + 1)) for x in langs]) for n in tables}
-    for r in top.select("lang", "k", "w", "n").collect():  # bounded by the model's own size
-        row = tables[r["k"]].setdefault(r["w"], floor[r["k"]].copy())
-        row[col[r["lang"]]] = math.log((r["n"] + 0.5) / (sum(totals[r["lang"], r["k"]]) + 1))
+    ns = range(max_n + 1)
+    floor = {n: np.array([math.log(0.5 / (sum(totals.get((x, n), (0, 0))) + 1)) for x in langs]) for n in ns}
+    at: dict[int, dict[str, int]] = {n: {} for n in ns}
+    cells = {n: (array("q"), array("q"), array("d")) for n in ns}
+    for b in top.select("lang", "k", "w", "n").toArrow().to_batches(10_000):  # bounded by the model's own size
+        for lang, k, w, n in zip(*(c.to_pylist() for c in b.columns)):
+            for c, x in zip(cells[k], (at[k].setdefault(w, len(at[k])), col[lang], math.log((n + 0.5) / (sum(totals[lang, k]) + 1)))):
+                c.append(x)
+    tables = {}
+    for n in ns:
+        i, j, v = (np.array(c) for c in cells[n])
+        vectors = np.tile(floor[n], (len(at[n]), 1))
+        vectors[i, j] = v
+        tables[n] = Table(at[n], vectors)
     all_docs = sum(langs_docs.values())
     priors = np.array([math.log(langs_docs[x] / all_docs) for x in langs])
     return LanguageModel(langs, tables, priors, max_n)
@@ -172,14 +199,15 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_
     import uuid
     shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
-    @F.pandas_udf("struct<lang:string,score:double>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<lang:string,score:double>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if name not in _LOADED:
             _LOADED.clear()
             _LOADED[name] = Predictor(shared.value)
         p = _LOADED[name]
-        for s in batches:
-            yield pd.DataFrame([p(t) for t in s], columns=["lang", "score"])
+        for texts in batches:
+            langs, scores = zip(*(p(t.as_py()) for t in texts)) if len(texts) else ((), ())  # one text at a time becomes a Python string
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang", "score"])
     lp = own_prefix(docs) + "lp"
     return docs.withColumn(lp, run(F.col(text_col).cast("string"))).select(
         *[F.col(c) for c in docs.columns if c.lower() not in (lang_out.lower(), score_out.lower())], F.col(f"{lp}.lang").alias(lang_out), F.col(f"{lp}.score").alias(score_out))

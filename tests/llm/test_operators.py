@@ -470,6 +470,23 @@ def test_language_id_backoff_and_odd_rows(spark):
     assert [r["lang_pred"] for r in rows(langid.predict(q, nothing))] == ["und"] * 7
 
 
+def test_language_model_is_small_in_a_worker(spark):
+    """Vectors held as objects took some 900 bytes a string, in every worker and in the driver."""
+    import pickle
+    import string
+    import tracemalloc
+    word = lambda i: "".join(string.ascii_lowercase[(i // 26 ** p) % 26] for p in range(4))
+    d = spark.createDataFrame([(k, lang, " ".join(word(i * 7 + k) for i in range(3000))) for k, lang in enumerate(["aa", "bb", "cc", "dd"])], "doc_id long, lang string, text string")
+    m = langid.fit(d)
+    sent, strings = pickle.dumps(m, 5), sum(map(len, m.tables.values()))
+    tracemalloc.start()
+    got = pickle.loads(sent)
+    size = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert strings > 5000 and size < 300 * strings
+    assert all((got.word(w) == m.word(w)).all() for w in (word(7), word(8), "zzzz", "qqabq"))
+
+
 # --- 7 decontamination -----------------------------------------------------------
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
