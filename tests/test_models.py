@@ -93,3 +93,34 @@ def test_forest_partitions_are_bounded_by_features(spark, monkeypatch):
     most = 4 * 40 // (4 * len(model.stages[0].vocabulary))
     assert d.rdd.getNumPartitions() >= -(-200 // most) and d.count() == 200
     assert max(d.rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect()) <= 2 * most
+
+
+def test_als_equals_sparks_and_writes_each_factor_once(spark, monkeypatch):
+    import glob
+    import os
+
+    import numpy as np
+    from pyspark.ml.recommendation import ALS
+    from quarry.operators import recommend as R
+    from quarry.session import ensure_checkpoint_dir
+    rows = [(u, i, 1.0 + (u * i) % 4) for u in range(60) for i in range(45) if (u * 7 + i * 3) % 5 < 2 and (u % 3 or i % 9 == u % 9)]
+    rows += [(u, 700 + u % 2, 5.0) for u in range(0, 60, 2)] + [(3, 12, 2.0)] * 2  # pairs may repeat
+    size = lambda folder: sum(os.path.getsize(f) for f in glob.glob(f"{folder}/*.parquet"))
+    for odd in ([], [(5, 11, 0.0), (6, 11, -2.0), (90, 5, -1.0), (91, 901, 0.0)]):  # no preference, and dislikes
+        r = spark.createDataFrame(rows + odd, "user int, item int, rating float")
+        als = ALS(implicitPrefs=True, rank=8, regParam=0.01, maxIter=2, alpha=1.0, seed=42, userCol="user", itemCol="item",
+                  ratingCol="rating", numUserBlocks=3, numItemBlocks=3).fit(r)
+        written, real = [], R._stored_factors
+        monkeypatch.setattr(R, "_stored_factors", lambda df: (written.append(real(df)), written[-1])[1])
+        root = ensure_checkpoint_dir(spark).replace("file:", "")
+        before = set(glob.glob(f"{root}/quarry-factors-*"))
+        m = R.fit_als(r, rank=8, iters=2, n_blocks=3, block_ratings=100)
+        monkeypatch.undo()
+        for got, want in ((m.userFactors, als.userFactors), (m.itemFactors, als.itemFactors)):
+            got, want = ({x["id"]: np.array(x["features"]) for x in f.collect()} for f in (got, want))
+            assert got.keys() == want.keys() and got[3].dtype == float
+            assert max(np.abs(got[k] - want[k]).max() for k in want) < 1e-5
+        assert len(written) == 2 + 2 * 2  # the first factors, then users and items once an iteration
+        left = set(glob.glob(f"{root}/quarry-factors-*")) - before
+        assert {os.path.basename(f) for f in left} == {os.path.basename(f) for f in written[-2:]}  # the last ones
+        assert all(size(f) > 0 for f in left)
