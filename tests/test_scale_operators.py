@@ -332,3 +332,18 @@ def test_shuffle_files_that_nothing_refers_to_go_while_a_model_is_fitted(spark):
                 break
             time.sleep(0.3)
     assert own and not own & files()
+
+
+def test_recommendations_for_a_list_of_users_serve_all_users(spark, tmp_path, monkeypatch):
+    """The list held the 100 users with most interactions."""
+    from quarry.plans import model_queries as M
+    monkeypatch.setattr(M, "ALS_RANK", 4)
+    monkeypatch.setattr(M.als_model, "__defaults__", (4,))
+    monkeypatch.setattr(M, "ALS_ITERS", 1)
+    pairs = [(u, i) for u in range(130) for i in range(30) if (u + i) % 3]
+    spark.createDataFrame([(k, u, "1996-01-02") for k, (u, _) in enumerate(pairs)], "o_orderkey long, o_custkey long, o_orderdate string") \
+        .withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k, i, 40.0) for k, (_, i) in enumerate(pairs)], "l_orderkey long, l_partkey long, l_quantity double") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = rows(M.r3_users(spark, str(tmp_path)).groupBy("user").agg(F.max("rank"), F.count(F.lit(1))))
+    assert sorted(got) == [(u, 10, 10) for u in range(130)]
