@@ -347,3 +347,28 @@ def test_recommendations_for_a_list_of_users_serve_all_users(spark, tmp_path, mo
         .write.parquet(f"{tmp_path}/lineitem.parquet")
     got = rows(M.r3_users(spark, str(tmp_path)).groupBy("user").agg(F.max("rank"), F.count(F.lit(1))))
     assert sorted(got) == [(u, 10, 10) for u in range(130)]
+
+
+def test_bulk_neighbours_without_buckets_send_nothing_and_are_exact(spark):
+    """Without structure, 123 tables of 900,000 rows were sent."""
+    rng = random.Random(13)
+    v = spark.createDataFrame([(k, [rng.gauss(0, 1) for _ in range(16)]) for k in range(3000)], "id long, v array<double>")
+    for m in (100_000, 900_000, 5_400_000):
+        bits, tables = K.plan_tables(v, 10, m)
+        assert bits == 0 or tables * -(-m // 2 ** bits // 8192) <= 4
+    vec = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(70)]
+    data = [(f"{i % 110:03d}", vec[i % 70]) for i in range(140)] + [("900", [1e-200, 2e-200, 0.0, 0.0, 0.0, 0.0]), ("901", [1.0, 2.0])]
+    for kind in ("array<double>", "array<float>"):
+        f = spark.createDataFrame(data, "id string, features array<double>").withColumn("features", F.col("features").cast(kind))
+        found = K.similar_all(f, 6, part_rows=16)
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        unit = lambda x: np.array(x) / np.linalg.norm(np.array(x) / np.abs(x).max()) / np.abs(x).max()
+        mine = [(i, unit(np.array(x, dtype=np.float32 if kind == "array<float>" else np.float64).astype(float))) for i, x in data if kind == "array<double>" or i != "900"]
+        best = {}
+        for a, x in mine:
+            for b, y in mine:
+                if len(x) == len(y):
+                    best[a, b] = max(best.get((a, b), -2), round(float(x @ y), 12))
+        want = [(a, b, round(s, 6), k + 1) for a in {a for a, _ in mine} for k, (b, s) in enumerate(sorted(((b, s) for (q, b), s in best.items() if q == a), key=lambda t: (-t[1], t[0]))[:6])]
+        assert {(q, k): s for q, _, s, k in rows(found)} == pytest.approx({(q, k): s for q, _, s, k in want}, abs=2e-6)
+        assert len({(q, b) for q, b, _, _ in rows(found)}) == len(want) and {(q, b) for q, b, _, _ in rows(found)} == {(q, b) for q, b, _, _ in want}
