@@ -349,6 +349,20 @@ def test_recommendations_for_a_list_of_users_serve_all_users(spark, tmp_path, mo
     assert sorted(got) == [(u, 10, 10) for u in range(130)]
 
 
+def test_als_reads_its_ratings_from_stored_blocks(spark, monkeypatch):
+    """Each half of an iteration sent all ratings row by row from a checkpoint to Python."""
+    import glob
+    from quarry.session import ensure_checkpoint_dir
+    rng, plans, real = random.Random(12), [], R._stored_factors
+    r = spark.createDataFrame([(rng.randrange(50), rng.randrange(40), 1.0 + k % 4) for k in range(900)], "user int, item int, rating float").groupBy("user", "item").agg(F.max("rating").alias("rating"))
+    monkeypatch.setattr(R, "_stored_factors", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), real(df))[1])
+    m = R.fit_als(r, rank=4, iters=3, n_blocks=2, block_ratings=100)
+    monkeypatch.undo()
+    assert len(plans) == 8 and all("Range (" in p and "LogicalRDD" not in p for p in plans[2:])
+    assert m.userFactors.count() == 50 and {len(x["features"]) for x in m.itemFactors.collect()} == {4}
+    assert not glob.glob(f"{ensure_checkpoint_dir(spark).replace('file:', '')}/quarry-ratings-*")
+
+
 def test_bulk_neighbours_without_buckets_send_nothing_and_are_exact(spark):
     """Without structure, 123 tables of 900,000 rows were sent."""
     rng = random.Random(13)
@@ -372,3 +386,16 @@ def test_bulk_neighbours_without_buckets_send_nothing_and_are_exact(spark):
         want = [(a, b, round(s, 6), k + 1) for a in {a for a, _ in mine} for k, (b, s) in enumerate(sorted(((b, s) for (q, b), s in best.items() if q == a), key=lambda t: (-t[1], t[0]))[:6])]
         assert {(q, k): s for q, _, s, k in rows(found)} == pytest.approx({(q, k): s for q, _, s, k in want}, abs=2e-6)
         assert len({(q, b) for q, b, _, _ in rows(found)}) == len(want) and {(q, b) for q, b, _, _ in rows(found)} == {(q, b) for q, b, _, _ in want}
+
+
+def test_few_queries_over_many_candidates_are_not_scored_by_expressions(spark):
+    """100 queries over 900,000 factors took minutes, a lambda call a component."""
+    rng = random.Random(14)
+    vec = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(90)]
+    data = [(i, vec[i % 80]) for i in range(150)] + [(7, vec[85]), (200, None), (201, [0.0] * 6), (202, [float("nan")] * 6), (203, [1.0, 2.0]), (None, vec[3])]
+    f = spark.createDataFrame(data, "id long, features array<double>").repartition(3)
+    q = f.where("id % 30 = 0 or id > 199 or id = 7")
+    many = R.similar(f, q, 5, plain_pairs=100)
+    assert sorted(map(str, rows(many))) == sorted(map(str, rows(R.similar(f, q, 5))))
+    plan = R.similar(f.where("id < 150"), q.where("id < 150"), 5, plain_pairs=100)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "zip_with" not in plan and "FlatMapGroups" not in plan
