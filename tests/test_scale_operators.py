@@ -399,3 +399,13 @@ def test_few_queries_over_many_candidates_are_not_scored_by_expressions(spark):
     assert sorted(map(str, rows(many))) == sorted(map(str, rows(R.similar(f, q, 5))))
     plan = R.similar(f.where("id < 150"), q.where("id < 150"), 5, plain_pairs=100)._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" in plan and "zip_with" not in plan and "FlatMapGroups" not in plan
+
+
+def test_bulk_neighbours_of_many_equal_vectors(spark):
+    """All of them tie: those of the smallest ids are the neighbours."""
+    rng = random.Random(15)
+    data = [((k * 7) % 330, [1.0, 2.0, 0.5] if k % 10 else [rng.gauss(0, 1) for _ in range(3)]) for k in range(330)] + [(7, [1.0, 2.0, 0.5])]
+    got = rows(K.similar_all(spark.createDataFrame(data, "id long, v array<double>"), 4, vec_col="v", part_rows=100))
+    equal = sorted({i for i, v in data if v == [1.0, 2.0, 0.5]})
+    assert sorted(x for x in got if x[0] in set(equal) - {7}) == [(q, b, 1.0, k + 1) for q in equal if q != 7 for k, b in enumerate(equal[:4])]
+    assert len(got) == 330 * 4
